@@ -1,4 +1,8 @@
-"""Tail probabilities as column expressions."""
+"""Tail probabilities as column expressions.
+
+Both are meant for the few rows of a test result. Their series are evaluated inside a
+lambda over one value, so that the statistic they start from is computed once.
+"""
 
 from __future__ import annotations
 
@@ -7,64 +11,69 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_TERMS = 220
-_FAR_TAIL = 6.0 * math.sqrt(2.0)
+_NORMAL_TERMS = 220
+_FAR = 6.0 * math.sqrt(2.0)
+_STEPS = 2000
+_SHIFT = 20
 
 
 def normal_two_sided(z: Column) -> Column:
     """P(|Z| >= |z|) for a standard normal Z, by the all-positive erf series.
 
-    With x = |z|/sqrt(2), erf(x) = 2/sqrt(pi) * exp(-x*x) * sum of t(n), where
-    t(0) = x and t(n+1) = t(n) * 2x*x / (2n+3). Past x = 6 the result is below one
-    double-precision unit of 1 and is returned as zero.
+    With x = |z|/sqrt(2) and y = z*z the series is
+    erf(x) = 2/sqrt(pi) * exp(-x*x) * x * (1 + y/3 * (1 + y/5 * (1 + y/7 * ...))),
+    taken from the inside. Past x = 6 the result is below one double-precision unit of
+    1 and is returned as zero.
     """
-    size = F.abs(z)
-    x = size / F.lit(math.sqrt(2.0))
-    start = F.struct(x.alias("term"), x.alias("total"))
 
-    def step(state: Column, n: Column) -> Column:
-        term = state["term"] * 2 * x * x / (2 * n + 3)
-        return F.struct(term.alias("term"), (state["total"] + term).alias("total"))
+    def tail(size: Column) -> Column:
+        y = size * size
+        inner = F.aggregate(
+            F.sequence(F.lit(_NORMAL_TERMS), F.lit(1), F.lit(-1)),
+            F.lit(1.0),
+            lambda total, n: 1 + y / (2 * n + 1) * total,
+        )
+        erf = F.lit(math.sqrt(2.0 / math.pi)) * F.exp(-y / 2) * size * inner
+        inside = F.greatest(F.lit(1.0) - erf, F.lit(0.0))
+        return F.when(size >= _FAR, F.lit(0.0)).otherwise(inside)
 
-    series = F.aggregate(
-        F.sequence(F.lit(0), F.lit(_TERMS - 1)), start, step, lambda state: state["total"]
-    )
-    erf = F.lit(2.0 / math.sqrt(math.pi)) * F.exp(-x * x) * series
-    return F.when(size >= _FAR_TAIL, F.lit(0.0)).otherwise(F.greatest(F.lit(1.0) - erf, F.lit(0.0)))
+    return F.transform(F.array(F.abs(z)), tail)[0]
 
 
 def student_two_sided(t: Column, freedom: Column) -> Column:
-    """P(|T| >= |t|) for Student's t with the given degrees of freedom.
+    """P(|T| >= |t|) for Student's t with v degrees of freedom.
 
     With theta = atan(|t|/sqrt(v)) the inner probability is
     2*c * integral of cos(x)^(v-1) from 0 to theta, taken by Simpson's rule, where
-    c = Gamma((v+1)/2) / (sqrt(pi) * Gamma(v/2)). The quotient of gamma functions comes
-    from its expansion for large v, reached from small v by r(v) = r(v+2) * v/(v+1).
-    Beyond forty deviations at many degrees of freedom the result is zero in doubles.
+    c = Gamma((v+1)/2) / (sqrt(pi) * Gamma(v/2)). The quotient r(v) of the gamma functions
+    comes from its expansion for large v, reached from small v by
+    r(v) = r(v+2) * v/(v+1). Beyond forty deviations at many degrees of freedom the
+    result is zero in doubles.
     """
-    v = freedom.cast("double")
-    size = F.abs(t)
-    steps, shift = 2000, 20
-    lifted = F.aggregate(
-        F.sequence(F.lit(0), F.lit(shift - 1)),
-        F.lit(1.0),
-        lambda product, i: product * (v + 2 * i) / (v + 2 * i + 1),
-    )
-    w = v + 2 * shift
-    expansion = (
-        1 - 1 / (4 * w) + 1 / (32 * w**2) + 5 / (128 * w**3) - 21 / (2048 * w**4)
-    )
-    quotient = lifted * F.sqrt(w / 2) * expansion
-    theta = F.atan(size / F.sqrt(v))
-    width = theta / steps
-
-    def weighted(total: Column, i: Column) -> Column:
-        weight = (
-            F.when((i == 0) | (i == steps), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+
+    def tail(case: Column) -> Column:
+        size, v = case["size"], case["v"]
+        lifted = F.aggregate(
+            F.sequence(F.lit(0), F.lit(_SHIFT - 1)),
+            F.lit(1.0),
+            lambda product, i: product * (v + 2 * i) / (v + 2 * i + 1),
         )
-        return total + weight * F.exp((v - 1) * F.log(F.cos(width * i)))
+        w = v + 2 * _SHIFT
+        expansion = 1 - 1 / (4 * w) + 1 / (32 * w**2) + 5 / (128 * w**3) - 21 / (2048 * w**4)
+        quotient = lifted * F.sqrt(w / 2) * expansion
+        width = F.atan(size / F.sqrt(v)) / _STEPS
+
+        def weighted(total: Column, i: Column) -> Column:
+            weight = F.when((i == 0) | (i == _STEPS), 1.0).when(i % 2 == 1, 4.0).otherwise(2.0)
+            return total + weight * F.exp((v - 1) * F.log(F.cos(width * i)))
+
+        steps = F.sequence(F.lit(0), F.lit(_STEPS))
+        integral = F.aggregate(steps, F.lit(0.0), weighted) * width / 3
+        inside = 2 / math.sqrt(math.pi) * quotient * integral
+        outside = F.greatest(F.least(1 - inside, F.lit(1.0)), F.lit(0.0))
+        known = size.isNotNull() & (v > 0)
+        far = (size > 40) & (v >= 200)
+        return F.when(known & far, F.lit(0.0)).when(known, outside)
 
-    integral = F.aggregate(F.sequence(F.lit(0), F.lit(steps)), F.lit(0.0), weighted) * width / 3
-    inside = 2 / math.sqrt(math.pi) * quotient * integral
-    tail = F.greatest(F.least(1 - inside, F.lit(1.0)), F.lit(0.0))
-    return F.when((size > 40) & (v >= 200), F.lit(0.0)).otherwise(tail)
+    case = F.struct(F.abs(t).alias("size"), freedom.cast("double").alias("v"))
+    return F.transform(F.array(case), tail)[0]

@@ -34,9 +34,9 @@ def as_vectors(scaled: DataFrame, columns: Sequence[str] = CLUSTER_FEATURES) ->
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(scaled)
 
 
-def _restarts(fit, seeds: Iterable[int], parallel: int) -> list:
+def _restarts(vectors: DataFrame, fit, seeds: Iterable[int], parallel: int) -> list:
     """Fit once per seed; several fits may share the cluster at a time."""
-    session_fit = inheritable_thread_target(fit)
+    session_fit = inheritable_thread_target(vectors.sparkSession)(fit)
     with ThreadPool(parallel) as pool:
         return pool.map(session_fit, list(seeds))
 
@@ -54,7 +54,7 @@ def fit_kmeans(
     def fit(run_seed: int) -> KMeansModel:
         return KMeans(k=k, seed=run_seed, maxIter=max_iter).fit(vectors)
 
-    models = _restarts(fit, range(seed, seed + restarts), parallel)
+    models = _restarts(vectors, fit, range(seed, seed + restarts), parallel)
     return min(models, key=lambda model: model.summary.trainingCost)
 
 
@@ -172,7 +172,7 @@ def fit_mixture(
     def fit(run_seed: int) -> GaussianMixtureModel:
         return GaussianMixture(k=k, seed=run_seed).fit(vectors)
 
-    models = _restarts(fit, range(seed * restarts, (seed + 1) * restarts), parallel)
+    models = _restarts(vectors, fit, range(seed * restarts, (seed + 1) * restarts), parallel)
     return max(models, key=lambda model: model.summary.logLikelihood)
 
 

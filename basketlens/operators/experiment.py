@@ -28,7 +28,7 @@ def segment_pairs(assignments: DataFrame, old_segments: DataFrame) -> DataFrame:
     return new.join(old, "customer_id")
 
 
-def test_group(customer_id: Column, seed: int = SEED) -> Column:
+def holdout_group(customer_id: Column, seed: int = SEED) -> Column:
     """V2: treatment or control by a hash of the id, the same on every run and engine."""
     digest = F.substring(F.md5(F.concat(customer_id, F.lit(f":{seed}"))), 1, 8)
     return F.when(digest < "80000000", "treatment").otherwise("control")
@@ -41,7 +41,7 @@ def split_holdout(customers: DataFrame, seed: int = SEED, exact: bool = False) -
     found by their rank without sorting the customers.
     """
     if not exact:
-        return customers.withColumn("test_group", test_group(F.col("customer_id"), seed))
+        return customers.withColumn("test_group", holdout_group(F.col("customer_id"), seed))
     digest = F.md5(F.concat(F.col("customer_id"), F.lit(f":{seed}")))
     # 52 bits stay exact as a double.
     number = F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")

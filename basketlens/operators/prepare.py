@@ -69,13 +69,16 @@ def standard_scale(
     scale. It enters as a scalar subquery, so the rows are neither shuffled nor joined.
     """
     known = scaling(df, columns) if stats is None else stats
-    scalar = known.select(F.struct(*columns)).scalar()
+    # The subquery stands in one column, so it is planned once and not per feature.
+    scale = known.select(F.struct(*columns)).scalar()
 
     def scaled(c: str) -> Column:
-        deviation = scalar[c]["deviation"]
-        return (F.col(c) - scalar[c]["mean"]) / F.when(deviation == 0, 1.0).otherwise(deviation)
+        deviation = F.col("_scale")[c]["deviation"]
+        divisor = F.when(deviation == 0, F.lit(1.0)).otherwise(deviation)
+        return (F.col(c) - F.col("_scale")[c]["mean"]) / divisor
 
-    return df.withColumns({c: scaled(c) for c in columns})
+    scaled_columns = {c: scaled(c) for c in columns}
+    return df.withColumn("_scale", scale).withColumns(scaled_columns).drop("_scale")
 
 
 def summary_before(df: DataFrame, columns: Sequence[str] = PROCESSED_LOG_FEATURES) -> DataFrame:
