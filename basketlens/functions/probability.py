@@ -35,7 +35,7 @@ def normal_two_sided(z: Column) -> Column:
         )
         erf = F.lit(math.sqrt(2.0 / math.pi)) * F.exp(-y / 2) * size * inner
         inside = F.greatest(F.lit(1.0) - erf, F.lit(0.0))
-        return F.when(size >= _FAR, F.lit(0.0)).otherwise(inside)
+        return F.when(size >= _FAR, F.lit(0.0)).when(size < _FAR, inside)
 
     return F.transform(F.array(F.abs(z)), tail)[0]
 

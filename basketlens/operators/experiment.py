@@ -107,21 +107,30 @@ def lift_percent(treatment: Column, control: Column) -> Column:
 
 def _outcome_rows(holdout: DataFrame) -> DataFrame:
     """One row per outcome with size, successes and rate of both groups, from one pass."""
-    control, treatment = (F.count(_of(group, F.lit(1))) for group in ("control", "treatment"))
+    groups = ("control", "treatment")
     stats = holdout.agg(
+        *[F.count(_of(group, F.lit(1))).alias(f"{group}_n") for group in groups],
+        *[
+            aggregate(_of(group, outcome)).alias(f"{outcome}_{group}_{name}")
+            for outcome in OUTCOMES
+            for group in groups
+            for name, aggregate in (("successes", F.sum), ("rate", F.avg))
+        ],
+    )
+    rows = F.array(
         *[
             F.struct(
-                control.alias("control_n"),
-                treatment.alias("treatment_n"),
-                F.sum(_of("control", outcome)).alias("control_successes"),
-                F.sum(_of("treatment", outcome)).alias("treatment_successes"),
-                F.avg(_of("control", outcome)).alias("control_rate"),
-                F.avg(_of("treatment", outcome)).alias("treatment_rate"),
-            ).alias(outcome)
+                F.lit(outcome).alias("metric"),
+                *[
+                    F.col(f"{outcome}_{group}_{name}").alias(f"{group}_{name}")
+                    for group in groups
+                    for name in ("successes", "rate")
+                ],
+            )
             for outcome in OUTCOMES
         ]
     )
-    return stats.unpivot([], list(OUTCOMES), "metric", "s").select("metric", "s.*")
+    return stats.select("control_n", "treatment_n", F.inline(rows))
 
 
 def rates_and_lift(holdout: DataFrame) -> DataFrame:
@@ -137,15 +146,16 @@ def rates_and_lift(holdout: DataFrame) -> DataFrame:
 def proportion_tests(holdout: DataFrame, level: float = SIGNIFICANCE) -> DataFrame:
     """V5, V8: two-proportion z-test with pooled variance per outcome."""
     n_c, n_t = F.col("control_n"), F.col("treatment_n")
-    pooled = F.try_divide(
-        F.col("control_successes") + F.col("treatment_successes"), n_c + n_t
-    )
-    error = F.sqrt(
-        pooled * (1 - pooled) * (F.try_divide(F.lit(1.0), n_c) + F.try_divide(F.lit(1.0), n_t))
+    pooled = F.try_divide(F.col("control_successes") + F.col("treatment_successes"), n_c + n_t)
+    # 1/n_c + 1/n_t as one quotient
+    spread = F.try_divide((n_c + n_t).cast("double"), n_c * n_t)
+    compared = _outcome_rows(holdout).select(
+        "metric",
+        (F.col("treatment_rate") - F.col("control_rate")).alias("gap"),
+        F.sqrt(pooled * (1 - pooled) * spread).alias("error"),
     )
-    gap = F.col("treatment_rate") - F.col("control_rate")
-    z = F.when(error > 0, gap / error).otherwise(F.when(error.isNotNull(), F.lit(0.0)))
-    tested = _outcome_rows(holdout).select("metric", z.alias("z"))
+    z = F.when(F.col("error") == 0, F.lit(0.0)).otherwise(F.try_divide("gap", "error"))
+    tested = compared.select("metric", z.alias("z"))
     return tested.withColumn("p_value", normal_two_sided(F.col("z"))).withColumn(
         "significant", F.col("p_value") < level
     )
