@@ -205,7 +205,7 @@ def r4_behavioral(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = features.reference_windows(transactions)
     return (
         features.purchase_features(transactions, windows)
-        .join(features.median_baskets(transactions, windows), ["as_of", "customer_id"], "left")
+        .join(features.median_baskets(transactions), "customer_id", "left")
         .select(
             "customer_id",
             "txns_in_window",

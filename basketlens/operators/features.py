@@ -8,7 +8,9 @@ of a customer's history, the counts on both sides of its midpoint, the distinct
 categories. The reference date enters as a scalar subquery.
 
 The features can be built for several dates in one pass (``days_back``): the rows
-are shuffled once and only then repeated per date.
+are shuffled once and only then repeated per date. ``keys`` names what identifies a
+result row, ``customer_id`` for one date and ``as_of, customer_id`` for several; with
+one date every join below reuses the shuffle on ``customer_id``.
 """
 
 from __future__ import annotations
@@ -33,6 +35,9 @@ from basketlens.functions.numeric import is_false, is_true, ratio, round_to
 from basketlens.functions.ranks import lower_median
 from basketlens.sources.schemas import SCHEMAS
 
+CUSTOMER = ("customer_id",)
+CUSTOMER_AT_DATE = ("as_of", "customer_id")
+
 WEB_COLUMNS = (
     "total_sessions",
     "avg_pages_per_session",
@@ -125,16 +130,17 @@ def daily_purchases(transactions: DataFrame) -> DataFrame:
 def purchase_features(
     transactions: DataFrame,
     windows: DataFrame,
+    keys: Sequence[str] = CUSTOMER,
     min_transactions: int = MIN_TRANSACTIONS,
     project_categories: Sequence[str] = PROJECT_CATEGORIES,
     maintenance_categories: Sequence[str] = MAINTENANCE_CATEGORIES,
 ) -> DataFrame:
-    """R4-R7 without the median: one row per snapshot and eligible customer."""
+    """R4-R7 without the median: one row per date and eligible customer."""
     days = _per_snapshot(
         daily_purchases(transactions).repartition("customer_id"), windows, "transaction_date"
     )
     date = F.col("transaction_date")
-    history = Window.partitionBy("as_of", "customer_id")
+    history = Window.partitionBy(*keys)
     days = days.withColumns(
         {"first_date": F.min(date).over(history), "last_date": F.max(date).over(history)}
     )
@@ -146,8 +152,8 @@ def purchase_features(
     def rows_where(condition: Column) -> Column:
         return F.sum(F.when(condition, F.col("rows")).otherwise(F.lit(0)))
 
-    snapshot = ["as_of", "customer_id"]
-    categories = days.groupBy(*snapshot, "category").agg(
+    constant = [c for c in (*windows.columns, "first_date", "last_date") if c not in keys]
+    categories = days.groupBy(*keys, "category").agg(
         *[
             F.sum(c).alias(c)
             for c in ("rows", "amounts", "amount", "online", "promo", "full_price", "discount")
@@ -157,10 +163,7 @@ def purchase_features(
         rows_where(date < midpoint).alias("early"),
         rows_where(F.quarter(date) == 2).alias("second_quarter"),
         rows_where(F.dayofweek(date).isin(1, 7)).alias("weekend"),
-        F.first("first_date").alias("first_date"),
-        F.first("last_date").alias("last_date"),
-        F.first("ref_date").alias("ref_date"),
-        F.first("window_days").alias("window_days"),
+        *[F.first(c).alias(c) for c in constant],
     )
     is_project = F.col("category").isin(*project_categories)
     is_maintenance = F.col("category").isin(*maintenance_categories)
@@ -169,21 +172,22 @@ def purchase_features(
         "second_quarter weekend"
     ).split()
     customers = (
-        categories.groupBy(*snapshot)
+        categories.groupBy(*keys)
         .agg(
             *[F.sum(c).alias(c) for c in summed],
             F.count("category").alias("category_breadth"),
             rows_where(is_project).alias("project_rows"),
             rows_where(is_maintenance).alias("maintenance_rows"),
             F.count_if(is_project & (F.col("in_window") > 0)).alias("project_categories"),
-            *[F.first(c).alias(c) for c in ("first_date", "last_date", "ref_date", "window_days")],
+            *[F.first(c).alias(c) for c in constant],
         )
         .where(F.col("rows") >= min_transactions)
     )
     rows = F.col("rows")
     months = F.greatest(F.datediff("last_date", "first_date") / F.lit(30.0), F.lit(1.0))
     return customers.select(
-        *snapshot,
+        "as_of",
+        "customer_id",
         rows.alias("total_transactions"),
         F.col("in_window").alias("txns_in_window"),
         round_to(F.col("in_window") / (F.col("window_days") / F.lit(7.0)), 2).alias(
@@ -208,17 +212,18 @@ def purchase_features(
     )
 
 
-def median_baskets(transactions: DataFrame, windows: DataFrame) -> DataFrame:
-    """F-6: the middle amount of each customer, an observed value."""
-    rows = _per_snapshot(
-        transactions.select("customer_id", "transaction_date", "amount"),
-        windows,
-        "transaction_date",
-    )
-    medians = lower_median(rows, ["as_of", "customer_id"], "amount", "median")
-    return medians.select(
-        "as_of", "customer_id", round_to(F.col("median"), 2).alias("median_basket_size")
-    )
+def median_baskets(
+    transactions: DataFrame, windows: DataFrame | None = None, keys: Sequence[str] = CUSTOMER
+) -> DataFrame:
+    """F-6: the middle amount of each customer, an observed value.
+
+    Without ``windows`` all transactions count.
+    """
+    rows = transactions.select("customer_id", "transaction_date", "amount")
+    if windows is not None:
+        rows = _per_snapshot(rows, windows, "transaction_date")
+    medians = lower_median(rows, keys, "amount", "median")
+    return medians.select(*keys, round_to(F.col("median"), 2).alias("median_basket_size"))
 
 
 def session_stats(web_events: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
@@ -235,21 +240,20 @@ def session_stats(web_events: DataFrame, extra_keys: Sequence[str] = ()) -> Data
 def web_features(
     web_events: DataFrame,
     windows: DataFrame | None = None,
+    keys: Sequence[str] = CUSTOMER,
     deep_session: int = DEEP_SESSION_EVENTS,
 ) -> DataFrame:
     """Browsing per customer, in one pass over the sessions.
 
-    With ``windows`` the features are built per snapshot from the events up to its
-    date; without, from all events.
+    With ``windows`` the features are built per date from the events up to it; without,
+    from all events.
     """
-    keys = ["customer_id"]
     if windows is not None:
         events = web_events.select(
             "customer_id", "session_id", "event_date", "page_type", "device", "search_flag"
         )
         web_events = _per_snapshot(events, windows, "event_date")
-        keys = ["as_of", "customer_id"]
-    sessions = session_stats(web_events, keys[:-1])
+    sessions = session_stats(web_events, [key for key in keys if key != "customer_id"])
     totals = sessions.groupBy(*keys).agg(
         # One row per session already; an unknown session id is no session.
         F.count("session_id").alias("total_sessions"),
@@ -307,15 +311,25 @@ def snapshot_features(
     """
     transactions = tables["transactions"]
     windows = reference_windows(transactions, as_of, days_back)
-    web = web_features(tables["web_events"], windows if trim_web else None)
+    keys = CUSTOMER if len(days_back) == 1 else CUSTOMER_AT_DATE
+    whole_history = as_of is None and tuple(days_back) == (0,)
+    web_keys = keys if trim_web else CUSTOMER
+    web = web_features(tables["web_events"], windows if trim_web else None, web_keys)
+    medians = median_baskets(transactions, None if whole_history else windows, keys)
     joined = (
         purchase_features(
-            transactions, windows, min_transactions, project_categories, maintenance_categories
+            transactions,
+            windows,
+            keys,
+            min_transactions,
+            project_categories,
+            maintenance_categories,
         )
-        .join(median_baskets(transactions, windows), ["as_of", "customer_id"], "left")
-        .join(web, ["as_of", "customer_id"] if trim_web else ["customer_id"], "left")
+        # Joins on the customer alone come first, while the rows lie by customer.
         .join(loyalty_features(tables["loyalty"]), "customer_id", "left")
         .join(customer_regions(tables["customer_master"]), "customer_id")
+        .join(web, list(web_keys), "left")
+        .join(medians, list(keys), "left")
     )
     zero_filled = (*WEB_COLUMNS, "loyalty_tier_numeric", "points_balance")
     return joined.select(

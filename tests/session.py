@@ -1,5 +1,9 @@
+"""The local session that tests and the comparison tool share."""
+
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -8,6 +12,7 @@ def session() -> SparkSession:
         SparkSession.builder.master("local[8]")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="basketlens-warehouse-"))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
