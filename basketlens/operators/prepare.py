@@ -50,13 +50,15 @@ def log_transform(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def scaling(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Mean and population deviation of each column, in one row.
 
-    The deviation of a constant column is exactly zero, whatever rounding leaves over.
+    A constant column has its value as mean and zero as deviation, whatever rounding of
+    sums would leave over.
     """
     stats = []
     for c in columns:
         constant = F.min(c) == F.max(c)
         deviation = F.when(constant, F.lit(0.0)).otherwise(F.stddev_pop(c))
-        stats.append(F.struct(F.avg(c).alias("mean"), deviation.alias("deviation")).alias(c))
+        mean = F.when(constant, F.min(c)).otherwise(F.avg(c))
+        stats.append(F.struct(mean.alias("mean"), deviation.alias("deviation")).alias(c))
     return df.agg(*stats)
 
 
