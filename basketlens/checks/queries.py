@@ -68,13 +68,18 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.customer_features(sample_tables(spark, sf_dir))
 
 
+def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features written out once, for steps that pass over them more than once."""
+    return cut_lineage(_features(spark, sf_dir))
+
+
 def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.clustering_input(_features(spark, sf_dir))
+    return prepare.clustering_input(_stored_features(spark, sf_dir))
 
 
 def _segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features with the segment of the nearest stored centre."""
-    raw = _features(spark, sf_dir).select("*", F.struct("*").alias("_row"))
+    raw = _stored_features(spark, sf_dir).select("*", F.struct("*").alias("_row"))
     scaled = prepare.clustering_input(raw, context=("_row",))
     return clustering.assign_nearest(scaled, STORED_CENTERS).select("_row.*", "segment_id")
 
@@ -87,7 +92,7 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four weekly refreshes scored with the stored centres, on the scale of week 0."""
-    rows = feature_history(sample_tables(spark, sf_dir))
+    rows = cut_lineage(feature_history(sample_tables(spark, sf_dir)))
     inputs = prepare.unscaled_input(rows, context=("week", "customer_id"))
     scale = prepare.scaling(inputs.where(F.col("week") == 0), CLUSTER_FEATURES)
     scaled = prepare.standard_scale(inputs, CLUSTER_FEATURES, scale)
@@ -320,26 +325,26 @@ def p3_log_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def p4_standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    selected = prepare.select_features(_features(spark, sf_dir))
+    selected = prepare.select_features(_stored_features(spark, sf_dir))
     filled = prepare.fill_zero(selected, PROCESSED_FEATURES)
     return _rounded(prepare.standard_scale(filled, PROCESSED_FEATURES), PROCESSED_FEATURES)
 
 
 @query
 def p5_summary_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = prepare.summary_before(_features(spark, sf_dir))
+    summary = prepare.summary_before(_stored_features(spark, sf_dir))
     return _rounded(summary, ("mean", "median", "max"))
 
 
 @query
 def p6_summary_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = prepare.summary_after(prepare.processed_features(_features(spark, sf_dir)))
+    summary = prepare.summary_after(prepare.processed_features(_stored_features(spark, sf_dir)))
     return _rounded(summary, ("mean", "std", "min", "max"))
 
 
 @query
 def p7_processed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(prepare.processed_features(_features(spark, sf_dir)), PROCESSED_FEATURES)
+    return _rounded(prepare.processed_features(_stored_features(spark, sf_dir)), PROCESSED_FEATURES)
 
 
 @query
@@ -352,7 +357,7 @@ def c1_clustering_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def c2_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = cut_lineage(_features(spark, sf_dir))
+    raw = _stored_features(spark, sf_dir)
     return score(fit_segmentation(raw), raw).select("customer_id", "segment_id")
 
 
@@ -397,7 +402,10 @@ def c5_silhouette_squared(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def c6_gmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _vectors(spark, sf_dir).persist()
-    models = [clustering.fit_mixture(vectors, seed) for seed in range(5)]
+    try:
+        models = [clustering.fit_mixture(vectors, seed) for seed in range(5)]
+    finally:
+        vectors.unpersist()
     return clustering.label_runs(vectors, models).drop("features")
 
 
@@ -458,7 +466,7 @@ def c14_profile_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def c15_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = cut_lineage(_features(spark, sf_dir))
+    raw = _stored_features(spark, sf_dir)
     model = fit_segmentation(raw)
     scored = model.transform(raw)
     names = segments.name_segments(segments.profile_segments(scored))
@@ -595,7 +603,7 @@ def d4_feature_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def d5_feature_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = feature_history(sample_tables(spark, sf_dir))
+    history = cut_lineage(feature_history(sample_tables(spark, sf_dir)))
     change = drift.feature_drift(
         history.where(F.col("week") == 0), history.where(F.col("week") == 3)
     )

@@ -6,6 +6,8 @@ on both sides.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_FILES = ("region", "nation", "customer", "orders", "lineitem", "events")
@@ -85,6 +87,7 @@ FROM old_segments""",
 }
 
 
+@lru_cache(maxsize=16)
 def sample_tables(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     """The six base tables and the stand-in assignment over one data directory."""
     for name in BASE_FILES:
