@@ -372,10 +372,8 @@ def c3_k_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def c4_hierarchical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _vectors(spark, sf_dir)
-    return clustering.fit_hierarchical(vectors).transform(vectors).select(
-        "customer_id", "prediction"
-    )
+    labelled = clustering.hierarchical_labels(_vectors(spark, sf_dir))
+    return labelled.select("customer_id", "prediction")
 
 
 @query

@@ -18,6 +18,7 @@ from pyspark.ml.clustering import (
 )
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -159,9 +160,19 @@ def k_selection(
     return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
-def fit_hierarchical(vectors: DataFrame, k: int = CLUSTERS, seed: int = SEED):
-    """C4: clusters by repeated splitting, the hierarchical method that scales."""
-    return BisectingKMeans(k=k, seed=seed).fit(vectors)
+def hierarchical_labels(
+    vectors: DataFrame, k: int = CLUSTERS, seed: int = SEED, shift: float = 10.0
+) -> DataFrame:
+    """C4: labels by repeated splitting, the hierarchical method that scales.
+
+    A split starts from two points beside the centre, apart in proportion to the
+    centre's length, which is zero for scaled features. Distances do not change when
+    all vectors are moved, so they are moved away from the origin for the fit.
+    """
+    moved = F.transform(vector_to_array("features"), lambda x: x + F.lit(shift))
+    shifted = vectors.withColumn("_shifted", array_to_vector(moved))
+    model = BisectingKMeans(k=k, seed=seed, featuresCol="_shifted").fit(shifted)
+    return model.transform(shifted).drop("_shifted")
 
 
 def fit_mixture(
@@ -233,7 +244,7 @@ def compare_methods(
 ) -> DataFrame:
     """Silhouettes of the three methods and how far mixture runs agree."""
     kmeans = silhouette(fit_kmeans(vectors, k, seed).transform(vectors))
-    hierarchical = silhouette(fit_hierarchical(vectors, k, seed).transform(vectors))
+    hierarchical = _silhouette_or_null(hierarchical_labels(vectors, k, seed), "prediction")
     mixtures = [fit_mixture(vectors, s, k) for s in mixture_seeds]
     runs = [f"run_{i}" for i in range(len(mixtures))]
     labelled = label_runs(vectors, mixtures)

@@ -315,3 +315,36 @@ def test_segment_behavior_with_a_null_segment_name(spark):
 def test_clusters_are_the_declared_features():
     assert len(CLUSTER_FEATURES) == 11
     assert len(PROFILE_FEATURES) == 21
+
+
+def _blobs(spark):
+    """Five separate groups of points whose overall mean is the origin."""
+    centres = [(0, 0), (20, 20), (-20, 20), (20, -20), (-20, -20)]
+    data = [
+        (f"c{c}-{i}", float(x + (i % 5 - 2) / 2), float(y + (i // 5 - 2) / 2), c)
+        for c, (x, y) in enumerate(centres)
+        for i in range(25)
+    ]
+    df = spark.createDataFrame(data, "customer_id string, a double, b double, true_label long")
+    return clustering.as_vectors(df, ["a", "b"]).repartition(3)
+
+
+def _pure(labelled, label="prediction"):
+    """Every label covers one true group and every group has one label."""
+    pairs = labelled.select("true_label", label).distinct().count()
+    return pairs == labelled.select(label).distinct().count() == 5
+
+
+def test_model_fits_find_separate_groups(spark):
+    vectors = _blobs(spark).cache()
+    kmeans = clustering.fit_kmeans(vectors, restarts=3).transform(vectors)
+    assert _pure(kmeans)
+    assert clustering.silhouette(kmeans) > 0.9
+    assert _pure(clustering.hierarchical_labels(vectors))
+    mixture = clustering.fit_mixture(vectors, 0)
+    runs = clustering.label_runs(vectors, [mixture, mixture])
+    assert runs.where("run_0 <> run_1").count() == 0
+    table = clustering.k_selection(vectors, ks=(2, 3, 5), restarts=2).collect()
+    costs = [r.inertia for r in table]
+    assert costs == sorted(costs, reverse=True)
+    vectors.unpersist()
