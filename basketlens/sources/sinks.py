@@ -74,16 +74,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder for intermediate data that all executors share.
+
+    The cluster names it in ``spark.checkpoint.dir``. A session without that setting,
+    such as a test, gets a temporary one, which only works where driver and executors
+    share their disk.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
     configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
     if configured:
-        context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
+        return configured
+    if context.getCheckpointDir() is None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="basketlens-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    return context.getCheckpointDir()
+
+
+def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(checkpoint_folder(spark))
