@@ -78,5 +78,53 @@ FROM placed WHERE start < quota
 """
 
 
+def op3(min_sites: int = 10) -> str:
+    return rf"""
+WITH d AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+l AS (
+  SELECT doc_id, source, line_no, lines[line_no] AS line, trim(lines[line_no], e' \t\n\x0b\f\r') AS bare
+  FROM d, unnest(range(1, len(lines) + 1)) AS r(line_no)
+), spread AS (
+  SELECT bare, min((doc_id, line_no)) AS first FROM l WHERE bare <> ''
+  GROUP BY bare HAVING count(DISTINCT source) >= {min_sites}
+), marked AS (
+  SELECT l.*, spread.bare IS NOT NULL AND (doc_id, line_no) <> spread.first AS gone
+  FROM l LEFT JOIN spread USING (bare)
+)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '') AS text,
+       count(*) AS n_lines, count(*) FILTER (gone) AS n_removed
+FROM marked GROUP BY doc_id
+"""
+
+
+def op6(part_chars: int = 32_768, turn_chars: int = 32) -> str:
+    return f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+), placed AS (
+  SELECT *, row_number() OVER w AS nth, (sum(length(text) + {turn_chars}) OVER w - length(text) - {turn_chars}) // {part_chars} AS part
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING)
+), parties AS (SELECT DISTINCT conv_id, role AS assistant FROM t WHERE role <> 'system'),
+views AS (
+  SELECT conv_id, assistant, part::BIGINT AS part, nth, role = assistant AS loss, text || '<|end|>' || chr(10) AS body,
+         CASE WHEN role = 'system' THEN '<|system|>' WHEN role = assistant THEN '<|assistant|>'
+              ELSE '<|user name=' || role || '|>' END || chr(10) AS header
+  FROM placed JOIN parties USING (conv_id)
+), spans AS (
+  SELECT *, (sum(length(header) + length(body)) OVER (PARTITION BY conv_id, assistant, part ORDER BY nth ROWS UNBOUNDED PRECEDING))::BIGINT AS stop
+  FROM views
+)
+SELECT conv_id, assistant, part, count(*) AS n_turns, string_agg(header || body, '' ORDER BY nth) AS text,
+       coalesce(string_agg((stop - length(body)) || ':' || stop, ' ' ORDER BY nth) FILTER (loss), '') AS loss_spans,
+       coalesce(sum(length(body)) FILTER (loss), 0)::BIGINT AS loss_chars
+FROM spans GROUP BY conv_id, assistant, part
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op1_mix_sources": op1(), "op7_exact_dedup": OP7}
+    return {
+        "op1_mix_sources": op1(),
+        "op3_line_dedup": op3(),
+        "op6_chat_format": op6(),
+        "op7_exact_dedup": OP7,
+    }

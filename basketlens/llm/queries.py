@@ -5,10 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+import basketlens.llm.pipeline as corpus
+from basketlens.llm.chat import rotate_perspectives
 from basketlens.llm.common import table
+from basketlens.llm.decontaminate import find_contamination
 from basketlens.llm.exact_dedup import exact_duplicates
+from basketlens.llm.line_dedup import dedup_lines
 from basketlens.llm.mixing import mix_sources
+from basketlens.llm.near_dedup import near_duplicates
+from basketlens.llm.quality import classify_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,13 +24,41 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = dedup_lines(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "text", "n_lines", "n_removed")
+
+
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.transform("loss_spans", lambda s: F.concat_ws(":", s["start"], s["stop"]))
+    return rotate_perspectives(table(spark, sf_dir, "conversations")).withColumn("loss_spans", F.array_join(spans, " "))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract of this query asks for two words; the pipeline's stage takes five."""
+    return near_duplicates(table(spark, sf_dir, "documents"), k=2)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus.run(spark, sf_dir)
+
+
 def llm_queries() -> dict[str, Query]:
-    return {
+    operators = {
         name: function
         for name, function in globals().items()
         if name.startswith("op") and name[2:].split("_")[0].isdigit()
     }
+    return operators | {"pipeline": pipeline}
