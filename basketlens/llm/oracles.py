@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from basketlens.llm.licenses import BLOCK, CONTAINMENT, TEMPLATES
 from basketlens.llm.mixing import GRID, SLOTS
 
 WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
@@ -121,10 +122,31 @@ FROM spans GROUP BY conv_id, assistant, part
 """
 
 
+def op8() -> str:
+    rows = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in TEMPLATES.items())
+    words = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+    return f"""
+WITH t AS (SELECT license, {words} AS ws FROM (VALUES {rows}) AS v(license, text)),
+known AS (SELECT DISTINCT license, len(ws) - 1 AS m, ws[i] || ' ' || ws[i + 1] AS pair FROM t, unnest(range(1, len(ws))) AS r(i)),
+sizes AS (SELECT license, count(*) AS n FROM known GROUP BY license),
+d AS (SELECT doc_id, {words} AS ws FROM documents),
+s AS (SELECT doc_id, i - 1 AS i, ws[i] || ' ' || ws[i + 1] AS pair FROM d, unnest(range(1, len(ws))) AS r(i)),
+hit AS (SELECT doc_id, license, m, i, pair FROM s JOIN known USING (pair)),
+blocks AS (SELECT DISTINCT doc_id, license, i // {BLOCK} AS b FROM hit),
+shares AS (
+  SELECT doc_id, license, b, count(DISTINCT pair) AS c FROM blocks JOIN hit USING (doc_id, license)
+  WHERE i BETWEEN b * {BLOCK} - m AND b * {BLOCK} + {BLOCK} + m - 1 GROUP BY doc_id, license, b
+)
+SELECT doc_id, license, max(c / n) AS containment FROM shares JOIN sizes USING (license)
+GROUP BY doc_id, license HAVING max(c / n) >= {CONTAINMENT}
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_mix_sources": op1(),
         "op3_line_dedup": op3(),
         "op6_chat_format": op6(),
         "op7_exact_dedup": OP7,
+        "op8_license_scan": op8(),
     }

@@ -12,10 +12,12 @@ from basketlens.llm.chat import rotate_perspectives
 from basketlens.llm.common import table
 from basketlens.llm.decontaminate import find_contamination
 from basketlens.llm.exact_dedup import exact_duplicates
+from basketlens.llm.licenses import scan_licenses
 from basketlens.llm.line_dedup import dedup_lines
 from basketlens.llm.mixing import mix_sources
 from basketlens.llm.near_dedup import near_duplicates
 from basketlens.llm.quality import classify_quality
+from basketlens.llm.substring_dedup import repeated_passages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +35,10 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -46,6 +52,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).select("doc_id", "license", "containment")
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The contract of this query asks for two words; the pipeline's stage takes five."""
     return near_duplicates(table(spark, sf_dir, "documents"), k=2)
