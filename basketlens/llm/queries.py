@@ -14,6 +14,7 @@ from basketlens.llm.decontaminate import find_contamination
 from basketlens.llm.exact_dedup import exact_duplicates
 from basketlens.llm.licenses import scan_licenses
 from basketlens.llm.line_dedup import dedup_lines
+from basketlens.llm.lm import score_documents
 from basketlens.llm.mixing import mix_sources
 from basketlens.llm.near_dedup import near_duplicates
 from basketlens.llm.quality import classify_quality
@@ -61,6 +62,10 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), k=2)
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.run(spark, sf_dir)
 
