@@ -2,17 +2,24 @@
 
 A document is the set of its distinct shingles of ``k`` words. One 64-bit hash of every
 shingle names a bucket by its upper bits; of the smallest hash in a bucket the sketch
-keeps the number of leading zeros and ten mantissa bits. Empty buckets borrow from the
-next full one for banding. Documents that agree in all registers of a band are
+keeps the number of leading zeros and ten mantissa bits. Empty buckets borrow from
+random full ones for banding. Documents that agree in all registers of a band are
 candidates; the Jaccard similarity estimated from the registers, corrected for chance
 collisions, rules out those that are clearly too far apart, and the rest are compared by
 their full sets.
 
-Sets that are equal are one class. Candidates are formed in two rounds, neither of which
-lists all pairs of a bucket: first every class is compared with the smallest of its
-bucket; then only classes of a bucket that are still in different components are compared
-with each other, in which no pair is left out. With 48 bands of 8 registers a pair of
-similarity 0.8 shares a band with probability 0.9998, one of 0.9 practically always.
+Sets that are equal are one class. No step lists all pairs of a bucket:
+
+1. Every class is compared with its bucket's hub, the member that shares most buckets with
+   others; copies of a common original thus meet the original.
+2. Two members x, y of a bucket that the hub c does not link can only be similar if they
+   share enough of what sets them apart from c. With R the symmetric difference to c,
+   similarity 0.8 needs |R_x & R_y| >= (|R_x| + |R_y| - (|x| + |y|) / 9) / 2, which is
+   above zero if x is not linked with c. So such pairs meet in a join on the rarest
+   elements of R, as many as that bound asks for, in which no pair is lost.
+
+With 48 bands of 8 registers a pair of similarity 0.8 shares a band with probability
+0.9998, one of 0.9 practically always.
 """
 
 from __future__ import annotations
@@ -22,7 +29,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketlens.llm.common import materialise
@@ -68,9 +75,41 @@ def registers(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return bucket[smallest], (zeros << np.uint16(MANTISSA_BITS)) | mantissa.astype(np.uint16)
 
 
+def _probes() -> np.ndarray:
+    """For each register of the bands, the buckets it asks in turn, its own first."""
+    n, rows = 1 << BUCKET_BITS, BANDS * BAND_ROWS
+    with np.errstate(over="ignore"):
+        order = np.argsort(mix(np.arange(1, rows * n + 1, dtype=U)).reshape(rows, n), axis=1)
+    own = np.arange(rows)
+    place = np.argmax(order == own[:, None], axis=1)
+    order[own, place] = order[:, 0]
+    order[:, 0] = own
+    return order.astype(np.int16)
+
+
+PROBES = _probes()
+
+
 def band_keys(buckets: np.ndarray, values: np.ndarray) -> np.ndarray:
-    following = np.searchsorted(buckets, np.arange(BANDS * BAND_ROWS)) % len(buckets)
-    rows = values[following].reshape(BANDS, BAND_ROWS).view(U).reshape(BANDS, -1)
+    """The key of each band; an empty bucket takes the register of a random full one.
+
+    Each register asks the buckets in an order of its own, which is the same for all
+    documents. Neighbours thus borrow from different buckets, and a band of a short text
+    rests on as many shingles as one of a long text.
+    """
+    full = np.zeros(1 << BUCKET_BITS, dtype=bool)
+    full[buckets] = True
+    every = np.zeros(1 << BUCKET_BITS, dtype=np.uint16)
+    every[buckets] = values
+    source, open_, start, width = PROBES[:, 0].astype(np.int64), np.flatnonzero(~full[: BANDS * BAND_ROWS]), 1, 16
+    while len(open_):
+        asked = PROBES[open_, start : start + width]
+        answers = full[asked]
+        first = answers.argmax(axis=1)
+        found = answers[np.arange(len(open_)), first]
+        source[open_[found]] = asked[found, first[found]]
+        open_, start, width = open_[~found], start + width, width * 4
+    rows = every[source].reshape(BANDS, BAND_ROWS).view(U).reshape(BANDS, -1)
     with np.errstate(over="ignore"):
         key = np.arange(1, BANDS + 1, dtype=U) * U(0x9E3779B97F4A7C15)
         for column in rows.T:
@@ -159,41 +198,120 @@ def _plausible(similarity: int):
     return run
 
 
-def _confirmed(similarity: int):
-    """Pairs with 100 * intersection >= similarity * union, on the full sets."""
+def _against_hub(similarity: int):
+    """For each pair (a, b): the sizes, whether it is a link, and what sets b apart from a."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts:
-            keep = []
+            n_a, n_b, linked, apart = [], [], [], []
             for one, two in zip(batch.column("set_a"), batch.column("set_b")):
                 x, y = (np.frombuffer(v.as_buffer(), dtype=U) for v in (one, two))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= similarity * (len(x) + len(y) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                differ = np.setxor1d(x, y, assume_unique=True)
+                common = (len(x) + len(y) - len(differ)) // 2
+                n_a.append(len(x))
+                n_b.append(len(y))
+                linked.append(100 * common >= similarity * (len(x) + len(y) - common))
+                apart.append(differ.view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *batch.select(["a", "b"]).columns,
+                    pa.array(n_a, pa.int64()),
+                    pa.array(n_b, pa.int64()),
+                    pa.array(linked, pa.bool_()),
+                    pa.array(apart, pa.list_(pa.int64())),
+                ],
+                names=["a", "b", "n_a", "n_b", "linked", "apart"],
+            )
 
     return run
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, similarity: int) -> DataFrame:
-    """Those candidate pairs (a, b) that are links."""
-
+def _pairs_with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def side(name: str) -> DataFrame:
-        return classes.select(F.col("id").alias(name), F.col("kept").alias(f"kept_{name}"))
+        return sets.select(F.col("id").alias(name), F.col("shingles").alias(f"set_{name}"))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "set_a", "set_b")
+
+
+def _hub_pairs(classes: DataFrame) -> DataFrame:
+    """(a, b): every class b that shares a band with others, and the hub a of that bucket."""
+    bands = classes.select("id", F.explode("bands").alias("key"))
+    sizes = bands.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = materialise(bands.join(sizes, "key"), "snappy")
+    met = shared.groupBy("id").agg(F.sum("size").alias("met"))
+    ranked = shared.select("key", "id").join(met, "id")
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("met", (-F.col("id")).alias("least"))).alias("hub"))
+    hubs = hubs.select("key", (-F.col("hub.least")).alias("a"))
+    return shared.join(hubs, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
+
+
+def _pairs_apart(compared: DataFrame, similarity: int) -> DataFrame:
+    """Pairs (a, b) of one hub, not both linked with it, that may still be similar."""
+    unlinked = compared.where("NOT linked")
+    open_ = compared.join(unlinked.select("a").distinct(), "a", "left_semi").withColumn("r", F.size("apart"))
+    # Half the overlap that the bound asks for, with the least the partner can have.
+    slack = (100 - similarity) / (100 + similarity)
+    n_a, n_b, r = F.col("n_a"), F.col("n_b"), F.col("r")
+    with_unlinked = (r + (n_a - n_b) * slack) / 2
+    as_unlinked = (r - (n_a + n_b) * slack) / 2
+    needed = F.when(F.col("linked"), with_unlinked).otherwise(F.least(with_unlinked, as_unlinked))
+    reach = r - F.greatest(F.ceil(needed - 1e-6), F.lit(1)) + 1
+    elements = materialise(
+        open_.select("a", "b", "linked", r.alias("r"), n_b.alias("n"), reach.alias("reach"), F.explode("apart").alias("element")), "snappy"
+    )
+    known = elements.groupBy("a", "element").agg(F.count(F.lit(1)).alias("known")).where("known > 1")
+    # Elements that one member alone has match nothing, but they fill its first places.
+    rarest = Window.partitionBy("a", "b").orderBy("known", "element")
+    alone = elements.join(known, ["a", "element"], "left").withColumn("known", F.coalesce("known", F.lit(1)))
+    first = materialise(alone.withColumn("place", F.row_number().over(rarest)).where("place <= reach AND known > 1").drop("reach", "known"))
 
-    likely = materialise(
-        pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "kept_a", "kept_b").mapInArrow(_plausible(similarity), "a long, b long")
+    def side(name: str) -> DataFrame:
+        return first.select("a", "element", *(F.col(c).alias(f"{c}_{name}") for c in ("b", "linked", "r", "n", "place")))
+
+    # The same bound with the sizes of both, which are known here.
+    overlap = (F.col("r_x") + F.col("r_y") - (F.col("n_x") + F.col("n_y")) * slack) / 2 - 1e-6
+    both = (
+        (F.col("place_x") <= F.col("r_x") - overlap + 1)
+        & (F.col("place_y") <= F.col("r_y") - overlap + 1)
+        & (F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * similarity)
+        & ((F.col("linked_y") & (F.col("b_x") != F.col("b_y"))) | (~F.col("linked_y") & (F.col("b_x") < F.col("b_y"))))
+    )
+    x, y = side("x").where("NOT linked_x").alias("x"), side("y").alias("y")
+    same = (F.col("x.a") == F.col("y.a")) & (F.col("x.element") == F.col("y.element"))
+    return (
+        x.join(y, same & both)
+        .select(F.least("b_x", "b_y").alias("a"), F.greatest("b_x", "b_y").alias("b"))
+        .distinct()
     )
-    ids = materialise(likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
+
+
+def _links(classes: DataFrame, docs: DataFrame, k: int, similarity: int) -> DataFrame:
+    """The links (a, b) between classes, as many as connect them."""
+    pairs = materialise(_hub_pairs(classes))
+    ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     sets = materialise(texts.mapInArrow(_sets(k), "id long, shingles binary").dropDuplicates(["id"]), "snappy")
+    compared = materialise(
+        _pairs_with_sets(pairs, sets).mapInArrow(
+            _against_hub(similarity), "a long, b long, n_a long, n_b long, linked boolean, apart array<long>"
+        ),
+        "snappy",
+    )
 
-    def full(name: str) -> DataFrame:
-        return sets.select(F.col("id").alias(name), F.col("shingles").alias(f"set_{name}"))
+    def sketch(name: str) -> DataFrame:
+        return classes.select(F.col("id").alias(name), F.col("kept").alias(f"kept_{name}"), F.col("n").alias(f"n_{name}"))
 
-    both = likely.join(full("a"), "a").join(full("b"), "b").select("a", "b", "set_a", "set_b")
-    return materialise(both.mapInArrow(_confirmed(similarity), "a long, b long"))
+    close = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * similarity
+    apart = materialise(_pairs_apart(compared, similarity))
+    likely = (
+        apart.join(sketch("a"), "a").join(sketch("b"), "b").where(close).select("a", "b", "kept_a", "kept_b").mapInArrow(_plausible(similarity), "a long, b long")
+    )
+    more = _pairs_with_sets(materialise(likely), sets).mapInArrow(
+        _against_hub(similarity), "a long, b long, n_a long, n_b long, linked boolean, apart array<long>"
+    )
+    return compared.unionByName(more).where("linked").select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, similarity: int = SIMILARITY) -> DataFrame:
@@ -221,33 +339,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: int = SIMILARITY) -
         some.join(chosen, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n", "kept", "bands"), "snappy"
     )
 
-    bands = classes.select("id", "n", F.explode("bands").alias("key"))
-    buckets = bands.groupBy("key").agg(
-        F.min(F.struct("id", "n")).alias("least"), F.count(F.lit(1)).alias("size")
-    ).where("size > 1").select("key", F.col("least.id").alias("a"), F.col("least.n").alias("n_a"))
-    shared = materialise(bands.join(buckets, "key"), "snappy")
-
-    def close(n: str, m: str):
-        """Sets of too different sizes cannot be similar enough."""
-        return F.least(n, m) * 100 >= F.greatest(n, m) * similarity
-
-    stars = shared.where((F.col("id") != F.col("a")) & close("n", "n_a")).select("a", F.col("id").alias("b")).distinct()
-    links = _links(stars, classes, docs, k, similarity)
-    parts = connected_components(links)
-
-    def labelled(rows: DataFrame) -> DataFrame:
-        return rows.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
-
-    labels = labelled(shared.select("key", "id", "n"))
-    split = labels.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    open_ = materialise(labels.join(split.select("key"), "key", "left_semi"), "snappy")
-    x = open_.select("key", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("part_a"))
-    y = open_.select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("part_b"))
-    across = (
-        x.join(y, "key").where((F.col("part_a") < F.col("part_b")) & close("n_a", "n_b")).select("a", "b").distinct()
-    )
-    more = _links(across, classes, docs, k, similarity)
-    parts = materialise(connected_components(links.unionByName(more)))
+    parts = connected_components(_links(classes, docs, k, similarity))
 
     found = (
         members.select("doc_id", "id")
