@@ -13,10 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.constants import (
+    CHURN_COLUMNS,
     CLUSTER_FEATURES,
+    DRIFT_FEATURES,
     PROCESSED_FEATURES,
     PROCESSED_LOG_FEATURES,
+    PROFILE_COLUMNS,
     PROFILE_FEATURES,
+    SUMMARY_COLUMNS,
 )
 from basketlens.functions.numeric import round_to
 from basketlens.operators import (
@@ -46,6 +50,7 @@ STORED_CENTERS: dict[int, tuple[float, ...]] = {
     3: (0.015, 1.381, 0.065, 0.029, 0.111, 0.006, -1.253, 0.268, -0.078, -0.291, -0.266),
     4: (0.25, -0.582, -0.673, 0.283, 0.293, -0.072, 0.611, -0.574, 0.457, -0.279, -0.258),
 }
+PROCESSED_CONTEXT = ("region", *PROCESSED_FEATURES)
 AGREEMENT_RUNS = ("run_centre", "run_old", "run_tier", "run_breadth", "run_project")
 
 _QUERIES: dict[str, Query] = {}
@@ -64,22 +69,29 @@ def _rounded(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFram
     return df.withColumns({c: round_to(F.col(c), digits) for c in columns})
 
 
-def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.customer_features(sample_tables(spark, sf_dir))
+def _features(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    return features.customer_features(sample_tables(spark, sf_dir), columns=columns)
 
 
-def _stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The features written out once, for steps that pass over them more than once."""
-    return cut_lineage(_features(spark, sf_dir))
+def _stored_features(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The wanted features written out once, for steps that pass over them more than once."""
+    return cut_lineage(_features(spark, sf_dir, columns))
 
 
 def _scaled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.clustering_input(_stored_features(spark, sf_dir))
+    return prepare.clustering_input(_stored_features(spark, sf_dir, CLUSTER_FEATURES))
 
 
-def _segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features with the segment of the nearest stored centre."""
-    raw = _stored_features(spark, sf_dir).select("*", F.struct("*").alias("_row"))
+def _segmented(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str] = PROFILE_FEATURES
+) -> DataFrame:
+    """Some features with the segment of the nearest stored centre."""
+    raw = _stored_features(spark, sf_dir, (*CLUSTER_FEATURES, *columns))
+    raw = raw.select("*", F.struct("*").alias("_row"))
     scaled = prepare.clustering_input(raw, context=("_row",))
     return clustering.assign_nearest(scaled, STORED_CENTERS).select("_row.*", "segment_id")
 
@@ -92,7 +104,7 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four weekly refreshes scored with the stored centres, on the scale of week 0."""
-    rows = cut_lineage(feature_history(sample_tables(spark, sf_dir)))
+    rows = cut_lineage(feature_history(sample_tables(spark, sf_dir), columns=CLUSTER_FEATURES))
     inputs = prepare.unscaled_input(rows, context=("week", "customer_id"))
     scale = prepare.scaling(inputs.where(F.col("week") == 0), CLUSTER_FEATURES)
     scaled = prepare.standard_scale(inputs, CLUSTER_FEATURES, scale)
@@ -302,49 +314,49 @@ def r13_customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def p1_select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.select_features(_features(spark, sf_dir))
+    return prepare.select_features(_features(spark, sf_dir, PROCESSED_CONTEXT))
 
 
 @query
 def p2_null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.null_report(_features(spark, sf_dir), PROCESSED_FEATURES)
+    return prepare.null_report(_features(spark, sf_dir, PROCESSED_FEATURES), PROCESSED_FEATURES)
 
 
 @query
 def p2_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    selected = prepare.select_features(_features(spark, sf_dir))
+    selected = prepare.select_features(_features(spark, sf_dir, PROCESSED_CONTEXT))
     return prepare.fill_zero(selected, PROCESSED_FEATURES)
 
 
 @query
 def p3_log_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = PROCESSED_LOG_FEATURES
-    selected = prepare.select_features(_features(spark, sf_dir), columns, ["customer_id"])
+    selected = prepare.select_features(_features(spark, sf_dir, columns), columns, ["customer_id"])
     return _rounded(prepare.log_transform(selected, [*columns, "absent_feature"]), columns)
 
 
 @query
 def p4_standard_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
-    selected = prepare.select_features(_stored_features(spark, sf_dir))
+    selected = prepare.select_features(_stored_features(spark, sf_dir, PROCESSED_CONTEXT))
     filled = prepare.fill_zero(selected, PROCESSED_FEATURES)
     return _rounded(prepare.standard_scale(filled, PROCESSED_FEATURES), PROCESSED_FEATURES)
 
 
 @query
 def p5_summary_before(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = prepare.summary_before(_stored_features(spark, sf_dir))
+    summary = prepare.summary_before(_stored_features(spark, sf_dir, PROCESSED_LOG_FEATURES))
     return _rounded(summary, ("mean", "median", "max"))
 
 
 @query
 def p6_summary_after(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = prepare.summary_after(prepare.processed_features(_stored_features(spark, sf_dir)))
+    summary = prepare.summary_after(prepare.processed_features(_stored_features(spark, sf_dir, PROCESSED_CONTEXT)))
     return _rounded(summary, ("mean", "std", "min", "max"))
 
 
 @query
 def p7_processed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(prepare.processed_features(_stored_features(spark, sf_dir)), PROCESSED_FEATURES)
+    return _rounded(prepare.processed_features(_stored_features(spark, sf_dir, PROCESSED_CONTEXT)), PROCESSED_FEATURES)
 
 
 @query
@@ -357,7 +369,7 @@ def c1_clustering_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def c2_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _stored_features(spark, sf_dir)
+    raw = _stored_features(spark, sf_dir, CLUSTER_FEATURES)
     return score(fit_segmentation(raw), raw).select("customer_id", "segment_id")
 
 
@@ -377,10 +389,9 @@ def c4_hierarchical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def c5_silhouette_sampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = list(CLUSTER_FEATURES)
+def c5_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = clustering.assign_nearest(_scaled(spark, sf_dir), STORED_CENTERS)
-    scores = clustering.sampled_silhouette(labelled, columns, "segment_id")
+    scores = clustering.silhouettes(labelled, CLUSTER_FEATURES, "segment_id")
     return _rounded(scores, ("within", "nearest", "silhouette"))
 
 
@@ -411,7 +422,7 @@ def c6_gmm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def c7_label_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = sample_tables(spark, sf_dir)["old_segments"]
     labelled = (
-        _segmented(spark, sf_dir)
+        _segmented(spark, sf_dir, ("loyalty_tier_numeric", "category_breadth", "project_category_txns"))
         .join(old.select("customer_id", "old_segment_id"), "customer_id")
         .select(
             F.col("segment_id").alias("run_centre"),
@@ -464,7 +475,7 @@ def c14_profile_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def c15_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _stored_features(spark, sf_dir)
+    raw = _stored_features(spark, sf_dir, (*CLUSTER_FEATURES, *PROFILE_FEATURES))
     model = fit_segmentation(raw)
     scored = model.transform(raw)
     names = segments.name_segments(segments.profile_segments(scored))
@@ -585,7 +596,7 @@ def d1_distribution_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def d2_new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assigned = _segmented(spark, sf_dir).select("customer_id")
+    assigned = _features(spark, sf_dir, ()).select("customer_id")
     return drift.new_customers(sample_tables(spark, sf_dir)["transactions"], assigned)
 
 
@@ -596,12 +607,12 @@ def d3_migration_alert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def d4_feature_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.feature_stats(_features(spark, sf_dir))
+    return drift.feature_stats(_features(spark, sf_dir, DRIFT_FEATURES))
 
 
 @query
 def d5_feature_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = cut_lineage(feature_history(sample_tables(spark, sf_dir)))
+    history = cut_lineage(feature_history(sample_tables(spark, sf_dir), columns=DRIFT_FEATURES))
     change = drift.feature_drift(
         history.where(F.col("week") == 0), history.where(F.col("week") == 3)
     )
@@ -638,26 +649,29 @@ def x5_campaign_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.campaign_summary(_holdout(spark, sf_dir))
 
 
-def _assigned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _assigned(
+    spark: SparkSession, sf_dir: str, columns: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
     t = sample_tables(spark, sf_dir)
-    return t["segment_assignments"], features.customer_features(t)
+    return t["segment_assignments"], features.customer_features(t, columns=columns)
 
 
 @query
 def x6_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.customer_profiles(*_assigned(spark, sf_dir))
+    return reports.customer_profiles(*_assigned(spark, sf_dir, PROFILE_COLUMNS))
 
 
 @query
 def x7_profile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.profile_summary(*_assigned(spark, sf_dir))
+    columns = [source for source, _, _ in SUMMARY_COLUMNS]
+    return reports.profile_summary(*_assigned(spark, sf_dir, columns))
 
 
 @query
 def x8_churn_indicators(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.churn_indicators(*_assigned(spark, sf_dir))
+    return reports.churn_indicators(*_assigned(spark, sf_dir, CHURN_COLUMNS))
 
 
 @query
 def x9_churn_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.churn_summary(*_assigned(spark, sf_dir))
+    return reports.churn_summary(*_assigned(spark, sf_dir, CHURN_COLUMNS))

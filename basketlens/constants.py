@@ -137,4 +137,68 @@ NAME_RULES = (
         },
     ),
 )
+# Decimals of each mean in the profile summary: source, name, digits.
+SUMMARY_COLUMNS = (
+    ("avg_basket_size", "avg_basket", 2),
+    ("weekly_purchase_frequency", "avg_weekly_freq", 4),
+    ("category_breadth", "avg_categories", 1),
+    ("online_ratio", "avg_online_ratio", 3),
+    ("project_ratio", "avg_project_ratio", 3),
+    ("promo_purchase_ratio", "avg_promo_ratio", 3),
+    ("avg_discount_depth", "avg_discount_depth", 3),
+    ("full_price_ratio", "avg_full_price_ratio", 3),
+    ("days_since_last_purchase", "avg_recency_days", 0),
+    ("frequency_trend", "avg_freq_trend", 3),
+    ("weekend_ratio", "avg_weekend_ratio", 3),
+    ("total_sessions", "avg_sessions", 1),
+    ("search_rate", "avg_search_rate", 3),
+    ("deep_browse_ratio", "avg_deep_browse", 3),
+)
+
+PROFILE_COLUMNS = (
+    "avg_basket_size",
+    "median_basket_size",
+    "weekly_purchase_frequency",
+    "monthly_frequency",
+    "total_transactions",
+    "category_breadth",
+    "online_ratio",
+    "project_ratio",
+    "promo_purchase_ratio",
+    "avg_discount_depth",
+    "full_price_ratio",
+    "days_since_last_purchase",
+    "frequency_trend",
+    "q2_concentration",
+    "weekend_ratio",
+    "total_sessions",
+    "search_rate",
+    "deep_browse_ratio",
+    "loyalty_tier_numeric",
+    "points_balance",
+    "region",
+)
+
+# Churn risk: the first rule that holds gives the level.
+CHURN_RULES = (
+    ("High Risk", "frequency_trend < -0.3 AND days_since_last_purchase > 300"),
+    ("Medium Risk", "frequency_trend < -0.1 OR days_since_last_purchase > 400"),
+)
+LOW_RISK = "Low Risk"
+CHURN_COLUMNS = (
+    "days_since_last_purchase",
+    "frequency_trend",
+    "monthly_frequency",
+    "total_transactions",
+    "loyalty_tier_numeric",
+)
+
+# Features compared between refreshes.
+DRIFT_FEATURES = (
+    "avg_basket_size",
+    "promo_purchase_ratio",
+    "online_ratio",
+    "days_since_last_purchase",
+    "frequency_trend",
+)
 # --- End of fixed values ----------------------------------------------------

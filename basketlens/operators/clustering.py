@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 from itertools import combinations
 from multiprocessing.pool import ThreadPool
 
-import numpy as np
-import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import (
     BisectingKMeans,
@@ -27,7 +25,10 @@ from basketlens.constants import CLUSTER_FEATURES, CLUSTERS
 SEED = 42
 RESTARTS = 10
 MAX_ITERATIONS = 300
-SILHOUETTE_SAMPLE = 2000
+#: How far vectors are moved for bisecting fits. Standardised features lie within a few
+#: units of zero, so ten keeps every centre away from it, and the first two points of a
+#: split, a ten-thousandth of the centre's length apart, stay inside the cluster.
+SPLIT_SHIFT = 10.0
 
 
 def as_vectors(scaled: DataFrame, columns: Sequence[str] = CLUSTER_FEATURES) -> DataFrame:
@@ -62,85 +63,69 @@ def fit_kmeans(
 def silhouette(labelled: DataFrame, label: str = "prediction") -> float:
     """Mean silhouette with squared Euclidean distance over all rows.
 
-    It needs only sums per cluster, so it is linear in the rows. For the Euclidean
-    distance see :func:`sampled_silhouette`.
+    It needs only sums per cluster, so it is linear in the rows. For the value of each
+    customer see :func:`silhouettes`.
     """
     return ClusteringEvaluator(predictionCol=label).evaluate(labelled)
 
 
-def sampled_silhouette(
+def silhouettes(
     labelled: DataFrame,
     columns: Sequence[str] = CLUSTER_FEATURES,
     label: str = "prediction",
-    sample: int = SILHOUETTE_SAMPLE,
-    seed: int = SEED,
 ) -> DataFrame:
-    """Euclidean silhouette of up to ``sample`` customers against all others.
+    """The silhouette of every customer, with squared Euclidean distance.
 
-    The sample is the customers with the smallest hash of id and seed. Every row of the
-    table counts towards their distances: each task sums the distances of its rows to
-    the sample in blocks and emits one row per sample customer and cluster, so no pair
-    of rows is ever shuffled.
+    The mean squared distance of a point x to a cluster is |x|^2 - 2 x.m + q, where m is
+    the cluster's mean and q the mean of its squared lengths; for the own cluster that
+    counts the point itself and is scaled up by n / (n - 1). So one small aggregate per
+    cluster, a scalar of the plan, serves all rows, and no rows are paired or shuffled.
+    A customer alone in its cluster counts as zero.
     """
-    columns = list(columns)
-    order = F.md5(F.concat(F.col("customer_id"), F.lit(f":{seed}")))
-    chosen = (
-        labelled.orderBy(order, "customer_id")
-        .select("customer_id", F.col(label).cast("long").alias("label"), *columns)
-        .limit(sample)
-        .toPandas()
-    )
-    points = chosen[columns].to_numpy(dtype="float64")
-
-    def distance_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[int, np.ndarray] = {}
-        counts: dict[int, int] = {}
-        for batch in batches:
-            for cluster, rows in batch.groupby("label"):
-                values = rows[columns].to_numpy(dtype="float64")
-                total = sums.setdefault(cluster, np.zeros(len(points)))
-                counts[cluster] = counts.get(cluster, 0) + len(values)
-                for start in range(0, len(values), 128):
-                    gaps = values[start : start + 128, None, :] - points[None, :, :]
-                    total += np.sqrt(np.einsum("ijk,ijk->ij", gaps, gaps)).sum(axis=0)
-        for cluster, total in sums.items():
-            yield pd.DataFrame(
-                {
-                    "point": np.arange(len(points)),
-                    "other": cluster,
-                    "total": total,
-                    "members": counts[cluster],
-                }
-            )
 
-    sums = (
-        labelled.select(F.col(label).cast("long").alias("label"), *columns)
-        .mapInPandas(distance_sums, "point long, other long, total double, members long")
-        .groupBy("point", "other")
-        .agg(F.sum("total").alias("total"), F.sum("members").alias("members"))
+    def squared_length(values: Sequence[Column]) -> Column:
+        return sum((v * v for v in values), F.lit(0.0))
+
+    values = [F.col(c).cast("double") for c in columns]
+    clusters = labelled.groupBy(F.col(label).cast("long").alias("other")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(squared_length(values)).alias("length"),
+        F.array(*[F.avg(v) for v in values]).alias("mean"),
     )
-    names = labelled.sparkSession.createDataFrame(
-        [(i, row.customer_id, int(row.label)) for i, row in enumerate(chosen.itertuples())],
-        "point long, customer_id string, segment_id long",
+    clusters = clusters.agg(F.collect_list(F.struct("other", "n", "length", "mean"))).scalar()
+    rows = labelled.select(
+        "customer_id",
+        F.col(label).cast("long").alias("segment_id"),
+        F.array(*values).alias("_x"),
+        squared_length(values).alias("_length"),
+        clusters.alias("_clusters"),
     )
-    own = F.col("other") == F.col("segment_id")
-    per_point = (
-        sums.join(F.broadcast(names), "point")  # at most ``sample`` rows
-        .groupBy("customer_id", "segment_id")
-        .agg(
-            # The distance to itself is zero, so it only leaves the count.
-            F.max(F.when(own, F.try_divide("total", F.col("members") - 1))).alias("within"),
-            F.min(F.when(~own, F.col("total") / F.col("members"))).alias("nearest"),
+
+    def distance(cluster: Column) -> Column:
+        products = F.zip_with("_x", cluster["mean"], lambda x, m: x * m)
+        product = F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+        # Rounding must not make a distance negative.
+        mean = F.greatest(F.col("_length") - 2 * product + cluster["length"], F.lit(0.0))
+        own = cluster["other"] == F.col("segment_id")
+        return F.struct(
+            own.alias("own"),
+            F.when(own, F.try_divide(mean * cluster["n"], cluster["n"] - 1)).otherwise(mean).alias("mean"),
         )
-    )
-    width = (F.col("nearest") - F.col("within")) / F.greatest("nearest", "within")
-    # A customer alone in its cluster counts as zero.
-    return per_point.select(
+
+    rows = rows.withColumn("_means", F.transform("_clusters", distance))
+
+    def means(own: bool) -> Column:
+        return F.transform(F.filter("_means", lambda d: d["own"] == F.lit(own)), lambda d: d["mean"])
+
+    rows = rows.select(
         "customer_id",
         "segment_id",
-        "within",
-        "nearest",
-        F.when(F.col("within").isNull(), F.lit(0.0)).otherwise(width).alias("silhouette"),
+        F.array_min(means(True)).alias("within"),
+        F.array_min(means(False)).alias("nearest"),
+    )
+    width = (F.col("nearest") - F.col("within")) / F.greatest("nearest", "within")
+    return rows.withColumn(
+        "silhouette", F.when(F.col("within").isNull(), F.lit(0.0)).otherwise(width)
     )
 
 
@@ -161,7 +146,7 @@ def k_selection(
 
 
 def hierarchical_labels(
-    vectors: DataFrame, k: int = CLUSTERS, seed: int = SEED, shift: float = 10.0
+    vectors: DataFrame, k: int = CLUSTERS, seed: int = SEED, shift: float = SPLIT_SHIFT
 ) -> DataFrame:
     """C4: labels by repeated splitting, the hierarchical method that scales.
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.constants import (
+    DRIFT_FEATURES,
     LARGE_SEGMENT_PCT,
     MIGRATION_ALERT,
     MIN_TRANSACTIONS,
@@ -15,15 +16,6 @@ from basketlens.constants import (
 )
 from basketlens.functions.numeric import round_to, with_share
 
-DRIFT_FEATURES = (
-    "avg_basket_size",
-    "promo_purchase_ratio",
-    "online_ratio",
-    "days_since_last_purchase",
-    "frequency_trend",
-)
-
-
 def _segment_shares(assignments: DataFrame) -> DataFrame:
     sizes = assignments.groupBy("segment_name").agg(F.count("*").alias("customer_count"))
     return with_share(sizes, "customer_count", "pct_of_total")

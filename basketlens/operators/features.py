@@ -303,34 +303,45 @@ def snapshot_features(
     trim_web: bool = False,
     project_categories: Sequence[str] = PROJECT_CATEGORIES,
     maintenance_categories: Sequence[str] = MAINTENANCE_CATEGORIES,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """R13 at one or several dates: the 28 features with ``as_of`` in front.
 
     ``trim_web`` also leaves out web events after the snapshot's date, for a history
-    rebuilt later from a table that has gone on growing.
+    rebuilt later from a table that has gone on growing. ``columns`` names the features
+    that are wanted, besides the customer; medians, browsing and loyalty are only built
+    for them. The rows are the same for any choice.
     """
+    fields = SCHEMAS["customer_features"].fields
+    if columns is not None:
+        unknown = set(columns) - {f.name for f in fields}
+        if unknown:
+            raise ValueError(f"unknown features: {', '.join(sorted(unknown))}")
+        fields = [f for f in fields if f.name == "customer_id" or f.name in columns]
+    wanted = {f.name for f in fields}
     transactions = tables["transactions"]
     windows = reference_windows(transactions, as_of, days_back)
     keys = CUSTOMER if len(days_back) == 1 else CUSTOMER_AT_DATE
     whole_history = as_of is None and tuple(days_back) == (0,)
     web_keys = keys if trim_web else CUSTOMER
-    web = web_features(tables["web_events"], windows if trim_web else None, web_keys)
-    medians = median_baskets(transactions, None if whole_history else windows, keys)
-    joined = (
-        purchase_features(
-            transactions,
-            windows,
-            keys,
-            min_transactions,
-            project_categories,
-            maintenance_categories,
-        )
-        # Joins on the customer alone come first, while the rows lie by customer.
-        .join(loyalty_features(tables["loyalty"]), "customer_id", "left")
-        .join(customer_regions(tables["customer_master"]), "customer_id")
-        .join(web, list(web_keys), "left")
-        .join(medians, list(keys), "left")
+    joined = purchase_features(
+        transactions,
+        windows,
+        keys,
+        min_transactions,
+        project_categories,
+        maintenance_categories,
     )
+    # Joins on the customer alone come first, while the rows lie by customer.
+    if wanted & {"loyalty_tier_numeric", "points_balance"}:
+        joined = joined.join(loyalty_features(tables["loyalty"]), "customer_id", "left")
+    joined = joined.join(customer_regions(tables["customer_master"]), "customer_id")
+    if wanted & set(WEB_COLUMNS):
+        web = web_features(tables["web_events"], windows if trim_web else None, web_keys)
+        joined = joined.join(web, list(web_keys), "left")
+    if "median_basket_size" in wanted:
+        medians = median_baskets(transactions, None if whole_history else windows, keys)
+        joined = joined.join(medians, list(keys), "left")
     zero_filled = (*WEB_COLUMNS, "loyalty_tier_numeric", "points_balance")
     return joined.select(
         "as_of",
@@ -338,7 +349,7 @@ def snapshot_features(
             (F.coalesce(F.col(f.name), F.lit(0)) if f.name in zero_filled else F.col(f.name))
             .cast(f.dataType)
             .alias(f.name)
-            for f in SCHEMAS["customer_features"].fields
+            for f in fields
         ],
     )
 

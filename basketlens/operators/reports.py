@@ -9,53 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.constants import CHURN_COLUMNS, CHURN_RULES, LOW_RISK, PROFILE_COLUMNS, SUMMARY_COLUMNS
 from basketlens.functions.numeric import ratio, round_to, with_share
 
 SEGMENT = ("segment_id", "segment_name")
 
-# Decimals of each mean in the profile summary: source, name, digits.
-SUMMARY_COLUMNS = (
-    ("avg_basket_size", "avg_basket", 2),
-    ("weekly_purchase_frequency", "avg_weekly_freq", 4),
-    ("category_breadth", "avg_categories", 1),
-    ("online_ratio", "avg_online_ratio", 3),
-    ("project_ratio", "avg_project_ratio", 3),
-    ("promo_purchase_ratio", "avg_promo_ratio", 3),
-    ("avg_discount_depth", "avg_discount_depth", 3),
-    ("full_price_ratio", "avg_full_price_ratio", 3),
-    ("days_since_last_purchase", "avg_recency_days", 0),
-    ("frequency_trend", "avg_freq_trend", 3),
-    ("weekend_ratio", "avg_weekend_ratio", 3),
-    ("total_sessions", "avg_sessions", 1),
-    ("search_rate", "avg_search_rate", 3),
-    ("deep_browse_ratio", "avg_deep_browse", 3),
-)
-
-PROFILE_COLUMNS = (
-    "avg_basket_size",
-    "median_basket_size",
-    "weekly_purchase_frequency",
-    "monthly_frequency",
-    "total_transactions",
-    "category_breadth",
-    "online_ratio",
-    "project_ratio",
-    "promo_purchase_ratio",
-    "avg_discount_depth",
-    "full_price_ratio",
-    "days_since_last_purchase",
-    "frequency_trend",
-    "q2_concentration",
-    "weekend_ratio",
-    "total_sessions",
-    "search_rate",
-    "deep_browse_ratio",
-    "loyalty_tier_numeric",
-    "points_balance",
-    "region",
-)
-
-
 def _per_customer(transactions: DataFrame, *periods: Column) -> DataFrame:
     return transactions.groupBy("customer_id", *periods).agg(
         F.count("transaction_id").alias("txns"),
@@ -184,12 +142,10 @@ def profile_summary(assignments: DataFrame, features: DataFrame) -> DataFrame:
 
 def churn_risk() -> Column:
     """Risk by trend and absence; an unknown trend is judged by absence alone."""
-    trend, absence = F.col("frequency_trend"), F.col("days_since_last_purchase")
-    return (
-        F.when((trend < -0.3) & (absence > 300), "High Risk")
-        .when((trend < -0.1) | (absence > 400), "Medium Risk")
-        .otherwise("Low Risk")
-    )
+    level = F.lit(LOW_RISK)
+    for name, condition in reversed(CHURN_RULES):
+        level = F.when(F.expr(condition), name).otherwise(level)
+    return level
 
 
 def churn_indicators(
@@ -199,11 +155,7 @@ def churn_indicators(
     report = _with_features(assignments, features).select(
         *SEGMENT,
         "customer_id",
-        "days_since_last_purchase",
-        "frequency_trend",
-        "monthly_frequency",
-        "total_transactions",
-        "loyalty_tier_numeric",
+        *CHURN_COLUMNS,
         churn_risk().alias("churn_risk_level"),
     )
     if not ordered:

@@ -70,6 +70,8 @@ def fit_segmentation(
         model = fit_kmeans(vectors, k, seed, restarts, max_iter, parallel)
         means = model.transform(vectors).groupBy("prediction").agg(F.avg(ORDER_FEATURE))
         order = [row[0] for row in sorted(means.collect(), key=lambda row: row[1])]
+        # A cluster may be empty at the fit and still be the nearest of a later customer.
+        order += sorted(set(range(len(model.clusterCenters()))) - set(order))
     finally:
         vectors.unpersist()
     return PipelineModel([prepare, assemble, model, numbering_stage(order)])
@@ -85,11 +87,16 @@ def feature_history(
     tables: dict[str, DataFrame],
     as_of: dt.date | None = None,
     weeks: int = 3,
-    trim_web: bool = False,
+    trim_web: bool = True,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Features at weekly dates in one pass; ``week`` 0 is the earliest."""
+    """Features at weekly dates in one pass; ``week`` 0 is the earliest.
+
+    Each date sees the transactions and web events up to it. ``columns`` names the
+    features wanted, by default all.
+    """
     days_back = tuple(range(7 * weeks, -1, -7))
-    history = snapshot_features(tables, as_of, days_back, trim_web=trim_web)
+    history = snapshot_features(tables, as_of, days_back, trim_web=trim_web, columns=columns)
     return history.withColumn("week", week_number(tables, as_of, weeks)).drop("as_of")
 
 

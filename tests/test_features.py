@@ -172,6 +172,30 @@ def test_dates_in_one_pass_equal_single_dates(spark):
         assert sorted(map(str, single)) == sorted(str(r) for r in together if r.as_of == date)
 
 
+def test_events_after_a_date_change_nothing_in_its_history(spark):
+    from basketlens.plans.segmentation import feature_history
+
+    rows = [buy("c", D(2024, 1, 1) + dt.timedelta(days=7 * i)) for i in range(10)]
+    web = [("e1", "c", "s1", D(2024, 2, 1), "search", "mobile", 1)]
+    late = web + [("e2", "c", "s2", D(2024, 2, 29), "cart", "mobile", 0)]
+    before, after = (feature_history(tables(spark, rows, web=w)).orderBy("week").collect() for w in (web, late))
+    assert [r.total_sessions for r in before] == [1, 1, 1, 1]
+    assert [r.total_sessions for r in after] == [1, 1, 1, 2]
+    assert before[:3] == after[:3]
+
+
+def test_wanted_columns_leave_the_rows_alone(spark):
+    rows = [buy(c, D(2024, 1, d)) for c in "abc" for d in (1, 5, 9)]
+    t = tables(spark, rows)
+    whole = features.customer_features(t)
+    for columns in ((), ("region",), ("search_rate", "points_balance"), ("median_basket_size", "online_ratio")):
+        found = features.customer_features(t, columns=columns)
+        assert set(found.columns) == {"customer_id", *columns}
+        assert sorted(map(str, found.collect())) == sorted(map(str, whole.select(found.columns).collect()))
+    with pytest.raises(ValueError, match="unknown features"):
+        features.customer_features(t, columns=["height"])
+
+
 def test_schema_and_one_row_per_customer(spark):
     rows = [buy(c, D(2024, 1, d)) for c in "abc" for d in (1, 5, 9)]
     df = features.customer_features(tables(spark, rows))

@@ -103,19 +103,26 @@ def test_silhouette_against_brute_force(spark):
         distances: dict[int, list[float]] = {}
         for other in points:
             if other[0] != point[0]:
-                distances.setdefault(other[3], []).append(math.dist(point[1:3], other[1:3]))
+                distances.setdefault(other[3], []).append(math.dist(point[1:3], other[1:3]) ** 2)
         if point[3] not in distances:
             return 0.0
         within = sum(distances[point[3]]) / len(distances[point[3]])
         nearest = min(sum(v) / len(v) for k, v in distances.items() if k != point[3])
         return (nearest - within) / max(nearest, within)
 
-    whole = clustering.sampled_silhouette(df.repartition(4), ["a", "b"])
+    whole = clustering.silhouettes(df.repartition(4), ["a", "b"])
     found = {r.customer_id: r.silhouette for r in whole.collect()}
     assert found == pytest.approx({p[0]: expected(p) for p in points})
-    part = clustering.sampled_silhouette(df.repartition(3), ["a", "b"], sample=7).collect()
-    assert len(part) == 7
-    assert all(r.silhouette == pytest.approx(expected(next(p for p in points if p[0] == r.customer_id))) for r in part)
+    scored = clustering.as_vectors(df, ["a", "b"]).withColumn("prediction", F.col("prediction").cast("double"))
+    assert clustering.silhouette(scored) == pytest.approx(sum(found.values()) / len(found))
+
+
+def test_segment_numbers_include_clusters_empty_at_the_fit(spark):
+    from basketlens.plans.segmentation import numbering_stage
+
+    df = spark.createDataFrame([(0,), (1,), (2,)], "prediction int")
+    numbered = numbering_stage([2, 0, 1]).transform(df).orderBy("prediction")
+    assert [r.segment_id for r in numbered.collect()] == [1, 2, 0]
 
 
 def test_label_agreement(spark):

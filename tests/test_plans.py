@@ -9,9 +9,11 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from basketlens.constants import CHURN_COLUMNS, CLUSTER_FEATURES, DRIFT_FEATURES
 from basketlens.operators import features, profiling, reports
 from basketlens.operators.clustering import assign_nearest
 from basketlens.operators.prepare import clustering_input
+from basketlens.plans.segmentation import feature_history
 from basketlens.sources.sample_views import sample_tables
 from basketlens.sources.tables import TableRegistry
 
@@ -102,3 +104,12 @@ def test_a_hot_customer_does_not_reach_one_task(spark, stored):
     amounts = sorted(r.amount for r in hot.where("customer_id = 'CUST_1'").collect())
     assert row.total_transactions == len(amounts)
     assert row.median_basket_size == pytest.approx(amounts[(len(amounts) - 1) // 2])
+
+
+def test_branches_nobody_wants_are_not_built(stored):
+    for columns in (CLUSTER_FEATURES, DRIFT_FEATURES, CHURN_COLUMNS, ()):
+        text = plan(features.customer_features(stored, columns=columns))
+        assert "_bucket" not in text
+    assert "web_events" not in plan(features.customer_features(stored, columns=CHURN_COLUMNS))
+    history = feature_history(stored, columns=CLUSTER_FEATURES)
+    assert "_bucket" not in plan(history) and "loyalty_tier" not in plan(history)
