@@ -7,40 +7,112 @@ step's tasks and no step drags the plans of all earlier ones along.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketlens.constants import CLUSTER_FEATURES, PROCESSED_FEATURES, PROCESSED_LOG_FEATURES
 from basketlens.operators import drift, experiment, reports
+from basketlens.operators.clustering import (
+    RESTARTS,
+    as_vectors,
+    compare_methods,
+    k_selection,
+    silhouette,
+)
 from basketlens.operators.features import customer_features, reference_windows
 from basketlens.operators.migration import migration
-from basketlens.operators.prepare import processed_features
-from basketlens.operators.segments import name_segments, profile_segments, segment_assignments
+from basketlens.operators.prepare import (
+    clustering_input,
+    processed_features,
+    scaling,
+    unscaled_input,
+)
+from basketlens.operators.segments import (
+    name_segments,
+    profile_segments,
+    run_summary,
+    segment_assignments,
+)
 from basketlens.plans.segmentation import fit_segmentation, score
 from basketlens.sources.schemas import SCHEMAS
-from basketlens.sources.sinks import export_csv, load_model, replace_table, save_model
-from basketlens.sources.tables import TableRegistry, create_database
+from basketlens.sources.sinks import (
+    cut_lineage,
+    export_csv,
+    keep_previous,
+    load_model,
+    replace_table,
+    save_model,
+)
+from basketlens.sources.tables import TableRegistry, create_database, read_files, table_exists
 
 FEATURE_TABLES = ("customer_master", "transactions", "web_events", "loyalty")
+#: The scale of the processed table, one column of mean and deviation per feature.
+SCALE_TABLE = "customer_features_scale"
 
 
-def refresh_features(registry: TableRegistry, as_of: dt.date | None = None) -> int:
-    """Rebuild the feature table and the processed table from the base tables."""
+def load_tables(
+    registry: TableRegistry, paths: dict[str, str], fmt: str = "parquet"
+) -> DataFrame:
+    """Load the base tables from files: typed, checked for required columns, counted."""
     create_database(registry.spark, registry.database)
+    counts = []
+    for table, path in paths.items():
+        rows = read_files(registry.spark, table, path, fmt)
+        counts.append((table, replace_table(rows, registry.database, table)))
+    return registry.spark.createDataFrame(counts, "table_name string, row_count long")
+
+
+def refresh_date(registry: TableRegistry, as_of: dt.date | None = None) -> dt.date:
+    """The date of a refresh: the one given, or that of the newest transaction."""
+    return as_of or reference_windows(registry.read("transactions")).first()["as_of"]
+
+
+def refresh_features(
+    registry: TableRegistry, as_of: dt.date | None = None, refit_scale: bool = True
+) -> int:
+    """Rebuild the feature table and the processed table from the base tables.
+
+    The features of the last refresh are kept for the drift checks. The scale of the
+    processed table is stored beside it; ``refit_scale=False`` uses the stored one.
+    """
+    spark, database = registry.spark, registry.database
+    create_database(spark, database)
+    date = refresh_date(registry, as_of)
     tables = {name: registry.read(name) for name in FEATURE_TABLES}
+    keep_previous(spark, database, "customer_features", date)
     rows = replace_table(
-        customer_features(tables, as_of), registry.database, "customer_features", "customer_id"
-    )
-    replace_table(
-        processed_features(registry.read("customer_features")),
-        registry.database,
-        "customer_features_processed",
-        "customer_id",
+        customer_features(tables, as_of), database, "customer_features", "customer_id", date
     )
+    features = registry.read("customer_features")
+    if refit_scale or not table_exists(spark, f"{database}.{SCALE_TABLE}"):
+        unscaled = unscaled_input(features, PROCESSED_FEATURES, PROCESSED_LOG_FEATURES)
+        replace_table(scaling(unscaled, PROCESSED_FEATURES), database, SCALE_TABLE)
+    scale = spark.table(f"{database}.{SCALE_TABLE}")
+    processed = processed_features(features, stats=scale)
+    replace_table(processed, database, "customer_features_processed", "customer_id", date)
     return rows
 
 
+def review_model(
+    registry: TableRegistry, ks: Sequence[int] = range(2, 11), **options: object
+) -> dict[str, DataFrame]:
+    """What to look at before a model is stored: numbers of clusters, methods, summary."""
+    features = registry.read("customer_features")
+    vectors = cut_lineage(as_vectors(clustering_input(features)).select("customer_id", "features"))
+    model = fit_segmentation(features, **options)
+    scored = model.transform(features)
+    names = name_segments(profile_segments(scored))
+    assigned = segment_assignments(scored, names, F.lit(refresh_date(registry)))
+    return {
+        "k_selection": k_selection(vectors, ks, restarts=options.get("restarts", RESTARTS)),
+        "method_comparison": compare_methods(vectors),
+        "summary": run_summary(assigned, len(CLUSTER_FEATURES), silhouette(scored)),
+    }
+
+
 def refresh_model(registry: TableRegistry, model_path: str, **options: object) -> PipelineModel:
     """Fit on the current features and store the model; done now and then, not weekly."""
     model = fit_segmentation(registry.read("customer_features"), **options)
@@ -53,26 +125,40 @@ def refresh_assignments(
 ) -> int:
     """Score the features with the stored model and replace the assignment table.
 
-    When an assignment exists, the migration from it is measured first and added to the
-    log as the next week.
+    The assignments of the last refresh are kept, and the migration from them goes to the
+    log under this refresh's date. Repeating a refresh, also one that broke off, replaces
+    its assignments and its log entry and adds no second one.
     """
+    spark, database = registry.spark, registry.database
     features = registry.read("customer_features")
     scored = score(load_model(model_path), features)
     names = name_segments(profile_segments(scored))
-    windows = reference_windows(registry.read("transactions"), as_of)
-    assigned = segment_assignments(scored, names, windows.select("as_of").scalar())
-    if registry.spark.catalog.tableExists(registry.name("segment_assignments")):
-        _log_migration(registry, migration(registry.read("segment_assignments"), assigned))
-    return replace_table(assigned, registry.database, "segment_assignments", "customer_id")
+    date = refresh_date(registry, as_of)
+    assigned = segment_assignments(scored, names, F.lit(date))
+    keep_previous(spark, database, "segment_assignments", date)
+    rows = replace_table(assigned, database, "segment_assignments", "customer_id", date)
+    before = _previous(registry, "segment_assignments")
+    if before is not None:
+        _log_migration(registry, migration(before, registry.read("segment_assignments")), date)
+    return rows
+
+
+def _previous(registry: TableRegistry, table: str) -> DataFrame | None:
+    """The table as the refresh before left it."""
+    name = f"{registry.database}.{table}_previous"
+    return registry.spark.table(name) if table_exists(registry.spark, name) else None
 
 
-def _log_migration(registry: TableRegistry, moved: DataFrame) -> None:
+def _log_migration(registry: TableRegistry, moved: DataFrame, date: dt.date) -> None:
     columns = SCHEMAS["segment_migration_log"].names
-    entry = moved.select("customers_shifted", "migration_rate", "stability_pass")
-    if registry.spark.catalog.tableExists(registry.name("segment_migration_log")):
+    entry = moved.select(
+        "customers_shifted", "migration_rate", "stability_pass", F.lit(date).alias("refresh_date")
+    )
+    if table_exists(registry.spark, registry.name("segment_migration_log")):
         log = registry.read("segment_migration_log").select(*columns)
-        week = F.coalesce(log.agg(F.max("week")).scalar(), F.lit(0)) + 1
-        log = log.unionByName(entry.withColumn("week", week))
+        others = log.where(F.col("refresh_date") != F.lit(date))
+        week = F.coalesce(others.agg(F.max("week")).scalar(), F.lit(0)) + 1
+        log = others.unionByName(entry.withColumn("week", week))
     else:
         log = entry.withColumn("week", F.lit(1))
     replace_table(log, registry.database, "segment_migration_log")
@@ -88,6 +174,19 @@ def refresh_holdout(registry: TableRegistry) -> int:
     return replace_table(results, registry.database, "campaign_holdout_results")
 
 
+def holdout_tests(registry: TableRegistry) -> dict[str, DataFrame]:
+    """The tests of the stored results: rates, significance, revenue, interval, segments."""
+    results = registry.read("campaign_holdout_results")
+    return {
+        "group_sizes": experiment.group_sizes(results),
+        "rates_and_lift": experiment.rates_and_lift(results),
+        "proportion_tests": experiment.proportion_tests(results),
+        "revenue_test": experiment.revenue_test(results),
+        "conversion_interval": experiment.conversion_interval(results),
+        "treatment_by_segment": experiment.treatment_by_segment(results),
+    }
+
+
 def report_tables(registry: TableRegistry) -> dict[str, DataFrame]:
     """The nine reports over the current tables."""
     assignments = registry.read("segment_assignments")
@@ -114,11 +213,22 @@ def export_reports(registry: TableRegistry, directory: str) -> None:
 
 
 def drift_tables(registry: TableRegistry) -> dict[str, DataFrame]:
-    """The checks to read before marketing acts on new segments."""
+    """The checks to read before marketing acts on new segments.
+
+    Shares and features are compared with those of the refresh before, once there is one.
+    """
     assignments = registry.read("segment_assignments")
-    return {
-        "segment_distribution": drift.segment_distribution(assignments),
+    features = registry.read("customer_features")
+    previous = _previous(registry, "segment_assignments")
+    checks = {
+        "segment_distribution": drift.segment_distribution(assignments, previous),
         "new_customers": drift.new_customers(registry.read("transactions"), assignments),
-        "latest_migration": drift.latest_migration(registry.read("segment_migration_log")),
-        "feature_stats": drift.feature_stats(registry.read("customer_features")),
+        "feature_stats": drift.feature_stats(features),
     }
+    if table_exists(registry.spark, registry.name("segment_migration_log")):
+        log = registry.read("segment_migration_log")
+        checks["latest_migration"] = drift.latest_migration(log)
+    before = _previous(registry, "customer_features")
+    if before is not None:
+        checks["feature_drift"] = drift.feature_drift(before, features)
+    return checks

@@ -93,7 +93,8 @@ SCHEMAS: dict[str, StructType] = {
         required="customer_id",
     ),
     "segment_migration_log": _schema(
-        "week long, customers_shifted long, migration_rate double, stability_pass boolean"
+        "week long, customers_shifted long, migration_rate double, stability_pass boolean, "
+        "refresh_date date"
     ),
 }
 

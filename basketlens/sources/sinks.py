@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import tempfile
 
 from pyspark.ml import PipelineModel
@@ -9,35 +10,67 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basketlens.sources.schemas import SCHEMAS
-from basketlens.sources.tables import conform, guard_required
+from basketlens.sources.tables import conform, guard_required, table_exists
 
+DATE_PROPERTY = "refresh_date"
 
-def replace_table(df: DataFrame, database: str, table: str, cluster_by: str | None = None) -> int:
+
+def replace_table(
+    df: DataFrame,
+    database: str,
+    table: str,
+    cluster_by: str | None = None,
+    refresh_date: dt.date | None = None,
+) -> int:
     """Replace a table by the rows of ``df`` and return how many were written.
 
     The rows go to a staging table first, so ``df`` may read the table it replaces and
-    a failed job leaves the old table in place. The row count is observed during the
+    a failed job leaves the old table in place; one that ends between the two renames is
+    put right by the next read or replacement. The row count is observed during the
     write and costs no second scan. ``cluster_by`` sorts each written file by a column,
-    which keeps the minimum and maximum of its row groups narrow.
+    which keeps the minimum and maximum of its row groups narrow. ``refresh_date`` is
+    stored with the table and changes together with its rows.
     """
     spark = df.sparkSession
     rows = Observation(f"rows_{table}")
+    exists = table_exists(spark, f"{database}.{table}")
     out = guard_required(conform(df, table), table) if table in SCHEMAS else df
     if cluster_by:
-        out = out.repartitionByRange(cluster_by).sortWithinPartitions(cluster_by)
+        out = out.repartition(cluster_by).sortWithinPartitions(cluster_by)
     out = out.observe(rows, F.count(F.lit(1)).alias("rows"))
     target, staging, previous = (
         f"`{database}`.`{name}`" for name in (table, f"{table}__new", f"{table}__old")
     )
     out.write.mode("overwrite").format("parquet").saveAsTable(staging.replace("`", ""))
+    if refresh_date is not None:
+        spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ('{DATE_PROPERTY}' = '{refresh_date}')")
     spark.sql(f"DROP TABLE IF EXISTS {previous}")
-    if spark.catalog.tableExists(target.replace("`", "")):
+    if exists:
         spark.sql(f"ALTER TABLE {target} RENAME TO {previous}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
     spark.sql(f"DROP TABLE IF EXISTS {previous}")
     return rows.get["rows"]
 
 
+def stored_date(spark: SparkSession, database: str, table: str) -> dt.date | None:
+    """The refresh date stored with a table, if it has one."""
+    if not table_exists(spark, f"{database}.{table}"):
+        return None
+    properties = spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{table}`").collect()
+    found = [row["value"] for row in properties if row["key"] == DATE_PROPERTY]
+    return dt.date.fromisoformat(found[0]) if found else None
+
+
+def keep_previous(spark: SparkSession, database: str, table: str, refresh_date: dt.date) -> None:
+    """Copy a table to ``TABLE_previous`` unless it is already that of ``refresh_date``.
+
+    Called before the table is replaced; a repeated refresh leaves the copy alone.
+    """
+    date = stored_date(spark, database, table)
+    if date is not None and date != refresh_date:
+        replace_table(spark.table(f"{database}.{table}"), database, f"{table}_previous", refresh_date=date)
+
+
 def write_week(df: DataFrame, path: str) -> None:
     """Add or replace the weeks of a migration log, one partition directory per week."""
     (

@@ -99,33 +99,78 @@ def test_registry(spark):
     assert TableRegistry(spark, path="/x").name("loyalty") == "/x/loyalty"
 
 
+def test_a_replacement_that_broke_off_is_finished(spark):
+    create_database(spark, "broken")
+    registry = TableRegistry(spark, database="broken")
+    weeks = spark.createDataFrame(
+        [(w, w, 0.1, True, dt.date(2024, 1, w)) for w in range(1, 6)],
+        SCHEMAS["segment_migration_log"],
+    )
+    replace_table(weeks, "broken", "segment_migration_log")
+    spark.sql("ALTER TABLE broken.segment_migration_log RENAME TO broken.segment_migration_log__old")
+    assert registry.read("segment_migration_log").count() == 5
+    spark.sql("ALTER TABLE broken.segment_migration_log RENAME TO broken.segment_migration_log__old")
+    moved = spark.createDataFrame([(7, 0.2, False)], "customers_shifted long, migration_rate double, stability_pass boolean")
+    for _ in range(2):
+        refresh._log_migration(registry, moved, dt.date(2024, 1, 6))
+    log = registry.read("segment_migration_log").orderBy("week").collect()
+    assert [(r.week, r.customers_shifted) for r in log] == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 5), (6, 7)]
+
+
 def test_whole_refresh(spark, tmp_path):
-    create_database(spark, "weekly")
     registry = TableRegistry(spark, database="weekly")
+    paths = {}
     for name, df in sample_tables(spark, DATA).items():
         if name != "segment_assignments":
-            assert replace_table(df, "weekly", name) == df.count()
-    early = dt.date(2001, 6, 1)
+            paths[name] = str(tmp_path / name)
+            conform(df, name).write.parquet(paths[name])
+    counts = {r.table_name: r.row_count for r in refresh.load_tables(registry, paths).collect()}
+    assert counts == {name: spark.read.parquet(path).count() for name, path in paths.items()}
+    early, late = dt.date(2001, 6, 1), dt.date(2001, 8, 1)
     assert refresh.refresh_features(registry, early) > 100
     model_path = str(tmp_path / "model")
     refresh.refresh_model(registry, model_path, restarts=2)
     customers = refresh.refresh_assignments(registry, model_path, early)
     assert customers == registry.read("customer_features").count()
-    for _ in range(2):
+    assert "latest_migration" not in refresh.drift_tables(registry)
+    for _ in range(2):  # the second time as after a failure
         refresh.refresh_features(registry)
         refresh.refresh_assignments(registry, model_path)
     log = registry.read("segment_migration_log").orderBy("week").collect()
-    assert [r.week for r in log] == [1, 2]
+    assert [(r.week, r.refresh_date) for r in log] == [(1, late)]
     assert log[0].customers_shifted > 0
-    assert (log[1].customers_shifted, log[1].stability_pass) == (0, True)
     assert refresh.refresh_holdout(registry) > 0
+    tests = {name: df.collect() for name, df in refresh.holdout_tests(registry).items()}
+    assert len(tests) == 6 and all(tests.values())
     refresh.export_reports(registry, str(tmp_path / "reports"))
     assert len(list((tmp_path / "reports").iterdir())) == 9
     checks = refresh.drift_tables(registry)
     assert checks["new_customers"].first().eligible_unassigned == 0
-    assert checks["latest_migration"].first().alert is False
+    assert checks["latest_migration"].first().week == 1
+    assert "pct_change" in checks["segment_distribution"].columns
+    drifted = {r.feature: r for r in checks["feature_drift"].collect()}
+    assert drifted["days_since_last_purchase"].mean_after != drifted["days_since_last_purchase"].mean_before
     for name in ("customer_features", "customer_features_processed", "segment_assignments"):
         assert registry.read(name).columns == SCHEMAS[name].names
+    scale = spark.table(f"weekly.{refresh.SCALE_TABLE}").first()
+    assert scale["avg_basket_size"].deviation > 0
+    before = registry.read("customer_features_processed").collect()
+    refresh.refresh_features(registry, early, refit_scale=False)
+    assert spark.table(f"weekly.{refresh.SCALE_TABLE}").first() == scale
+    assert registry.read("customer_features_processed").collect() != before
+
+
+def test_model_review(spark, tmp_path):
+    registry = TableRegistry(spark, database="review")
+    paths = {}
+    for name in refresh.FEATURE_TABLES:
+        paths[name] = str(tmp_path / name)
+        conform(sample_tables(spark, DATA)[name], name).write.parquet(paths[name])
+    refresh.load_tables(registry, paths)
+    refresh.refresh_features(registry)
+    found = {name: df.collect() for name, df in refresh.review_model(registry, ks=(2, 3), restarts=1).items()}
+    assert [r.k for r in found["k_selection"]] == [2, 3]
+    assert len(found["method_comparison"]) == 6 and found["summary"]
 
 
 def test_model_round_trip_and_numbering(spark, tmp_path):
