@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketlens.constants import (
@@ -486,6 +486,104 @@ def c15_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _labelled_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scaled features with the stored segments and four labellings read from the tables."""
+    raw = _stored_features(
+        spark, sf_dir, (*CLUSTER_FEATURES, "loyalty_tier_numeric", "category_breadth", "project_category_txns")
+    )
+    old = sample_tables(spark, sf_dir)["old_segments"].select("customer_id", "old_segment_id")
+    runs = raw.join(old, "customer_id").select(
+        "customer_id",
+        (F.col("old_segment_id") - 1).alias("run_old"),
+        F.col("loyalty_tier_numeric").alias("run_tier"),
+        F.least("category_breadth", F.lit(4)).alias("run_breadth"),
+        F.least("project_category_txns", F.lit(4)).alias("run_project"),
+    )
+    scaled = clustering.assign_nearest(prepare.clustering_input(raw), STORED_CENTERS, name="run_centre")
+    return scaled.join(runs, "customer_id")
+
+
+@query
+def c8_method_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison table for given labellings, without the fits."""
+    table = clustering.method_table(
+        _labelled_runs(spark, sf_dir), "run_centre", "run_old", AGREEMENT_RUNS[2:]
+    )
+    return _rounded(table, ("value",))
+
+
+@query
+def c15_stored_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run summary for the stored centres, without a fit."""
+    labelled = _labelled_runs(spark, sf_dir)
+    score_ = clustering.run_silhouettes(labelled, ["run_centre"]).first()["silhouette"]
+    segmented = _segmented(spark, sf_dir)
+    names = segments.name_segments(segments.profile_segments(segmented))
+    as_of = features.reference_windows(sample_tables(spark, sf_dir)["transactions"])
+    assigned = segments.segment_assignments(segmented, names, as_of.select("ref_date").scalar())
+    return _rounded(segments.run_summary(assigned, len(CLUSTER_FEATURES), score_), ("silhouette",))
+
+
+@query
+def c2_fit_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What holds for the fit of C2 whatever its labels: who is where, and how good it is."""
+    raw = _stored_features(spark, sf_dir, CLUSTER_FEATURES)
+    model = fit_segmentation(raw)
+    scored = score(model, raw)
+    means = scored.groupBy("segment_id").agg(F.avg("avg_basket_size").alias("mean"), F.count("*").alias("n"))
+    ordered = means.agg(
+        F.sum("n").alias("customers"),
+        F.count("*").alias("segments"),
+        (F.array_sort(F.collect_list("mean")) == F.transform(
+            F.array_sort(F.collect_list(F.struct("segment_id", "mean"))), lambda s: s["mean"]
+        )).alias("by_basket"),
+    )
+    scaled = prepare.clustering_input(raw)
+    centers = {i: c for i, c in enumerate(model.stages[2].clusterCenters())}
+
+    def cost(points: dict[int, Sequence[float]]) -> DataFrame:
+        least = F.least(*[clustering.squared_distance(CLUSTER_FEATURES, c) for c in points.values()])
+        return scaled.agg(F.sum(least).alias("cost"))
+
+    nearest = clustering.assign_nearest(scaled, centers, name="nearest").select("customer_id", "nearest")
+    places = model.transform(raw).select("customer_id", "prediction").join(nearest, "customer_id")
+    misplaced = places.agg(F.count_if(F.col("prediction") != F.col("nearest")).alias("misplaced"))
+    return ordered.select(
+        "customers",
+        "segments",
+        "by_basket",
+        misplaced.scalar().alias("misplaced"),
+        (cost(centers).scalar() <= cost(STORED_CENTERS).scalar()).alias("no_worse_than_stored"),
+    )
+
+
+@query
+def c3_fit_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per number of clusters, that the cost does not rise and the silhouette is one."""
+    table = clustering.k_selection(_vectors(spark, sf_dir), restarts=3)
+    before = F.lag("inertia").over(Window.orderBy("k"))  # nine rows
+    return table.select(
+        "k",
+        F.coalesce(F.col("inertia") <= before, F.lit(True)).alias("cost_falls"),
+        F.col("silhouette").between(-1, 1).alias("has_silhouette"),
+    )
+
+
+@query
+def c4_fit_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = clustering.hierarchical_labels(_vectors(spark, sf_dir))
+    return labelled.agg(F.count("*").alias("customers"), F.count_distinct("prediction").alias("clusters"))
+
+
+@query
+def c6_fit_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _vectors(spark, sf_dir)
+    models = [clustering.fit_mixture(vectors, seed, restarts=1) for seed in range(2)]
+    labelled = clustering.label_runs(vectors, models)
+    inside = [F.count_if(F.col(f"run_{i}").between(0, 4)) for i in range(2)]
+    return labelled.agg(F.count("*").alias("customers"), (inside[0] + inside[1]).alias("labels"))
+
+
 # --- holdout test and migration --------------------------------------------
 
 

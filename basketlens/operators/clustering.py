@@ -36,7 +36,7 @@ def as_vectors(scaled: DataFrame, columns: Sequence[str] = CLUSTER_FEATURES) ->
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(scaled)
 
 
-def _restarts(vectors: DataFrame, fit, seeds: Iterable[int], parallel: int) -> list:
+def _restarts(vectors: DataFrame, fit, seeds: Iterable, parallel: int) -> list:
     """Fit once per seed; several fits may share the cluster at a time."""
     session_fit = inheritable_thread_target(vectors.sparkSession)(fit)
     with ThreadPool(parallel) as pool:
@@ -57,7 +57,7 @@ def fit_kmeans(
         return KMeans(k=k, seed=run_seed, maxIter=max_iter).fit(vectors)
 
     models = _restarts(vectors, fit, range(seed, seed + restarts), parallel)
-    return min(models, key=lambda model: model.summary.trainingCost)
+    return min(models, key=_cost)
 
 
 def silhouette(labelled: DataFrame, label: str = "prediction") -> float:
@@ -69,6 +69,51 @@ def silhouette(labelled: DataFrame, label: str = "prediction") -> float:
     return ClusteringEvaluator(predictionCol=label).evaluate(labelled)
 
 
+def _squared_length(values: Sequence[Column]) -> Column:
+    return sum((v * v for v in values), F.lit(0.0))
+
+
+def _cluster_sums(values: Sequence[Column]) -> list[Column]:
+    """What distances to a cluster follow from: size, mean squared length, mean."""
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.avg(_squared_length(values)).alias("length"),
+        F.array(*[F.avg(v) for v in values]).alias("mean"),
+    ]
+
+
+def _widths(x: str, length: str, label: str, clusters: str) -> dict[str, Column]:
+    """within, nearest and silhouette of a row, given the sums of all clusters."""
+
+    def distance(cluster: Column) -> Column:
+        products = F.zip_with(x, cluster["mean"], lambda a, m: a * m)
+        product = F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
+        # Rounding must not make a distance negative.
+        mean = F.greatest(F.col(length) - 2 * product + cluster["length"], F.lit(0.0))
+        own = cluster["other"] == F.col(label)
+        return F.struct(
+            own.alias("own"),
+            F.when(own, F.try_divide(mean * cluster["n"], cluster["n"] - 1))
+            .otherwise(mean)
+            .alias("mean"),
+        )
+
+    means = F.transform(clusters, distance)
+
+    def least(own: bool) -> Column:
+        return F.array_min(
+            F.transform(F.filter(means, lambda d: d["own"] == F.lit(own)), lambda d: d["mean"])
+        )
+
+    width = (F.col("nearest") - F.col("within")) / F.greatest("nearest", "within")
+    return {
+        "within": least(True),
+        "nearest": least(False),
+        # A customer alone in its cluster counts as zero.
+        "silhouette": F.when(F.col("within").isNull(), F.lit(0.0)).otherwise(width),
+    }
+
+
 def silhouettes(
     labelled: DataFrame,
     columns: Sequence[str] = CLUSTER_FEATURES,
@@ -80,52 +125,60 @@ def silhouettes(
     the cluster's mean and q the mean of its squared lengths; for the own cluster that
     counts the point itself and is scaled up by n / (n - 1). So one small aggregate per
     cluster, a scalar of the plan, serves all rows, and no rows are paired or shuffled.
-    A customer alone in its cluster counts as zero.
     """
-
-    def squared_length(values: Sequence[Column]) -> Column:
-        return sum((v * v for v in values), F.lit(0.0))
-
     values = [F.col(c).cast("double") for c in columns]
     clusters = labelled.groupBy(F.col(label).cast("long").alias("other")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(squared_length(values)).alias("length"),
-        F.array(*[F.avg(v) for v in values]).alias("mean"),
+        *_cluster_sums(values)
     )
     clusters = clusters.agg(F.collect_list(F.struct("other", "n", "length", "mean"))).scalar()
     rows = labelled.select(
         "customer_id",
         F.col(label).cast("long").alias("segment_id"),
         F.array(*values).alias("_x"),
-        squared_length(values).alias("_length"),
+        _squared_length(values).alias("_length"),
         clusters.alias("_clusters"),
     )
+    widths = _widths("_x", "_length", "segment_id", "_clusters")
+    silhouette_width = widths.pop("silhouette")
+    return (
+        rows.withColumns(widths)
+        .withColumn("silhouette", silhouette_width)
+        .drop("_x", "_length", "_clusters")
+    )
 
-    def distance(cluster: Column) -> Column:
-        products = F.zip_with("_x", cluster["mean"], lambda x, m: x * m)
-        product = F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
-        # Rounding must not make a distance negative.
-        mean = F.greatest(F.col("_length") - 2 * product + cluster["length"], F.lit(0.0))
-        own = cluster["other"] == F.col("segment_id")
-        return F.struct(
-            own.alias("own"),
-            F.when(own, F.try_divide(mean * cluster["n"], cluster["n"] - 1)).otherwise(mean).alias("mean"),
-        )
-
-    rows = rows.withColumn("_means", F.transform("_clusters", distance))
 
-    def means(own: bool) -> Column:
-        return F.transform(F.filter("_means", lambda d: d["own"] == F.lit(own)), lambda d: d["mean"])
+def run_silhouettes(
+    labelled: DataFrame, runs: Sequence[str], columns: Sequence[str] = CLUSTER_FEATURES
+) -> DataFrame:
+    """The mean silhouette of several labellings of the same rows, in one job.
 
-    rows = rows.select(
-        "customer_id",
-        "segment_id",
-        F.array_min(means(True)).alias("within"),
-        F.array_min(means(False)).alias("nearest"),
+    ``labelled`` has the vector column ``features`` or the named ``columns``. A run that
+    puts all rows into one cluster has none.
+    """
+    if "features" in labelled.columns:
+        point = vector_to_array("features")
+    else:
+        point = F.array(*[F.col(c).cast("double") for c in columns])
+    labels = F.array(
+        *[F.struct(F.lit(r).alias("run"), F.col(r).cast("long").alias("label")) for r in runs]
     )
-    width = (F.col("nearest") - F.col("within")) / F.greatest("nearest", "within")
-    return rows.withColumn(
-        "silhouette", F.when(F.col("within").isNull(), F.lit(0.0)).otherwise(width)
+    rows = labelled.select(point.alias("_x"), F.explode(labels).alias("_r")).select("_x", "_r.*")
+    values = [F.get("_x", F.lit(i)) for i in range(len(columns))]
+    clusters = (
+        rows.groupBy("run", F.col("label").alias("other"))
+        .agg(*_cluster_sums(values))
+        .groupBy("run")
+        .agg(F.collect_list(F.struct("other", "n", "length", "mean")).alias("_clusters"))
+    )
+    widths = _widths("_x", "_length", "label", "_clusters")
+    silhouette_width = widths.pop("silhouette")
+    return (
+        rows.withColumn("_length", _squared_length(values))
+        .join(F.broadcast(clusters), "run")  # one row per run
+        .withColumns(widths)
+        .withColumn("silhouette", F.when(F.size("_clusters") > 1, silhouette_width))
+        .groupBy("run")
+        .agg(F.avg("silhouette").alias("silhouette"))
     )
 
 
@@ -137,14 +190,33 @@ def k_selection(
     max_iter: int = MAX_ITERATIONS,
     parallel: int = 4,
 ) -> DataFrame:
-    """Inertia and silhouette for each number of clusters."""
-    rows = []
-    for k in ks:
-        model = fit_kmeans(vectors, k, seed, restarts, max_iter, parallel)
-        rows.append((k, model.summary.trainingCost, silhouette(model.transform(vectors))))
+    """Inertia and silhouette for each number of clusters.
+
+    All fits share one pool, and one job labels the rows by every kept model and scores
+    all labellings.
+    """
+
+    def fit(case: tuple[int, int]) -> KMeansModel:
+        return KMeans(k=case[0], seed=case[1], maxIter=max_iter).fit(vectors)
+
+    ks = list(ks)
+    cases = [(k, s) for k in ks for s in range(seed, seed + restarts)]
+    models = _restarts(vectors, fit, cases, parallel)
+    best = [
+        min((m for m, case in zip(models, cases, strict=True) if case[0] == k), key=_cost)
+        for k in ks
+    ]
+    runs = [f"run_{i}" for i in range(len(ks))]
+    dimensions = range(len(best[0].clusterCenters()[0]))
+    scores = dict(run_silhouettes(label_runs(vectors, best), runs, dimensions).collect())
+    rows = [(k, _cost(m), scores[run]) for k, m, run in zip(ks, best, runs, strict=True)]
     return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
+def _cost(model: KMeansModel) -> float:
+    return model.summary.trainingCost
+
+
 def hierarchical_labels(
     vectors: DataFrame, k: int = CLUSTERS, seed: int = SEED, shift: float = SPLIT_SHIFT
 ) -> DataFrame:
@@ -228,35 +300,42 @@ def compare_methods(
     vectors: DataFrame, k: int = CLUSTERS, seed: int = SEED, mixture_seeds: Sequence[int] = range(5)
 ) -> DataFrame:
     """Silhouettes of the three methods and how far mixture runs agree."""
-    kmeans = silhouette(fit_kmeans(vectors, k, seed).transform(vectors))
-    hierarchical = _silhouette_or_null(hierarchical_labels(vectors, k, seed), "prediction")
     mixtures = [fit_mixture(vectors, s, k) for s in mixture_seeds]
+    labelled = label_runs(vectors, [fit_kmeans(vectors, k, seed)], "kmeans_")
+    labelled = hierarchical_labels(labelled, k, seed).withColumnRenamed("prediction", "split_0")
+    labelled = label_runs(labelled, mixtures)
     runs = [f"run_{i}" for i in range(len(mixtures))]
-    labelled = label_runs(vectors, mixtures)
-    scores = [_silhouette_or_null(labelled, run) for run in runs]
-    known = [score for score in scores if score is not None]
-    agreement = label_agreement(labelled, runs).agg(
+    dimensions = range(len(mixtures[0].gaussians[0].mean)) if mixtures else CLUSTER_FEATURES
+    return method_table(labelled, "kmeans_0", "split_0", runs, dimensions)
+
+
+def method_table(
+    labelled: DataFrame,
+    kmeans: str,
+    hierarchical: str,
+    mixtures: Sequence[str],
+    columns: Sequence = CLUSTER_FEATURES,
+) -> DataFrame:
+    """The comparison of labellings: their silhouettes, and the mixtures' agreement."""
+    names = [kmeans, hierarchical, *mixtures]
+    scores = dict(run_silhouettes(labelled, names, columns).collect())
+    known = [scores[m] for m in mixtures if scores[m] is not None]
+    agreement = label_agreement(labelled, mixtures).agg(
         F.avg("agreement"), F.avg("matched_agreement")
     ).first()
     rows = [
-        ("K-Means", "silhouette", kmeans),
-        ("Hierarchical", "silhouette", hierarchical),
+        ("K-Means", "silhouette", scores[kmeans]),
+        ("Hierarchical", "silhouette", scores[hierarchical]),
         ("GMM (best)", "silhouette", max(known, default=None)),
         ("GMM (worst)", "silhouette", min(known, default=None)),
         ("GMM agreement", "share of equal labels", agreement[0]),
         ("GMM agreement, matched labels", "share of equal labels", agreement[1]),
     ]
-    return vectors.sparkSession.createDataFrame(
+    return labelled.sparkSession.createDataFrame(
         rows, "method string, measure string, value double"
     )
 
 
-def _silhouette_or_null(labelled: DataFrame, run: str) -> float | None:
-    """A run that puts all rows into one cluster has no silhouette."""
-    clusters = labelled.agg(F.count_distinct(run)).first()[0]
-    return silhouette(labelled, run) if clusters > 1 else None
-
-
 def squared_distance(columns: Sequence[str], center: Sequence[float]) -> Column:
     total = F.lit(0.0)
     for name, value in zip(columns, center, strict=True):

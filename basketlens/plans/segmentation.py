@@ -15,7 +15,6 @@ from basketlens.constants import CLUSTER_FEATURES, CLUSTER_LOG_FEATURES, CLUSTER
 from basketlens.operators.clustering import MAX_ITERATIONS, RESTARTS, SEED, fit_kmeans
 from basketlens.operators.features import reference_windows, snapshot_features
 from basketlens.operators.prepare import scaling, unscaled_input
-from basketlens.sources.sinks import cut_lineage
 
 ORDER_FEATURE = "avg_basket_size"
 
@@ -64,7 +63,8 @@ def fit_segmentation(
         inputCols=[f"scaled_{c}" for c in CLUSTER_FEATURES], outputCol="features"
     )
     vectors = assemble.transform(prepare.transform(features))
-    vectors = cut_lineage(vectors.select("customer_id", ORDER_FEATURE, "features"))
+    # The feature table is stored already; its vectors are held once, for all fits.
+    vectors = vectors.select("customer_id", ORDER_FEATURE, "features")
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = fit_kmeans(vectors, k, seed, restarts, max_iter, parallel)
