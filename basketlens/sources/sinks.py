@@ -126,6 +126,11 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Set the folder, and have what this application puts there deleted at its end."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(checkpoint_folder(spark))
+    if not getattr(context, "_basketlens_deletes", False):
+        own = spark._jvm.org.apache.hadoop.fs.Path(context.getCheckpointDir())
+        own.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(own)
+        context._basketlens_deletes = True

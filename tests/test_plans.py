@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens.constants import CHURN_COLUMNS, CLUSTER_FEATURES, DRIFT_FEATURES
-from basketlens.operators import features, profiling, reports
+from basketlens.operators import experiment, features, profiling, reports
 from basketlens.operators.clustering import assign_nearest
 from basketlens.operators.prepare import clustering_input
 from basketlens.plans.segmentation import feature_history
@@ -31,7 +31,7 @@ def stored(spark):
     registry = TableRegistry(spark, path=root)
     for name, df in sample_tables(spark, DATA).items():
         df.write.parquet(registry.name(name))
-    names = ("transactions", "web_events", "loyalty", "customer_master", "old_segments")
+    names = ("transactions", "web_events", "loyalty", "customer_master", "old_segments", "campaigns")
     found = {name: registry.read(name) for name in (*names, "segment_assignments")}
     return found
 
@@ -113,3 +113,25 @@ def test_branches_nobody_wants_are_not_built(stored):
     assert "web_events" not in plan(features.customer_features(stored, columns=CHURN_COLUMNS))
     history = feature_history(stored, columns=CLUSTER_FEATURES)
     assert "_bucket" not in plan(history) and "loyalty_tier" not in plan(history)
+
+
+def test_a_hot_customer_in_segments_and_campaigns(spark, stored):
+    """E6 and V3 with a customer who owns a third of the rows equal sums made by hand."""
+    def heated(df, key):
+        hot = F.xxhash64(key) % 3 == 0
+        return df.withColumn("customer_id", F.when(hot, "CUST_1").otherwise(F.col("customer_id")))
+
+    transactions = heated(stored["transactions"], "transaction_id")
+    rows = transactions.join(stored["old_segments"], "customer_id").select("segment_name", "amount").collect()
+    amounts = {}
+    for r in rows:
+        amounts.setdefault(r.segment_name, []).append(r.amount)
+    found = profiling.old_segment_behavior(stored["old_segments"], transactions).collect()
+    medians = {r.segment_name: r.median_basket for r in found}
+    for name, values in amounts.items():
+        values.sort()
+        assert medians[name] == pytest.approx(values[(len(values) - 1) // 2], abs=0.006)
+    campaigns = heated(stored["campaigns"], "revenue")
+    results = experiment.holdout_results(campaigns, stored["segment_assignments"], stored["old_segments"])
+    assert results.count() == campaigns.count()
+    assert results.where("customer_id = 'CUST_1'").select("test_group", "segment_used").distinct().count() == 1
