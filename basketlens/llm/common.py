@@ -16,6 +16,8 @@ from basketlens.sources.sinks import checkpoint_folder
 SPACES = (" ", "\t", "\n", "\x0b", "\f", "\r")
 SPACE_PATTERN = "[\\x20\\x09-\\x0D]"
 WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
+#: So many rows of ids (32 MB) are broadcast at most.
+BROADCAST_ROWS = 2_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -33,6 +35,14 @@ def materialise(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a stored table of a few numbers per row for broadcast if it has few rows.
+
+    A larger one is left to a shuffle join.
+    """
+    return F.broadcast(ids) if ids.count() <= rows else ids
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give this package's code to the executors, once per application."""
     context = spark.sparkContext

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import materialise
+from basketlens.llm.common import broadcast_if_small, materialise
 from basketlens.llm.components import connected_components
 from basketlens.llm.wordhash import U, batches, mix, runs, words
 
@@ -42,8 +42,6 @@ BANDS, BAND_ROWS = 48, 8
 #: Registers kept for the estimate; the first of the sketch.
 KEPT = 128
 EMPTY = np.uint16(0xFFFF)
-#: So many ids (16 MB) are broadcast at most; more are joined by a shuffle.
-BROADCAST_IDS = 2_000_000
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -289,9 +287,7 @@ def _links(classes: DataFrame, docs: DataFrame, k: int, similarity: int) -> Data
     """The links (a, b) between classes, as many as connect them."""
     pairs = materialise(_hub_pairs(classes))
     ids = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    texts = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+    texts = docs.select("doc_id", "text").join(broadcast_if_small(ids), "doc_id", "left_semi")
     sets = materialise(texts.mapInArrow(_sets(k), "id long, shingles binary").dropDuplicates(["id"]), "snappy")
     compared = materialise(
         _pairs_with_sets(pairs, sets).mapInArrow(
