@@ -60,3 +60,16 @@ def tiles(doc: list, item: list, k: int) -> int:
             return covered
         used_d[i : i + n], used_i[j : j + n] = [True] * n, [True] * n
         covered += n
+
+
+def repeated_words(texts: dict[int, str], n: int) -> dict[int, set[int]]:
+    """Places of the words of each text that stand in a run of n words of another text."""
+    holders = defaultdict(set)
+    split = {i: words(text) for i, text in texts.items()}
+    for i, w in split.items():
+        for at in range(len(w) - n + 1):
+            holders[tuple(w[at : at + n])].add(i)
+    return {
+        i: {at + j for at in range(len(w) - n + 1) if holders[tuple(w[at : at + n])] - {i} for j in range(n)}
+        for i, w in split.items()
+    }

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,8 +12,9 @@ from basketlens.llm.components import connected_components
 from basketlens.llm.exact_dedup import exact_duplicates
 from basketlens.llm.line_dedup import dedup_lines
 from basketlens.llm.near_dedup import near_duplicates
-from basketlens.llm.substring_dedup import collinear_chains, repeated_passages
+from basketlens.llm.substring_dedup import collinear_chains, pieces_of_pair, repeated_passages
 from tests.llm import brute
+from tests.llm.conftest import sentence
 
 
 def bare(text):
@@ -120,3 +122,38 @@ def test_chains_rise_and_pay_for_gaps():
     assert len(collinear_chains([(0, 0), (500, 500)])) == 2
     crossed = collinear_chains([(0, 50), (10, 60), (50, 0), (60, 10)])
     assert sorted(map(len, crossed)) == [2, 2]
+
+
+def covered(found):
+    out = {}
+    for r in found:
+        out.setdefault(r.doc_id, set()).update(range(r.start_word, r.stop_word))
+    return out
+
+
+def test_passages_that_repeat_themselves(spark):
+    """Lines many times over, and a shared passage twice in one document or in both."""
+    own = iter(range(1000, 2000))
+    new = lambda n: sentence(next(own), n, 10**6)
+    line, shared, both, word = new(9), new(60), new(70), new(1)
+    texts = {
+        1: new(30) + line * 12 + new(30), 2: new(80) + line * 7 + new(10), 3: line * 6,
+        11: new(20) + shared + new(20), 12: shared + new(100) + shared, 13: new(5) + shared + new(30) + shared + new(3) + shared,
+        21: both + new(40) + both, 22: new(9) + both + new(30) + both,
+        31: word * 400 + new(30), 32: new(15) + word * 900, 33: word * 49,
+        41: new(200), 42: line * 2 + new(50),
+    }
+    texts = {i: " ".join(w) for i, w in texts.items()}
+    found = covered(repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect())
+    for i, expected in brute.repeated_words(texts, 50).items():
+        assert expected <= found.get(i, set()), i
+        assert len(found.get(i, set()) - expected) <= 6, i
+
+
+def test_many_matches_give_way_to_longest_runs():
+    """The pieces of two texts that repeat themselves without end stay few and cover both."""
+    x, y = np.r_[[7] * 3000, range(100, 200)].astype(np.uint32), np.r_[range(300, 350), [7] * 2500].astype(np.uint32)
+    pieces = pieces_of_pair([(np.arange(2993), np.arange(50, 2543))], x, y)
+    assert len(pieces) < 20
+    assert {i for p in pieces for i in range(p[0], p[1])} == set(range(3000))
+    assert {i for p in pieces for i in range(p[2], p[3])} == set(range(50, 2550))
