@@ -4,12 +4,14 @@ import math
 import random
 import zlib
 from collections import Counter
+from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
-from basketlens.llm import attention, quality, wordhash
+from basketlens.llm import attention, lm, quality, wordhash
 from basketlens.llm.chat import rotate_perspectives
 from basketlens.llm.decontaminate import drop_contaminated, find_contamination, greedy_tiles
 from basketlens.llm.licenses import scan_licenses
@@ -232,3 +234,20 @@ def test_lm_scores(documents):
     assert score_documents(documents.limit(0), TOKENIZER).count() == 0
 
 
+
+
+def test_attention_learns_from_every_window():
+    """Each subword id of each text and its end is predicted once, after the id before it."""
+    texts = [" ".join(sentence(i, n)) for i, n in enumerate((0, 1, 20, 300, 2000))]
+    vocabulary = SimpleNamespace(value=Path(TOKENIZER).read_bytes())
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    (found,) = lm._gather(vocabulary)([batch])
+    windows = np.frombuffer(found.column("windows")[0].as_py(), np.uint16).reshape(-1, attention.WINDOW + 1)
+    expected = []
+    for text in texts:
+        hashes, starts, ends, _, data = wordhash.words(pa.array([text]))
+        ids = lm.subwords(hashes, starts, ends, data, lm._encoder(vocabulary.value))[0].tolist()
+        expected += zip([lm.IDS + 1, *ids], [*ids, lm.IDS])
+    inputs, targets = windows[:, :-1], windows[:, 1:]
+    learnt = targets < lm.IDS + 2
+    assert list(zip(inputs[learnt].tolist(), targets[learnt].tolist())) == expected
