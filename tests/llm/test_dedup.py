@@ -157,3 +157,27 @@ def test_many_matches_give_way_to_longest_runs():
     assert len(pieces) < 20
     assert {i for p in pieces for i in range(p[0], p[1])} == set(range(3000))
     assert {i for p in pieces for i in range(p[2], p[3])} == set(range(50, 2550))
+
+
+def test_fuzzy_passages_are_found(spark):
+    """Of planted passages with a window of 50 words that agree in 0.8, nearly all are found."""
+    texts, windows = [], {}
+    for size in (60, 100):
+        for change in (5, 10, 15, 20):
+            for _ in range(60):
+                number = len(texts)
+                random_ = random.Random(number)
+                new = lambda n: [f"v{random_.randrange(10**9)}" for _ in range(n)]
+                passage = new(size)
+                edited = [new(1)[0] if random_.random() * 100 < change else w for w in passage]
+                same = [a == b for a, b in zip(passage, edited)]
+                texts += [(number, " ".join(new(40) + passage + new(40))), (number + 1, " ".join(new(30) + edited + new(50)))]
+                if any(sum(same[a:b]) >= 0.8 * (b - a) for a in range(size) for b in range(a + 50, size + 1)):
+                    windows.setdefault((size, change), []).append(number)
+    found = covered(repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect())
+    share = {
+        key: sum(len(found.get(n, set()) & set(range(40, 40 + key[0]))) >= 50 and n + 1 in found for n in numbers) / len(numbers)
+        for key, numbers in windows.items()
+    }
+    print({key: (round(value, 3), len(windows[key])) for key, value in share.items()})
+    assert all(value >= {5: 0.98, 10: 0.96, 15: 0.9, 20: 0.8}[change] for (_, change), value in share.items()), share
