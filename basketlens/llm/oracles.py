@@ -142,6 +142,94 @@ GROUP BY doc_id, license HAVING max(c / n) >= {CONTAINMENT}
 """
 
 
+OP12 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS h,
+         regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS units
+  FROM documents
+), drawn AS (
+  SELECT *, len(units) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM d
+), cut AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90
+              THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), parts AS (
+  SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+         array_to_string(units[b + 1:], '') AS suffix
+  FROM cut
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts
+"""
+
+LEAF = "sha256(concat({}))".format(
+    ", ".join(
+        f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')"
+        for c in ("doc_id", "source", "lang", "n_chars", "{text}")
+    )
+)
+
+
+def crc32(text: str) -> str:
+    """The unsigned crc32 of a string of ASCII characters, bit by bit."""
+    step = "xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    byte = f"list_reduce(list_prepend(xor(c, b), range(8)), lambda c, i: {step})"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, [ascii(x)::BIGINT for x in string_split({text}, '')]), lambda c, b: {byte}), 4294967295)"
+
+
+def op13() -> str:
+    """Trees are levels of one recursive query; a second one walks from every leaf to the root."""
+    level = """
+  SELECT tier, tree, level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM {name} WHERE n > 1 GROUP BY tier, tree, level, idx // 8, n"""
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {LEAF.format(text="text")} AS leaf,
+         CASE WHEN {crc32("doc_id::VARCHAR")} % 3 = 0 THEN {LEAF.format(text=lowered)} ELSE {LEAF.format(text="text")} END AS shown
+  FROM documents
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+), low(tier, tree, level, idx, n, digest) AS (
+  SELECT 0, tree, 0, rank, n, leaf FROM ranked UNION ALL {level.format(name="low")}
+), subroots AS (
+  SELECT tree, level AS depth, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place FROM low WHERE n = 1
+), high(tier, tree, level, idx, n, digest) AS (
+  SELECT 1, '', 0, place, (SELECT count(*) FROM subroots), subroot FROM subroots UNION ALL {level.format(name="high")}
+), nodes AS (SELECT * FROM low UNION ALL SELECT * FROM high),
+sides AS (
+  SELECT a.tier, a.tree, a.level, a.idx,
+         coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx < a.idx), '') AS l,
+         coalesce(string_agg(b.digest, '' ORDER BY b.idx) FILTER (b.idx > a.idx), '') AS r
+  FROM nodes a JOIN nodes b ON a.tier = b.tier AND a.tree = b.tree AND a.level = b.level AND a.idx // 8 = b.idx // 8
+  WHERE a.n > 1 GROUP BY a.tier, a.tree, a.level, a.idx
+), walk(doc_id, leaf, subroot, place, tier, tree, level, idx, depth, siblings, folded) AS (
+  SELECT doc_id, leaf, subroot, place, 0, tree, 0, rank, depth, '', shown FROM ranked JOIN subroots USING (tree)
+  UNION ALL
+  SELECT doc_id, leaf, subroot, place, tier, tree, level, idx, depth, siblings, folded FROM (
+    SELECT w.doc_id, w.leaf, w.subroot, w.place, w.tier, w.tree, w.level + 1 AS level, w.idx // 8 AS idx, w.depth,
+           w.siblings || s.l || s.r AS siblings, sha256(s.l || w.folded || s.r) AS folded
+    FROM walk w JOIN sides s ON w.tier = s.tier AND w.tree = s.tree AND w.level = s.level AND w.idx = s.idx
+    UNION ALL
+    SELECT doc_id, leaf, subroot, place, 1, '', 0, place, (SELECT max(level) FROM high), siblings, folded
+    FROM walk WHERE tier = 0 AND level = depth
+  )
+)
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, folded AS folded_root, folded = root AS verified
+FROM walk JOIN (SELECT digest AS root FROM high WHERE n = 1) ON true
+WHERE tier = 1 AND level = depth
+"""
+
+
 def llm_oracles() -> dict[str, str]:
     return {
         "op1_mix_sources": op1(),
@@ -149,4 +237,6 @@ def llm_oracles() -> dict[str, str]:
         "op6_chat_format": op6(),
         "op7_exact_dedup": OP7,
         "op8_license_scan": op8(),
+        "op12_fill_in_middle": OP12,
+        "op13_merkle_manifest": op13(),
     }

@@ -12,9 +12,11 @@ from basketlens.llm.chat import rotate_perspectives
 from basketlens.llm.common import table
 from basketlens.llm.decontaminate import find_contamination
 from basketlens.llm.exact_dedup import exact_duplicates
+from basketlens.llm.fim import fim_digests
 from basketlens.llm.licenses import scan_licenses
 from basketlens.llm.line_dedup import dedup_lines
 from basketlens.llm.lm import score_documents
+from basketlens.llm.manifest import dataset_manifest, proof_digest
 from basketlens.llm.mixing import mix_sources
 from basketlens.llm.near_dedup import near_duplicates
 from basketlens.llm.quality import classify_quality
@@ -66,6 +68,17 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = dataset_manifest(table(spark, sf_dir, "documents"))
+    return manifest.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus.run(spark, sf_dir)
 
