@@ -142,6 +142,36 @@ GROUP BY doc_id, license HAVING max(c / n) >= {CONTAINMENT}
 """
 
 
+def op11(length: int = 100, block: int = 2000) -> str:
+    """Bytes are pairs of hex digits; blocks keep the cutting of a long text linear."""
+    return f"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, (octet_length(encode(coalesce(text, ''))))::BIGINT AS n_bytes FROM documents
+), cut AS (
+  SELECT doc_id, b * {block} AS base, least({block}, n_bytes - {length - 1} - b * {block}) AS n, h[b * {2 * block} + 1:(b + 1) * {2 * block} + {2 * length}] AS piece
+  FROM (SELECT *, unnest(range(0, (n_bytes - {length} + {block}) // {block})) AS b FROM d WHERE n_bytes >= {length})
+), strings AS (
+  SELECT doc_id, base + i AS pos, piece[2 * i + 1:2 * i + {2 * length}] AS s FROM (SELECT *, unnest(range(0, n)) AS i FROM cut)
+), later AS (
+  SELECT doc_id, pos FROM (SELECT doc_id, pos, row_number() OVER (PARTITION BY s ORDER BY doc_id, pos) AS nth FROM strings) WHERE nth > 1
+), marked AS (
+  SELECT doc_id, pos, CASE WHEN pos > lag(pos) OVER w + {length} OR lag(pos) OVER w IS NULL THEN 1 ELSE 0 END AS new
+  FROM later WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), spans AS (
+  SELECT doc_id, min(pos) AS start, max(pos) + {length} AS stop
+  FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM marked) GROUP BY doc_id, span
+), gaps AS (
+  SELECT doc_id, coalesce(lag(stop) OVER w, 0) AS a, start AS b, stop - start AS size, 1 AS span FROM spans
+  WINDOW w AS (PARTITION BY doc_id ORDER BY start)
+  UNION ALL
+  SELECT d.doc_id, coalesce(max(stop), 0), any_value(n_bytes), 0, 0 FROM d LEFT JOIN spans s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+)
+SELECT doc_id, any_value(n_bytes) AS n_bytes, sum(size)::BIGINT AS n_removed, sum(span)::BIGINT AS n_spans,
+       sha256(unhex(string_agg(h[2 * a + 1:2 * b], '' ORDER BY a, b))) AS kept_sha256
+FROM d JOIN gaps USING (doc_id) GROUP BY doc_id
+"""
+
+
 OP12 = r"""
 WITH d AS (
   SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS h,
@@ -237,6 +267,7 @@ def llm_oracles() -> dict[str, str]:
         "op6_chat_format": op6(),
         "op7_exact_dedup": OP7,
         "op8_license_scan": op8(),
+        "op11_suffix_dedup": op11(),
         "op12_fill_in_middle": OP12,
         "op13_merkle_manifest": op13(),
     }

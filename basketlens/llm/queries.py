@@ -21,6 +21,7 @@ from basketlens.llm.mixing import mix_sources
 from basketlens.llm.near_dedup import near_duplicates
 from basketlens.llm.quality import classify_quality
 from basketlens.llm.substring_dedup import repeated_passages
+from basketlens.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +69,18 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["stop"] - s["start"])
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim_digests(table(spark, sf_dir, "documents"))
 
