@@ -27,6 +27,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -219,6 +220,14 @@ def prefixes(length: int) -> tuple[int, list[int], list[int]]:
     return half, steps, needed
 
 
+def _flat(runs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The places and sizes of all lists of (at, n), and where each list begins; null is empty."""
+    sizes = pc.fill_null(pc.list_value_length(runs), 0).to_numpy(zero_copy_only=False)
+    flat = runs.flatten()
+    at, n = (flat.field(name).to_numpy(zero_copy_only=False).astype(np.int64) for name in ("at", "n"))
+    return at, n, np.append(0, np.cumsum(sizes))
+
+
 PAIRS = f"left long, right long, {KEY}, own boolean"
 
 
@@ -229,11 +238,8 @@ def _first_pairs(length: int) -> Callable:
     def of_batch(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, offsets = text_bytes(batch.column("text"))
         id_, tie = _columns(batch, "id", "tie")
-        runs = batch.column("runs")
-        flat = runs.flatten()
-        start = flat.field("at").to_numpy(zero_copy_only=False).astype(np.int64)
-        n = flat.field("n").to_numpy(zero_copy_only=False).astype(np.int64)
-        start = start + np.repeat(offsets[:-1], pa.compute.list_value_length(runs).to_numpy(zero_copy_only=False))
+        start, n, borders = _flat(batch.column("runs"))
+        start = start + np.repeat(offsets[:-1], np.diff(borders))
         within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         own = np.unique(np.repeat(start, n) + within)
         places = np.unique(np.concatenate([own + more for more in needed]))
@@ -376,30 +382,28 @@ def _remove(length: int) -> Callable:
     span = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", span), ("kept", pa.binary())])
 
-    def cover(data: np.ndarray, runs) -> tuple[list[dict], bytes]:
-        if not runs:
+    def cover(data: np.ndarray, at: np.ndarray, n: np.ndarray) -> tuple[list[dict], bytes]:
+        if not len(at):
             return [], data.tobytes()
-        at = np.array([r["at"] for r in runs], dtype=np.int64)
-        stop = at + np.array([r["n"] for r in runs], dtype=np.int64) + length - 1
         order = np.argsort(at)
-        at, stop = at[order], np.maximum.accumulate(stop[order])
+        at, stop = at[order], np.maximum.accumulate((at + n)[order]) + length - 1
         first = np.ones(len(at), dtype=bool)
         first[1:] = at[1:] > stop[:-1]
-        starts, stops = at[first], stop[np.append(first[1:], True)]
-        borders = zip(np.append(0, stops), np.append(starts, len(data)))
-        return [{"start": a, "stop": b} for a, b in zip(starts.tolist(), stops.tolist())], b"".join(data[a:b].tobytes() for a, b in borders)
+        starts, stops = at[first].tolist(), stop[np.append(first[1:], True)].tolist()
+        kept = b"".join(data[a:b].tobytes() for a, b in zip([0, *stops], [*starts, len(data)]))
+        return [{"start": a, "stop": b} for a, b in zip(starts, stops)], kept
 
     def remove(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in source:
             for batch in batches(whole):
                 data, offsets = text_bytes(batch.column("text"))
-                runs = batch.column("runs")
-                out = [cover(data[offsets[i] : offsets[i + 1]], runs[i].as_py()) for i in range(batch.num_rows)]
-                sizes = pa.array(np.diff(offsets))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), sizes, pa.array([o[0] for o in out], span), pa.array([o[1] for o in out], pa.binary())],
-                    schema=schema,
-                )
+                at, n, borders = _flat(batch.column("runs"))
+                out = [
+                    cover(data[offsets[i] : offsets[i + 1]], at[borders[i] : borders[i + 1]], n[borders[i] : borders[i + 1]])
+                    for i in range(batch.num_rows)
+                ]
+                found = [pa.array([o[0] for o in out], span), pa.array([o[1] for o in out], pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.diff(offsets)), *found], schema=schema)
 
     return remove
 
