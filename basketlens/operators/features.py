@@ -32,7 +32,7 @@ from basketlens.constants import (
     SHORT_WINDOW_DAYS,
 )
 from basketlens.functions.numeric import is_false, is_true, ratio, round_to
-from basketlens.functions.ranks import lower_median
+from basketlens.functions.ranks import discrete_median, in_cents
 from basketlens.sources.schemas import SCHEMAS
 
 CUSTOMER = ("customer_id",)
@@ -219,11 +219,12 @@ def median_baskets(
 
     Without ``windows`` all transactions count.
     """
-    rows = transactions.select("customer_id", "transaction_date", "amount")
+    rows = transactions.select("customer_id", "transaction_date", in_cents("amount").alias("cents"))
     if windows is not None:
         rows = _per_snapshot(rows, windows, "transaction_date")
-    medians = lower_median(rows, keys, "amount", "median")
-    return medians.select(*keys, round_to(F.col("median"), 2).alias("median_basket_size"))
+    # One aggregate combined on the map side; a customer has a count per different amount.
+    medians = rows.groupBy(*keys).agg(discrete_median("cents").alias("median"))
+    return medians.select(*keys, (F.col("median") / F.lit(100.0)).alias("median_basket_size"))
 
 
 def session_stats(web_events: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:

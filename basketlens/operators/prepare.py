@@ -89,8 +89,8 @@ def summary_before(df: DataFrame, columns: Sequence[str] = PROCESSED_LOG_FEATURE
         [], [F.col(c).cast("double").alias(c) for c in columns], "feature", "value"
     )
     simple = long.groupBy("feature").agg(F.avg("value").alias("mean"), F.max("value").alias("max"))
-    medians = midpoint_median(long, ["feature"], "value", "median", few_groups=True)
-    return simple.join(F.broadcast(medians), "feature", "left").select(
+    medians = midpoint_median(long, ["feature"], "value", "median")
+    return simple.join(medians, "feature", "left").select(
         "feature", "mean", "median", "max"
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from basketlens.constants import MIN_TRANSACTIONS, POWER_USER_TRANSACTIONS
 from basketlens.functions.numeric import is_true, percent, ratio, round_to, with_share
-from basketlens.functions.ranks import join_groups, lower_median
+from basketlens.functions.ranks import in_cents, join_groups, lower_median
 
 
 def table_overview(tables: dict[str, DataFrame]) -> DataFrame:
@@ -34,7 +34,8 @@ def transactions_profile(transactions: DataFrame) -> DataFrame:
     ``avg_discount_promo_only`` is the figure its name promises.
     """
     promo = is_true("promo_flag")
-    median = lower_median(transactions, [], "amount", "median_amount")
+    cents = transactions.select(in_cents("amount").alias("cents"))
+    median = lower_median(cents, [], "cents", "median_amount").scalar() / F.lit(100.0)
     profile = transactions.agg(
         F.min("transaction_date").alias("earliest_txn"),
         F.max("transaction_date").alias("latest_txn"),
@@ -54,7 +55,7 @@ def transactions_profile(transactions: DataFrame) -> DataFrame:
         "unique_customers",
         "total_txns",
         round_to(F.col("avg_amount"), 2).alias("avg_amount"),
-        round_to(median.scalar(), 2).alias("median_amount"),
+        round_to(median, 2).alias("median_amount"),
         round_to(F.col("min_amount"), 2).alias("min_amount"),
         round_to(F.col("max_amount"), 2).alias("max_amount"),
         percent(F.col("online"), F.col("total_txns"), 1).alias("online_pct"),
@@ -127,8 +128,8 @@ def old_segment_behavior(old_segments: DataFrame, transactions: DataFrame) -> Da
     """Purchase behaviour per old segment.
 
     Sums, customers and categories come from one row per customer and category, so
-    the two distinct counts expand only those. The distinct transaction ids and the
-    median need the single rows; each is an aggregate of its own.
+    the two distinct counts expand only those. The distinct transaction ids need the
+    single rows; the median needs them counted by cents, and its rounds read the counts.
     """
     keys = ["old_segment_id", "segment_name"]
     segments = old_segments.select("customer_id", *keys)
@@ -150,14 +151,15 @@ def old_segment_behavior(old_segments: DataFrame, transactions: DataFrame) -> Da
     )
     rows = segments.join(transactions, "customer_id")
     ids = rows.groupBy(*keys).agg(F.count_distinct("transaction_id").alias("total_txns"))
-    medians = lower_median(rows, keys, "amount", "median", few_groups=True)
+    cents = rows.select(*keys, in_cents("amount").alias("cents"))
+    medians = lower_median(cents, keys, "cents", "median")
     joined = join_groups(join_groups(sums, ids, keys, "left"), medians, keys, "left")
     return joined.select(
         *keys,
         "total_txns",
         "customers",
         round_to(F.try_divide("amount", "amounts"), 2).alias("avg_basket"),
-        round_to(F.col("median"), 2).alias("median_basket"),
+        round_to(F.col("median") / F.lit(100.0), 2).alias("median_basket"),
         ratio(F.col("total_txns"), F.col("customers"), 1).alias("avg_txns_per_cust"),
         percent(F.col("online"), F.col("rows"), 1).alias("online_pct"),
         percent(F.col("promo"), F.col("rows"), 1).alias("promo_pct"),

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketlens.constants import CHURN_COLUMNS, CLUSTER_FEATURES, DRIFT_FEATURES
+from basketlens.functions.ranks import midpoint_median
 from basketlens.operators import experiment, features, profiling, reports
 from basketlens.operators.clustering import assign_nearest
 from basketlens.operators.prepare import clustering_input
@@ -75,9 +76,33 @@ def test_reports_join_sums_and_not_transactions(stored, no_broadcast):
         assert text.index("SortMergeJoin") < text.index("partial_sum(amount#")
 
 
-def test_few_groups_need_no_shuffle_of_rows(stored, no_broadcast):
-    text = plan(profiling.transactions_profile(stored["transactions"]))
-    assert "SortMergeJoin" not in text
+def below_exchanges(text):
+    """Of each shuffle of a plan the first line below it that is no sort or projection."""
+    lines = [re.sub(r"^[ :+\-*()\d]*", "", line) for line in text.splitlines()]
+    for at, line in enumerate(lines):
+        if line.startswith("Exchange"):
+            yield next(x for x in lines[at + 1 :] if not x.startswith(("Sort ", "Project")))
+
+
+def test_medians_shuffle_counts_and_no_rows(spark, stored, no_broadcast):
+    """Every shuffle stands on a partial aggregate; there is no window, join or broadcast."""
+    transactions = stored["transactions"]
+    raw = spark.createDataFrame(features.customer_features(stored).collect())
+    for df in (
+        profiling.transactions_profile(transactions),
+        features.median_baskets(transactions),
+        experiment.split_holdout(transactions.select("customer_id"), exact=True),
+        midpoint_median(raw.select("region", "avg_basket_size"), ["region"], "avg_basket_size", "m"),
+    ):
+        text = plan(df)
+        assert not re.search("Window|Join|BroadcastExchange", text)
+        below = list(below_exchanges(text))
+        assert below and all("Aggregate" in line and re.search(r"partial_|merge_|functions=\[\]", line) for line in below)
+
+
+def test_the_median_of_segments_reads_counts(stored, no_broadcast):
+    text = plan(profiling.old_segment_behavior(stored["old_segments"], stored["transactions"]))
+    assert "BroadcastExchange" not in text and "Window" not in text
 
 
 def test_scoring_has_no_join(stored, spark):
@@ -109,10 +134,10 @@ def test_a_hot_customer_does_not_reach_one_task(spark, stored):
 def test_branches_nobody_wants_are_not_built(stored):
     for columns in (CLUSTER_FEATURES, DRIFT_FEATURES, CHURN_COLUMNS, ()):
         text = plan(features.customer_features(stored, columns=columns))
-        assert "_bucket" not in text
+        assert "percentile_disc" not in text
     assert "web_events" not in plan(features.customer_features(stored, columns=CHURN_COLUMNS))
     history = feature_history(stored, columns=CLUSTER_FEATURES)
-    assert "_bucket" not in plan(history) and "loyalty_tier" not in plan(history)
+    assert "percentile_disc" not in plan(history) and "loyalty_tier" not in plan(history)
 
 
 def test_a_hot_customer_in_segments_and_campaigns(spark, stored):
