@@ -213,20 +213,44 @@ def purchase_features(
 
 
 def median_baskets(
-    transactions: DataFrame, windows: DataFrame | None = None, keys: Sequence[str] = CUSTOMER
+    transactions: DataFrame,
+    windows: DataFrame | None = None,
+    keys: Sequence[str] = CUSTOMER,
+    snapshots: int = 1,
 ) -> DataFrame:
-    """F-6: the middle amount of each customer, an observed value.
+    """F-6: the middle amount of each customer, an observed value, in whole cents.
 
-    Without ``windows`` all transactions count.
+    Without ``windows`` all transactions count. ``snapshots`` is the number of its dates.
     """
     rows = transactions.select("customer_id", "transaction_date", in_cents("amount").alias("cents"))
-    if windows is not None:
-        rows = _per_snapshot(rows, windows, "transaction_date")
-    # One aggregate combined on the map side; a customer has a count per different amount.
-    medians = rows.groupBy(*keys).agg(discrete_median("cents").alias("median"))
+    if len(keys) == 1:
+        if windows is not None:
+            limit = windows.select("as_of").scalar()
+            rows = rows.where(_not_after(F.col("transaction_date"), limit))
+        # One aggregate combined on the map side; a customer has a count per different amount.
+        medians = rows.groupBy(*keys).agg(discrete_median("cents").alias("median"))
+    else:
+        # A median per snapshot, each over the rows up to its date, instead of rows per snapshot.
+        dates = [f"date_{i}" for i in range(snapshots)]
+        rows = rows.withColumn("snapshots", _snapshot_array(windows)).select(
+            "customer_id",
+            *[
+                F.when(_not_after(F.col("transaction_date"), F.col("snapshots")[i]["as_of"]), F.col("cents")).alias(name)
+                for i, name in enumerate(dates)
+            ],
+        )
+        wide = rows.groupBy("customer_id").agg(*[discrete_median(name).alias(name) for name in dates])
+        wide = wide.withColumn("snapshots", _snapshot_array(windows))
+        per_date = F.array(
+            *[F.struct(F.col("snapshots")[i]["as_of"].alias("as_of"), F.col(name).alias("median")) for i, name in enumerate(dates)]
+        )
+        medians = wide.select("customer_id", F.inline(per_date)).where("median IS NOT NULL")
     return medians.select(*keys, (F.col("median") / F.lit(100.0)).alias("median_basket_size"))
 
 
+SESSION_SUMS = ("page_count", "searches", "product_pages", "cart_pages", "mobile_pages")
+
+
 def session_stats(web_events: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
     """Events per session, with the counts the page shares need."""
     return web_events.groupBy(*extra_keys, "session_id", "customer_id").agg(
@@ -238,6 +262,11 @@ def session_stats(web_events: DataFrame, extra_keys: Sequence[str] = ()) -> Data
     )
 
 
+def daily_sessions(web_events: DataFrame) -> DataFrame:
+    """Web events summed up per customer, session and day."""
+    return session_stats(web_events, ["event_date"])
+
+
 def web_features(
     web_events: DataFrame,
     windows: DataFrame | None = None,
@@ -250,19 +279,30 @@ def web_features(
     from all events.
     """
     if windows is not None:
-        events = web_events.select(
-            "customer_id", "session_id", "event_date", "page_type", "device", "search_flag"
-        )
-        web_events = _per_snapshot(events, windows, "event_date")
-    sessions = session_stats(web_events, [key for key in keys if key != "customer_id"])
+        return web_features_of_days(daily_sessions(web_events), windows, keys, deep_session)
+    return _web_totals(session_stats(web_events), keys, deep_session)
+
+
+def web_features_of_days(
+    days: DataFrame, windows: DataFrame, keys: Sequence[str] = CUSTOMER, deep_session: int = DEEP_SESSION_EVENTS
+) -> DataFrame:
+    """R9, R10 at the dates of ``windows``, from :func:`daily_sessions`.
+
+    The days of a session are what is repeated per date, after their shuffle by customer,
+    which the sums per session and per customer use as well.
+    """
+    days = _per_snapshot(days.repartition("customer_id"), windows, "event_date")
+    session = [*[key for key in keys if key != "customer_id"], "session_id", "customer_id"]
+    sessions = days.groupBy(*session).agg(*[F.sum(c).alias(c) for c in SESSION_SUMS])
+    return _web_totals(sessions, keys, deep_session)
+
+
+def _web_totals(sessions: DataFrame, keys: Sequence[str], deep_session: int) -> DataFrame:
     totals = sessions.groupBy(*keys).agg(
         # One row per session already; an unknown session id is no session.
         F.count("session_id").alias("total_sessions"),
         F.count_if(F.col("page_count") >= deep_session).alias("deep"),
-        *[
-            F.sum(c).alias(c)
-            for c in ("page_count", "searches", "product_pages", "cart_pages", "mobile_pages")
-        ],
+        *[F.sum(c).alias(c) for c in SESSION_SUMS],
     )
     count = F.col("total_sessions")
     events = F.col("page_count")
@@ -341,7 +381,9 @@ def snapshot_features(
         web = web_features(tables["web_events"], windows if trim_web else None, web_keys)
         joined = joined.join(web, list(web_keys), "left")
     if "median_basket_size" in wanted:
-        medians = median_baskets(transactions, None if whole_history else windows, keys)
+        medians = median_baskets(
+            transactions, None if whole_history else windows, keys, len(set(days_back))
+        )
         joined = joined.join(medians, list(keys), "left")
     zero_filled = (*WEB_COLUMNS, "loyalty_tier_numeric", "points_balance")
     return joined.select(

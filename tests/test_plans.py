@@ -140,6 +140,22 @@ def test_branches_nobody_wants_are_not_built(stored):
     assert "percentile_disc" not in plan(history) and "loyalty_tier" not in plan(history)
 
 
+def test_a_history_repeats_sums_and_no_rows(stored, no_broadcast):
+    """Below each repetition per date stands an aggregate, in every branch of the plan."""
+    lines = plan(feature_history(stored)).splitlines()
+    depth = [len(re.match(r"^[ :+\-*()\d]*", line).group()) for line in lines]
+    generates = [at for at, line in enumerate(lines) if re.match(r"^[ :+\-*()\d]*Generate (?:explode|inline)", line)]
+    assert len(generates) >= 3
+    for at in generates:
+        below = []
+        for further in range(at + 1, len(lines)):
+            if depth[further] <= depth[at]:
+                break
+            below.append(lines[further])
+        scan = next(i for i, line in enumerate(below) if "FileScan" in line)
+        assert any("Aggregate(" in line for line in below[:scan])
+
+
 def test_a_hot_customer_in_segments_and_campaigns(spark, stored):
     """E6 and V3 with a customer who owns a third of the rows equal sums made by hand."""
     def heated(df, key):
