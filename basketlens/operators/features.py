@@ -32,7 +32,7 @@ from basketlens.constants import (
     SHORT_WINDOW_DAYS,
 )
 from basketlens.functions.numeric import is_false, is_true, ratio, round_to
-from basketlens.functions.ranks import discrete_median, in_cents
+from basketlens.functions.ranks import discrete_median, in_cents, value_at_rank
 from basketlens.sources.schemas import SCHEMAS
 
 CUSTOMER = ("customer_id",)
@@ -136,9 +136,21 @@ def purchase_features(
     maintenance_categories: Sequence[str] = MAINTENANCE_CATEGORIES,
 ) -> DataFrame:
     """R4-R7 without the median: one row per date and eligible customer."""
-    days = _per_snapshot(
-        daily_purchases(transactions).repartition("customer_id"), windows, "transaction_date"
+    return purchase_features_of_days(
+        daily_purchases(transactions), windows, keys, min_transactions, project_categories, maintenance_categories
     )
+
+
+def purchase_features_of_days(
+    days: DataFrame,
+    windows: DataFrame,
+    keys: Sequence[str] = CUSTOMER,
+    min_transactions: int = MIN_TRANSACTIONS,
+    project_categories: Sequence[str] = PROJECT_CATEGORIES,
+    maintenance_categories: Sequence[str] = MAINTENANCE_CATEGORIES,
+) -> DataFrame:
+    """R4-R7 without the median, from :func:`daily_purchases`."""
+    days = _per_snapshot(days.repartition("customer_id"), windows, "transaction_date")
     date = F.col("transaction_date")
     history = Window.partitionBy(*keys)
     days = days.withColumns(
@@ -248,6 +260,27 @@ def median_baskets(
     return medians.select(*keys, (F.col("median") / F.lit(100.0)).alias("median_basket_size"))
 
 
+def daily_cents(transactions: DataFrame) -> DataFrame:
+    """How often a customer paid an amount on a day, which is what medians need."""
+    amount = in_cents("amount").alias("cents")
+    return (
+        transactions.where("amount IS NOT NULL")
+        .groupBy("customer_id", "transaction_date", amount)
+        .agg(F.count("*").alias("rows"))
+    )
+
+
+def median_baskets_of_days(
+    cents: DataFrame, windows: DataFrame | None = None, keys: Sequence[str] = CUSTOMER
+) -> DataFrame:
+    """F-6 from :func:`daily_cents`: one round over a customer's different amounts."""
+    if windows is not None:
+        cents = _per_snapshot(cents, windows, "transaction_date")
+    middle = F.ceil(F.col("n") / F.lit(2.0))
+    medians = value_at_rank(cents, list(keys), "cents", middle, "median", "rows", rounds=(0,))
+    return medians.select(*keys, (F.col("median") / F.lit(100.0)).alias("median_basket_size"))
+
+
 SESSION_SUMS = ("page_count", "searches", "product_pages", "cart_pages", "mobile_pages")
 
 
@@ -297,6 +330,12 @@ def web_features_of_days(
     return _web_totals(sessions, keys, deep_session)
 
 
+def web_features_of_all_days(days: DataFrame) -> DataFrame:
+    """R9, R10 over the whole of :func:`daily_sessions`."""
+    sessions = days.groupBy("session_id", "customer_id").agg(*[F.sum(c).alias(c) for c in SESSION_SUMS])
+    return _web_totals(sessions, CUSTOMER, DEEP_SESSION_EVENTS)
+
+
 def _web_totals(sessions: DataFrame, keys: Sequence[str], deep_session: int) -> DataFrame:
     totals = sessions.groupBy(*keys).agg(
         # One row per session already; an unknown session id is no session.
@@ -352,6 +391,9 @@ def snapshot_features(
     rebuilt later from a table that has gone on growing. ``columns`` names the features
     that are wanted, besides the customer; medians, browsing and loyalty are only built
     for them. The rows are the same for any choice.
+
+    Where ``tables`` has the results of :func:`daily_purchases`, :func:`daily_cents` and
+    :func:`daily_sessions` under these names, they are read instead of the single rows.
     """
     fields = SCHEMAS["customer_features"].fields
     if columns is not None:
@@ -360,13 +402,16 @@ def snapshot_features(
             raise ValueError(f"unknown features: {', '.join(sorted(unknown))}")
         fields = [f for f in fields if f.name == "customer_id" or f.name in columns]
     wanted = {f.name for f in fields}
-    transactions = tables["transactions"]
-    windows = reference_windows(transactions, as_of, days_back)
+    stored = "daily_purchases" in tables
+    purchases = tables["daily_purchases"] if stored else daily_purchases(tables["transactions"])
+    windows = reference_windows(
+        purchases if stored else tables["transactions"], as_of, days_back
+    )
     keys = CUSTOMER if len(days_back) == 1 else CUSTOMER_AT_DATE
     whole_history = as_of is None and tuple(days_back) == (0,)
     web_keys = keys if trim_web else CUSTOMER
-    joined = purchase_features(
-        transactions,
+    joined = purchase_features_of_days(
+        purchases,
         windows,
         keys,
         min_transactions,
@@ -378,12 +423,19 @@ def snapshot_features(
         joined = joined.join(loyalty_features(tables["loyalty"]), "customer_id", "left")
     joined = joined.join(customer_regions(tables["customer_master"]), "customer_id")
     if wanted & set(WEB_COLUMNS):
-        web = web_features(tables["web_events"], windows if trim_web else None, web_keys)
+        if stored and trim_web:
+            web = web_features_of_days(tables["daily_sessions"], windows, web_keys)
+        elif stored:
+            web = web_features_of_all_days(tables["daily_sessions"])
+        else:
+            web = web_features(tables["web_events"], windows if trim_web else None, web_keys)
         joined = joined.join(web, list(web_keys), "left")
     if "median_basket_size" in wanted:
-        medians = median_baskets(
-            transactions, None if whole_history else windows, keys, len(set(days_back))
-        )
+        limits = None if whole_history else windows
+        if stored:
+            medians = median_baskets_of_days(tables["daily_cents"], limits, keys)
+        else:
+            medians = median_baskets(tables["transactions"], limits, keys, len(days_back))
         joined = joined.join(medians, list(keys), "left")
     zero_filled = (*WEB_COLUMNS, "loyalty_tier_numeric", "points_balance")
     return joined.select(

@@ -36,6 +36,7 @@ from basketlens.operators.segments import (
     run_summary,
     segment_assignments,
 )
+from basketlens.plans.daily import DailyStore
 from basketlens.plans.segmentation import fit_segmentation, score
 from basketlens.sources.schemas import SCHEMAS
 from basketlens.sources.sinks import (
@@ -71,17 +72,27 @@ def refresh_date(registry: TableRegistry, as_of: dt.date | None = None) -> dt.da
 
 
 def refresh_features(
-    registry: TableRegistry, as_of: dt.date | None = None, refit_scale: bool = True
+    registry: TableRegistry,
+    as_of: dt.date | None = None,
+    refit_scale: bool = True,
+    store: DailyStore | None = None,
 ) -> int:
     """Rebuild the feature table and the processed table from the base tables.
 
+    With ``store`` the features come from its daily sums; new days are loaded there first,
+    and the rows of earlier days are not read again.
+
     The features of the last refresh are kept for the drift checks. The scale of the
     processed table is stored beside it; ``refit_scale=False`` uses the stored one.
     """
     spark, database = registry.spark, registry.database
     create_database(spark, database)
-    date = refresh_date(registry, as_of)
-    tables = {name: registry.read(name) for name in FEATURE_TABLES}
+    if store is None:
+        date = refresh_date(registry, as_of)
+        tables = {name: registry.read(name) for name in FEATURE_TABLES}
+    else:
+        tables = store.tables() | {name: registry.read(name) for name in ("customer_master", "loyalty")}
+        date = as_of or reference_windows(tables["daily_purchases"]).first()["as_of"]
     keep_previous(spark, database, "customer_features", date)
     rows = replace_table(
         customer_features(tables, as_of), database, "customer_features", "customer_id", date

@@ -104,6 +104,6 @@ def week_number(tables: dict[str, DataFrame], as_of: dt.date | None, weeks: int)
     newest = (
         F.lit(as_of)
         if as_of
-        else reference_windows(tables["transactions"]).select("ref_date").scalar()
+        else reference_windows(tables.get("daily_purchases", tables.get("transactions"))).select("ref_date").scalar()
     )
     return (weeks - F.floor(F.datediff(newest, "as_of") / F.lit(7.0))).cast("long")

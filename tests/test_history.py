@@ -21,6 +21,7 @@ def test_history_equals_features_of_each_date(spark):
     for row in history.collect():
         values = row.asDict()
         by_week.setdefault(values.pop("week"), []).append(str(sorted(values.items())))
+    assert sorted(by_week) == [0, 1, 2, 3]
     for week in range(4):
         date = newest - dt.timedelta(days=7 * (3 - week))
         alone = customer_features(tables, date, trim_web=True).collect()
