@@ -34,7 +34,7 @@ from basketlens.operators import (
     reports,
     segments,
 )
-from basketlens.plans.segmentation import feature_history, fit_segmentation, score
+from basketlens.plans.segmentation import centers_of, feature_history, fit_segmentation, score
 from basketlens.sources.sample_views import sample_tables
 from basketlens.sources.schemas import BASE_TABLES
 from basketlens.sources.sinks import cut_lineage
@@ -482,7 +482,7 @@ def c15_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_of = features.reference_windows(sample_tables(spark, sf_dir)["transactions"])
     assignments = segments.segment_assignments(scored, names, as_of.select("ref_date").scalar())
     return segments.run_summary(
-        assignments, len(CLUSTER_FEATURES), clustering.silhouette(scored, "prediction")
+        assignments, len(CLUSTER_FEATURES), clustering.silhouette(scored, "segment_id")
     )
 
 
@@ -539,15 +539,15 @@ def c2_fit_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
         )).alias("by_basket"),
     )
     scaled = prepare.clustering_input(raw)
-    centers = {i: c for i, c in enumerate(model.stages[2].clusterCenters())}
+    centers = dict(enumerate(centers_of(model)))
 
     def cost(points: dict[int, Sequence[float]]) -> DataFrame:
         least = F.least(*[clustering.squared_distance(CLUSTER_FEATURES, c) for c in points.values()])
         return scaled.agg(F.sum(least).alias("cost"))
 
     nearest = clustering.assign_nearest(scaled, centers, name="nearest").select("customer_id", "nearest")
-    places = model.transform(raw).select("customer_id", "prediction").join(nearest, "customer_id")
-    misplaced = places.agg(F.count_if(F.col("prediction") != F.col("nearest")).alias("misplaced"))
+    places = scored.select("customer_id", "segment_id").join(nearest, "customer_id")
+    misplaced = places.agg(F.count_if(F.col("segment_id") != F.col("nearest")).alias("misplaced"))
     return ordered.select(
         "customers",
         "segments",
@@ -560,7 +560,7 @@ def c2_fit_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def c3_fit_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per number of clusters, that the cost does not rise and the silhouette is one."""
-    table = clustering.k_selection(_vectors(spark, sf_dir), restarts=3)
+    table = clustering.k_selection(_vectors(spark, sf_dir))
     before = F.lag("inertia").over(Window.orderBy("k"))  # nine rows
     return table.select(
         "k",

@@ -11,8 +11,6 @@ from pyspark.ml.clustering import (
     BisectingKMeans,
     GaussianMixture,
     GaussianMixtureModel,
-    KMeans,
-    KMeansModel,
 )
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -21,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.constants import CLUSTER_FEATURES, CLUSTERS
+from basketlens.operators.lloyd import KMeansFit, fit_many
 
 SEED = 42
 RESTARTS = 10
@@ -49,15 +48,10 @@ def fit_kmeans(
     seed: int = SEED,
     restarts: int = RESTARTS,
     max_iter: int = MAX_ITERATIONS,
-    parallel: int = 4,
-) -> KMeansModel:
-    """The cheapest of several K-means fits. Persist ``vectors`` beforehand."""
-
-    def fit(run_seed: int) -> KMeansModel:
-        return KMeans(k=k, seed=run_seed, maxIter=max_iter).fit(vectors)
-
-    models = _restarts(vectors, fit, range(seed, seed + restarts), parallel)
-    return min(models, key=_cost)
+) -> KMeansFit:
+    """The cheapest of several K-means fits, which share their scans."""
+    cases = [(k, s) for s in range(seed, seed + restarts)]
+    return min(fit_many(vectors, cases, max_iter), key=_cost)
 
 
 def silhouette(labelled: DataFrame, label: str = "prediction") -> float:
@@ -66,6 +60,7 @@ def silhouette(labelled: DataFrame, label: str = "prediction") -> float:
     It needs only sums per cluster, so it is linear in the rows. For the value of each
     customer see :func:`silhouettes`.
     """
+    labelled = labelled.withColumn(label, F.col(label).cast("double"))
     return ClusteringEvaluator(predictionCol=label).evaluate(labelled)
 
 
@@ -188,24 +183,16 @@ def k_selection(
     seed: int = SEED,
     restarts: int = RESTARTS,
     max_iter: int = MAX_ITERATIONS,
-    parallel: int = 4,
 ) -> DataFrame:
     """Inertia and silhouette for each number of clusters.
 
-    All fits share one pool, and one job labels the rows by every kept model and scores
+    All fits share their scans, and one job labels the rows by every kept fit and scores
     all labellings.
     """
-
-    def fit(case: tuple[int, int]) -> KMeansModel:
-        return KMeans(k=case[0], seed=case[1], maxIter=max_iter).fit(vectors)
-
     ks = list(ks)
     cases = [(k, s) for k in ks for s in range(seed, seed + restarts)]
-    models = _restarts(vectors, fit, cases, parallel)
-    best = [
-        min((m for m, case in zip(models, cases, strict=True) if case[0] == k), key=_cost)
-        for k in ks
-    ]
+    fits = fit_many(vectors, cases, max_iter)
+    best = [min((f for f, case in zip(fits, cases, strict=True) if case[0] == k), key=_cost) for k in ks]
     runs = [f"run_{i}" for i in range(len(ks))]
     dimensions = range(len(best[0].clusterCenters()[0]))
     scores = dict(run_silhouettes(label_runs(vectors, best), runs, dimensions).collect())
@@ -213,8 +200,8 @@ def k_selection(
     return vectors.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
-def _cost(model: KMeansModel) -> float:
-    return model.summary.trainingCost
+def _cost(fit: KMeansFit) -> float:
+    return fit.cost
 
 
 def hierarchical_labels(
@@ -248,6 +235,9 @@ def label_runs(vectors: DataFrame, models: Sequence, prefix: str = "run_") -> Da
     """Label the rows by each model, one column per run; no rows are shuffled."""
     labelled = vectors
     for i, model in enumerate(models):
+        if isinstance(model, KMeansFit):
+            labelled = model.transform(labelled, f"{prefix}{i}")
+            continue
         named = model.copy().setPredictionCol(f"{prefix}{i}")
         if isinstance(model, GaussianMixtureModel):
             named = named.setProbabilityCol(f"_probability_{i}")

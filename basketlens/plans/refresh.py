@@ -120,7 +120,7 @@ def review_model(
     return {
         "k_selection": k_selection(vectors, ks, restarts=options.get("restarts", RESTARTS)),
         "method_comparison": compare_methods(vectors),
-        "summary": run_summary(assigned, len(CLUSTER_FEATURES), silhouette(scored)),
+        "summary": run_summary(assigned, len(CLUSTER_FEATURES), silhouette(scored, "segment_id")),
     }
 
 

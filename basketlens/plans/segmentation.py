@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -35,12 +36,19 @@ def preparation_stage(
     return SQLTransformer(statement=f"SELECT *, {', '.join(terms)} FROM __THIS__")
 
 
-def numbering_stage(order: Sequence[int]) -> SQLTransformer:
-    """Number the clusters by their place in ``order``; fits number them arbitrarily."""
-    cases = " ".join(f"WHEN {cluster} THEN {place}L" for place, cluster in enumerate(order))
-    return SQLTransformer(
-        statement=f"SELECT *, CASE prediction {cases} END AS segment_id FROM __THIS__"
+def nearest_stage(
+    centers: Sequence[Sequence[float]], columns: Sequence[str] = CLUSTER_FEATURES
+) -> SQLTransformer:
+    """The number of the nearest centre, in their order, with the centres in its statement."""
+
+    def distance(center: Sequence[float]) -> str:
+        gaps = (f"(scaled_{c} - ({float(x)!r}D))" for c, x in zip(columns, center, strict=True))
+        return " + ".join(f"{gap} * {gap}" for gap in gaps)
+
+    found = ", ".join(
+        f"named_struct('distance', {distance(center)}, 'id', {place}L)" for place, center in enumerate(centers)
     )
+    return SQLTransformer(statement=f"SELECT *, array_min(array({found})).id AS segment_id FROM __THIS__")
 
 
 def fit_segmentation(
@@ -49,7 +57,6 @@ def fit_segmentation(
     seed: int = SEED,
     restarts: int = RESTARTS,
     max_iter: int = MAX_ITERATIONS,
-    parallel: int = 4,
 ) -> PipelineModel:
     """Scale, cluster and number the customers of a feature table.
 
@@ -67,14 +74,21 @@ def fit_segmentation(
     vectors = vectors.select("customer_id", ORDER_FEATURE, "features")
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = fit_kmeans(vectors, k, seed, restarts, max_iter, parallel)
-        means = model.transform(vectors).groupBy("prediction").agg(F.avg(ORDER_FEATURE))
+        fit = fit_kmeans(vectors, k, seed, restarts, max_iter)
+        means = fit.transform(vectors).groupBy("prediction").agg(F.avg(ORDER_FEATURE))
         order = [row[0] for row in sorted(means.collect(), key=lambda row: row[1])]
         # A cluster may be empty at the fit and still be the nearest of a later customer.
-        order += sorted(set(range(len(model.clusterCenters()))) - set(order))
+        order += sorted(set(range(len(fit.centers))) - set(order))
     finally:
         vectors.unpersist()
-    return PipelineModel([prepare, assemble, model, numbering_stage(order)])
+    return PipelineModel([prepare, assemble, nearest_stage([fit.centers[i] for i in order])])
+
+
+def centers_of(model: PipelineModel) -> list[list[float]]:
+    """The scaled centres of a fitted or stored model, in the order of their segments."""
+    numbers = re.findall(r"scaled_\w+ - \(([^()]*)D\)\) \*", model.stages[-1].getStatement())
+    width = len(CLUSTER_FEATURES)
+    return [[float(x) for x in numbers[at : at + width]] for at in range(0, len(numbers), width)]
 
 
 def score(model: PipelineModel, features: DataFrame) -> DataFrame:

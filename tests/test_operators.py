@@ -5,7 +5,10 @@ from __future__ import annotations
 import datetime as dt
 import math
 
+import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from basketlens.constants import CLUSTER_FEATURES, NAME_RULES, PROFILE_FEATURES
@@ -15,6 +18,7 @@ from basketlens.operators import (
     clustering,
     drift,
     experiment,
+    lloyd,
     migration,
     prepare,
     profiling,
@@ -117,12 +121,15 @@ def test_silhouette_against_brute_force(spark):
     assert clustering.silhouette(scored) == pytest.approx(sum(found.values()) / len(found))
 
 
-def test_segment_numbers_include_clusters_empty_at_the_fit(spark):
-    from basketlens.plans.segmentation import numbering_stage
+def test_segments_are_the_nearest_centres_in_their_order(spark):
+    from basketlens.plans.segmentation import centers_of, nearest_stage
 
-    df = spark.createDataFrame([(0,), (1,), (2,)], "prediction int")
-    numbered = numbering_stage([2, 0, 1]).transform(df).orderBy("prediction")
-    assert [r.segment_id for r in numbered.collect()] == [1, 2, 0]
+    centers = [[1e-17, -2.5], [3.0, 1e3], [-4.25, 0.1]]
+    stage = nearest_stage(centers, ["a", "b"])
+    df = spark.createDataFrame([(0.1, -2.0), (3.0, 900.0), (-4.0, 0.0), (9.0, 9e9)], "scaled_a double, scaled_b double")
+    assert [r.segment_id for r in stage.transform(df).collect()] == [0, 1, 2, 1]
+    numbers = [[float(i + j) for j in range(11)] for i in range(3)]
+    assert centers_of(PipelineModel([nearest_stage(numbers)])) == numbers
 
 
 def test_label_agreement(spark):
@@ -342,6 +349,57 @@ def _pure(labelled, label="prediction"):
     return pairs == labelled.select(label).distinct().count() == 5
 
 
+def _noise(spark, n=400, d=3):
+    rng = np.random.default_rng(3)
+    points = np.vstack([rng.normal(c, 1.0, (n // 4, d)) for c in (0, 3, 7, 8)])
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "id int, x array<double>")
+    return points, df.select("id", array_to_vector("x").alias("features"))
+
+
+def test_shared_fits_move_as_lloyd_says(spark):
+    """Every fit ends where plain Lloyd steps from its start end, with the same cost."""
+    points, vectors = _noise(spark)
+    cases = [(2, 1), (5, 1), (5, 2), (7, 9)]
+    blocks = vectors.select(vector_to_array("features").alias("x")).mapInArrow(lloyd._packed(), "rows long, block binary")
+    starts = lloyd._Fits(blocks, cases).starts()
+    for (k, _), start, fit in zip(cases, starts, lloyd.fit_many(vectors, cases, 300)):
+        centers, turns = start, 0
+        while True:
+            label = ((points[:, None] - centers) ** 2).sum(axis=2).argmin(axis=1)
+            moved = np.array([points[label == c].mean(axis=0) if (label == c).any() else centers[c] for c in range(k)])
+            shift, centers, turns = ((moved - centers) ** 2).sum(axis=1).max(), moved, turns + 1
+            if shift <= lloyd.TOLERANCE**2:
+                break
+        assert fit.iterations == turns and fit.centers == pytest.approx(centers)
+        gaps = ((points[:, None] - centers) ** 2).sum(axis=2)
+        assert fit.cost == pytest.approx(gaps.min(axis=1).sum())
+        labels = fit.transform(vectors).orderBy("id").collect()
+        assert [r.prediction for r in labels] == gaps.argmin(axis=1).tolist()
+
+
+def test_jobs_grow_with_iterations_and_not_with_fits(spark, monkeypatch):
+    passes, gather = [], lloyd._Fits._gather
+    monkeypatch.setattr(lloyd._Fits, "_gather", lambda self, *a: passes.append(1) or gather(self, *a))
+    _, vectors = _noise(spark)
+    fits = lloyd.fit_many(vectors, [(k, seed) for k in range(2, 8) for seed in range(5)], 300)
+    # The first rows, the draws, the weights and the costs besides.
+    assert len(passes) == max(f.iterations for f in fits) + lloyd.DRAWING_ROUNDS + 3 < len(fits) * 3
+
+
+def test_a_fit_does_not_depend_on_the_partitioning(spark):
+    _, vectors = _noise(spark)
+    one, other = (lloyd.fit_many(vectors.repartition(n), [(5, 4)], 300)[0] for n in (1, 7))
+    assert one.centers == pytest.approx(other.centers) and one.cost == pytest.approx(other.cost)
+
+
+def test_fewer_different_rows_than_clusters(spark):
+    vectors = spark.createDataFrame([([1.0, 2.0],)] * 9 + [([4.0, 4.0],)], "x array<double>").select(array_to_vector("x").alias("features"))
+    fit = clustering.fit_kmeans(vectors, 5, restarts=2)
+    assert sorted(fit.centers.tolist()) == [[1.0, 2.0], [4.0, 4.0]] and fit.cost == 0
+    with pytest.raises(ValueError):
+        clustering.fit_kmeans(vectors.limit(0))
+
+
 def test_model_fits_find_separate_groups(spark):
     vectors = _blobs(spark).cache()
     kmeans = clustering.fit_kmeans(vectors, restarts=3).transform(vectors)
