@@ -5,10 +5,10 @@ reads the rows once, and for every fit that still moves each task adds up its ro
 nearest centre. What leaves a task is a sum and a count per centre. So the jobs are as many
 as the longest fit has iterations, however many fits there are.
 
-Starting centres come from k-means||, also for all fits at once: a first row, two rounds
-that each draw 2 k rows with chances in proportion to their squared distance, and weights of
-the drawn rows, which the driver clusters. Draws depend on a row's values and the seed, not
-on where the row lies, so a fit does not depend on the partitioning.
+Starting centres come from a sample of at most ``SAMPLE_ROWS`` rows, which the driver clusters
+once per fit by k-means++ and Lloyd steps. So the fits over all rows start near their ends and
+need few iterations. Draws depend on a row's values, not on where the row lies, so a fit does
+not depend on the partitioning.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TOLERANCE = 1e-4
-DRAWING_ROUNDS = 2
+SAMPLE_ROWS = 4096
+SAMPLE_STEPS = 300
 #: Partial sums of more partitions than this are added up on executors before they travel.
 DIRECT_PARTITIONS = 64
 
@@ -130,43 +131,24 @@ class _Fits:
 
         return self.rdd.mapPartitions(of_partition).treeAggregate(None, either, either, depth=self.depth)
 
-    def _first_rows(self) -> list[np.ndarray] | None:
-        """For each fit the row with the least draw of its seed."""
-        draws, seeds = _row_draws(), sorted({seed for _, seed in self.cases})
+    def _sample(self) -> np.ndarray | None:
+        """The rows with the least draws, in their order; equal rows draw alike."""
+        draws = _row_draws()
 
         def least(block):
-            found = {}
-            for seed in seeds:
-                drawn = draws(block, seed)
-                at = int(drawn.argmin())
-                found[seed] = (float(drawn[at]), tuple(block[at].tolist()))
-            return found
+            drawn = draws(block, 0)
+            at = drawn.argsort(kind="stable")[:SAMPLE_ROWS]
+            return drawn[at], block[at]
 
-        found = self._gather(least, lambda a, b: {s: min(a[s], b[s]) for s in a})
-        return None if found is None else [np.array([found[seed][1]]) for _, seed in self.cases]
-
-    def _drawn(self, chosen: list[np.ndarray], turn: int) -> list[np.ndarray]:
-        """2 k rows per fit, drawn without replacement by squared distance to the chosen ones."""
-        draws, cases = _row_draws(), self.cases
-
-        def best(block):
+        def merge(a, b):
             import numpy as np
 
-            out, lengths = [], (block**2).sum(axis=1)
-            for (k, seed), centers in zip(cases, chosen):
-                gaps = lengths[:, None] - 2 * block @ centers.T + (centers**2).sum(axis=1)
-                weight = np.maximum(gaps.min(axis=1), 0.0)
-                with np.errstate(divide="ignore"):
-                    key = np.where(weight > 1e-12, -np.log(draws(block, seed * 1000 + turn)) / weight, np.inf)
-                at = np.argsort(key, kind="stable")[: 2 * k]
-                out.append([(float(key[i]), tuple(block[i].tolist())) for i in at if np.isfinite(key[i])])
-            return out
-
-        def merge(a, b):
-            return [sorted(x + y)[: 2 * k] for (k, _), x, y in zip(cases, a, b)]
+            drawn, rows = np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+            at = drawn.argsort(kind="stable")[:SAMPLE_ROWS]
+            return drawn[at], rows[at]
 
-        found = self._gather(best, merge)
-        return [np.vstack([old, *[np.array([row]) for _, row in new]]) for old, new in zip(chosen, found)]
+        found = self._gather(least, merge)
+        return None if found is None else found[1]
 
     def _step(self, centers: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
         """Per fit the sums and counts of the rows nearest to each centre, and the cost."""
@@ -190,13 +172,10 @@ class _Fits:
         return self._gather(move, lambda a, b: [tuple(p + q for p, q in zip(x, y)) for x, y in zip(a, b)])
 
     def starts(self) -> list[np.ndarray] | None:
-        chosen = self._first_rows()
-        if chosen is None:
+        sample = self._sample()
+        if sample is None:
             return None
-        for turn in range(1, DRAWING_ROUNDS + 1):
-            chosen = self._drawn(chosen, turn)
-        weights = [counts for _, counts, _ in self._step(chosen)]
-        return [_spread(rows, w, k, seed) for rows, w, (k, seed) in zip(chosen, weights, self.cases)]
+        return [_clustered(sample, k, seed) for k, seed in self.cases]
 
     def run(self, max_iter: int, tolerance: float) -> list[KMeansFit]:
         centers = self.starts()
@@ -220,20 +199,29 @@ class _Fits:
         return [KMeansFit(c, cost, n) for c, cost, n in zip(centers, costs, iterations)]
 
 
-def _spread(rows: np.ndarray, weights: np.ndarray, k: int, seed: int) -> np.ndarray:
-    """k-means++ and a few moves over a handful of weighted rows; fewer different rows give fewer centres."""
+def _gaps(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    lengths = (rows**2).sum(axis=1)[:, None] + (centers**2).sum(axis=1)
+    return np.maximum(lengths - 2 * rows @ centers.T, 0.0)
+
+
+def _clustered(rows: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """k-means++ and Lloyd steps over the sample; fewer different rows give fewer centres."""
     random = np.random.default_rng(seed)
-    rows, at = np.unique(rows, axis=0, return_inverse=True)
-    weights = np.bincount(at.ravel(), weights=weights) + 1e-9
-    chosen = [int(random.choice(len(rows), p=weights / weights.sum()))]
-    while len(chosen) < min(k, len(rows)):
-        gaps = ((rows[:, None] - rows[chosen]) ** 2).sum(axis=2).min(axis=1) * weights
-        chosen.append(int(random.choice(len(rows), p=gaps / gaps.sum())))
-    centers = rows[chosen].copy()
-    for _ in range(30):
-        label = ((rows[:, None] - centers) ** 2).sum(axis=2).argmin(axis=1)
-        for c in range(len(centers)):
-            own = label == c
-            if own.any():
-                centers[c] = np.average(rows[own], axis=0, weights=weights[own])
+    centers = rows[[random.integers(len(rows))]]
+    while len(centers) < k:
+        gaps = _gaps(rows, centers).min(axis=1)
+        gaps[gaps < 1e-12] = 0.0
+        if not gaps.any():
+            break
+        centers = np.vstack([centers, rows[random.choice(len(rows), p=gaps / gaps.sum())]])
+    for _ in range(SAMPLE_STEPS):
+        label = _gaps(rows, centers).argmin(axis=1)
+        member = np.zeros((len(rows), len(centers)))
+        member[np.arange(len(rows)), label] = 1.0
+        counts = member.sum(axis=0)
+        moved = np.where(counts[:, None] > 0, member.T @ rows / np.maximum(counts, 1)[:, None], centers)
+        still = ((moved - centers) ** 2).sum(axis=1).max() > TOLERANCE**2
+        centers = moved
+        if not still:
+            break
     return centers
