@@ -8,13 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketlens.constants import (
     CHURN_COLUMNS,
     CLUSTER_FEATURES,
+    CLUSTERS,
     DRIFT_FEATURES,
     PROCESSED_FEATURES,
     PROCESSED_LOG_FEATURES,
@@ -384,7 +387,7 @@ def c3_k_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def c4_hierarchical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = clustering.hierarchical_labels(_vectors(spark, sf_dir))
+    labelled = clustering.hierarchical_labels(_vectors(spark, sf_dir), CLUSTERS)
     return labelled.select("customer_id", "prediction")
 
 
@@ -412,7 +415,7 @@ def c5_silhouette_squared(spark: SparkSession, sf_dir: str) -> DataFrame:
 def c6_gmm(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _vectors(spark, sf_dir).persist()
     try:
-        models = [clustering.fit_mixture(vectors, seed) for seed in range(5)]
+        models = clustering.likeliest_mixtures(vectors, range(5))
     finally:
         vectors.unpersist()
     return clustering.label_runs(vectors, models).drop("features")
@@ -571,17 +574,51 @@ def c3_fit_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def c4_fit_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = clustering.hierarchical_labels(_vectors(spark, sf_dir))
-    return labelled.agg(F.count("*").alias("customers"), F.count_distinct("prediction").alias("clusters"))
+    """What a good labelling has and a random one has not: compact and well separated clusters.
+
+    Joined clusters keep at least an eighth of the spread out of them, and most customers
+    are nearest to the mean of their own cluster (a random fifth would be).
+    """
+    labelled = clustering.hierarchical_labels(_vectors(spark, sf_dir), CLUSTERS)
+    rows = labelled.select("prediction", vector_to_array("features").alias("x"))
+    values = [F.get("x", F.lit(i)) for i in range(len(CLUSTER_FEATURES))]
+    means = rows.groupBy("prediction").agg(F.array(*[F.avg(v) for v in values]).alias("mean"))
+    means = means.agg(F.collect_list(F.struct("prediction", "mean"))).scalar()  # five rows
+    gaps = F.transform(
+        "means",
+        lambda m: F.struct(
+            F.aggregate(F.zip_with("x", m["mean"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, g: t + g).alias("gap"),
+            m["prediction"].alias("prediction"),
+        ),
+    )
+    rows = rows.withColumn("means", means).withColumn("gaps", gaps)
+    own = F.element_at(F.filter("gaps", lambda g: g["prediction"] == F.col("prediction")), 1)["gap"]
+    total = sum((F.var_pop(v) * F.count(v) for v in values), F.lit(0.0))
+    return rows.agg(
+        F.count("*").alias("customers"),
+        F.count_distinct("prediction").alias("clusters"),
+        (F.sum(own) <= total * 0.875).alias("compact"),
+        (F.avg((F.array_min("gaps")["prediction"] == F.col("prediction")).cast("int")) >= 0.6).alias("separate"),
+    )
 
 
 @query
 def c6_fit_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = _vectors(spark, sf_dir)
-    models = [clustering.fit_mixture(vectors, seed, restarts=1) for seed in range(2)]
-    labelled = clustering.label_runs(vectors, models)
-    inside = [F.count_if(F.col(f"run_{i}").between(0, 4)) for i in range(2)]
-    return labelled.agg(F.count("*").alias("customers"), (inside[0] + inside[1]).alias("labels"))
+    """That the kept fit is the likeliest of its starts and likelier than a mixture of two."""
+    vectors = _vectors(spark, sf_dir).persist()
+    try:
+        pair = GaussianMixture(k=2, seed=0).fit(vectors).summary.logLikelihood
+        starts = clustering.mixture_starts(vectors, 0)
+        kept = clustering.fit_mixture(vectors, 0)
+        labelled = clustering.label_runs(vectors, [kept])
+        return labelled.agg(
+            F.count("*").alias("customers"),
+            F.count_if(F.col("run_0").between(0, CLUSTERS - 1)).alias("labels"),
+            F.lit(kept.summary.logLikelihood >= max(m.summary.logLikelihood for m in starts)).alias("likeliest"),
+            F.lit(kept.summary.logLikelihood > pair).alias("likelier_than_two"),
+        )
+    finally:
+        vectors.unpersist()
 
 
 # --- holdout test and migration --------------------------------------------

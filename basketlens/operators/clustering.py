@@ -8,26 +8,22 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import (
-    BisectingKMeans,
     GaussianMixture,
     GaussianMixtureModel,
 )
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.constants import CLUSTER_FEATURES, CLUSTERS
 from basketlens.operators.lloyd import KMeansFit, fit_many
+from basketlens.operators.ward import hierarchical_labels
 
 SEED = 42
 RESTARTS = 10
 MAX_ITERATIONS = 300
-#: How far vectors are moved for bisecting fits. Standardised features lie within a few
-#: units of zero, so ten keeps every centre away from it, and the first two points of a
-#: split, a ten-thousandth of the centre's length apart, stay inside the cluster.
-SPLIT_SHIFT = 10.0
 
 
 def as_vectors(scaled: DataFrame, columns: Sequence[str] = CLUSTER_FEATURES) -> DataFrame:
@@ -204,31 +200,46 @@ def _cost(fit: KMeansFit) -> float:
     return fit.cost
 
 
-def hierarchical_labels(
-    vectors: DataFrame, k: int = CLUSTERS, seed: int = SEED, shift: float = SPLIT_SHIFT
-) -> DataFrame:
-    """C4: labels by repeated splitting, the hierarchical method that scales.
+def mixture_starts(
+    vectors: DataFrame, seed: int, k: int = CLUSTERS, restarts: int = 3, parallel: int = 3
+) -> list[GaussianMixtureModel]:
+    """Gaussian mixtures started from one seed."""
+    return fit_mixtures(vectors, [seed], k, restarts, parallel)[0]
 
-    A split starts from two points beside the centre, apart in proportion to the
-    centre's length, which is zero for scaled features. Distances do not change when
-    all vectors are moved, so they are moved away from the origin for the fit.
-    """
-    moved = F.transform(vector_to_array("features"), lambda x: x + F.lit(shift))
-    shifted = vectors.withColumn("_shifted", array_to_vector(moved))
-    model = BisectingKMeans(k=k, seed=seed, featuresCol="_shifted").fit(shifted)
-    return model.transform(shifted).drop("_shifted")
+
+def fit_mixtures(
+    vectors: DataFrame,
+    seeds: Sequence[int],
+    k: int = CLUSTERS,
+    restarts: int = 3,
+    parallel: int = 4,
+) -> list[list[GaussianMixtureModel]]:
+    """The mixtures of all starts of all seeds, from one pool of fits."""
+
+    def fit(run_seed: int) -> GaussianMixtureModel:
+        return GaussianMixture(k=k, seed=run_seed).fit(vectors)
+
+    starts = [seed * restarts + i for seed in seeds for i in range(restarts)]
+    models = _restarts(vectors, fit, starts, parallel)
+    return [models[at : at + restarts] for at in range(0, len(models), restarts)]
+
+
+def _likeliest(models: Sequence[GaussianMixtureModel]) -> GaussianMixtureModel:
+    return max(models, key=lambda model: model.summary.logLikelihood)
 
 
 def fit_mixture(
     vectors: DataFrame, seed: int, k: int = CLUSTERS, restarts: int = 3, parallel: int = 3
 ) -> GaussianMixtureModel:
     """The likeliest of several Gaussian mixtures started from one seed."""
+    return _likeliest(mixture_starts(vectors, seed, k, restarts, parallel))
 
-    def fit(run_seed: int) -> GaussianMixtureModel:
-        return GaussianMixture(k=k, seed=run_seed).fit(vectors)
 
-    models = _restarts(vectors, fit, range(seed * restarts, (seed + 1) * restarts), parallel)
-    return max(models, key=lambda model: model.summary.logLikelihood)
+def likeliest_mixtures(
+    vectors: DataFrame, seeds: Sequence[int], k: int = CLUSTERS
+) -> list[GaussianMixtureModel]:
+    """The mixture of each seed, all starts from one pool."""
+    return [_likeliest(models) for models in fit_mixtures(vectors, seeds, k)]
 
 
 def label_runs(vectors: DataFrame, models: Sequence, prefix: str = "run_") -> DataFrame:
@@ -290,9 +301,9 @@ def compare_methods(
     vectors: DataFrame, k: int = CLUSTERS, seed: int = SEED, mixture_seeds: Sequence[int] = range(5)
 ) -> DataFrame:
     """Silhouettes of the three methods and how far mixture runs agree."""
-    mixtures = [fit_mixture(vectors, s, k) for s in mixture_seeds]
+    mixtures = likeliest_mixtures(vectors, mixture_seeds, k)
     labelled = label_runs(vectors, [fit_kmeans(vectors, k, seed)], "kmeans_")
-    labelled = hierarchical_labels(labelled, k, seed).withColumnRenamed("prediction", "split_0")
+    labelled = hierarchical_labels(labelled, k).withColumnRenamed("prediction", "split_0")
     labelled = label_runs(labelled, mixtures)
     runs = [f"run_{i}" for i in range(len(mixtures))]
     dimensions = range(len(mixtures[0].gaussians[0].mean)) if mixtures else CLUSTER_FEATURES

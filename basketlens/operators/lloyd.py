@@ -17,7 +17,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark import StorageLevel
+from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,7 +67,7 @@ def fit_many(
     A fit has converged once no centre moves by more than ``tolerance``. A centre without
     rows stays. Rows are held as blocks of numbers while the fits run.
     """
-    blocks = vectors.select(vector_to_array("features").alias("x")).mapInArrow(_packed(), "rows long, block binary")
+    blocks = vectors.select(vector_to_array("features").alias("x")).mapInArrow(packed(), "rows long, block binary")
     blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _Fits(blocks, cases).run(max_iter, tolerance)
@@ -75,7 +75,7 @@ def fit_many(
         blocks.unpersist()
 
 
-def _packed() -> Callable:
+def packed() -> Callable:
     def pack(batches):
         import pyarrow as pa
 
@@ -87,7 +87,7 @@ def _packed() -> Callable:
     return pack
 
 
-def _row_draws() -> Callable:
+def row_draws() -> Callable:
     """A function of a block and a seed that gives each row a number in (0, 1) by its values."""
 
     def draws(block, seed):
@@ -107,33 +107,36 @@ def _row_draws() -> Callable:
     return draws
 
 
+def gather(blocks: RDD, of_block: Callable, merge: Callable):
+    """What the blocks of :func:`packed` give, merged in their tasks first; None without rows."""
+
+    def of_partition(rows):
+        import numpy as np
+
+        total = None
+        for row in rows:
+            found = of_block(np.frombuffer(row["block"]).reshape(row["rows"], -1))
+            total = found if total is None else merge(total, found)
+        return [] if total is None else [total]
+
+    def either(a, b):
+        return b if a is None else a if b is None else merge(a, b)
+
+    depth = 1 if blocks.getNumPartitions() <= DIRECT_PARTITIONS else 2
+    return blocks.mapPartitions(of_partition).treeAggregate(None, either, either, depth=depth)
+
+
 class _Fits:
     def __init__(self, blocks: DataFrame, cases: Sequence[tuple[int, int]]):
         self.cases = list(cases)
         self.rdd = blocks.rdd
-        self.depth = 1 if self.rdd.getNumPartitions() <= DIRECT_PARTITIONS else 2
 
     def _gather(self, of_block: Callable, merge: Callable):
-        """What the blocks give, merged in their tasks first; None without rows."""
-
-        def of_partition(rows):
-            import numpy as np
-
-            total = None
-            for row in rows:
-                block = np.frombuffer(row["block"]).reshape(row["rows"], -1)
-                found = of_block(block)
-                total = found if total is None else merge(total, found)
-            return [] if total is None else [total]
-
-        def either(a, b):
-            return b if a is None else a if b is None else merge(a, b)
-
-        return self.rdd.mapPartitions(of_partition).treeAggregate(None, either, either, depth=self.depth)
+        return gather(self.rdd, of_block, merge)
 
     def _sample(self) -> np.ndarray | None:
         """The rows with the least draws, in their order; equal rows draw alike."""
-        draws = _row_draws()
+        draws = row_draws()
 
         def least(block):
             drawn = draws(block, 0)

@@ -24,6 +24,7 @@ from basketlens.operators import (
     profiling,
     reports,
     segments,
+    ward,
 )
 
 D = dt.date
@@ -362,7 +363,7 @@ def test_shared_fits_move_as_lloyd_says(spark, monkeypatch, sample_rows):
     monkeypatch.setattr(lloyd, "SAMPLE_ROWS", sample_rows)
     points, vectors = _noise(spark)
     cases = [(2, 1), (5, 1), (5, 2), (7, 9)]
-    blocks = vectors.select(vector_to_array("features").alias("x")).mapInArrow(lloyd._packed(), "rows long, block binary")
+    blocks = vectors.select(vector_to_array("features").alias("x")).mapInArrow(lloyd.packed(), "rows long, block binary")
     starts = lloyd._Fits(blocks, cases).starts()
     for (k, _), start, fit in zip(cases, starts, lloyd.fit_many(vectors, cases, 300)):
         centers, turns = start, 0
@@ -403,12 +404,63 @@ def test_fewer_different_rows_than_clusters(spark):
         clustering.fit_kmeans(vectors.limit(0))
 
 
+def _plain_ward(points, k):
+    """Join the pair of least Ward distance until k groups are left, trying all pairs."""
+    groups = [[i] for i in range(len(points))]
+    while len(groups) > k:
+        best = None
+        for a in range(len(groups)):
+            for b in range(a):
+                x, y = points[groups[a]], points[groups[b]]
+                gap = len(x) * len(y) / (len(x) + len(y)) * ((x.mean(axis=0) - y.mean(axis=0)) ** 2).sum()
+                if best is None or gap < best[0]:
+                    best = (gap, a, b)
+        _, a, b = best
+        groups[b] += groups.pop(a)
+    return {frozenset(g) for g in groups}
+
+
+def _groups_of(rows, label="prediction"):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r[label], set()).add(r["id"])
+    return {frozenset(g) for g in groups.values()}
+
+
+def test_ward_equals_joining_all_pairs(spark):
+    points, vectors = _noise(spark, 80)
+    for k in (2, 3, 6, 80):
+        labelled = ward.hierarchical_labels(vectors.repartition(4), k)
+        assert _groups_of(labelled.collect()) == _plain_ward(points, k)
+
+
+def test_ward_of_two_thousand_rows(spark):
+    """Separate blobs of different sizes, exact; summarised to 60 features, the same groups."""
+    rng = np.random.default_rng(1)
+    sizes = (1000, 600, 300, 90, 10)
+    points = np.vstack([rng.normal(40 * i, 1.0, (n, 3)) for i, n in enumerate(sizes)])
+    truth = np.repeat(range(5), sizes)
+    rows = [(i, p.tolist()) for i, p in enumerate(points)]
+    vectors = spark.createDataFrame(rows, "id int, x array<double>").select("id", array_to_vector("x").alias("features"))
+    wanted = {frozenset(np.flatnonzero(truth == i).tolist()) for i in range(5)}
+    for most in (2048, 60):
+        assert _groups_of(ward.hierarchical_labels(vectors.repartition(6), 5, most).collect()) == wanted
+    assert ward.hierarchical_labels(vectors.limit(0), 5).count() == 0
+
+
+def test_clustering_features_keep_counts_and_sums(spark):
+    points, vectors = _noise(spark)
+    blocks = vectors.repartition(5).select(vector_to_array("features").alias("x")).mapInArrow(lloyd.packed(), "rows long, block binary")
+    counts, sums = ward.clustering_features(blocks, 30)
+    assert len(counts) <= 30 and counts.sum() == len(points) and sums.sum(axis=0) == pytest.approx(points.sum(axis=0))
+
+
 def test_model_fits_find_separate_groups(spark):
     vectors = _blobs(spark).cache()
     kmeans = clustering.fit_kmeans(vectors, restarts=3).transform(vectors)
     assert _pure(kmeans)
     assert clustering.silhouette(kmeans) > 0.9
-    assert _pure(clustering.hierarchical_labels(vectors))
+    assert _pure(clustering.hierarchical_labels(vectors, 5))
     mixture = clustering.fit_mixture(vectors, 0)
     runs = clustering.label_runs(vectors, [mixture, mixture])
     assert runs.where("run_0 <> run_1").count() == 0
