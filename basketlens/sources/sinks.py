@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import datetime as dt
 import tempfile
+import uuid
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from basketlens.sources.schemas import SCHEMAS
 from basketlens.sources.tables import conform, guard_required, table_exists
 
-DATE_PROPERTY = "refresh_date"
+#: A table's rows lie in one folder per version; the folder's name begins with the date.
+VERSIONS, UNDATED = "__versions", "undated"
 
 
 def replace_table(
@@ -22,43 +25,75 @@ def replace_table(
     cluster_by: str | None = None,
     refresh_date: dt.date | None = None,
 ) -> int:
-    """Replace a table by the rows of ``df`` and return how many were written.
-
-    The rows go to a staging table first, so ``df`` may read the table it replaces and
-    a failed job leaves the old table in place; one that ends between the two renames is
-    put right by the next read or replacement. The row count is observed during the
-    write and costs no second scan. ``cluster_by`` sorts each written file by a column,
-    which keeps the minimum and maximum of its row groups narrow. ``refresh_date`` is
-    stored with the table and changes together with its rows.
+    """Replace a table by the rows of ``df`` and return how many were written.
+
+    The rows go to a new version folder, and one ``ALTER TABLE .. SET LOCATION`` makes it the
+    table: readers meet the old rows or the new ones and never no table, and a job that ends
+    before leaves the old ones. The version before is kept until the next replacement, so
+    ``df`` may read the table it replaces, and queries that have begun go on. Older versions
+    and those of broken jobs are deleted. A table whose columns change is made anew.
+
+    The row count is observed during the write and costs no second scan. ``cluster_by``
+    sorts each written file by a column, which keeps the minimum and maximum of its row
+    groups narrow. ``refresh_date`` is part of the folder's name, so that it changes together
+    with the rows.
     """
     spark = df.sparkSession
     rows = Observation(f"rows_{table}")
-    exists = table_exists(spark, f"{database}.{table}")
     out = guard_required(conform(df, table), table) if table in SCHEMAS else df
     if cluster_by:
         out = out.repartition(cluster_by).sortWithinPartitions(cluster_by)
     out = out.observe(rows, F.count(F.lit(1)).alias("rows"))
-    target, staging, previous = (
-        f"`{database}`.`{name}`" for name in (table, f"{table}__new", f"{table}__old")
-    )
-    out.write.mode("overwrite").format("parquet").saveAsTable(staging.replace("`", ""))
-    if refresh_date is not None:
-        spark.sql(f"ALTER TABLE {staging} SET TBLPROPERTIES ('{DATE_PROPERTY}' = '{refresh_date}')")
-    spark.sql(f"DROP TABLE IF EXISTS {previous}")
-    if exists:
-        spark.sql(f"ALTER TABLE {target} RENAME TO {previous}")
-    spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
-    spark.sql(f"DROP TABLE IF EXISTS {previous}")
+    home = f"{spark.catalog.getDatabase(database).locationUri}/{table}{VERSIONS}"
+    version = f"{home}/{refresh_date or UNDATED}_{uuid.uuid4().hex}"
+    out.write.format("parquet").save(version)
+    name, before = f"`{database}`.`{table}`", location(spark, database, table)
+    if before is not None and not _same_columns(spark.table(f"{database}.{table}"), out):
+        spark.sql(f"DROP TABLE {name}")
+        before = None
+    if before is None:
+        spark.catalog.createTable(f"{database}.{table}", path=version, source="parquet", schema=_nullable(out))
+    else:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
+    spark.catalog.refreshTable(f"{database}.{table}")
+    _delete_others(spark, home, keep=(version, before))
     return rows.get["rows"]
 
 
+def _same_columns(left: DataFrame, right: DataFrame) -> bool:
+    return left.dtypes == right.dtypes
+
+
+def _nullable(df: DataFrame) -> StructType:
+    return StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
+
+
+def location(spark: SparkSession, database: str, table: str) -> str | None:
+    """The folder a table's rows lie in; None if there is no such table."""
+    if not table_exists(spark, f"{database}.{table}"):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED `{database}`.`{table}`").collect()
+    return next(row["data_type"] for row in rows if row["col_name"] == "Location")
+
+
+def _delete_others(spark: SparkSession, home: str, keep: tuple[str | None, ...]) -> None:
+    """Delete the version folders that are not among the last parts of the paths in ``keep``."""
+    kept = {path.rstrip("/").rpartition("/")[2] for path in keep if path}
+    place = spark._jvm.org.apache.hadoop.fs.Path(home)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in store.listStatus(place):
+        if status.getPath().getName() not in kept:
+            store.delete(status.getPath(), True)
+
+
 def stored_date(spark: SparkSession, database: str, table: str) -> dt.date | None:
     """The refresh date stored with a table, if it has one."""
-    if not table_exists(spark, f"{database}.{table}"):
+    place = location(spark, database, table)
+    date = place.rstrip("/").rpartition("/")[2].partition("_")[0] if place else UNDATED
+    try:
+        return dt.date.fromisoformat(date)
+    except ValueError:
         return None
-    properties = spark.sql(f"SHOW TBLPROPERTIES `{database}`.`{table}`").collect()
-    found = [row["value"] for row in properties if row["key"] == DATE_PROPERTY]
-    return dt.date.fromisoformat(found[0]) if found else None
 
 
 def keep_previous(spark: SparkSession, database: str, table: str, refresh_date: dt.date) -> None:

@@ -21,18 +21,8 @@ def create_database(spark: SparkSession, database: str) -> None:
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
-    """Whether ``database.table`` exists, after finishing a replacement that broke off.
-
-    A replacement drops the old table last. If the job ended between its two renames, the
-    old table still stands beside the missing one and is put back here.
-    """
-    database, table = name.split(".")
-    if spark.catalog.tableExists(name):
-        return True
-    if not spark.catalog.tableExists(f"{name}__old"):
-        return False
-    spark.sql(f"ALTER TABLE `{database}`.`{table}__old` RENAME TO `{database}`.`{table}`")
-    return True
+    """Whether ``database.table`` exists."""
+    return spark.catalog.tableExists(name)
 
 
 class TableRegistry:
@@ -52,7 +42,6 @@ class TableRegistry:
 
     def read(self, table: str) -> DataFrame:
         if self.database:
-            table_exists(self.spark, self.name(table))
             return self.spark.table(self.name(table))
         return read_files(self.spark, table, self.name(table), "parquet")
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import threading
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 
 from basketlens.plans import refresh
 from basketlens.plans.segmentation import fit_segmentation, score
+from basketlens.sources import sinks
 from basketlens.sources.sample_views import sample_tables
 from basketlens.sources.schemas import SCHEMAS, feature_columns, required_columns
 from basketlens.sources.sinks import export_csv, load_model, replace_table, save_model, write_week
@@ -67,8 +70,80 @@ def test_replace_may_read_what_it_replaces(spark):
     assert replace_table(doubled, "replacing", "loyalty") == 10
     assert spark.table("replacing.loyalty").count() == 10
     assert {t.name for t in spark.catalog.listTables("replacing")} >= {"loyalty"}
-    assert not spark.catalog.tableExists("replacing.loyalty__new")
-    assert not spark.catalog.tableExists("replacing.loyalty__old")
+    assert {t.name for t in spark.catalog.listTables("replacing")} == {"loyalty"}
+
+
+def numbers(spark, n):
+    return conform(spark.range(n).select(F.col("id").cast("string").alias("customer_id")), "loyalty")
+
+
+def test_readers_meet_a_table_between_all_steps(spark, monkeypatch):
+    """Before and after each statement of a replacement the table has its old or its new rows."""
+    create_database(spark, "steps")
+    replace_table(numbers(spark, 5), "steps", "loyalty")
+    begun = spark.table("steps.loyalty")
+    plain, seen = type(spark).sql, []
+
+    def look():
+        seen.append(plain(spark, "SELECT count(*) AS n FROM steps.loyalty").first()["n"])
+
+    def watched(self, text, *args, **kwargs):
+        look()
+        out = plain(self, text, *args, **kwargs)
+        look()
+        return out
+
+    monkeypatch.setattr(type(spark), "sql", watched)
+    clean, write = sinks._delete_others, sinks.conform
+    monkeypatch.setattr(sinks, "conform", lambda *a: look() or write(*a))
+    monkeypatch.setattr(sinks, "_delete_others", lambda *a, **b: look() or clean(*a, **b) or look())
+    replace_table(numbers(spark, 8), "steps", "loyalty", refresh_date=dt.date(2024, 5, 6))
+    assert set(seen) == {5, 8} and seen == sorted(seen) and len(seen) > 5
+    assert sinks.stored_date(spark, "steps", "loyalty") == dt.date(2024, 5, 6)
+    # A query built before still finds its rows; the version before is kept for it.
+    assert begun.count() == 5
+
+
+def test_readers_in_another_thread(spark):
+    create_database(spark, "threads")
+    replace_table(numbers(spark, 1), "threads", "loyalty")
+    done, found, failed = threading.Event(), [], []
+
+    def read():
+        while not done.is_set():
+            try:
+                found.append(spark.table("threads.loyalty").count())
+            except Exception as error:  # the reader must not meet one
+                failed.append(str(error)[:300])
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in range(2, 8):
+        replace_table(numbers(spark, n), "threads", "loyalty")
+    done.set()
+    reader.join()
+    assert not failed and found == sorted(found) and set(found) <= set(range(1, 8))
+
+
+def test_a_table_of_other_columns_is_made_anew(spark):
+    create_database(spark, "other_columns")
+    replace_table(spark.range(3), "other_columns", "free")
+    replace_table(spark.range(4).withColumn("more", F.lit("x")), "other_columns", "free")
+    assert spark.table("other_columns.free").columns == ["id", "more"]
+
+
+def test_a_replacement_that_breaks_off_leaves_the_old_rows(spark):
+    """The next replacement clears what it wrote."""
+    create_database(spark, "broken_off")
+    replace_table(numbers(spark, 3), "broken_off", "loyalty")
+    bad = numbers(spark, 3).withColumn("points_balance", F.raise_error(F.lit("gone")).cast("long"))
+    with pytest.raises(Exception, match="gone"):
+        replace_table(bad, "broken_off", "loyalty")
+    assert spark.table("broken_off.loyalty").count() == 3
+    home = Path(sinks.location(spark, "broken_off", "loyalty").removeprefix("file:")).parent
+    for n in (4, 5):
+        replace_table(numbers(spark, n), "broken_off", "loyalty")
+    assert len(list(home.iterdir())) == 2 and spark.table("broken_off.loyalty").count() == 5
 
 
 def test_weekly_log_replaces_only_its_week(spark, tmp_path):
@@ -99,7 +174,7 @@ def test_registry(spark):
     assert TableRegistry(spark, path="/x").name("loyalty") == "/x/loyalty"
 
 
-def test_a_replacement_that_broke_off_is_finished(spark):
+def test_the_log_has_one_entry_per_date(spark):
     create_database(spark, "broken")
     registry = TableRegistry(spark, database="broken")
     weeks = spark.createDataFrame(
@@ -107,9 +182,6 @@ def test_a_replacement_that_broke_off_is_finished(spark):
         SCHEMAS["segment_migration_log"],
     )
     replace_table(weeks, "broken", "segment_migration_log")
-    spark.sql("ALTER TABLE broken.segment_migration_log RENAME TO broken.segment_migration_log__old")
-    assert registry.read("segment_migration_log").count() == 5
-    spark.sql("ALTER TABLE broken.segment_migration_log RENAME TO broken.segment_migration_log__old")
     moved = spark.createDataFrame([(7, 0.2, False)], "customers_shifted long, migration_rate double, stability_pass boolean")
     for _ in range(2):
         refresh._log_migration(registry, moved, dt.date(2024, 1, 6))
