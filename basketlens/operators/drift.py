@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketlens.constants import (
@@ -16,6 +16,13 @@ from basketlens.constants import (
 )
 from basketlens.functions.numeric import round_to, with_share
 
+#: Size of a quantile sketch, and by how much its ranks may be wrong (in 99 of 100 cases).
+SKETCH_SIZE = 800
+SKETCH_ERROR = 0.0045
+#: Distributions are compared at so many quantiles.
+QUANTILES = 200
+
+
 def _segment_shares(assignments: DataFrame) -> DataFrame:
     sizes = assignments.groupBy("segment_name").agg(F.count("*").alias("customer_count"))
     return with_share(sizes, "customer_count", "pct_of_total")
@@ -117,3 +124,58 @@ def feature_drift(
         shift.alias("shift_in_deviations"),
         (F.abs(shift) > limit).alias("alert"),
     )
+
+
+def feature_sketches(
+    features: DataFrame, columns: Sequence[str] = DRIFT_FEATURES, k: int = SKETCH_SIZE
+) -> DataFrame:
+    """The distribution of each feature as a mergeable quantile sketch: feature, n, sketch.
+
+    One aggregate whose state per feature is bounded by ``k``, however many customers there
+    are; a few kilobytes per feature are all that a later comparison needs of a refresh.
+    """
+    long = features.unpivot([], [F.col(c).cast("double").alias(c) for c in columns], "feature", "value")
+    return long.groupBy("feature").agg(
+        F.count("value").alias("n"), F.kll_sketch_agg_double("value", k).alias("sketch")
+    )
+
+
+def distribution_drift(before: DataFrame, after: DataFrame, limit: float = 0.1) -> DataFrame:
+    """How far the distribution of each feature moved between two refreshes.
+
+    ``largest_shift`` is the largest gap between the shares of customers at or below a value,
+    over the quantiles of both refreshes; ``value`` is where it lies. Between 0 and 1, it is
+    exact up to a step between quantiles and twice the error of a sketch, ``SKETCH_ERROR``. A
+    mean may stay while it is large.
+    """
+    steps = F.array(*[F.lit(i / QUANTILES) for i in range(1, QUANTILES + 1)])
+    known = (F.col("n_before") > 0) & (F.col("n_after") > 0)
+    joined = before.select("feature", F.col("n").alias("n_before"), F.col("sketch").alias("sketch_before")).join(
+        after.select("feature", F.col("n").alias("n_after"), F.col("sketch").alias("sketch_after")), "feature"
+    )
+    ranked = joined.where(known).withColumns(
+        {t: F.kll_sketch_get_quantile_double(f"sketch_{t}", steps) for t in ("before", "after")}
+    )
+
+    def share(quantiles: str, value: Column) -> Column:
+        return F.size(F.filter(quantiles, lambda q: q <= value)) / F.lit(QUANTILES)
+
+    gaps = F.transform(
+        F.array_distinct(F.concat("before", "after")),
+        lambda x: F.struct(
+            F.abs(share("after", x) - share("before", x)).alias("shift"),
+            (-x).alias("place"),
+            share("before", x).alias("share_before"),
+            share("after", x).alias("share_after"),
+        ),
+    )
+    return ranked.withColumn("largest", F.array_max(gaps)).select(
+        "feature",
+        "n_before",
+        "n_after",
+        (-F.col("largest.place")).alias("value"),
+        "largest.share_before",
+        "largest.share_after",
+        F.col("largest.shift").alias("largest_shift"),
+        (F.col("largest.shift") > limit).alias("alert"),
+    )

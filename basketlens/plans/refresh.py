@@ -52,6 +52,10 @@ from basketlens.sources.tables import TableRegistry, create_database, read_files
 FEATURE_TABLES = ("customer_master", "transactions", "web_events", "loyalty")
 #: The scale of the processed table, one column of mean and deviation per feature.
 SCALE_TABLE = "customer_features_scale"
+#: Quantile sketches of the features of every refresh.
+SKETCH_TABLE = "customer_features_sketches"
+#: Sales per customer and quarter.
+SALES_TABLE = "customer_sales"
 
 
 def load_tables(
@@ -95,18 +99,34 @@ def refresh_features(
         date = as_of or reference_windows(tables["daily_purchases"]).first()["as_of"]
     keep_previous(spark, database, "customer_features", date)
     rows = replace_table(
-        customer_features(tables, as_of), database, "customer_features", "customer_id", date
+        customer_features(tables, as_of), database, "customer_features", "customer_id", date, registry.buckets
     )
+    _store_sketches(registry, date)
     features = registry.read("customer_features")
     if refit_scale or not table_exists(spark, f"{database}.{SCALE_TABLE}"):
         unscaled = unscaled_input(features, PROCESSED_FEATURES, PROCESSED_LOG_FEATURES)
         replace_table(scaling(unscaled, PROCESSED_FEATURES), database, SCALE_TABLE)
     scale = spark.table(f"{database}.{SCALE_TABLE}")
     processed = processed_features(features, stats=scale)
-    replace_table(processed, database, "customer_features_processed", "customer_id", date)
+    replace_table(processed, database, "customer_features_processed", "customer_id", date, registry.buckets)
     return rows
 
 
+def refresh_sales(registry: TableRegistry) -> int:
+    """Sales per customer and quarter for the reports, bucketed as the other tables are."""
+    sales = reports.customer_sales(registry.read("transactions"))
+    return replace_table(sales, registry.database, SALES_TABLE, "customer_id", None, registry.buckets)
+
+
+def _store_sketches(registry: TableRegistry, date: dt.date) -> None:
+    """Add the distributions of this refresh, or replace those of a refresh of its date."""
+    spark, name = registry.spark, f"{registry.database}.{SKETCH_TABLE}"
+    new = drift.feature_sketches(registry.read("customer_features")).withColumn("refresh_date", F.lit(date))
+    if table_exists(spark, name):
+        new = spark.table(name).where(F.col("refresh_date") != F.lit(date)).unionByName(new)
+    replace_table(new, registry.database, SKETCH_TABLE)
+
+
 def review_model(
     registry: TableRegistry, ks: Sequence[int] = range(2, 11), **options: object
 ) -> dict[str, DataFrame]:
@@ -147,7 +167,7 @@ def refresh_assignments(
     date = refresh_date(registry, as_of)
     assigned = segment_assignments(scored, names, F.lit(date))
     keep_previous(spark, database, "segment_assignments", date)
-    rows = replace_table(assigned, database, "segment_assignments", "customer_id", date)
+    rows = replace_table(assigned, database, "segment_assignments", "customer_id", date, registry.buckets)
     before = _previous(registry, "segment_assignments")
     if before is not None:
         _log_migration(registry, migration(before, registry.read("segment_assignments")), date)
@@ -204,10 +224,12 @@ def report_tables(registry: TableRegistry) -> dict[str, DataFrame]:
     transactions = registry.read("transactions")
     features = registry.read("customer_features")
     holdout = registry.read("campaign_holdout_results")
+    sales = f"{registry.database}.{SALES_TABLE}"
+    sales = registry.spark.table(sales) if table_exists(registry.spark, sales) else None
     return {
-        "01_segment_health": reports.segment_health(assignments, transactions),
+        "01_segment_health": reports.segment_health(assignments, transactions, sales),
         "02_segment_health_over_time": reports.segment_health_by_quarter(
-            assignments, transactions
+            assignments, transactions, sales
         ),
         "03_segment_migration": reports.migration_report(registry.read("segment_migration_log")),
         "04_campaign_performance": reports.campaign_performance(holdout),
@@ -219,8 +241,16 @@ def report_tables(registry: TableRegistry) -> dict[str, DataFrame]:
     }
 
 
-def export_reports(registry: TableRegistry, directory: str) -> None:
-    export_csv(report_tables(registry), directory)
+def export_reports(registry: TableRegistry, directory: str, hold_on_alert: bool = False) -> list[str]:
+    """Write the nine reports; returns the checks that raise an alert.
+
+    ``hold_on_alert`` writes none while there is an alert, until someone has looked at it and
+    exports without this.
+    """
+    alerts = raised_alerts(registry)
+    if not (alerts and hold_on_alert):
+        export_csv(report_tables(registry), directory)
+    return alerts
 
 
 def drift_tables(registry: TableRegistry) -> dict[str, DataFrame]:
@@ -242,4 +272,16 @@ def drift_tables(registry: TableRegistry) -> dict[str, DataFrame]:
     before = _previous(registry, "customer_features")
     if before is not None:
         checks["feature_drift"] = drift.feature_drift(before, features)
+    sketches = registry.spark.table(f"{registry.database}.{SKETCH_TABLE}")
+    dates = [row[0] for row in sketches.select("refresh_date").distinct().orderBy(F.desc("refresh_date")).take(2)]
+    if len(dates) == 2:
+        older, newer = (sketches.where(F.col("refresh_date") == F.lit(date)) for date in reversed(dates))
+        checks["distribution_drift"] = drift.distribution_drift(older, newer)
     return checks
+
+
+def raised_alerts(registry: TableRegistry) -> list[str]:
+    """The checks with an alert; each check is one row per segment or feature at most."""
+    checks = drift_tables(registry).items()
+    raised = F.coalesce(F.col("alert").cast("string"), F.lit("false")) != "false"
+    return [name for name, df in checks if "alert" in df.columns and not df.where(raised).isEmpty()]

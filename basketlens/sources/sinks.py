@@ -9,7 +9,6 @@ import uuid
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
 
 from basketlens.sources.schemas import SCHEMAS
 from basketlens.sources.tables import conform, guard_required, table_exists
@@ -24,6 +23,7 @@ def replace_table(
     table: str,
     cluster_by: str | None = None,
     refresh_date: dt.date | None = None,
+    buckets: int | None = None,
 ) -> int:
     """Replace a table by the rows of ``df`` and return how many were written.
 
@@ -35,24 +35,38 @@ def replace_table(
 
     The row count is observed during the write and costs no second scan. ``cluster_by``
     sorts each written file by a column, which keeps the minimum and maximum of its row
-    groups narrow. ``refresh_date`` is part of the folder's name, so that it changes together
+    groups narrow; with ``buckets`` the rows are bucketed by that column, so that tables of one
+    number of buckets meet without a shuffle. ``refresh_date`` is part of the folder's name, so that it changes together
     with the rows.
     """
     spark = df.sparkSession
     rows = Observation(f"rows_{table}")
     out = guard_required(conform(df, table), table) if table in SCHEMAS else df
-    if cluster_by:
+    if buckets:
+        out = out.repartition(buckets, cluster_by)
+    elif cluster_by:
         out = out.repartition(cluster_by).sortWithinPartitions(cluster_by)
     out = out.observe(rows, F.count(F.lit(1)).alias("rows"))
     home = f"{spark.catalog.getDatabase(database).locationUri}/{table}{VERSIONS}"
     version = f"{home}/{refresh_date or UNDATED}_{uuid.uuid4().hex}"
-    out.write.format("parquet").save(version)
     name, before = f"`{database}`.`{table}`", location(spark, database, table)
-    if before is not None and not _same_columns(spark.table(f"{database}.{table}"), out):
+    writer = out.write.format("parquet")
+    if not buckets:
+        writer.save(version)
+    else:
+        # Only a table can be bucketed; dropping this one leaves its files.
+        written = f"{database}.{table}__written"
+        spark.sql(f"DROP TABLE IF EXISTS {written}")
+        writer.bucketBy(buckets, cluster_by).sortBy(cluster_by).option("path", version).saveAsTable(written)
+        spark.sql(f"DROP TABLE {written}")
+    shape = [*out.dtypes, ("buckets", str(buckets))]
+    if before is not None and shape != _shape(spark, database, table):
         spark.sql(f"DROP TABLE {name}")
         before = None
     if before is None:
-        spark.catalog.createTable(f"{database}.{table}", path=version, source="parquet", schema=_nullable(out))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields)
+        layout = f"CLUSTERED BY ({cluster_by}) SORTED BY ({cluster_by}) INTO {buckets} BUCKETS" if buckets else ""
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {layout} LOCATION '{version}'")
     else:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{version}'")
     spark.catalog.refreshTable(f"{database}.{table}")
@@ -60,12 +74,11 @@ def replace_table(
     return rows.get["rows"]
 
 
-def _same_columns(left: DataFrame, right: DataFrame) -> bool:
-    return left.dtypes == right.dtypes
-
-
-def _nullable(df: DataFrame) -> StructType:
-    return StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
+def _shape(spark: SparkSession, database: str, table: str) -> list[tuple[str, str]]:
+    """A table's columns with their types, and its number of buckets."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED `{database}`.`{table}`").collect()
+    buckets = next((row["data_type"] for row in rows if row["col_name"] == "Num Buckets"), "None")
+    return [*spark.table(f"{database}.{table}").dtypes, ("buckets", buckets)]
 
 
 def location(spark: SparkSession, database: str, table: str) -> str | None:

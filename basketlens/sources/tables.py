@@ -26,14 +26,24 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 
 class TableRegistry:
-    """The eleven tables by name, as tables of a database or directories below a path."""
+    """The eleven tables by name, as tables of a database or directories below a path.
 
-    def __init__(self, spark: SparkSession, database: str | None = None, path: str | None = None):
+    With ``buckets`` the tables per customer of a database are bucketed by customer.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        database: str | None = None,
+        path: str | None = None,
+        buckets: int | None = None,
+    ):
         if (database is None) == (path is None):
             raise ValueError("give either a database or a path")
         self.spark = spark
         self.database = database
         self.path = path
+        self.buckets = buckets
 
     def name(self, table: str) -> str:
         if table not in SCHEMAS:
