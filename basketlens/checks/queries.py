@@ -754,6 +754,14 @@ def d5_feature_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(change, [c for c in change.columns if c not in ("feature", "alert")])
 
 
+@query
+def d5_distribution_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which features moved by more than a tenth of the customers, as the exact shares say too."""
+    history = cut_lineage(feature_history(sample_tables(spark, sf_dir), columns=DRIFT_FEATURES))
+    before, after = (drift.feature_sketches(history.where(F.col("week") == week)) for week in (0, 3))
+    return drift.distribution_drift(before, after).select("feature", "n_before", "n_after", "alert")
+
+
 # --- reports ---------------------------------------------------------------
 
 

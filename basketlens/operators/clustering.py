@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from itertools import combinations
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import (
     GaussianMixture,
@@ -259,9 +261,10 @@ def label_runs(vectors: DataFrame, models: Sequence, prefix: str = "run_") -> Da
 def label_agreement(labelled: DataFrame, runs: Sequence[str]) -> DataFrame:
     """For each pair of runs the share of equal labels.
 
-    Cluster numbers are arbitrary, so ``matched_agreement`` first renames each label of
-    one run to the label of the other that it overlaps most. Rows are counted per
-    combination of labels at once; all pairs follow from those counts.
+    Cluster numbers are arbitrary, so ``matched_agreement`` first renames the labels of one
+    run to those of the other, each to a different one, such that most rows agree; labels
+    left over agree with none. Rows are counted per combination of labels at once; all pairs
+    follow from those counts, of which a pair has as many as products of its labels.
     """
     combos = labelled.groupBy(*runs).agg(F.count("*").alias("rows"))
     pairs = F.array(
@@ -280,21 +283,65 @@ def label_agreement(labelled: DataFrame, runs: Sequence[str]) -> DataFrame:
         .groupBy("run_a", "run_b", "label_a", "label_b")
         .agg(F.sum("rows").alias("rows"))
     )
-    return (
-        overlap.groupBy("run_a", "run_b", "label_a")
-        .agg(
-            F.sum("rows").alias("rows"),
-            F.max("rows").alias("best"),
-            F.sum(F.when(F.col("label_a") == F.col("label_b"), F.col("rows")).otherwise(0)).alias(
-                "equal"
-            ),
-        )
-        .groupBy("run_a", "run_b")
-        .agg(
-            (F.sum("equal") / F.sum("rows")).alias("agreement"),
-            (F.sum("best") / F.sum("rows")).alias("matched_agreement"),
-        )
+    equal = F.when(F.col("label_a") == F.col("label_b"), F.col("rows")).otherwise(0)
+    agreement = overlap.groupBy("run_a", "run_b").agg(
+        F.sum("rows").alias("total"), (F.sum(equal) / F.sum("rows")).alias("agreement")
+    )
+    matched = overlap.groupBy("run_a", "run_b").applyInPandas(
+        _matched_rows(), "run_a string, run_b string, matched double"
     )
+    return agreement.join(matched, ["run_a", "run_b"]).select(
+        "run_a", "run_b", "agreement", (F.col("matched") / F.col("total")).alias("matched_agreement")
+    )
+
+
+def matcher() -> Callable[[np.ndarray], float]:
+    """The function below, in a form that tasks need no installed package for."""
+
+    def best_matching(weights: np.ndarray) -> float:
+        """The largest sum of entries of a matrix, no two in one row or column.
+
+        Rows are taken in one after the other. Prices of rows and columns are kept such that the
+        cheapest path of renamings that frees a column for the new row is found by adding up.
+        """
+        size = max(weights.shape)
+        cost = np.zeros((size, size))
+        cost[: weights.shape[0], : weights.shape[1]] = weights.max() - weights
+        cost[weights.shape[0] :, :] = cost[:, weights.shape[1] :] = weights.max()
+        row_price, column_price = np.zeros(size), np.zeros(size + 1)
+        owner = np.full(size + 1, -1)
+        for row in range(size):
+            at, owner[size] = size, row
+            least, back, done = np.full(size, np.inf), np.full(size, size), np.zeros(size + 1, dtype=bool)
+            while owner[at] >= 0:
+                done[at] = True
+                free = ~done[:size]
+                slack = cost[owner[at]] - row_price[owner[at]] - column_price[:size]
+                shorter = free & (slack < least)
+                least[shorter], back[shorter] = slack[shorter], at
+                nearest = int(np.where(free, least, np.inf).argmin())
+                step = least[nearest]
+                row_price[owner[done]] += step
+                column_price[done] -= step
+                least[free] -= step
+                at = nearest
+            while at != size:
+                owner[at], at = owner[back[at]], back[at]
+        matched = [(owner[c], c) for c in range(weights.shape[1]) if owner[c] < weights.shape[0]]
+        return sum(weights[r, c] for r, c in matched)
+
+    return best_matching
+
+
+def _matched_rows() -> Callable[[pd.DataFrame], pd.DataFrame]:
+    best = matcher()
+
+    def of_pair(overlap: pd.DataFrame) -> pd.DataFrame:
+        table = overlap.pivot_table(index="label_a", columns="label_b", values="rows", aggfunc="sum", fill_value=0)
+        found = {name: [overlap[name].iloc[0]] for name in ("run_a", "run_b")}
+        return pd.DataFrame(found | {"matched": [float(best(table.to_numpy()))]})
+
+    return of_pair
 
 
 def compare_methods(

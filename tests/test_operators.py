@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 import math
 
 import numpy as np
@@ -140,6 +141,17 @@ def test_label_agreement(spark):
     assert found == {("a", "b"): (0.0, 1.0), ("a", "c"): (0.5, 0.5), ("b", "c"): (0.5, 0.5)}
 
 
+def test_the_best_matching_is_the_best_of_all(spark):
+    """Two labels must not share a name: the old way would have counted 12 here, not 10."""
+    assert clustering.matcher()(np.array([[7, 2], [5, 3]])) == 10
+    rng = np.random.default_rng(8)
+    for _ in range(60):
+        weights = rng.integers(0, 30, rng.integers(1, 6, 2))
+        tall = weights if weights.shape[0] >= weights.shape[1] else weights.T
+        best = max(sum(tall[r, c] for c, r in enumerate(rows)) for rows in itertools.permutations(range(len(tall)), tall.shape[1]))
+        assert clustering.matcher()(weights) == best
+
+
 def _profile(spark, values):
     columns = {c: 0.0 for c in PROFILE_FEATURES}
     data = [(i, *{**columns, **v}.values()) for i, v in enumerate(values)]
