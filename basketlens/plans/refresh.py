@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
@@ -47,7 +48,14 @@ from basketlens.sources.sinks import (
     replace_table,
     save_model,
 )
-from basketlens.sources.tables import TableRegistry, create_database, read_files, table_exists
+from basketlens.sources.tables import (
+    TableRegistry,
+    create_database,
+    read_checked,
+    read_files,
+    split_rejects,
+    table_exists,
+)
 
 FEATURE_TABLES = ("customer_master", "transactions", "web_events", "loyalty")
 #: The scale of the processed table, one column of mean and deviation per feature.
@@ -56,6 +64,8 @@ SCALE_TABLE = "customer_features_scale"
 SKETCH_TABLE = "customer_features_sketches"
 #: Sales per customer and quarter.
 SALES_TABLE = "customer_sales"
+#: Rows that the last load could not use.
+REJECT_TABLE = "load_rejects"
 
 
 def load_tables(
@@ -70,6 +80,27 @@ def load_tables(
     return registry.spark.createDataFrame(counts, "table_name string, row_count long")
 
 
+def load_checked(registry: TableRegistry, paths: dict[str, str], fmt: str = "csv") -> DataFrame:
+    """Load base tables from text files: good rows become the tables, bad ones are kept.
+
+    The bad rows of a load are in the table ``load_rejects`` with their text, file and
+    reason; the result counts the rows per table and reason, null being the good ones.
+    """
+    spark, database = registry.spark, registry.database
+    create_database(spark, database)
+    counts, rejects = [], []
+    for table, path in paths.items():
+        # The files are read once; both tables are written from the checked copy.
+        checked = cut_lineage(read_checked(spark, table, path, fmt))
+        good, bad = split_rejects(checked, table)
+        counts.append((table, None, replace_table(good, database, table)))
+        rejects.append(bad)
+    replace_table(reduce(DataFrame.unionByName, rejects), database, REJECT_TABLE)
+    per_reason = spark.table(f"{database}.{REJECT_TABLE}").groupBy("table_name", "reason")
+    loaded = spark.createDataFrame(counts, "table_name string, reason string, row_count long")
+    return loaded.unionByName(per_reason.agg(F.count("*").alias("row_count")))
+
+
 def refresh_date(registry: TableRegistry, as_of: dt.date | None = None) -> dt.date:
     """The date of a refresh: the one given, or that of the newest transaction."""
     return as_of or reference_windows(registry.read("transactions")).first()["as_of"]

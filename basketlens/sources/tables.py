@@ -100,6 +100,53 @@ def read_files(spark: SparkSession, table: str, path: str, fmt: str = "parquet")
     return conform(reader.format(fmt).load(path), table)
 
 
+REASONS = ("unreadable row", "unreadable date", "required column empty")
+
+
+def read_checked(spark: SparkSession, table: str, path: str, fmt: str = "csv") -> DataFrame:
+    """The rows of text files with what is wrong with each: the declared columns, and
+    ``reason``, ``detail``, ``record`` and ``file`` (S1, S2).
+
+    ``reason`` is null for a good row. A row that cannot be read as its types, whose date has
+    text that is no date, or whose required column is empty has a reason; ``detail`` names
+    the column where there is one, ``record`` is the text of an unreadable row.
+    """
+    lenient = StructType()
+    for field in SCHEMAS[table].fields:
+        is_date = isinstance(field.dataType, DateType)
+        lenient = lenient.add(field.name, StringType() if is_date else field.dataType)
+    reader = spark.read.schema(lenient.add("_record", StringType()))
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_record")
+    if fmt == "csv":
+        reader = reader.option("header", True).option("enforceSchema", False)
+    raw = reader.format(fmt).load(path).withColumn("file", F.col("_metadata.file_path"))
+    dates = [c for c in date_columns(table) if c in lenient.names]
+    no_dates = [F.when(F.col(c).isNotNull() & F.try_to_date(c).isNull(), F.lit(c)) for c in dates]
+    empty = [F.when(F.col(c).isNull(), F.lit(c)) for c in required_columns(table)]
+    bad_date, missing = F.coalesce(*no_dates, F.lit(None)), F.coalesce(*empty, F.lit(None))
+    unreadable = F.col("_record").isNotNull()
+    checked = raw.select(
+        "*",
+        F.when(unreadable, REASONS[0]).when(bad_date.isNotNull(), REASONS[1]).when(missing.isNotNull(), REASONS[2]).alias("reason"),
+        F.when(~unreadable, F.coalesce(bad_date, missing)).alias("detail"),
+    )
+    columns = conform(checked, table).columns
+    typed = text_to_dates(checked, dates)
+    return typed.select(*columns, "reason", "detail", F.col("_record").alias("record"), "file")
+
+
+def split_rejects(checked: DataFrame, table: str) -> tuple[DataFrame, DataFrame]:
+    """The good rows, and the bad ones as (table_name, reason, detail, record, file).
+
+    The record of a row that could be read but is bad is its columns as JSON.
+    """
+    columns = SCHEMAS[table].names
+    good = checked.where(F.col("reason").isNull()).select(*columns)
+    as_text = F.coalesce("record", F.to_json(F.struct(*columns)))
+    bad = checked.where(F.col("reason").isNotNull())
+    return good, bad.select(F.lit(table).alias("table_name"), "reason", "detail", as_text.alias("record"), "file")
+
+
 def required_violations(tables: dict[str, DataFrame]) -> DataFrame:
     """One row per required column with its number of nulls (S3), one pass per table."""
     parts = []

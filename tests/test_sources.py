@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import threading
 from pathlib import Path
 
@@ -73,6 +74,42 @@ def test_replace_may_read_what_it_replaces(spark):
     assert {t.name for t in spark.catalog.listTables("replacing")} == {"loyalty"}
 
 
+CSV = """transaction_id,customer_id,transaction_date,channel,category,amount,discount_pct,promo_flag
+t1,c1,2024-01-05,store,paint,12.50,0.1,true
+t2,c1,not a date,store,paint,3.00,0.0,false
+t3,c2,2024-02-30,store,paint,3.00,0.0,false
+t4,c2,2024-01-06,store,paint,many,0.0,false
+t5,,2024-01-06,store,paint,4.00,0.0,false
+t6,c3,,online,tools,5.25,,
+t7,c3,2024-01-07,online,tools,5.25,0.0,maybe
+t8,c3
+"""
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_bad_rows_are_kept_and_counted(spark, tmp_path, fmt):
+    """Each bad row is kept with its text and a reason, and no good row is lost beside it."""
+    columns = [f.name for f in SCHEMAS["transactions"].fields]
+    lines = [dict(zip(CSV.splitlines()[0].split(","), row.split(","))) for row in CSV.splitlines()[1:]]
+    if fmt == "csv":
+        text = "\n".join([",".join(columns), *[",".join(r.get(c) or "" for c in columns) if len(r) > 2 else "t8,c3" for r in lines]])
+    else:
+        kinds = {"amount": lambda x: float(x) if x != "many" else x, "discount_pct": float, "promo_flag": lambda x: {"true": True, "false": False}.get(x, x)}
+        text = "\n".join(json.dumps({k: kinds.get(k, str)(v) for k, v in r.items() if v}) if len(r) > 2 else "{" for r in lines)
+    (tmp_path / "rows").write_text(text + "\n")
+    registry = TableRegistry(spark, f"rejecting_{fmt}")
+    counts = {(r.table_name, r.reason): r.row_count for r in refresh.load_checked(registry, {"transactions": str(tmp_path / "rows")}, fmt).collect()}
+    assert counts == {
+        ("transactions", None): 2, ("transactions", "unreadable row"): 3,
+        ("transactions", "unreadable date"): 2, ("transactions", "required column empty"): 1,
+    }
+    assert [r.transaction_id for r in registry.read("transactions").orderBy("transaction_id").collect()] == ["t1", "t6"]
+    rejects = spark.table(f"rejecting_{fmt}.{refresh.REJECT_TABLE}").collect()
+    assert {r.detail for r in rejects} == {None, "transaction_date", "customer_id"}
+    assert all(r.file.endswith("rows") and r.record for r in rejects)
+    assert any("many" in r.record for r in rejects)
+
+
 def numbers(spark, n):
     return conform(spark.range(n).select(F.col("id").cast("string").alias("customer_id")), "loyalty")
 
