@@ -187,8 +187,15 @@ def drop_contaminated(
     """The documents in which no benchmark item is found, with all their columns."""
     found = materialise(
         contaminated_rows(docs, benchmark, k, coverage)
-        .select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"))
+        .select(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"))
         .distinct()
     )
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_or_empty("text")) == F.col("__text"))
-    return docs.join(found, same, "left_anti")
+    # The row is one struct beside the columns used here, so no name of it can clash.
+    rows = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(text_or_empty("text")).alias("hash"),
+    )
+    same = F.col("id").eqNullSafe(F.col("found_id")) & (F.col("hash") == F.col("found_hash"))
+    clean = rows.join(found, same, "left_anti")
+    return clean.select(*[F.col("row").getField(name).alias(name) for name in docs.columns])

@@ -57,13 +57,18 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     no lines; an empty one has one blank line. Rows that agree in doc_id and text are
     treated alike. Further columns of ``docs`` are returned unchanged.
     """
-    keyed = docs.withColumn("__hash", F.xxhash64(text_or_empty("text")))
+    # The row is one struct beside the columns used here, so no name of it can clash.
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
+        F.col("doc_id").cast("long").alias("id"),
+        F.xxhash64(text_or_empty("text")).alias("hash"),
+        _lines(F.col("text")).alias("lines"),
+        F.col("text").alias("whole"),
+        F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("")).alias("site"),
+    )
     lines = materialise(
         keyed.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("__hash").alias("text_hash"),
-            F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("")).alias("site"),
-            F.posexplode(_lines(F.col("text"))).alias("line_no", "line"),
+            F.col("id").alias("doc_id"), F.col("hash").alias("text_hash"), "site", F.posexplode("lines").alias("line_no", "line")
         )
         .withColumn("line", _bare(F.col("line")))
         .where("line <> ''")
@@ -73,25 +78,22 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     removed = (
         lines.join(boilerplate_lines(lines, min_sites), ["h1", "h2"])
         .where(~place.eqNullSafe(F.col("first")))
-        .groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text"))
-        .agg(F.collect_set("line_no").alias("__removed"))
+        .groupBy(F.col("doc_id").alias("removed_id"), F.col("text_hash").alias("removed_hash"))
+        .agg(F.collect_set("line_no").alias("removed"))
     )
-    joined = keyed.join(
-        removed,
-        (F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))) & (F.col("__hash") == F.col("__text")),
-        "left",
-    ).withColumn("__lines", _lines(F.col("text")))
-    numbers = F.sequence(F.lit(0), F.size("__lines") - 1)
-    kept = F.transform(F.array_except(numbers, F.col("__removed")), lambda i: F.get("__lines", i))
+    same = F.col("id").eqNullSafe(F.col("removed_id")) & (F.col("hash") == F.col("removed_hash"))
+    joined = keyed.drop("site").join(removed, same, "left")
+    numbers = F.sequence(F.lit(0), F.size("lines") - 1)
+    kept = F.transform(F.array_except(numbers, F.col("removed")), lambda i: F.get("lines", i))
     columns = [
-        F.when(F.col("__removed").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")
+        F.when(F.col("removed").isNull(), F.col("whole")).otherwise(F.array_join(kept, "\n")).alias("text")
         if name == "text"
-        else F.col(f"`{name}`")
+        else F.col("row").getField(name).alias(name)
         for name in docs.columns
         if name not in ("n_lines", "n_removed")
     ]
     return joined.select(
         *columns,
-        F.when(F.col("text").isNull(), 0).otherwise(F.size("__lines")).cast("long").alias("n_lines"),
-        F.coalesce(F.size("__removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.when(F.col("whole").isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines"),
+        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from basketlens.llm.common import materialise, word_count
 
+SLACK = 1e-12
 GRID = 1_000_000
 SLOTS = 1000
 
@@ -119,16 +120,18 @@ def mix_sources(
     shares = materialise(sources.withColumn("p", F.col("tokens") / F.lit(total)))
     point, ln_z = mix_exponent(shares, entropy_share, max_repeats, budget)
 
-    weight = F.round(F.exp(F.log("p") * F.lit(point / GRID) - F.lit(ln_z)), 9)
-    weighted = shares.withColumn("weight", weight)
+    # Only the reported weight is rounded: a source of a few words in a large corpus has one
+    # near the last decimal. The slack keeps whole numbers whole whatever the last bits say.
+    share = F.exp(F.log("p") * F.lit(point / GRID) - F.lit(ln_z))
+    weighted = shares.withColumn("share", share).withColumn("weight", F.round("share", 9))
     if budget is None:
-        budget = weighted.agg(F.max(F.ceil(F.col("tokens") / F.col("weight")))).first()[0]
+        budget = weighted.agg(F.max(F.ceil(F.col("tokens") / F.col("share") * F.lit(1 - SLACK)))).first()[0]
     limit = F.floor(F.col("tokens") * F.lit(float(max_repeats)))
     quotas = weighted.select(
         "source",
         "weight",
         "tokens",
-        F.least(F.floor(F.lit(budget) * F.col("weight")), limit).alias("quota"),
+        F.least(F.floor(F.lit(budget) * F.col("share") * F.lit(1 + SLACK)), limit).alias("quota"),
         F.ceil(F.sqrt("n_docs")).cast("long").alias("n_blocks"),
     ).where("quota > 0")
 

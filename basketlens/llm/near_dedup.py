@@ -310,22 +310,41 @@ def _links(classes: DataFrame, docs: DataFrame, k: int, similarity: int) -> Data
     return compared.unionByName(more).where("linked").select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, similarity: int = SIMILARITY) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept.
-
-    Two documents are linked if 100 * intersection >= ``similarity`` * union of their sets
-    of distinct ``k``-word shingles. Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower
-    case. A text of fewer than ``k`` words is one shingle, its whole sequence; a null text
-    and one without words have no shingle and are linked with nothing. ``component_id`` is
-    the smallest doc_id that links reach, and ``kept`` says that it is the row's own.
+def with_nodes(docs: DataFrame, null_ids: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The rows with ``node``, which tells different texts of one doc_id apart, and those ids.
 
-    Repeated rows are linked as equal sets; they share their doc_id and are all kept or
-    all not. A row without doc_id is linked with nothing, has no component_id and is kept.
-    Other columns are ignored; an empty table gives an empty result.
+    The node of a row is its doc_id where no other row has it. Rows that share an id, and with
+    ``null_ids`` those without one, get a negative number of id and text; equal ones the same.
+    The second table has (node, doc_id) of the rows with such numbers. Ids are counted from
+    the ids alone, and the texts are only looked at where ids repeat.
+    """
+    id_ = F.col("doc_id").cast("long")
+    counted = docs.groupBy(id_.alias("shared_id")).agg(F.count(F.lit(1)).alias("rows"))
+    wanted = (F.col("shared_id").isNotNull() & (F.col("rows") > 1)) | (F.col("shared_id").isNull() & F.lit(null_ids))
+    shared = materialise(counted.where(wanted).select("shared_id"))
+    own = id_ if shared.isEmpty() else F.when(F.col("is_shared"), _text_node()).otherwise(id_)
+    rows = docs
+    if not shared.isEmpty():
+        marked = broadcast_if_small(materialise(shared.withColumn("is_shared", F.lit(True))))
+        rows = docs.join(marked, id_.eqNullSafe(F.col("shared_id")), "left")
+    noded = rows.withColumn("node", own)
+    again = noded.where("is_shared") if "is_shared" in noded.columns else noded.where(F.lit(False))
+    return noded.drop("shared_id", "is_shared"), materialise(again.select("node", id_.alias("doc_id")).distinct())
+
+
+def _text_node():
+    hashed = F.xxhash64(F.col("doc_id").cast("string"), F.coalesce(F.col("text").cast("string"), F.lit("")))
+    return F.lit(-2).cast("long") - F.abs(hashed.bitwiseAND((1 << 62) - 1))
+
+
+def _linked_nodes(nodes: DataFrame, k: int, similarity: int, same: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n) of all rows, and (doc_id, component) of those with shingles.
+
+    ``doc_id`` is a node here, ``component`` the least node that links reach. ``same`` holds
+    further links as rows (node, doc_id): nodes with one doc_id belong together.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketches = materialise(
-        docs.mapInArrow(_sketches(k), "doc_id long, n long, digest binary, kept binary, bands array<long>"), "snappy"
+        nodes.mapInArrow(_sketches(k), "doc_id long, n long, digest binary, kept binary, bands array<long>"), "snappy"
     )
     some = sketches.where("n > 0 AND doc_id IS NOT NULL")
     first = some.groupBy("digest", "n").agg(F.min("doc_id").alias("id"))
@@ -334,19 +353,76 @@ def near_duplicates(docs: DataFrame, k: int = 5, similarity: int = SIMILARITY) -
     classes = materialise(
         some.join(chosen, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").alias("id"), "n", "kept", "bands"), "snappy"
     )
+    links = _links(classes, nodes, k, similarity)
+    if same is not None and not same.isEmpty():
+        of_id = same.withColumnRenamed("doc_id", "real").join(members.select(F.col("doc_id").alias("node"), "id"), "node")
+        least = of_id.groupBy("real").agg(F.min("id").alias("a"))
+        links = links.unionByName(of_id.join(least, "real").where("a <> id").select("a", F.col("id").alias("b")))
+    parts = connected_components(links)
+    found = members.select("doc_id", "id").distinct().join(parts, "id", "left")
+    return sketches.select("doc_id", "n"), found.select("doc_id", F.coalesce("component", "id").alias("component"))
 
-    parts = connected_components(_links(classes, docs, k, similarity))
 
-    found = (
-        members.select("doc_id", "id")
-        .distinct()
-        .join(parts, "id", "left")
-        .groupBy("doc_id")
-        .agg(F.min(F.coalesce("component", "id")).alias("component_id"))
-    )
+def near_duplicates(docs: DataFrame, k: int = 5, similarity: int = SIMILARITY) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept.
+
+    Two documents are linked if 100 * intersection >= ``similarity`` * union of their sets
+    of distinct ``k``-word shingles. Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z in lower
+    case. A text of fewer than ``k`` words is one shingle, its whole sequence; a null text
+    and one without words have no shingle and are linked with nothing. ``component_id`` is
+    the smallest doc_id that links reach, and ``kept`` says that it is the row's own.
+
+    Rows of one doc_id are one document, whose texts all link it; they share component_id
+    and kept, and n_shingles is each row's own. A row without doc_id is linked with nothing,
+    has no component_id and is kept. Other columns are ignored; an empty table gives an
+    empty result.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    noded, shared = with_nodes(docs)
+    sizes, found = _linked_nodes(noded.select(F.col("node").alias("doc_id"), "text"), k, similarity, shared)
+    if not shared.isEmpty():
+        found = materialise(_with_ids(found, shared))
+        least = found.groupBy("component").agg(F.min("real").alias("least"))
+        found = found.join(least, "component").select("doc_id", F.col("least").alias("component"))
+        sizes = sizes.join(shared.withColumnsRenamed({"doc_id": "real", "node": "doc_id"}), "doc_id", "left")
+    else:
+        sizes = sizes.withColumn("real", F.col("doc_id"))
     return (
-        sketches.select("doc_id", F.col("n").alias("n_shingles"))
-        .join(found, "doc_id", "left")
+        sizes.join(found.withColumnRenamed("component", "component_id"), "doc_id", "left")
+        .select(F.coalesce("real", "doc_id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
         .withColumn("component_id", F.coalesce("component_id", "doc_id"))
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
     )
+
+
+def _with_ids(found: DataFrame, shared: DataFrame) -> DataFrame:
+    """``found`` with the doc_id of each node as ``real``."""
+    ids = shared.select(F.col("node").alias("doc_id"), F.col("doc_id").alias("real"), F.lit(True).alias("renamed"))
+    joined = found.join(ids, "doc_id", "left")
+    real = F.when(F.col("renamed"), F.col("real")).otherwise(F.col("doc_id"))
+    return joined.select("doc_id", "component", real.alias("real"))
+
+
+def keep_one_of_each(docs: DataFrame, k: int = 5, similarity: int = SIMILARITY) -> DataFrame:
+    """One row of each group of near duplicates, with all columns of ``docs``.
+
+    Texts are what is grouped: rows of one doc_id with different texts are different
+    documents, of exactly repeated rows one stays, and rows without doc_id are grouped as
+    others. The smallest doc_id of a group stays, null last. A row without words stays.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), "doc_id", "text")
+    noded, shared = with_nodes(rows, null_ids=True)
+    nodes = noded.select(F.col("node").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    _, found = _linked_nodes(nodes, k, similarity, None)
+    if shared.isEmpty():
+        gone = materialise(found.where("doc_id <> component").select(F.col("doc_id").alias("node")).distinct())
+    else:
+        found = materialise(_with_ids(found, shared))
+        best = found.groupBy("component").agg(F.min(F.struct(F.col("real").isNull(), "real", "doc_id")).alias("best"))
+        others = found.join(best, "component").where(F.col("doc_id") != F.col("best.doc_id"))
+        gone = materialise(others.select(F.col("doc_id").alias("node")).distinct())
+    left = noded.join(gone, "node", "left_anti")
+    if not shared.isEmpty():
+        again = left.join(shared.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
+        left = left.join(shared.select("node").distinct(), "node", "left_anti").unionByName(again)
+    return left.select(*[F.col("row").getField(name).alias(name) for name in docs.columns])

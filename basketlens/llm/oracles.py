@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from basketlens.llm.licenses import BLOCK, CONTAINMENT, TEMPLATES
-from basketlens.llm.mixing import GRID, SLOTS
+from basketlens.llm.mixing import GRID, SLACK, SLOTS
 
 WORDS = r"len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))"
 
@@ -58,11 +58,11 @@ by_repeats AS (
   FROM first_point
 ), weighted AS (
   SELECT source, tokens, n_docs,
-         round(exp(ln_p * x - (SELECT ln(sum(exp(ln_p * x))) FROM shares, chosen)), 9) AS weight
+         exp(ln_p * x - (SELECT ln(sum(exp(ln_p * x))) FROM shares, chosen)) AS share, round(share, 9) AS weight
   FROM shares, chosen
 ), quotas AS (
   SELECT source, weight, tokens, ceil(sqrt(n_docs))::BIGINT AS n_blocks,
-         least(floor((SELECT sum(tokens) FROM sources) * weight)::BIGINT, floor(tokens * {max_repeats})::BIGINT) AS quota
+         least(floor((SELECT sum(tokens) FROM sources) * share * (1 + {SLACK!r}))::BIGINT, floor(tokens * {max_repeats})::BIGINT) AS quota
   FROM weighted
 ), drawn AS (
   SELECT rows_.*, quotas.* EXCLUDE (source), epoch,

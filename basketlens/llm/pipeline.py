@@ -9,7 +9,7 @@ from basketlens.llm.common import materialise, ship_package, table
 from basketlens.llm.decontaminate import drop_contaminated
 from basketlens.llm.line_dedup import dedup_lines
 from basketlens.llm.mixing import mix_sources
-from basketlens.llm.near_dedup import near_duplicates
+from basketlens.llm.near_dedup import keep_one_of_each
 from basketlens.llm.quality import quality_score, train_quality
 
 
@@ -35,8 +35,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates (five words, 0.8)."""
-    gone = materialise(near_duplicates(docs).where("NOT kept").select("doc_id").distinct())
-    return docs.join(gone, "doc_id", "left_anti")
+    return keep_one_of_each(docs)
 
 
 def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

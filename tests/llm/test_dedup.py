@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from basketlens.llm.components import connected_components
 from basketlens.llm.exact_dedup import exact_duplicates
 from basketlens.llm.line_dedup import dedup_lines
-from basketlens.llm.near_dedup import near_duplicates
+from basketlens.llm.near_dedup import keep_one_of_each, near_duplicates
 from basketlens.llm.substring_dedup import collinear_chains, pieces_of_pair, repeated_passages
 from tests.llm import brute
 from tests.llm.conftest import sentence
@@ -59,6 +59,35 @@ def test_near_duplicates(documents, k):
         assert found[i].kept == (expected[i] == i)
 
 
+def _six(spark):
+    a, b, c = (" ".join(sentence(i, 40)) for i in (900, 901, 902))
+    rows = [(1, a), (2, b), (3, a), (5, c), (5, b), (7, c)]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_texts_of_one_id_all_link_it(spark):
+    rows, docs = _six(spark)
+    found = near_duplicates(docs).collect()
+    assert sorted((r.doc_id, r.component_id) for r in found) == [(1, 1), (2, 2), (3, 1), (5, 2), (5, 2), (7, 2)]
+    assert [r.doc_id for r in found if r.kept] in ([1, 2], [2, 1])
+
+
+def test_each_text_keeps_a_row(spark):
+    """Repeated ids, repeated rows and rows without id; columns may have any name."""
+    rows, docs = _six(spark)
+    kept = keep_one_of_each(docs).collect()
+    assert len(kept) == 3 and {r.text for r in kept} == {t for _, t in rows}
+    d = " ".join(sentence(903, 40))
+    more = spark.createDataFrame([(None, d), (None, d), (None, rows[0][1]), (9, d + " x"), (5, rows[4][1]), (11, ""), (11, ""), (12, None)], docs.schema)
+    extra = {name: F.lit(1) for name in ("node", "shared_id", "is_shared", "row", "component", "a.b")}
+    kept = keep_one_of_each(docs.unionByName(more).withColumns(extra)).collect()
+    assert sorted(str((r.doc_id, r.text)) for r in kept) == sorted(
+        map(str, [(1, rows[0][1]), (2, rows[1][1]), (5, rows[3][1]), (9, d + " x"), (11, ""), (12, None)])
+    )
+    assert kept[0].asDict().keys() == {"doc_id", "text", *extra}
+    assert keep_one_of_each(docs.limit(0)).count() == 0
+
+
 def test_near_copies_of_an_absent_original(spark):
     """Copies at all distances, without their original, so hubs link only a part."""
     rows = []

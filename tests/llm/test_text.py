@@ -10,11 +10,13 @@ from types import SimpleNamespace
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from basketlens.llm import attention, lm, quality, wordhash
 from basketlens.llm.chat import rotate_perspectives
 from basketlens.llm.decontaminate import drop_contaminated, find_contamination, greedy_tiles
 from basketlens.llm.licenses import scan_licenses
+from basketlens.llm.line_dedup import dedup_lines
 from basketlens.llm.lm import TOKENIZER, score_documents
 from basketlens.llm.mixing import mix_sources
 from basketlens.llm.quality import classify_quality
@@ -251,3 +253,25 @@ def test_attention_learns_from_every_window():
     inputs, targets = windows[:, :-1], windows[:, 1:]
     learnt = targets < lm.IDS + 2
     assert list(zip(inputs[learnt].tolist(), targets[learnt].tolist())) == expected
+
+
+def test_no_column_name_clashes_with_inner_ones(spark, documents):
+    """Rows keep columns of any name, and results do not change by them."""
+    inner = ("__id", "__hash", "__removed", "__lines", "__text", "row", "id", "hash", "lines", "removed", "whole", "site", "found_id", "share", "quota", "with.dot")
+    extra = documents.withColumns({name: F.lit("mine") for name in inner})
+    items = spark.createDataFrame([(1, " ".join(sentence(9, 30_000)[50:90]))], "item_id long, text string")
+    for operator in (lambda d: dedup_lines(d, 3), lambda d: drop_contaminated(d, items)):
+        plain, more = operator(documents), operator(extra)
+        assert set(inner) < set(more.columns)
+        assert sorted(map(str, plain.collect())) == sorted(map(str, more.select(*plain.columns).collect()))
+        assert more.where("__id = 'mine' AND `with.dot` = 'mine'").count() == plain.count() > 20
+    assert sorted(map(str, mix_sources(extra).collect())) == sorted(map(str, mix_sources(documents).collect()))
+
+
+def test_a_tiny_source_is_drawn(spark):
+    """A source of one word among millions has a weight below the last reported decimal."""
+    rows = [(1, "w " * 400_000, "big")] * 1 + [(2, "one", "tiny")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for budget in ("corpus", None):
+        found = mix_sources(docs, entropy_share=0.0, max_repeats=1.0, budget_tokens=budget).collect()
+        assert {r.source for r in found} == {"big", "tiny"}
