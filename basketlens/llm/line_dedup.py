@@ -62,13 +62,13 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
         F.col("doc_id").cast("long").alias("id"),
         F.xxhash64(text_or_empty("text")).alias("hash"),
-        _lines(F.col("text")).alias("lines"),
-        F.col("text").alias("whole"),
-        F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("")).alias("site"),
     )
     lines = materialise(
-        keyed.select(
-            F.col("id").alias("doc_id"), F.col("hash").alias("text_hash"), "site", F.posexplode("lines").alias("line_no", "line")
+        docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"),
+            F.xxhash64(text_or_empty("text")).alias("text_hash"),
+            F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("")).alias("site"),
+            F.posexplode(_lines(F.col("text"))).alias("line_no", "line"),
         )
         .withColumn("line", _bare(F.col("line")))
         .where("line <> ''")
@@ -82,7 +82,8 @@ def dedup_lines(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
         .agg(F.collect_set("line_no").alias("removed"))
     )
     same = F.col("id").eqNullSafe(F.col("removed_id")) & (F.col("hash") == F.col("removed_hash"))
-    joined = keyed.drop("site").join(removed, same, "left")
+    whole = F.col("row").getField("text")
+    joined = keyed.join(removed, same, "left").withColumns({"whole": whole, "lines": _lines(whole)})
     numbers = F.sequence(F.lit(0), F.size("lines") - 1)
     kept = F.transform(F.array_except(numbers, F.col("removed")), lambda i: F.get("lines", i))
     columns = [

@@ -57,9 +57,9 @@ by_repeats AS (
     THEN least({GRID}, (SELECT low + 1 FROM by_repeats WHERE low = high)) ELSE point END / {GRID}::DOUBLE AS x
   FROM first_point
 ), weighted AS (
-  SELECT source, tokens, n_docs,
-         exp(ln_p * x - (SELECT ln(sum(exp(ln_p * x))) FROM shares, chosen)) AS share, round(share, 9) AS weight
-  FROM shares, chosen
+  SELECT *, round(share, 9) AS weight FROM (
+    SELECT source, tokens, n_docs, exp(ln_p * x - (SELECT ln(sum(exp(ln_p * x))) FROM shares, chosen)) AS share
+    FROM shares, chosen)
 ), quotas AS (
   SELECT source, weight, tokens, ceil(sqrt(n_docs))::BIGINT AS n_blocks,
          least(floor((SELECT sum(tokens) FROM sources) * share * (1 + {SLACK!r}))::BIGINT, floor(tokens * {max_repeats})::BIGINT) AS quota
