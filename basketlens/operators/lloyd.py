@@ -3,7 +3,8 @@
 Fits with different numbers of clusters and seeds move together: one job per iteration
 reads the rows once, and for every fit that still moves each task adds up its rows by
 nearest centre. What leaves a task is a sum and a count per centre. So the jobs are as many
-as the longest fit has iterations, however many fits there are.
+as the longest fit has iterations, however many fits there are. Few rows are moved by the same
+steps inside one task.
 
 Starting centres come from a sample of at most ``SAMPLE_ROWS`` rows, which the driver clusters
 once per fit by k-means++ and Lloyd steps. So the fits over all rows start near their ends and
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 TOLERANCE = 1e-4
 SAMPLE_ROWS = 4096
 SAMPLE_STEPS = 300
+#: So many rows (some megabytes) are one task's work: its iterations need no jobs of their own.
+TASK_ROWS = 1 << 17
 #: Partial sums of more partitions than this are added up on executors before they travel.
 DIRECT_PARTITIONS = 64
 
@@ -130,6 +133,7 @@ class _Fits:
     def __init__(self, blocks: DataFrame, cases: Sequence[tuple[int, int]]):
         self.cases = list(cases)
         self.rdd = blocks.rdd
+        self.rows = blocks.agg(F.sum("rows")).first()[0] or 0
 
     def _gather(self, of_block: Callable, merge: Callable):
         return gather(self.rdd, of_block, merge)
@@ -155,24 +159,11 @@ class _Fits:
 
     def _step(self, centers: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
         """Per fit the sums and counts of the rows nearest to each centre, and the cost."""
-
-        def move(block):
-            import numpy as np
-
-            lengths, stacked = (block**2).sum(axis=1), np.vstack(centers)
-            gaps = (stacked**2).sum(axis=1) - 2 * block @ stacked.T
-            out, at, rows = [], 0, np.arange(len(block))
-            for own in centers:
-                part = gaps[:, at : at + len(own)]
-                label = part.argmin(axis=1)
-                member = np.zeros(part.shape)
-                member[rows, label] = 1.0
-                cost = float(np.maximum(part[rows, label] + lengths, 0.0).sum())
-                out.append((member.T @ block, member.sum(axis=0), cost))
-                at += len(own)
-            return out
-
-        return self._gather(move, lambda a, b: [tuple(p + q for p, q in zip(x, y)) for x, y in zip(a, b)])
+        move = _mover()
+        return self._gather(
+            lambda block: move(block, centers),
+            lambda a, b: [tuple(p + q for p, q in zip(x, y)) for x, y in zip(a, b)],
+        )
 
     def starts(self) -> list[np.ndarray] | None:
         sample = self._sample()
@@ -181,13 +172,56 @@ class _Fits:
         return [_clustered(sample, k, seed) for k, seed in self.cases]
 
     def run(self, max_iter: int, tolerance: float) -> list[KMeansFit]:
-        centers = self.starts()
-        if centers is None:
+        starts = self.starts()
+        if starts is None:
             raise ValueError("no rows to fit")
+        loop = _iterations()
+        if self.rows > TASK_ROWS:
+            found = loop(self._step, starts, max_iter, tolerance)
+        else:
+            move = _mover()
+
+            def of_all(rows):
+                import numpy as np
+
+                block = np.concatenate([np.frombuffer(r["block"]).reshape(r["rows"], -1) for r in rows])
+                yield loop(lambda centers: move(block, centers), starts, max_iter, tolerance)
+
+            found = self.rdd.coalesce(1).mapPartitions(of_all).first()
+        return [KMeansFit(*fit) for fit in found]
+
+
+def _mover() -> Callable:
+    """A function of a block and the centres of several fits: sums, counts and cost of each."""
+
+    def move(block, centers):
+        import numpy as np
+
+        lengths, stacked = (block**2).sum(axis=1), np.vstack(centers)
+        gaps = (stacked**2).sum(axis=1) - 2 * block @ stacked.T
+        out, at, rows = [], 0, np.arange(len(block))
+        for own in centers:
+            part = gaps[:, at : at + len(own)]
+            label = part.argmin(axis=1)
+            member = np.zeros(part.shape)
+            member[rows, label] = 1.0
+            cost = float(np.maximum(part[rows, label] + lengths, 0.0).sum())
+            out.append((member.T @ block, member.sum(axis=0), cost))
+            at += len(own)
+        return out
+
+    return move
+
+
+def _iterations() -> Callable:
+    """Lloyd iterations of several fits, given what moves them: (centres, cost, iterations) of each."""
+
+    def loop(step, starts, max_iter, tolerance):
+        centers = list(starts)
         iterations, moving = [0] * len(centers), list(range(len(centers)))
         for _ in range(max_iter):
             still = []
-            for i, (sums, counts, _) in zip(moving, self._step([centers[i] for i in moving])):
+            for i, (sums, counts, _) in zip(moving, step([centers[i] for i in moving])):
                 filled = counts > 0
                 moved = centers[i].copy()
                 moved[filled] = sums[filled] / counts[filled, None]
@@ -198,8 +232,10 @@ class _Fits:
             moving = still
             if not moving:
                 break
-        costs = [cost for _, _, cost in self._step(centers)]
-        return [KMeansFit(c, cost, n) for c, cost, n in zip(centers, costs, iterations)]
+        costs = [cost for _, _, cost in step(centers)]
+        return list(zip(centers, costs, iterations))
+
+    return loop
 
 
 def _gaps(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:

@@ -369,10 +369,11 @@ def _noise(spark, n=400, d=3):
     return points, df.select("id", array_to_vector("x").alias("features"))
 
 
-@pytest.mark.parametrize("sample_rows", [30, 4096])
-def test_shared_fits_move_as_lloyd_says(spark, monkeypatch, sample_rows):
+@pytest.mark.parametrize("sample_rows, task_rows", [(30, 0), (4096, 0), (30, 1 << 17)])
+def test_shared_fits_move_as_lloyd_says(spark, monkeypatch, sample_rows, task_rows):
     """Every fit ends where plain Lloyd steps from its start end, with the same cost."""
     monkeypatch.setattr(lloyd, "SAMPLE_ROWS", sample_rows)
+    monkeypatch.setattr(lloyd, "TASK_ROWS", task_rows)
     points, vectors = _noise(spark)
     cases = [(2, 1), (5, 1), (5, 2), (7, 9)]
     blocks = vectors.select(vector_to_array("features").alias("x")).mapInArrow(lloyd.packed(), "rows long, block binary")
@@ -394,6 +395,7 @@ def test_shared_fits_move_as_lloyd_says(spark, monkeypatch, sample_rows):
 
 def test_jobs_grow_with_iterations_and_not_with_fits(spark, monkeypatch):
     monkeypatch.setattr(lloyd, "SAMPLE_ROWS", 40)
+    monkeypatch.setattr(lloyd, "TASK_ROWS", 0)
     passes, gather = [], lloyd._Fits._gather
     monkeypatch.setattr(lloyd._Fits, "_gather", lambda self, *a: passes.append(1) or gather(self, *a))
     _, vectors = _noise(spark)
