@@ -4,19 +4,23 @@ Seeds are ``K``-word runs chosen by winnowing: the smallest hash of every window
 ``WINDOW`` runs, so any 11 equal words share a seed, and any piece of 20 equal words has two
 places of seeds in each text, without which a pair is not compared. A seed that stands in several
 documents ties each of them to the first document that has it, never all of them to each
-other. All places of a seed in one text are matched with all its places in the other and
-chained in text order with gap costs, the best predecessor coming from a Fenwick tree of
-prefix maxima. Every chain, of one seed too, is aligned on the words of both texts: gaps
-between seeds by longest common subsequence, ends by extension until mismatches outweigh
-matches; a chain with too few equal words gives its longest part with enough. Where texts repeat
-themselves so much that their matches exceed MATCHES for each place, seeds with many
-matches give way to the longest equal runs of all words of both texts, from a suffix array
-of the pair. Aligned pieces of a document that touch make its passages, so a passage whose
+other. So does a seed with either of the two seeds that follow it, at their distance:
+documents that share a run of words whose parts stand in several earlier documents meet through the seams between
+them. Exact copies are one text until the end. All places of a seed in one text are matched
+with all its places in the other; matches that are one run of equal words become one run,
+and runs are chained in text order with gap costs, the best predecessor coming from a
+Fenwick tree of prefix maxima. Every chain, of one seed too, is aligned on the words of both
+texts: gaps between seeds by longest common subsequence, ends by extension until mismatches
+outweigh matches; a chain with too few equal words gives its longest part with enough. Where
+texts repeat themselves so much that their runs exceed MATCHES for each place, or their
+matches ENUMERATED, seeds with many matches give way to the longest equal runs of all words
+of both texts, from a suffix array of the pair. Aligned pieces of a document that touch make its passages, so a passage whose
 parts have different first documents is whole again.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import broadcast_if_small, materialise, text_or_empty
-from basketlens.llm.wordhash import U, batches, runs, words
+from basketlens.llm.common import broadcast_if_small, materialise, text_or_empty, word_count
+from basketlens.llm.wordhash import U, batches, mix, runs, words
 
 K, WINDOW = 4, 8
 MIN_WORDS = 50
@@ -35,8 +39,12 @@ MAX_GAP = 64
 GAP_COST = 0.1
 #: Pieces are kept from this length on and with this share of equal words.
 MIN_PIECE, MIN_EQUAL = 20, 0.8
-#: A pair has so many matches for each place of its seeds, and LEAST_MATCHES, at most.
+#: A pair chains so many runs for each place of its seeds, and LEAST_MATCHES, at most.
 MATCHES, LEAST_MATCHES = 4, 4096
+#: So many matches of a pair are listed to find its runs (16 MB).
+ENUMERATED = 1 << 20
+#: Partners of a first document that meet its words in one key.
+PARTNERS = 256
 #: Passages of a document join if so few words lie between them.
 JOIN_GAP = 3
 
@@ -51,8 +59,29 @@ def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
     return out
 
 
+SEEDS = "doc_id long, text_hash long, second_id long, seed long, places binary, nexts binary"
+
+
+def _cut(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+    """Runs of four-byte values as binary."""
+    return pa.Array.from_buffers(pa.binary(), len(edges) - 1, [None, pa.py_buffer((edges * 4).astype(np.int32)), pa.py_buffer(values.tobytes())])
+
+
+def _edges(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin, and the end."""
+    n = len(keys[0])
+    new = np.zeros(max(n - 1, 0), bool)
+    for key in keys:
+        new |= key[1:] != key[:-1]
+    return np.r_[np.flatnonzero(np.r_[True, new][:n]), n]
+
+
 def _seeds(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, text_hash, seed, places): winnowed seeds with all their places in a text."""
+    """Winnowed seeds with all their places in a text, and for each place two codes of what follows.
+
+    A code is 27 bits of the next seed or the one after it and, in the last five, its
+    distance; 0 past the end.
+    """
     for part in parts:
         for batch in batches(part):
             hashes, _, _, first, _ = words(batch.column("text"))
@@ -66,23 +95,50 @@ def _seeds(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             least[place > count - K - WINDOW + 1] = 0
             covered = _sliding(least[::-1], WINDOW, np.maximum)[::-1]
             chosen = np.flatnonzero(inside & (covered == found) & (count >= MIN_WORDS))
-            chosen = chosen[np.lexsort((place[chosen], found[chosen], text[chosen]))]
+            follows = np.zeros((len(chosen), 2), np.uint32)
+            code = ((mix(found[chosen]) >> U(37)) << U(5)).astype(np.uint32)
+            for ahead in (1, 2):
+                # Chosen places of a text are at most WINDOW apart.
+                after = code[ahead:] | (chosen[ahead:] - chosen[:-ahead]).astype(np.uint32) & 31
+                follows[:-ahead, ahead - 1] = np.where(text[chosen[ahead:]] == text[chosen[:-ahead]], after, 0)
+            order = np.lexsort((place[chosen], found[chosen], text[chosen]))
+            chosen, follows = chosen[order], follows[order]
             seed, owner = found[chosen], text[chosen]
-            new = np.flatnonzero(np.r_[len(chosen) > 0, (seed[1:] != seed[:-1]) | (owner[1:] != owner[:-1])][: len(chosen)])
-            ends = (np.r_[new, len(chosen)] * 4).astype(np.int32)
-            places = pa.Array.from_buffers(pa.binary(), len(new), [None, pa.py_buffer(ends), pa.py_buffer(place[chosen].astype(np.int32))])
-            rows = pa.array(owner[new])
+            edges = _edges(seed, owner)
+            rows = pa.array(owner[edges[:-1]])
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").take(rows),
-                    batch.column("text_hash").take(rows),
-                    pa.array(seed[new].view(np.int64)),
-                    places,
+                    *(batch.column(c).take(rows) for c in ("doc_id", "text_hash", "second_id")),
+                    pa.array(seed[edges[:-1]].view(np.int64)),
+                    _cut(place[chosen].astype(np.int32), edges),
+                    _cut(follows, edges * 2),
                 ],
-                names=["doc_id", "text_hash", "seed", "places"],
+                names=["doc_id", "text_hash", "second_id", "seed", "places", "nexts"],
             )
 
 
+def _flat(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """All four-byte values of a binary column, and how many each row has."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = column.buffers()[2]
+    values = np.frombuffer(data, kind, count=int(offsets[-1] - offsets[0]) // 4, offset=int(offsets[0])) if data and len(column) else np.zeros(0, kind)
+    return values, np.diff(offsets) // 4
+
+
+def _neighbours(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each seed of a text and each code of what follows it, with the places of the seed."""
+    for batch in parts:
+        place, counts = _flat(batch.column("places"), np.int32)
+        follows, _ = _flat(batch.column("nexts"), np.int32)
+        place, owner = np.repeat(place, 2), np.repeat(np.arange(batch.num_rows), counts * 2)
+        order = np.lexsort((place, follows, owner))
+        order = order[follows[order] != 0]
+        place, follows, owner = place[order], follows[order], owner[order]
+        edges = _edges(owner, follows)
+        kept = batch.select(["doc_id", "text_hash", "second_id", "first_id", "seed"]).take(pa.array(owner[edges[:-1]]))
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(follows[edges[:-1]]), _cut(place, edges)], names=[*kept.schema.names, "next", "places"])
+
+
 def _word_arrays(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in parts:
         for batch in batches(part):
@@ -116,45 +172,77 @@ class _PrefixBest:
         return best
 
 
-def collinear_chains(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
-    """Chains of (place, other place) that rise in both, best first, each match in one.
+def chains_of_runs(found: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]]:
+    """Chains of runs (place, other place, length) that rise in both, best first, each run in one.
 
-    A chain's score is K for each match less GAP_COST for every word between neighbours in
-    either text; a match starts a chain of its own where no predecessor helps.
+    A chain's score is the words of its runs less GAP_COST for every word between the last
+    seed of a run and the first of the next in either text; a run starts a chain of its own
+    where no predecessor helps.
     """
-    matches = sorted(matches)
-    keys = {other: i for i, other in enumerate(sorted({other for _, other in matches}))}
+    found = sorted(found)
+    last = [(place + n - K, other + n - K) for place, other, n in found]
+    keys = sorted({other for _, other in last})
+    ended = sorted(range(len(found)), key=lambda i: last[i][0])
     tree = _PrefixBest(len(keys))
-    score, before, at = [0.0] * len(matches), [-1] * len(matches), 0
-    while at < len(matches):
-        same = at
-        while same < len(matches) and matches[same][0] == matches[at][0]:
-            same += 1
-        for i in range(at, same):
-            place, other = matches[i]
-            value, item = tree.up_to(keys[other] - 1)
-            value -= GAP_COST * (place + other)
-            score[i] = K + max(0.0, value)
-            before[i] = item if value > 0 else -1
-        for i in range(at, same):
-            place, other = matches[i]
-            tree.put(keys[other], score[i] + GAP_COST * (place + other), i)
-        at = same
-    used, chains = [False] * len(matches), []
-    for i in sorted(range(len(matches)), key=lambda i: (-score[i], i)):
-        chain = []
+    score, before, at = [0.0] * len(found), [-1] * len(found), 0
+    for i, (place, other, n) in enumerate(found):
+        while last[ended[at]][0] < place:
+            done = ended[at]
+            tree.put(bisect_left(keys, last[done][1]), score[done] + GAP_COST * sum(last[done]), done)
+            at += 1
+        value, item = tree.up_to(bisect_left(keys, other) - 1)
+        value -= GAP_COST * (place + other)
+        score[i] = n + max(0.0, value)
+        before[i] = item if value > 0 else -1
+    used, chains = [False] * len(found), []
+    for i in sorted(range(len(found)), key=lambda i: (-score[i], i)):
+        chain: list[tuple[int, int, int]] = []
         while i >= 0 and not used[i]:
             used[i] = True
-            if chain and max(chain[-1][0] - matches[i][0], chain[-1][1] - matches[i][1]) > MAX_GAP:
+            if chain and max(chain[-1][0] - last[i][0], chain[-1][1] - last[i][1]) > MAX_GAP:
                 chains.append(chain[::-1])
                 chain = []
-            chain.append(matches[i])
+            chain.append(found[i])
             i = before[i]
         if chain:
             chains.append(chain[::-1])
     return chains
 
 
+def collinear_chains(matches: list[tuple[int, int]]) -> list[list[tuple[int, int]]]:
+    """Chains of single matches (place, other place), each a run of K words."""
+    return [[run[:2] for run in chain] for chain in chains_of_runs([(*match, K) for match in matches])]
+
+
+def _matches(own: np.ndarray, own_counts: np.ndarray, other: np.ndarray, other_counts: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every place of a seed with every other place; with a gap, also the seeds so far behind."""
+    sizes = own_counts * other_counts
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    within = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    a = own[(np.cumsum(own_counts) - own_counts)[row] + within // other_counts[row]].astype(np.int64)
+    b = other[(np.cumsum(other_counts) - other_counts)[row] + within % other_counts[row]].astype(np.int64)
+    gap = gaps[row]
+    more = gap > 0
+    both = np.unique((np.r_[a, a[more] + gap[more]] << 32) | np.r_[b, b[more] + gap[more]])
+    return both >> 32, both & 0xFFFFFFFF
+
+
+def _equal_runs(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
+    """Matches on one diagonal, at most WINDOW apart and with equal words between, as runs."""
+    if not len(a):
+        return []
+    order = np.lexsort((a, a - b))
+    a, b = a[order], b[order]
+    step = np.diff(a)
+    whole = (np.diff(a - b) == 0) & (step <= WINDOW)
+    for t in range(K, WINDOW):
+        open_ = np.flatnonzero(whole & (step > t))
+        whole[open_] = x[a[open_] + t] == y[b[open_] + t]
+    first = np.flatnonzero(np.r_[True, ~whole])
+    stop = np.r_[first[1:] - 1, len(a) - 1]
+    return list(zip(a[first].tolist(), b[first].tolist(), (a[stop] - a[first] + K).tolist()))
+
+
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     """Length of the longest common subsequence of two short word runs."""
     n = min(len(a), len(b))
@@ -307,12 +395,29 @@ def _longest_runs(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
 
 def pieces_of_pair(seeds: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """Aligned pieces of two texts whose common seeds stand at these places of each."""
-    chains = []
-    if sum(len(p) * len(q) for p, q in seeds) > LEAST_MATCHES + MATCHES * sum(len(p) + len(q) for p, q in seeds):
-        seeds = [(p, q) for p, q in seeds if len(p) * len(q) <= MATCHES * (len(p) + len(q))]
-        found = _longest_runs(x, y) + [(b, a, n) for a, b, n in _longest_runs(y, x)]
-        chains = [[(a, b), (a + n - K, b + n - K)] for a, b, n in found]
-    chains += collinear_chains(list({m for p, q in seeds for a in p.tolist() for m in zip([a] * len(q), q.tolist())}))
+    own, other = (np.concatenate([pair[side] for pair in seeds]) for side in (0, 1))
+    own_counts, other_counts = (np.array([len(pair[side]) for pair in seeds], np.int64) for side in (0, 1))
+    return _pieces(own, own_counts, other, other_counts, np.zeros(len(seeds), np.int64), x, y)
+
+
+def _pieces(
+    own: np.ndarray, own_counts: np.ndarray, other: np.ndarray, other_counts: np.ndarray, gaps: np.ndarray, x: np.ndarray, y: np.ndarray
+) -> list[tuple[int, int, int, int, int]]:
+    """The pieces, from the places of all seeds in a row and how many each seed has."""
+    matched: list[tuple[int, int, int]] = []
+    longest: list[tuple[int, int, int]] = []
+    sizes, places = own_counts * other_counts, own_counts + other_counts
+    most = LEAST_MATCHES + MATCHES * int(places.sum())
+    listed = int(sizes.sum()) <= max(ENUMERATED, most)
+    if listed:
+        matched = _equal_runs(*_matches(own, own_counts, other, other_counts, gaps), x, y)
+    if not listed or len(matched) > most:
+        few = sizes <= MATCHES * places
+        matched = _equal_runs(*_matches(own[np.repeat(few, own_counts)], own_counts[few], other[np.repeat(few, other_counts)], other_counts[few], gaps[few]), x, y)
+        longest = _longest_runs(x, y) + [(b, a, n) for a, b, n in _longest_runs(y, x)]
+    chains = [[run] for run in longest] + chains_of_runs(matched)
+    ends = lambda a, b, n: [(a, b), (a + n - K, b + n - K)] if n > K else [(a, b)]
+    chains = [[match for run in chain for match in ends(*run)] for chain in chains]
     found = {piece for chain in chains for piece in _piece_of(chain, x, y)}
     long = [piece for piece in found if piece[1] - piece[0] >= MIN_WORDS]
     within = lambda p, at: any(q[at] <= p[at] and p[at + 1] <= q[at + 1] for q in long)
@@ -325,59 +430,113 @@ def pieces_of_pair(seeds: list[tuple[np.ndarray, np.ndarray]], x: np.ndarray, y:
 def _aligned(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in parts:
         rows, found = [], []
+        matches = batch.column("matches")
         for i in range(batch.num_rows):
             x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint32) for c in ("words", "first_words"))
-            seeds = [tuple(np.frombuffer(m[c], np.int32) for c in ("places", "first_places")) for m in batch.column("matches")[i].as_py()]
-            pieces = pieces_of_pair(seeds, x, y)
+            common = matches[i].values
+            (own, own_counts), (other, other_counts) = (_flat(common.field(c), np.int32) for c in ("places", "first_places"))
+            gaps = common.field("gap").to_numpy().astype(np.int64)
+            pieces = _pieces(own, own_counts.astype(np.int64), other, other_counts.astype(np.int64), gaps, x, y)
             rows += [i] * len(pieces)
             found += pieces
-        kept = batch.select(["doc_id", "text_hash", "first_id", "first_hash"]).take(pa.array(rows, pa.int64()))
+        kept = batch.select(["doc_id", "text_hash", "second_id", "first_id", "first_hash", "first_second"]).take(pa.array(rows, pa.int64()))
         columns = [pa.array(c, pa.int32()) for c in zip(*found)] if found else [pa.array([], pa.int32())] * 5
         yield pa.RecordBatch.from_arrays([*kept.columns, *columns], names=[*kept.schema.names, "start", "stop", "first_start", "first_stop", "equal"])
 
 
 def _held(side: str) -> Column:
     """Whether seeds of a pair stand at two places or more of one side."""
-    return F.aggregate("matches", F.lit(0), lambda n, m: n + F.octet_length(m[side])) >= 8
+    return F.aggregate("matches", F.lit(0), lambda n, m: n + F.octet_length(m[side]) * F.when(m["gap"] > 0, 2).otherwise(1)) >= 8
 
 
-PAIR = "doc_id long, text_hash long, first_id long, first_hash long"
+def _ties(shared: DataFrame, keys: list[str], gap: Column) -> DataFrame:
+    """Rows of a text and a text of the first document that has its key, with the places of both.
 
-
-def matching_pieces(docs: DataFrame) -> DataFrame:
-    """Aligned pieces of documents and the first documents that share their seeds."""
-    rows = docs.where(F.col("doc_id").isNotNull()).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty("text")).alias("text_hash"), text_or_empty("text").alias("text")
-    )
-    seeds = materialise(rows.mapInArrow(_seeds, "doc_id long, text_hash long, seed long, places binary"))
-    spread = seeds.groupBy("seed").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
-    shared = materialise(seeds.join(spread.where("first_id < last_id").select("seed", "first_id"), "seed"))
+    Texts of one document only meet where another document has one of them too.
+    """
     firsts = shared.where("doc_id = first_id").select(
-        "seed", F.col("text_hash").alias("first_hash"), F.col("places").alias("first_places")
+        *keys, F.col("text_hash").alias("first_hash"), F.col("second_id").alias("first_second"), F.col("places").alias("first_places")
+    )
+    other = "doc_id <> first_id OR (text_hash < first_hash AND coalesce(second_id, first_second) IS NOT NULL)"
+    match = F.struct("places", "first_places", gap.cast("int").alias("gap"))
+    return shared.join(firsts, keys).where(other).select("doc_id", "text_hash", "second_id", "first_id", "first_hash", "first_second", match.alias("match"))
+
+
+LAST = "max(coalesce(second_id, doc_id)) AS last_id"
+PAIR = ["doc_id", "text_hash", "second_id", "first_id", "first_hash", "first_second"]
+
+
+def matching_pieces(rows: DataFrame) -> DataFrame:
+    """Aligned pieces of texts and the texts of first documents that share their seeds.
+
+    ``rows`` has doc_id, text_hash, text and second_id, the next document with that very text.
+    """
+    seeds = materialise(rows.mapInArrow(_seeds, SEEDS))
+    spread = seeds.groupBy("seed").agg(F.min("doc_id").alias("first_id"), F.expr(LAST)).where("first_id < last_id").drop("last_id")
+    shared = materialise(seeds.join(spread, "seed"))
+    follows = shared.mapInArrow(_neighbours, "doc_id long, text_hash long, second_id long, first_id long, seed long, next int, places binary")
+    # Where the seed's first document has both seeds, they tie to it already.
+    seams = (
+        follows.groupBy("seed", "next")
+        .agg(F.min("doc_id").alias("seam_id"), F.expr(LAST), F.min("first_id").alias("first_id"))
+        .where("seam_id < last_id AND seam_id <> first_id")
+        .select("seed", "next", F.col("seam_id").alias("first_id"))
     )
+    between = materialise(follows.drop("first_id").join(seams, ["seed", "next"]))
+    ties = _ties(shared, ["seed"], F.lit(0)).unionByName(_ties(between, ["seed", "next"], F.col("next").bitwiseAND(31)))
     pairs = materialise(
-        shared.where("doc_id <> first_id")
-        .join(firsts, "seed")
-        .groupBy("doc_id", "text_hash", "first_id", "first_hash")
-        .agg(F.collect_set(F.struct("places", "first_places")).alias("matches"))
-        .where(_held("places") & _held("first_places"))
+        ties.groupBy(*PAIR).agg(F.collect_set("match").alias("matches")).where(_held("places") & _held("first_places"))
     )
     wanted = pairs.select("doc_id", "text_hash").unionByName(
         pairs.select(F.col("first_id").alias("doc_id"), F.col("first_hash").alias("text_hash"))
     )
     arrays = materialise(
         rows.join(broadcast_if_small(materialise(wanted.distinct())), ["doc_id", "text_hash"], "left_semi")
+        .select("doc_id", "text_hash", "text")
         .mapInArrow(_word_arrays, "doc_id long, text_hash long, words binary")
         .dropDuplicates(["doc_id", "text_hash"]),
         "snappy",
     )
-    first_arrays = arrays.select(F.col("doc_id").alias("first_id"), F.col("text_hash").alias("first_hash"), F.col("words").alias("first_words"))
-    both = pairs.join(arrays, ["doc_id", "text_hash"]).join(first_arrays, ["first_id", "first_hash"])
-    return both.select("doc_id", "text_hash", "first_id", "first_hash", "matches", "words", "first_words").mapInArrow(
-        _aligned, f"{PAIR}, start int, stop int, first_start int, first_stop int, equal int"
+    # A text with many partners has its words sent once for each PARTNERS of them.
+    many = pairs.groupBy("first_id", "first_hash").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts")).where("parts > 1")
+    many = broadcast_if_small(materialise(many))
+    parts = F.coalesce("parts", F.lit(1))
+    first_arrays = (
+        arrays.select(F.col("doc_id").alias("first_id"), F.col("text_hash").alias("first_hash"), F.col("words").alias("first_words"))
+        .join(many, ["first_id", "first_hash"], "left")
+        .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .drop("parts")
+    )
+    dealt = pairs.join(many, ["first_id", "first_hash"], "left").withColumn("part", F.pmod(F.xxhash64("doc_id", "text_hash"), parts).cast("int"))
+    both = dealt.join(arrays, ["doc_id", "text_hash"]).join(first_arrays, ["first_id", "first_hash", "part"])
+    return both.select(*PAIR, "matches", "words", "first_words").mapInArrow(
+        _aligned, ", ".join(f"{c} long" for c in PAIR) + ", start int, stop int, first_start int, first_stop int, equal int"
     )
 
 
+def _with_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One row per text, under its first document, and the (doc_id, text_hash) of exact copies.
+
+    Texts are equal if two hashes of 96 bits in all and their length are.
+    """
+    text = text_or_empty("text")
+    same = ["text_hash", "check", "length"]
+    rows = docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.xxhash64(text).alias("text_hash"),
+        F.hash(text).alias("check"),
+        F.octet_length(text).alias("length"),
+        text.alias("text"),
+    )
+    members = materialise(rows.drop("text").where(F.col("length") >= 2 * MIN_WORDS - 1).distinct())
+    firsts = members.groupBy(*same).agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id")
+    copies = materialise(members.join(firsts.drop("last_id"), same))
+    seconds = copies.where("doc_id <> first_id").groupBy("first_id", *same).agg(F.min("doc_id").alias("second_id"))
+    marked = copies.join(seconds, ["first_id", *same]).select("doc_id", *same, "first_id", "second_id")
+    kept = rows.join(broadcast_if_small(materialise(marked)), ["doc_id", *same], "left").where("first_id IS NULL OR first_id = doc_id")
+    return kept.select("doc_id", "text_hash", "second_id", "text"), copies.where("doc_id <> first_id").select("doc_id", "text_hash", "first_id")
+
+
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """One row per passage of a document that repeats in another document.
 
@@ -390,26 +549,42 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     and documents that share a doc_id are not compared with each other. Other columns are
     ignored; an empty table gives an empty result.
     """
-    pieces = materialise(matching_pieces(docs))
-    sides = pieces.select("doc_id", "text_hash", "start", "stop", F.col("first_id").alias("other_id")).unionByName(
-        pieces.select(
-            F.col("first_id").alias("doc_id"),
-            F.col("first_hash").alias("text_hash"),
-            F.col("first_start").alias("start"),
-            F.col("first_stop").alias("stop"),
-            F.col("doc_id").alias("other_id"),
+    rows, copies = _with_copies(docs)
+    pieces = materialise(matching_pieces(rows))
+    # The other document is the first with that text, or the second where that is the same one.
+    other = lambda a, b, second: F.when(F.col(a) == F.col(b), F.col(second)).otherwise(F.col(b))
+    whole = rows.where("second_id IS NOT NULL").select(
+        "doc_id", "text_hash", F.lit(0).alias("start"), word_count(F.col("text")).cast("int").alias("stop"), F.col("second_id").alias("other_id")
+    )
+    sides = (
+        pieces.select("doc_id", "text_hash", "start", "stop", other("doc_id", "first_id", "first_second").alias("other_id"))
+        .unionByName(
+            pieces.select(
+                F.col("first_id").alias("doc_id"),
+                F.col("first_hash").alias("text_hash"),
+                F.col("first_start").alias("start"),
+                F.col("first_stop").alias("stop"),
+                other("first_id", "doc_id", "second_id").alias("other_id"),
+            )
         )
+        .unionByName(whole)
     )
     # No more rows per document than it has words, however many others share a piece.
     starts = sides.groupBy("doc_id", "text_hash", "start").agg(F.max("stop").alias("stop"), F.min("other_id").alias("other_id"))
     order = Window.partitionBy("doc_id", "text_hash").orderBy("start")
     reached: Column = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return (
+    passages = (
         starts.withColumn("new", (F.col("start") > F.coalesce(reached, F.lit(-JOIN_GAP - 1)) + JOIN_GAP).cast("int"))
         .withColumn("passage", F.sum("new").over(order))
         .groupBy("doc_id", "text_hash", "passage")
         .agg(F.min("start").alias("start_word"), F.max("stop").alias("stop_word"), F.min("other_id").alias("other_id"))
         .withColumn("n_words", F.col("stop_word") - F.col("start_word"))
         .where(F.col("n_words") >= min_words)
-        .select("doc_id", "start_word", "stop_word", "n_words", "other_id")
     )
+    found = materialise(passages.select("doc_id", "text_hash", "start_word", "stop_word", "n_words", "other_id"))
+    # Copies have the one passage of their first document, which is all of the text.
+    of_copies = copies.join(found.withColumnRenamed("doc_id", "first_id"), ["first_id", "text_hash"]).withColumn(
+        "other_id", F.least("other_id", "first_id")
+    )
+    names = ["doc_id", "start_word", "stop_word", "n_words", "other_id"]
+    return found.select(*names).unionByName(of_copies.select(*names))

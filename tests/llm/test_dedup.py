@@ -210,3 +210,44 @@ def test_fuzzy_passages_are_found(spark):
     }
     print({key: (round(value, 3), len(windows[key])) for key, value in share.items()})
     assert all(value >= {5: 0.98, 10: 0.96, 15: 0.9, 20: 0.8}[change] for (_, change), value in share.items()), share
+
+
+def sentences_of_earlier_documents(words: int, change: int, cases: int = 60) -> tuple[list[tuple[int, str]], list[int]]:
+    """Pairs of documents that share four sentences, each of which an earlier document holds too."""
+    texts, seconds = [], []
+    for case in range(cases):
+        random_ = random.Random(f"{words} {change} {case}")
+        new = lambda n: [f"v{random_.randrange(10**9)}" for _ in range(n)]
+        parts = [new(words) for _ in range(4)]
+        texts += [" ".join(new(40) + part + new(40)) for part in parts]
+        passage = [w for part in parts for w in part]
+        edited = [new(1)[0] if random_.random() * 100 < change else w for w in passage]
+        texts += [" ".join(new(40) + passage + new(40)), " ".join(new(30) + edited + new(50))]
+        # A passage is a window of 50 words or more that agree in 0.8; unrelated words are around.
+        same = [False] * 30 + [a == b for a, b in zip(passage, edited)] + [False] * 30
+        if any(sum(same[a:b]) >= 0.8 * (b - a) for a in range(len(same)) for b in range(a + 50, len(same) + 1)):
+            seconds.append(len(texts) - 1)
+    return list(enumerate(texts)), seconds
+
+
+@pytest.mark.parametrize("words", [12, 15, 19, 25])
+def test_passages_of_sentences_that_stand_elsewhere(spark, words):
+    for change, least in ((0, 1.0), (10, 0.9)):
+        texts, seconds = sentences_of_earlier_documents(words, change)
+        found = covered(repeated_passages(spark.createDataFrame(texts, "doc_id long, text string")).collect())
+        # Four sentences of 12 words are a passage too: 48 equal words of 50.
+        needed = min(50, 4 * words)
+        both = [len(found.get(n - 1, set()) & set(range(40, 40 + 4 * words))) >= needed and n in found for n in seconds]
+        print(words, change, sum(both) / len(both))
+        assert sum(both) >= least * len(both), (words, change, sum(both))
+
+
+def test_copies_and_texts_of_one_document(spark):
+    """Exact copies are compared once; two texts of a document meet where others have one too."""
+    own = iter(range(3000, 4000))
+    new = lambda n: sentence(next(own), n, 10**6)
+    shared = new(60)
+    a, b, c, d = (" ".join(w) for w in (new(30) + shared, shared + new(20), new(70), shared[:30] + new(200)))
+    rows = [(1, a), (2, a), (3, a), (3, a), (1, b), (5, c), (5, c), (6, c), (7, d), (8, " ".join(shared[:30])), (9, " ".join(shared[:30]))]
+    found = sorted(tuple(r) for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert found == [(1, 0, 60, 60, 2), (1, 0, 90, 90, 2), (2, 0, 90, 90, 1), (3, 0, 90, 90, 1), (5, 0, 70, 70, 6), (6, 0, 70, 70, 5)]
