@@ -35,6 +35,14 @@ def materialise(df: DataFrame, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(stored: DataFrame) -> None:
+    """Delete the folder of a table of ``materialise`` that nothing reads any more."""
+    jvm, conf = stored.sparkSession._jvm, stored.sparkSession._jsc.hadoopConfiguration()
+    for folder in {file.rsplit("/", 1)[0] for file in stored.inputFiles()}:
+        place = jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(conf).delete(place, True)
+
+
 def broadcast_if_small(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark a stored table of a few numbers per row for broadcast if it has few rows.
 

@@ -4,8 +4,8 @@ Seeds are ``K``-word runs chosen by winnowing: the smallest hash of every window
 ``WINDOW`` runs, so any 11 equal words share a seed, and any piece of 20 equal words has two
 places of seeds in each text, without which a pair is not compared. A seed that stands in several
 documents ties each of them to the first document that has it, never all of them to each
-other. So does a seed with either of the two seeds that follow it, at their distance:
-documents that share a run of words whose parts stand in several earlier documents meet through the seams between
+other. So does a shared seed with either of the two shared seeds that follow it, at their
+distance: documents that share a run of words whose parts stand in several earlier documents meet through the seams between
 them. Exact copies are one text until the end. All places of a seed in one text are matched
 with all its places in the other; matches that are one run of equal words become one run,
 and runs are chained in text order with gap costs, the best predecessor coming from a
@@ -28,8 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketlens.llm.common import broadcast_if_small, materialise, text_or_empty, word_count
-from basketlens.llm.wordhash import U, batches, mix, runs, words
+from basketlens.llm.common import broadcast_if_small, discard, materialise, text_or_empty, word_count
+from basketlens.llm.wordhash import U, batches, runs, words
 
 K, WINDOW = 4, 8
 MIN_WORDS = 50
@@ -59,7 +59,7 @@ def _sliding(values: np.ndarray, width: int, best) -> np.ndarray:
     return out
 
 
-SEEDS = "doc_id long, text_hash long, second_id long, seed long, places binary, nexts binary"
+SEEDS = "doc_id long, text_hash long, second_id long, seed long, places binary"
 
 
 def _cut(values: np.ndarray, edges: np.ndarray) -> pa.Array:
@@ -77,11 +77,7 @@ def _edges(*keys: np.ndarray) -> np.ndarray:
 
 
 def _seeds(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Winnowed seeds with all their places in a text, and for each place two codes of what follows.
-
-    A code is 27 bits of the next seed or the one after it and, in the last five, its
-    distance; 0 past the end.
-    """
+    """Winnowed seeds with all their places in a text."""
     for part in parts:
         for batch in batches(part):
             hashes, _, _, first, _ = words(batch.column("text"))
@@ -95,14 +91,7 @@ def _seeds(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             least[place > count - K - WINDOW + 1] = 0
             covered = _sliding(least[::-1], WINDOW, np.maximum)[::-1]
             chosen = np.flatnonzero(inside & (covered == found) & (count >= MIN_WORDS))
-            follows = np.zeros((len(chosen), 2), np.uint32)
-            code = ((mix(found[chosen]) >> U(37)) << U(5)).astype(np.uint32)
-            for ahead in (1, 2):
-                # Chosen places of a text are at most WINDOW apart.
-                after = code[ahead:] | (chosen[ahead:] - chosen[:-ahead]).astype(np.uint32) & 31
-                follows[:-ahead, ahead - 1] = np.where(text[chosen[ahead:]] == text[chosen[:-ahead]], after, 0)
-            order = np.lexsort((place[chosen], found[chosen], text[chosen]))
-            chosen, follows = chosen[order], follows[order]
+            chosen = chosen[np.lexsort((place[chosen], found[chosen], text[chosen]))]
             seed, owner = found[chosen], text[chosen]
             edges = _edges(seed, owner)
             rows = pa.array(owner[edges[:-1]])
@@ -111,9 +100,8 @@ def _seeds(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     *(batch.column(c).take(rows) for c in ("doc_id", "text_hash", "second_id")),
                     pa.array(seed[edges[:-1]].view(np.int64)),
                     _cut(place[chosen].astype(np.int32), edges),
-                    _cut(follows, edges * 2),
                 ],
-                names=["doc_id", "text_hash", "second_id", "seed", "places", "nexts"],
+                names=["doc_id", "text_hash", "second_id", "seed", "places"],
             )
 
 
@@ -125,18 +113,23 @@ def _flat(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
     return values, np.diff(offsets) // 4
 
 
-def _neighbours(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each seed of a text and each code of what follows it, with the places of the seed."""
+def _each_place(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each place of a seed in a text."""
     for batch in parts:
         place, counts = _flat(batch.column("places"), np.int32)
-        follows, _ = _flat(batch.column("nexts"), np.int32)
-        place, owner = np.repeat(place, 2), np.repeat(np.arange(batch.num_rows), counts * 2)
-        order = np.lexsort((place, follows, owner))
-        order = order[follows[order] != 0]
-        place, follows, owner = place[order], follows[order], owner[order]
-        edges = _edges(owner, follows)
-        kept = batch.select(["doc_id", "text_hash", "second_id", "first_id", "seed"]).take(pa.array(owner[edges[:-1]]))
-        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(follows[edges[:-1]]), _cut(place, edges)], names=[*kept.schema.names, "next", "places"])
+        kept = batch.select(["doc_id", "text_hash", "second_id", "first_id", "seed"]).take(pa.array(np.repeat(np.arange(batch.num_rows), counts)))
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(place)], names=[*kept.schema.names, "place"])
+
+
+def _as_binary(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The column of lists of places as binary."""
+    for batch in parts:
+        at = batch.schema.get_field_index("places")
+        lists = batch.column(at)
+        edges = np.r_[0, np.cumsum(lists.value_lengths().to_numpy())] if len(lists) else np.zeros(1, np.int64)
+        columns = list(batch.columns)
+        columns[at] = _cut(lists.flatten().to_numpy().astype(np.int32), edges)
+        yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
 
 def _word_arrays(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -466,6 +459,32 @@ LAST = "max(coalesce(second_id, doc_id)) AS last_id"
 PAIR = ["doc_id", "text_hash", "second_id", "first_id", "first_hash", "first_second"]
 
 
+def _seams(shared: DataFrame) -> DataFrame:
+    """Shared seeds with one of the two that follow in their text, and the first document of both.
+
+    A row per text, seed, next seed and distance (MAX_GAP at most), with the places of the
+    seed. Where the seed's first document has both, there is none: they tie to it already.
+    """
+    order = Window.partitionBy("doc_id", "text_hash").orderBy("place", "seed")
+    after = [F.struct(F.lead("seed", n).over(order).alias("next"), (F.lead("place", n).over(order) - F.col("place")).alias("gap")) for n in (1, 2)]
+    placed = shared.mapInArrow(_each_place, "doc_id long, text_hash long, second_id long, first_id long, seed long, place int")
+    follows = materialise(placed.dropDuplicates(["doc_id", "text_hash", "place"]).withColumn("after", F.array(*after)))
+    follows_each = follows.withColumn("after", F.explode("after")).select("*", "after.*").drop("after").where(F.col("gap").between(1, MAX_GAP))
+    key = ["seed", "next", "gap"]
+    seams = (
+        follows_each.groupBy(*key)
+        .agg(F.min("doc_id").alias("seam_id"), F.expr(LAST), F.min("first_id").alias("first_id"))
+        .where("seam_id < last_id AND seam_id <> first_id")
+        .select(*key, F.col("seam_id").alias("first_id"))
+    )
+    names = ["doc_id", "text_hash", "second_id", "first_id", *key]
+    places = follows_each.drop("first_id").join(seams, key).groupBy(*names).agg(F.sort_array(F.collect_list("place")).alias("places"))
+    types = ", ".join(f"{name} {'int' if name == 'gap' else 'long'}" for name in names)
+    between = materialise(places.mapInArrow(_as_binary, f"{types}, places binary"))
+    discard(follows)
+    return between
+
+
 def matching_pieces(rows: DataFrame) -> DataFrame:
     """Aligned pieces of texts and the texts of first documents that share their seeds.
 
@@ -474,19 +493,14 @@ def matching_pieces(rows: DataFrame) -> DataFrame:
     seeds = materialise(rows.mapInArrow(_seeds, SEEDS))
     spread = seeds.groupBy("seed").agg(F.min("doc_id").alias("first_id"), F.expr(LAST)).where("first_id < last_id").drop("last_id")
     shared = materialise(seeds.join(spread, "seed"))
-    follows = shared.mapInArrow(_neighbours, "doc_id long, text_hash long, second_id long, first_id long, seed long, next int, places binary")
-    # Where the seed's first document has both seeds, they tie to it already.
-    seams = (
-        follows.groupBy("seed", "next")
-        .agg(F.min("doc_id").alias("seam_id"), F.expr(LAST), F.min("first_id").alias("first_id"))
-        .where("seam_id < last_id AND seam_id <> first_id")
-        .select("seed", "next", F.col("seam_id").alias("first_id"))
-    )
-    between = materialise(follows.drop("first_id").join(seams, ["seed", "next"]))
-    ties = _ties(shared, ["seed"], F.lit(0)).unionByName(_ties(between, ["seed", "next"], F.col("next").bitwiseAND(31)))
+    discard(seeds)
+    between = _seams(shared)
+    ties = _ties(shared, ["seed"], F.lit(0)).unionByName(_ties(between, ["seed", "next", "gap"], F.col("gap")))
     pairs = materialise(
         ties.groupBy(*PAIR).agg(F.collect_set("match").alias("matches")).where(_held("places") & _held("first_places"))
     )
+    discard(shared)
+    discard(between)
     wanted = pairs.select("doc_id", "text_hash").unionByName(
         pairs.select(F.col("first_id").alias("doc_id"), F.col("first_hash").alias("text_hash"))
     )
@@ -515,9 +529,11 @@ def matching_pieces(rows: DataFrame) -> DataFrame:
 
 
 def _with_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One row per text, under its first document, and the (doc_id, text_hash) of exact copies.
+    """One row per text, under its first document, and exact copies with the name of that text.
 
-    Texts are equal if two hashes of 96 bits in all and their length are.
+    A text is named by its document, and a hash where that document has several. Texts are
+    equal if two hashes of 96 bits in all and their length are. Texts too short for a passage
+    are left out.
     """
     text = text_or_empty("text")
     same = ["text_hash", "check", "length"]
@@ -528,13 +544,22 @@ def _with_copies(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.octet_length(text).alias("length"),
         text.alias("text"),
     )
-    members = materialise(rows.drop("text").where(F.col("length") >= 2 * MIN_WORDS - 1).distinct())
+    rows = rows.where(F.col("length") >= 2 * MIN_WORDS - 1)
+    members = materialise(rows.drop("text").distinct())
+    several = members.groupBy("doc_id").agg((F.count(F.lit(1)) > 1).alias("several")).where("several")
     firsts = members.groupBy(*same).agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).where("first_id < last_id")
     copies = materialise(members.join(firsts.drop("last_id"), same))
     seconds = copies.where("doc_id <> first_id").groupBy("first_id", *same).agg(F.min("doc_id").alias("second_id"))
-    marked = copies.join(seconds, ["first_id", *same]).select("doc_id", *same, "first_id", "second_id")
-    kept = rows.join(broadcast_if_small(materialise(marked)), ["doc_id", *same], "left").where("first_id IS NULL OR first_id = doc_id")
-    return kept.select("doc_id", "text_hash", "second_id", "text"), copies.where("doc_id <> first_id").select("doc_id", "text_hash", "first_id")
+    copied = copies.join(seconds, ["first_id", *same]).select("doc_id", *same, "first_id", "second_id")
+    marked = materialise(
+        members.join(copied, ["doc_id", *same], "left").join(several, "doc_id", "left").where("first_id IS NOT NULL OR several")
+    )
+    kept = rows.join(broadcast_if_small(marked), ["doc_id", *same], "left").where("first_id IS NULL OR first_id = doc_id")
+    # A document of one text needs no hash to name it.
+    hashed = F.when(F.col("several"), F.col("text_hash")).otherwise(F.lit(0)).alias("text_hash")
+    of_first = marked.where("first_id = doc_id").select("first_id", *same, hashed.alias("first_hash"))
+    others = copies.where("doc_id <> first_id").join(of_first, ["first_id", *same]).select("doc_id", "first_id", "first_hash")
+    return kept.select("doc_id", hashed, "second_id", "text"), others
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -583,8 +608,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     found = materialise(passages.select("doc_id", "text_hash", "start_word", "stop_word", "n_words", "other_id"))
     # Copies have the one passage of their first document, which is all of the text.
-    of_copies = copies.join(found.withColumnRenamed("doc_id", "first_id"), ["first_id", "text_hash"]).withColumn(
-        "other_id", F.least("other_id", "first_id")
-    )
+    of_first = found.withColumnsRenamed({"doc_id": "first_id", "text_hash": "first_hash"})
+    of_copies = copies.join(of_first, ["first_id", "first_hash"]).withColumn("other_id", F.least("other_id", "first_id"))
     names = ["doc_id", "start_word", "stop_word", "n_words", "other_id"]
     return found.select(*names).unionByName(of_copies.select(*names))
