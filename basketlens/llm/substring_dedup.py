@@ -239,8 +239,8 @@ def _equal_runs(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> l
 def _common(a: np.ndarray, b: np.ndarray) -> int:
     """Length of the longest common subsequence of two short word runs."""
     n = min(len(a), len(b))
-    if not n:
-        return 0
+    if not n or a.tobytes() == b.tobytes():
+        return n
     differ = np.flatnonzero(a[:n] != b[:n])
     if not len(differ):
         return n
@@ -260,7 +260,7 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
 
 def _extend(a: np.ndarray, b: np.ndarray, cost: int = 2) -> tuple[int, int]:
     """How far two runs go on together, and the equal words: matches 1, mismatches -cost."""
-    n, step = min(len(a), len(b)), 64
+    n, step = min(len(a), len(b)), 8
     a, b = a[:n], b[:n]
     best = at = score = top = equal = equal_at_best = 0
     while at < n:
@@ -272,6 +272,7 @@ def _extend(a: np.ndarray, b: np.ndarray, cost: int = 2) -> tuple[int, int]:
                 top, best, equal_at_best = score, at, equal
             elif score < top - 3 * cost:
                 return best, equal_at_best
+        step = 64
     return best, equal_at_best
 
 
@@ -313,10 +314,12 @@ def _widened(piece: tuple[int, int, int, int, int], x: np.ndarray, y: np.ndarray
     """
     start, stop, other, other_stop, equal = piece
     left, right = min(start, other, MAX_GAP), min(len(x) - stop, len(y) - other_stop, MAX_GAP)
-    before = np.r_[0, np.cumsum((x[start - left : start] == y[other - left : other])[::-1])]
-    after = np.r_[0, np.cumsum(x[stop : stop + right] == y[other_stop : other_stop + right])]
-    if equal + before[-1] + after[-1] < MIN_EQUAL * MIN_WORDS:
+    if equal + left + right < MIN_EQUAL * MIN_WORDS:
+        return piece
+    same_before, same_after = x[start - left : start] == y[other - left : other], x[stop : stop + right] == y[other_stop : other_stop + right]
+    if equal + np.count_nonzero(same_before) + np.count_nonzero(same_after) < MIN_EQUAL * MIN_WORDS:
         return piece
+    before, after = np.r_[0, np.cumsum(same_before[::-1])], np.r_[0, np.cumsum(same_after)]
     more = np.arange(left + 1)[:, None] + np.arange(right + 1)[None, :]
     same = before[:, None] + after[None, :]
     length = max(stop - start, other_stop - other) + more
@@ -468,6 +471,8 @@ def _seams(shared: DataFrame) -> DataFrame:
     order = Window.partitionBy("doc_id", "text_hash").orderBy("place", "seed")
     after = [F.struct(F.lead("seed", n).over(order).alias("next"), (F.lead("place", n).over(order) - F.col("place")).alias("gap")) for n in (1, 2)]
     placed = shared.mapInArrow(_each_place, "doc_id long, text_hash long, second_id long, first_id long, seed long, place int")
+    # One shuffle by text serves repeated rows and the order of places.
+    placed = placed.repartition("doc_id", "text_hash")
     follows = materialise(placed.dropDuplicates(["doc_id", "text_hash", "place"]).withColumn("after", F.array(*after)))
     follows_each = follows.withColumn("after", F.explode("after")).select("*", "after.*").drop("after").where(F.col("gap").between(1, MAX_GAP))
     key = ["seed", "next", "gap"]
