@@ -37,6 +37,8 @@ from basketlens.sources.schemas import SCHEMAS
 
 CUSTOMER = ("customer_id",)
 CUSTOMER_AT_DATE = ("as_of", "customer_id")
+#: So many rows a task repeats, sorts and sums up for several dates (some hundred bytes each).
+ROWS_PER_TASK = 1 << 16
 
 WEB_COLUMNS = (
     "total_sessions",
@@ -92,6 +94,18 @@ def _snapshot_array(windows: DataFrame) -> Column:
     ).scalar()
 
 
+def _by_customer(df: DataFrame, rows: int) -> DataFrame:
+    """Shuffle by customer, into as many partitions as ``rows`` need at ROWS_PER_TASK each.
+
+    Left to itself Spark makes partitions by their bytes in the shuffle, which are a small
+    part of what rows take once they are repeated per date.
+    """
+    needed = -(-rows // ROWS_PER_TASK)
+    if needed <= 1:
+        return df.repartition("customer_id")
+    return df.repartition(max(needed, df.sparkSession.sparkContext.defaultParallelism), "customer_id")
+
+
 def _per_snapshot(df: DataFrame, windows: DataFrame, date: str) -> DataFrame:
     """Repeat each row for the snapshots it already belongs to."""
     snapshot = F.explode(_snapshot_array(windows)).alias("_s")
@@ -148,9 +162,10 @@ def purchase_features_of_days(
     min_transactions: int = MIN_TRANSACTIONS,
     project_categories: Sequence[str] = PROJECT_CATEGORIES,
     maintenance_categories: Sequence[str] = MAINTENANCE_CATEGORIES,
+    rows: int = 0,
 ) -> DataFrame:
-    """R4-R7 without the median, from :func:`daily_purchases`."""
-    days = _per_snapshot(days.repartition("customer_id"), windows, "transaction_date")
+    """R4-R7 without the median, from :func:`daily_purchases`, of which there are at most ``rows`` if known."""
+    days = _per_snapshot(_by_customer(days, rows), windows, "transaction_date")
     date = F.col("transaction_date")
     history = Window.partitionBy(*keys)
     days = days.withColumns(
@@ -305,6 +320,7 @@ def web_features(
     windows: DataFrame | None = None,
     keys: Sequence[str] = CUSTOMER,
     deep_session: int = DEEP_SESSION_EVENTS,
+    rows: int = 0,
 ) -> DataFrame:
     """Browsing per customer, in one pass over the sessions.
 
@@ -312,19 +328,23 @@ def web_features(
     from all events.
     """
     if windows is not None:
-        return web_features_of_days(daily_sessions(web_events), windows, keys, deep_session)
+        return web_features_of_days(daily_sessions(web_events), windows, keys, deep_session, rows)
     return _web_totals(session_stats(web_events), keys, deep_session)
 
 
 def web_features_of_days(
-    days: DataFrame, windows: DataFrame, keys: Sequence[str] = CUSTOMER, deep_session: int = DEEP_SESSION_EVENTS
+    days: DataFrame,
+    windows: DataFrame,
+    keys: Sequence[str] = CUSTOMER,
+    deep_session: int = DEEP_SESSION_EVENTS,
+    rows: int = 0,
 ) -> DataFrame:
-    """R9, R10 at the dates of ``windows``, from :func:`daily_sessions`.
+    """R9, R10 at the dates of ``windows``, from :func:`daily_sessions`, at most ``rows`` if known.
 
     The days of a session are what is repeated per date, after their shuffle by customer,
     which the sums per session and per customer use as well.
     """
-    days = _per_snapshot(days.repartition("customer_id"), windows, "event_date")
+    days = _per_snapshot(_by_customer(days, rows), windows, "event_date")
     session = [*[key for key in keys if key != "customer_id"], "session_id", "customer_id"]
     sessions = days.groupBy(*session).agg(*[F.sum(c).alias(c) for c in SESSION_SUMS])
     return _web_totals(sessions, keys, deep_session)
@@ -410,6 +430,13 @@ def snapshot_features(
     keys = CUSTOMER if len(days_back) == 1 else CUSTOMER_AT_DATE
     whole_history = as_of is None and tuple(days_back) == (0,)
     web_keys = keys if trim_web else CUSTOMER
+    rows = 0
+    if len(days_back) > 1:
+        # Both sides get the same number of partitions, so that their join moves neither.
+        sources = ["daily_purchases" if stored else "transactions"]
+        if trim_web and wanted & set(WEB_COLUMNS):
+            sources.append("daily_sessions" if stored else "web_events")
+        rows = max(tables[name].count() for name in sources)
     joined = purchase_features_of_days(
         purchases,
         windows,
@@ -417,6 +444,7 @@ def snapshot_features(
         min_transactions,
         project_categories,
         maintenance_categories,
+        rows,
     )
     # Joins on the customer alone come first, while the rows lie by customer.
     if wanted & {"loyalty_tier_numeric", "points_balance"}:
@@ -424,11 +452,11 @@ def snapshot_features(
     joined = joined.join(customer_regions(tables["customer_master"]), "customer_id")
     if wanted & set(WEB_COLUMNS):
         if stored and trim_web:
-            web = web_features_of_days(tables["daily_sessions"], windows, web_keys)
+            web = web_features_of_days(tables["daily_sessions"], windows, web_keys, rows=rows)
         elif stored:
             web = web_features_of_all_days(tables["daily_sessions"])
         else:
-            web = web_features(tables["web_events"], windows if trim_web else None, web_keys)
+            web = web_features(tables["web_events"], windows if trim_web else None, web_keys, rows=rows)
         joined = joined.join(web, list(web_keys), "left")
     if "median_basket_size" in wanted:
         limits = None if whole_history else windows
