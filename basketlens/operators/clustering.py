@@ -149,9 +149,8 @@ def run_silhouettes(
     puts all rows into one cluster has none.
     """
     if "features" in labelled.columns:
-        point = vector_to_array("features")
-    else:
-        point = F.array(*[F.col(c).cast("double") for c in columns])
+        return _vector_silhouettes(labelled, runs)
+    point = F.array(*[F.col(c).cast("double") for c in columns])
     labels = F.array(
         *[F.struct(F.lit(r).alias("run"), F.col(r).cast("long").alias("label")) for r in runs]
     )
@@ -175,6 +174,84 @@ def run_silhouettes(
     )
 
 
+def _vector_silhouettes(labelled: DataFrame, runs: Sequence[str]) -> DataFrame:
+    """:func:`run_silhouettes` of vectors, whose tasks add up blocks of rows."""
+    rows = labelled.select(vector_to_array("features").alias("x"), *[F.col(r).cast("long").alias(f"label_{i}") for i, r in enumerate(runs)])
+    sums = rows.mapInArrow(_label_sums(), "run int, label long, n long, length double, total array<double>")
+    at = F.posexplode("total").alias("place", "value")
+    means = sums.select("run", "label", at).groupBy("run", "label", "place").agg(F.sum("value").alias("value"))
+    means = means.groupBy("run", "label").agg(F.array_sort(F.collect_list(F.struct("place", "value"))).alias("total"))
+    sizes = sums.groupBy("run", "label").agg(F.sum("n").alias("n"), F.sum("length").alias("length"))
+    # A row per cluster of each run.
+    found = sizes.join(means, ["run", "label"]).orderBy("run", "label").collect()
+    clusters = []
+    for i in range(len(runs)):
+        own = [c for c in found if c["run"] == i]
+        n = np.array([c["n"] for c in own], dtype=float)
+        mean = np.array([[v["value"] for v in c["total"]] for c in own])
+        clusters.append((np.array([c["label"] for c in own]), n, np.array([c["length"] for c in own]) / n, mean / n[:, None] if own else mean))
+    names = F.array(*[F.lit(r) for r in runs])
+    parts = rows.mapInArrow(_label_widths(clusters), "run int, width double, rows long")
+    several = F.array(*[F.lit(len(c[0]) > 1) for c in clusters])
+    totals = parts.groupBy("run").agg((F.sum("width") / F.sum("rows")).alias("mean"))
+    return totals.select(F.get(names, "run").alias("run"), F.when(F.get(several, "run"), F.col("mean")).alias("silhouette"))
+
+
+def _label_sums() -> Callable:
+    """Size, sum of squared lengths and sum of the rows of each label of each run."""
+
+    def sums(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
+            lengths, out = (points**2).sum(axis=1), []
+            for run in range(batch.num_columns - 1):
+                found, member = np.unique(batch.column(run + 1).to_numpy(), return_inverse=True)
+                total = np.zeros((len(found), points.shape[1]))
+                np.add.at(total, member, points)
+                counts = np.bincount(member)
+                out += zip([run] * len(found), found.tolist(), counts.tolist(), np.bincount(member, lengths).tolist(), total.tolist())
+            types = (pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*out), types)], names=["run", "label", "n", "length", "total"]
+            )
+
+    return sums
+
+
+def _label_widths(clusters: list) -> Callable:
+    """Per run the sum of the rows' silhouettes and their number; a row alone in its cluster counts as zero."""
+
+    def widths(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            points = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
+            lengths, at, sums = (points**2).sum(axis=1)[:, None], np.arange(batch.num_rows), []
+            for run, (labels, n, length, means) in enumerate(clusters):
+                gaps = np.maximum(lengths - 2 * points @ means.T + length, 0.0)
+                own = np.searchsorted(labels, batch.column(run + 1).to_numpy())
+                within = gaps[at, own] * n[own] / np.maximum(n[own] - 1, 1)
+                gaps[at, own] = np.inf
+                nearest = gaps.min(axis=1) if len(labels) > 1 else within
+                largest = np.maximum(within, nearest)
+                valued = (n[own] > 1) & (largest > 0)
+                sums.append(float(((nearest - within)[valued] / largest[valued]).sum()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(len(clusters)), pa.int32()), pa.array(sums), pa.array([batch.num_rows] * len(clusters), pa.int64())],
+                names=["run", "width", "rows"],
+            )
+
+    return widths
+
+
 def k_selection(
     vectors: DataFrame,
     ks: Iterable[int] = range(2, 11),

@@ -18,6 +18,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark import RDD, StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -28,6 +29,8 @@ SAMPLE_ROWS = 4096
 SAMPLE_STEPS = 300
 #: So many rows (some megabytes) are one task's work: its iterations need no jobs of their own.
 TASK_ROWS = 1 << 17
+#: So many rows at once are compared with all centres, which stays in a processor's cache.
+STEP_ROWS = 2048
 #: Partial sums of more partitions than this are added up on executors before they travel.
 DIRECT_PARTITIONS = 64
 
@@ -44,19 +47,34 @@ class KMeansFit:
         return list(self.centers)
 
     def transform(self, df: DataFrame, name: str = "prediction") -> DataFrame:
-        """Label rows by their nearest centre; centres stand in the expression."""
-        return df.withColumn(name, nearest_center(vector_to_array("features"), self.centers))
+        """Label rows by their nearest centre, the lower one on a tie."""
+        return df.withColumn(name, nearest_center(self.centers)(vector_to_array("features")))
 
 
-def nearest_center(point: Column, centers: np.ndarray) -> Column:
+def nearest_center(centers: np.ndarray) -> Callable[[Column], Column]:
     """The number of the centre nearest to an array, the lower one on a tie."""
 
-    def distance(center: np.ndarray) -> Column:
-        gaps = F.zip_with(point, F.array(*[F.lit(float(x)) for x in center]), lambda x, c: (x - c) * (x - c))
-        return F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap)
-
-    found = F.array(*[F.struct(distance(c).alias("distance"), F.lit(i).alias("id")) for i, c in enumerate(centers)])
-    return F.array_min(found)["id"]
+    @F.pandas_udf("int")
+    def label(points: pd.Series) -> pd.Series:
+        import numpy as np
+        import pandas as pd
+
+        if not len(points):
+            return pd.Series([], dtype="int32")
+        columns = np.vstack(points.to_numpy()).T.copy()
+        least, found = None, np.zeros(len(points), dtype="int32")
+        for i, center in enumerate(centers):
+            gap = np.zeros(len(points))
+            for x, c in zip(columns, center):
+                gap += (x - c) ** 2
+            if least is None:
+                least = gap
+            else:
+                found[gap < least] = i
+                least = np.minimum(least, gap)
+        return pd.Series(found)
+
+    return label
 
 
 def fit_many(
@@ -197,18 +215,27 @@ def _mover() -> Callable:
     def move(block, centers):
         import numpy as np
 
-        lengths, stacked = (block**2).sum(axis=1), np.vstack(centers)
-        gaps = (stacked**2).sum(axis=1) - 2 * block @ stacked.T
-        out, at, rows = [], 0, np.arange(len(block))
-        for own in centers:
-            part = gaps[:, at : at + len(own)]
-            label = part.argmin(axis=1)
-            member = np.zeros(part.shape)
-            member[rows, label] = 1.0
-            cost = float(np.maximum(part[rows, label] + lengths, 0.0).sum())
-            out.append((member.T @ block, member.sum(axis=0), cost))
-            at += len(own)
-        return out
+        stacked = np.vstack(centers)
+        lengths, doubled = (stacked**2).sum(axis=1)[:, None], -2 * stacked
+        out = [[np.zeros(own.shape), np.zeros(len(own)), 0.0] for own in centers]
+        for low in range(0, len(block), STEP_ROWS):
+            rows = block[low : low + STEP_ROWS]
+            # Rows lie along the second axis, so that every operation runs over many of them.
+            gaps, at = doubled @ rows.T + lengths, 0
+            own_length = (rows**2).sum(axis=1)
+            for total, own in zip(out, centers):
+                part = gaps[at : at + len(own)]
+                least = part.min(axis=0)
+                member = (part == least).astype(float)
+                if member.sum() != len(rows):
+                    # A row has several nearest centres, the first of which counts, or is no number.
+                    member = np.zeros(part.shape)
+                    member[part.argmin(axis=0), np.arange(len(rows))] = 1.0
+                total[0] += member @ rows
+                total[1] += member.sum(axis=1)
+                total[2] += float(np.maximum(least + own_length, 0.0).sum())
+                at += len(own)
+        return [tuple(total) for total in out]
 
     return move
 
