@@ -47,9 +47,17 @@ def _reducer(most: int) -> Callable:
             if not len(new):
                 break
             places = np.concatenate([places, new])
-            away = (lengths[:, None] - 2 * means @ means[new].T + lengths[new]).min(axis=1)
+            away = np.concatenate(
+                [
+                    (lengths[at : at + 1024, None] - 2 * means[at : at + 1024] @ means[new].T + lengths[new]).min(axis=1)
+                    for at in range(0, len(means), 1024)
+                ]
+            )
             gaps = away if gaps is None else np.minimum(gaps, away)
-        nearest = (lengths[places] - 2 * means @ means[places].T).argmin(axis=1)
+        # A few rows at a time, as a matrix of all rows and places would be most of a worker's memory.
+        nearest = np.concatenate(
+            [(lengths[places] - 2 * means[at : at + 1024] @ means[places].T).argmin(axis=1) for at in range(0, len(means), 1024)]
+        )
         out = np.zeros((len(places), sums.shape[1]))
         np.add.at(out, nearest, sums)
         total = np.bincount(nearest, weights=counts, minlength=len(places))
@@ -143,9 +151,9 @@ def _of_nearest(means: np.ndarray, labels: np.ndarray) -> Callable:
     @F.pandas_udf("int")
     def label(points: pd.Series) -> pd.Series:
         rows = np.vstack(points.to_numpy()) if len(points) else np.zeros((0, means.shape[1]))
-        out = []
-        for at in range(0, len(rows), 4096):
-            gaps = (means**2).sum(axis=1) - 2 * rows[at : at + 4096] @ means.T
+        out, lengths = [], (means**2).sum(axis=1)
+        for at in range(0, len(rows), 512):
+            gaps = lengths - 2 * rows[at : at + 512] @ means.T
             out.append(labels[gaps.argmin(axis=1)])
         return pd.Series(np.concatenate(out) if out else np.zeros(0), dtype="int32")
 
