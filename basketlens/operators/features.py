@@ -39,6 +39,9 @@ CUSTOMER = ("customer_id",)
 CUSTOMER_AT_DATE = ("as_of", "customer_id")
 #: So many rows a task repeats, sorts and sums up for several dates (some hundred bytes each).
 ROWS_PER_TASK = 1 << 16
+#: Up to so many partitions a shuffle writes rows as they come and holds none (Spark's default
+#: of spark.shuffle.sort.bypassMergeThreshold).
+UNBUFFERED_PARTITIONS = 200
 
 WEB_COLUMNS = (
     "total_sessions",
@@ -106,6 +109,20 @@ def _by_customer(df: DataFrame, rows: int) -> DataFrame:
     return df.repartition(max(needed, df.sparkSession.sparkContext.defaultParallelism), "customer_id")
 
 
+def _by_summed_keys(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """Shuffle by what ``rows`` rows are summed up by, if a task should not hold the sums of all.
+
+    A sum before the shuffle holds a group for nearly every row of a task's input split, which
+    grows with the tables; here a task gets a 200th of the rows at most, and customers of any
+    size are spread by the other keys.
+    """
+    needed = -(-rows // ROWS_PER_TASK)
+    if needed <= 1:
+        return df
+    parallel = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(min(max(needed, parallel), UNBUFFERED_PARTITIONS), *keys)
+
+
 def _per_snapshot(df: DataFrame, windows: DataFrame, date: str) -> DataFrame:
     """Repeat each row for the snapshots it already belongs to."""
     snapshot = F.explode(_snapshot_array(windows)).alias("_s")
@@ -127,10 +144,12 @@ def eligible_customers(
     )
 
 
-def daily_purchases(transactions: DataFrame) -> DataFrame:
-    """Transactions summed up per customer, category and day."""
+def daily_purchases(transactions: DataFrame, rows: int = 0) -> DataFrame:
+    """Transactions, of which there are ``rows`` if known, summed up per customer, category and day."""
     promo = is_true("promo_flag")
-    return transactions.groupBy("customer_id", "category", "transaction_date").agg(
+    keys = ("customer_id", "category", "transaction_date")
+    summed = transactions.select(*keys, "amount", "channel", "promo_flag", "discount_pct")
+    return _by_summed_keys(summed, rows, *keys).groupBy(*keys).agg(
         F.count("*").alias("rows"),
         F.count("amount").alias("amounts"),
         F.sum("amount").alias("amount"),
@@ -310,9 +329,11 @@ def session_stats(web_events: DataFrame, extra_keys: Sequence[str] = ()) -> Data
     )
 
 
-def daily_sessions(web_events: DataFrame) -> DataFrame:
-    """Web events summed up per customer, session and day."""
-    return session_stats(web_events, ["event_date"])
+def daily_sessions(web_events: DataFrame, rows: int = 0) -> DataFrame:
+    """Web events, of which there are ``rows`` if known, summed up per customer, session and day."""
+    keys = ("event_date", "session_id", "customer_id")
+    summed = web_events.select(*keys, "search_flag", "page_type", "device")
+    return session_stats(_by_summed_keys(summed, rows, *keys), ["event_date"])
 
 
 def web_features(
@@ -328,7 +349,7 @@ def web_features(
     from all events.
     """
     if windows is not None:
-        return web_features_of_days(daily_sessions(web_events), windows, keys, deep_session, rows)
+        return web_features_of_days(daily_sessions(web_events, rows), windows, keys, deep_session, rows)
     return _web_totals(session_stats(web_events), keys, deep_session)
 
 
@@ -423,9 +444,8 @@ def snapshot_features(
         fields = [f for f in fields if f.name == "customer_id" or f.name in columns]
     wanted = {f.name for f in fields}
     stored = "daily_purchases" in tables
-    purchases = tables["daily_purchases"] if stored else daily_purchases(tables["transactions"])
     windows = reference_windows(
-        purchases if stored else tables["transactions"], as_of, days_back
+        tables["daily_purchases" if stored else "transactions"], as_of, days_back
     )
     keys = CUSTOMER if len(days_back) == 1 else CUSTOMER_AT_DATE
     whole_history = as_of is None and tuple(days_back) == (0,)
@@ -437,6 +457,7 @@ def snapshot_features(
         if trim_web and wanted & set(WEB_COLUMNS):
             sources.append("daily_sessions" if stored else "web_events")
         rows = max(tables[name].count() for name in sources)
+    purchases = tables["daily_purchases"] if stored else daily_purchases(tables["transactions"], rows)
     joined = purchase_features_of_days(
         purchases,
         windows,

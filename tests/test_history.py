@@ -59,3 +59,26 @@ def test_history_bounds_the_rows_of_a_task(spark, monkeypatch):
     assert "REPARTITION_BY_NUM" not in few
     assert "hashpartitioning(customer_id" in many and many.count(", 30), REPARTITION_BY_NUM") >= 2
     assert len(expected) > 500 and found == expected
+
+
+def test_history_sums_rows_behind_the_shuffle(spark, monkeypatch):
+    """No task sums up an input split of any size: groups are formed where rows are dealt by their keys."""
+    from basketlens.operators import features
+
+    day = dt.date(2024, 1, 1)
+    transactions = spark.createDataFrame(
+        [(f"C{i % 40}", day + dt.timedelta(days=i % 9), float(i % 90), "Paint" if i % 3 else None, "online", i % 2 == 0, 0.1) for i in range(900)],
+        "customer_id string, transaction_date date, amount double, category string, channel string, promo_flag boolean, discount_pct double",
+    )
+    events = spark.createDataFrame(
+        [(f"C{i % 40}", f"S{i // 4}", day + dt.timedelta(days=i % 9), "cart", "mobile", i % 2) for i in range(900)],
+        "customer_id string, session_id string, event_date date, page_type string, device string, search_flag long",
+    )
+    expected = [sorted(map(str, f(rows).collect())) for f, rows in ((features.daily_purchases, transactions), (features.daily_sessions, events))]
+    monkeypatch.setattr(features, "ROWS_PER_TASK", 2)
+    found = [features.daily_purchases(transactions, 900), features.daily_sessions(events, 900)]
+    for df, rows in zip(found, expected):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and ", 200), REPARTITION_BY_NUM" in plan
+        assert plan.index("HashAggregate") < plan.index("Exchange") and "HashAggregate" not in plan[plan.index("Exchange"):]
+        assert sorted(map(str, df.collect())) == rows
