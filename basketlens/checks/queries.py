@@ -614,8 +614,8 @@ def c6_fit_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
         return labelled.agg(
             F.count("*").alias("customers"),
             F.count_if(F.col("run_0").between(0, CLUSTERS - 1)).alias("labels"),
-            F.lit(kept.summary.logLikelihood >= max(m.summary.logLikelihood for m in starts)).alias("likeliest"),
-            F.lit(kept.summary.logLikelihood > pair).alias("likelier_than_two"),
+            F.lit(kept.log_likelihood >= max(m.log_likelihood for m in starts)).alias("likeliest"),
+            F.lit(kept.log_likelihood > pair).alias("likelier_than_two"),
         )
     finally:
         vectors.unpersist()

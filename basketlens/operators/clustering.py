@@ -9,10 +9,7 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 import pandas as pd
 from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import (
-    GaussianMixture,
-    GaussianMixtureModel,
-)
+from pyspark.ml.clustering import GaussianMixtureModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -21,6 +18,7 @@ from pyspark.sql import functions as F
 
 from basketlens.constants import CLUSTER_FEATURES, CLUSTERS
 from basketlens.operators.lloyd import KMeansFit, fit_many
+from basketlens.operators.mixture import MixtureFit, fit_together, start
 from basketlens.operators.ward import hierarchical_labels
 
 SEED = 42
@@ -33,11 +31,11 @@ def as_vectors(scaled: DataFrame, columns: Sequence[str] = CLUSTER_FEATURES) ->
     return VectorAssembler(inputCols=list(columns), outputCol="features").transform(scaled)
 
 
-def _restarts(vectors: DataFrame, fit, seeds: Iterable, parallel: int) -> list:
-    """Fit once per seed; several fits may share the cluster at a time."""
-    session_fit = inheritable_thread_target(vectors.sparkSession)(fit)
+def _restarts(vectors: DataFrame, begin, seeds: Iterable, parallel: int) -> list:
+    """One start per seed; several may share the cluster at a time."""
+    session_begin = inheritable_thread_target(vectors.sparkSession)(begin)
     with ThreadPool(parallel) as pool:
-        return pool.map(session_fit, list(seeds))
+        return pool.map(session_begin, list(seeds))
 
 
 def fit_kmeans(
@@ -281,7 +279,7 @@ def _cost(fit: KMeansFit) -> float:
 
 def mixture_starts(
     vectors: DataFrame, seed: int, k: int = CLUSTERS, restarts: int = 3, parallel: int = 3
-) -> list[GaussianMixtureModel]:
+) -> list[MixtureFit]:
     """Gaussian mixtures started from one seed."""
     return fit_mixtures(vectors, [seed], k, restarts, parallel)[0]
 
@@ -292,32 +290,32 @@ def fit_mixtures(
     k: int = CLUSTERS,
     restarts: int = 3,
     parallel: int = 4,
-) -> list[list[GaussianMixtureModel]]:
-    """The mixtures of all starts of all seeds, from one pool of fits."""
+) -> list[list[MixtureFit]]:
+    """The mixtures of all starts of all seeds, fitted together."""
 
-    def fit(run_seed: int) -> GaussianMixtureModel:
-        return GaussianMixture(k=k, seed=run_seed).fit(vectors)
+    def begin(run_seed: int) -> MixtureFit:
+        return start(vectors, k, run_seed)
 
     starts = [seed * restarts + i for seed in seeds for i in range(restarts)]
-    models = _restarts(vectors, fit, starts, parallel)
+    models = fit_together(vectors, _restarts(vectors, begin, starts, parallel))
     return [models[at : at + restarts] for at in range(0, len(models), restarts)]
 
 
-def _likeliest(models: Sequence[GaussianMixtureModel]) -> GaussianMixtureModel:
-    return max(models, key=lambda model: model.summary.logLikelihood)
+def _likeliest(models: Sequence[MixtureFit]) -> MixtureFit:
+    return max(models, key=lambda model: model.log_likelihood)
 
 
 def fit_mixture(
     vectors: DataFrame, seed: int, k: int = CLUSTERS, restarts: int = 3, parallel: int = 3
-) -> GaussianMixtureModel:
+) -> MixtureFit:
     """The likeliest of several Gaussian mixtures started from one seed."""
     return _likeliest(mixture_starts(vectors, seed, k, restarts, parallel))
 
 
 def likeliest_mixtures(
     vectors: DataFrame, seeds: Sequence[int], k: int = CLUSTERS
-) -> list[GaussianMixtureModel]:
-    """The mixture of each seed, all starts from one pool."""
+) -> list[MixtureFit]:
+    """The mixture of each seed, all starts fitted together."""
     return [_likeliest(models) for models in fit_mixtures(vectors, seeds, k)]
 
 
@@ -325,7 +323,7 @@ def label_runs(vectors: DataFrame, models: Sequence, prefix: str = "run_") -> Da
     """Label the rows by each model, one column per run; no rows are shuffled."""
     labelled = vectors
     for i, model in enumerate(models):
-        if isinstance(model, KMeansFit):
+        if isinstance(model, (KMeansFit, MixtureFit)):
             labelled = model.transform(labelled, f"{prefix}{i}")
             continue
         named = model.copy().setPredictionCol(f"{prefix}{i}")
@@ -430,7 +428,7 @@ def compare_methods(
     labelled = hierarchical_labels(labelled, k).withColumnRenamed("prediction", "split_0")
     labelled = label_runs(labelled, mixtures)
     runs = [f"run_{i}" for i in range(len(mixtures))]
-    dimensions = range(len(mixtures[0].gaussians[0].mean)) if mixtures else CLUSTER_FEATURES
+    dimensions = range(mixtures[0].means.shape[1]) if mixtures else CLUSTER_FEATURES
     return method_table(labelled, "kmeans_0", "split_0", runs, dimensions)
 
 

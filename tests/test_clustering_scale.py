@@ -5,9 +5,10 @@ from __future__ import annotations
 import tracemalloc
 
 import numpy as np
+from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.linalg import Vectors
 
-from basketlens.operators import clustering, lloyd, ward
+from basketlens.operators import clustering, lloyd, mixture, ward
 
 
 def test_silhouettes_of_vectors_do_not_repeat_rows_per_run(spark):
@@ -60,3 +61,22 @@ def test_summing_up_rows_holds_few_distances_at_once():
     assert peak < 10_000 * 512 * 8 / 2
     assert counts.sum() == 10_000 and len(counts) <= 1024
     assert np.allclose(sums.sum(axis=0), block.sum(axis=0))
+
+
+def test_mixtures_share_their_steps_and_equal_single_fits(spark, monkeypatch):
+    random = np.random.default_rng(4)
+    points = np.concatenate([random.standard_normal((150, 3)) * size + at for size, at in ((1.0, 0.0), (0.3, 4.0), (2.0, -5.0))])
+    points[:, 2] = np.round(points[:, 2] / 3)
+    vectors = spark.createDataFrame([(i, Vectors.dense(p)) for i, p in enumerate(points)], ["customer_id", "features"]).repartition(3).cache()
+    jobs, real = [], mixture.gather
+    monkeypatch.setattr(mixture, "gather", lambda *given: jobs.append(1) or real(*given))
+    fits = [fit for own in clustering.fit_mixtures(vectors, [0, 1], k=3, restarts=2) for fit in own]
+    assert len(jobs) == max(fit.steps for fit in fits) < sum(fit.steps for fit in fits)
+    for seed, fit in enumerate(fits):
+        alone = GaussianMixture(k=3, seed=seed).fit(vectors)
+        assert fit.steps == alone.summary.numIter
+        assert abs(fit.log_likelihood - alone.summary.logLikelihood) < 1e-6
+        assert np.allclose(fit.weights, alone.weights) and np.allclose(fit.means, [g.mean.toArray() for g in alone.gaussians])
+        labelled = clustering.label_runs(vectors, [fit, alone])
+        assert labelled.where("run_0 <> run_1").count() == 0
+    vectors.unpersist()
