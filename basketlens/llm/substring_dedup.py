@@ -45,6 +45,8 @@ MATCHES, LEAST_MATCHES = 4, 4096
 ENUMERATED = 1 << 20
 #: Partners of a first document that meet its words in one key.
 PARTNERS = 256
+#: Ends of many runs are followed over so many words at once; those that go on further alone.
+EXTENDED = 24
 #: Passages of a document join if so few words lie between them.
 JOIN_GAP = 3
 
@@ -216,7 +218,10 @@ def _matches(own: np.ndarray, own_counts: np.ndarray, other: np.ndarray, other_c
     b = other[(np.cumsum(other_counts) - other_counts)[row] + within % other_counts[row]].astype(np.int64)
     gap = gaps[row]
     more = gap > 0
-    both = np.unique((np.r_[a, a[more] + gap[more]] << 32) | np.r_[b, b[more] + gap[more]])
+    both = (a << 32) | b
+    if more.any():
+        both = np.concatenate([both, ((a[more] + gap[more]) << 32) | (b[more] + gap[more])])
+    both = np.unique(both)
     return both >> 32, both & 0xFFFFFFFF
 
 
@@ -231,8 +236,8 @@ def _equal_runs(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> l
     for t in range(K, WINDOW):
         open_ = np.flatnonzero(whole & (step > t))
         whole[open_] = x[a[open_] + t] == y[b[open_] + t]
-    first = np.flatnonzero(np.r_[True, ~whole])
-    stop = np.r_[first[1:] - 1, len(a) - 1]
+    stop = np.flatnonzero(np.concatenate([~whole, [True]]))
+    first = np.concatenate([[0], stop[:-1] + 1])
     return list(zip(a[first].tolist(), b[first].tolist(), (a[stop] - a[first] + K).tolist()))
 
 
@@ -241,15 +246,22 @@ def _common(a: np.ndarray, b: np.ndarray) -> int:
     n = min(len(a), len(b))
     if not n or a.tobytes() == b.tobytes():
         return n
-    differ = np.flatnonzero(a[:n] != b[:n])
-    if not len(differ):
-        return n
-    head = int(differ[0])
-    a, b = a[head:], b[head:]
-    n = min(len(a), len(b))
-    differ = np.flatnonzero(a[::-1][:n] != b[::-1][:n])
-    tail = int(differ[0]) if len(differ) else n
-    a, b = a[: len(a) - tail].tolist(), b[: len(b) - tail].tolist()
+    if n > MAX_GAP:
+        differ = np.flatnonzero(a[:n] != b[:n])
+        head = int(differ[0]) if len(differ) else n
+        differ = np.flatnonzero(a[::-1][: n - head] != b[::-1][: n - head])
+        tail = int(differ[0]) if len(differ) else n - head
+        a, b = a[head : len(a) - tail].tolist(), b[head : len(b) - tail].tolist()
+    else:
+        a, b = a.tolist(), b.tolist()
+        head = tail = 0
+        while head < n and a[head] == b[head]:
+            head += 1
+        while tail < n - head and a[-1 - tail] == b[-1 - tail]:
+            tail += 1
+        a, b = a[head : len(a) - tail], b[head : len(b) - tail]
+    if not a or not b:
+        return head + tail
     row = [0] * (len(b) + 1)
     for x in a:
         last = 0
@@ -276,6 +288,77 @@ def _extend(a: np.ndarray, b: np.ndarray, cost: int = 2) -> tuple[int, int]:
     return best, equal_at_best
 
 
+def _side(x: np.ndarray, y: np.ndarray, at: np.ndarray, other: np.ndarray, way: np.ndarray, room: np.ndarray, width: int) -> np.ndarray:
+    """Whether the words from a place and another on are equal, a row per place; none is beyond ``room``."""
+    t = np.arange(width)
+    inside = t < room[:, None]
+    move = way[:, None] * t * inside
+    place = np.where(room > 0, at, 0)[:, None] + move
+    mate = np.where(room > 0, other, 0)[:, None] + move
+    return (x[place] == y[mate]) & inside
+
+
+def _both_ways(ends: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Places before (start, stop, other, other stop) going back, then those behind going on, and the words left there."""
+    start, stop, other, other_stop = ends
+    back = np.minimum(start, other)
+    on = np.minimum(len(x) - stop, len(y) - other_stop)
+    way = np.repeat([-1, 1], len(start))
+    return np.concatenate([start - 1, stop]), np.concatenate([other - 1, other_stop]), way, np.concatenate([back, on])
+
+
+def _extended(ends: np.ndarray, x: np.ndarray, y: np.ndarray, cost: int = 2) -> tuple[np.ndarray, np.ndarray]:
+    """:func:`_extend` before and behind of many at once: words and equal words, by side."""
+    at, other, way, room = _both_ways(ends, x, y)
+    same = _side(x, y, at, other, way, room, EXTENDED)
+    score = np.cumsum(np.where(same, 1, -cost), axis=1)
+    top = np.maximum(np.maximum.accumulate(score, axis=1), 0)
+    over = np.logical_or.accumulate(score < top - 3 * cost, axis=1)
+    score[over] = -1
+    best = score.argmax(axis=1)
+    row = np.arange(len(best))
+    found = score[row, best] > 0
+    words = np.where(found, best + 1, 0)
+    equal = np.where(found, np.cumsum(same, axis=1)[row, best], 0)
+    for i in np.flatnonzero(~over[:, -1] & (room > EXTENDED)).tolist():
+        a, b = int(at[i]), int(other[i])
+        sides = (x[a:], y[b:]) if way[i] > 0 else (x[: a + 1][::-1], y[: b + 1][::-1])
+        words[i], equal[i] = _extend(*sides, cost)
+    return words.reshape(2, -1), equal.reshape(2, -1)
+
+
+def _first_pieces(chains: list[list[tuple[int, int, int]]], x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """:func:`align_chain` of many chains of runs, whose words are equal."""
+    if not chains:
+        return []
+    rows = []
+    for chain in chains:
+        a, b, n = chain[0]
+        equal, at, other_at = n, a + n, b + n
+        for place, mate, n in chain[1:]:
+            between = _common(x[at:place], y[other_at:mate]) if at < place and other_at < mate else 0
+            equal += between + n - max(0, at - place, other_at - mate)
+            at, other_at = place + n, mate + n
+        rows.append((a, at, b, other_at, equal))
+    table = np.array(rows).T
+    words, equal = _extended(table[:4], x, y)
+    moved = (table[0] - words[0], table[1] + words[1], table[2] - words[0], table[3] + words[1], table[4] + equal.sum(axis=0))
+    return list(zip(*(column.tolist() for column in moved)))
+
+
+def _can_widen(pieces: list[tuple[int, int, int, int, int]], x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """Pieces with so many equal words within MAX_GAP words that :func:`_widened` may move them."""
+    if not pieces:
+        return []
+    table = np.array(pieces).T
+    at, other, way, room = _both_ways(table[:4], x, y)
+    most = table[4] + np.minimum(room, MAX_GAP).reshape(2, -1).sum(axis=0)
+    kept = np.flatnonzero(most >= MIN_EQUAL * MIN_WORDS)
+    both = np.concatenate([kept, kept + len(pieces)])
+    same = _side(x, y, at[both], other[both], way[both], room[both], MAX_GAP).sum(axis=1).reshape(2, -1).sum(axis=0)
+    return [pieces[i] for i in kept[table[4][kept] + same >= MIN_EQUAL * MIN_WORDS].tolist()]
+
+
 def align_chain(chain: list[tuple[int, int]], x: np.ndarray, y: np.ndarray, cost: int = 2) -> tuple[int, int, int, int, int]:
     """start and stop in both texts, and the equal words between them."""
     (start, other), (stop, other_stop) = chain[0], chain[-1]
@@ -330,19 +413,22 @@ def _widened(piece: tuple[int, int, int, int, int], x: np.ndarray, y: np.ndarray
     return start - int(i), stop + int(j), other - int(i), other_stop + int(j), equal + int(same[i, j])
 
 
+def _enough(p: tuple[int, int, int, int, int]) -> bool:
+    return p[4] >= MIN_EQUAL * max(p[1] - p[0], p[3] - p[2])
+
+
 def _piece_of(chain: list[tuple[int, int]], x: np.ndarray, y: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
     """The chain's alignment, or those of its longest parts with enough equal words."""
-    enough = lambda p: p[4] >= MIN_EQUAL * max(p[1] - p[0], p[3] - p[2])
     chains = [chain]
     while chains:
         chain = chains.pop()
         piece = align_chain(chain, x, y)
-        if not enough(piece):
+        if not _enough(piece):
             first, last = _longest_part(chain, x, y)
             chains += [part for part in (chain[:first], chain[last + 1 :]) if part]
             # Ends of this cost have enough equal words by themselves.
             piece = align_chain(chain[first : last + 1], x, y, 4)
-        if enough(piece):
+        if _enough(piece):
             yield piece
 
 
@@ -413,13 +499,17 @@ def _pieces(
         longest = _longest_runs(x, y) + [(b, a, n) for a, b, n in _longest_runs(y, x)]
     chains = [[run] for run in longest] + chains_of_runs(matched)
     ends = lambda a, b, n: [(a, b), (a + n - K, b + n - K)] if n > K else [(a, b)]
-    chains = [[match for run in chain for match in ends(*run)] for chain in chains]
-    found = {piece for chain in chains for piece in _piece_of(chain, x, y)}
+    found = set()
+    for chain, piece in zip(chains, _first_pieces(chains, x, y)):
+        if _enough(piece):
+            found.add(piece)
+        else:
+            found.update(_piece_of([match for run in chain for match in ends(*run)], x, y))
     long = [piece for piece in found if piece[1] - piece[0] >= MIN_WORDS]
     within = lambda p, at: any(q[at] <= p[at] and p[at + 1] <= q[at + 1] for q in long)
     # A piece whose words all stand in long enough ones needs no more words.
     short = [piece for piece in found.difference(long) if not (within(piece, 0) and within(piece, 2))]
-    found |= {_widened(piece, x, y) for piece in short}
+    found |= {_widened(piece, x, y) for piece in _can_widen(short, x, y)}
     return sorted(piece for piece in found if piece[1] - piece[0] >= MIN_PIECE)
 
 

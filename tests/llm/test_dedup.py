@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from basketlens.llm import substring_dedup
 from basketlens.llm.components import connected_components
 from basketlens.llm.exact_dedup import exact_duplicates
 from basketlens.llm.line_dedup import dedup_lines
@@ -251,3 +252,25 @@ def test_copies_and_texts_of_one_document(spark):
     rows = [(1, a), (2, a), (3, a), (3, a), (1, b), (5, c), (5, c), (6, c), (7, d), (8, " ".join(shared[:30])), (9, " ".join(shared[:30]))]
     found = sorted(tuple(r) for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert found == [(1, 0, 60, 60, 2), (1, 0, 90, 90, 2), (2, 0, 90, 90, 1), (3, 0, 90, 90, 1), (5, 0, 70, 70, 6), (6, 0, 70, 70, 5)]
+
+
+def test_pieces_are_aligned_together_as_one_by_one():
+    """Ends of all runs of a pair are followed at once, to where each alone would be."""
+    draws = np.random.default_rng(8)
+    widened = 0
+    for _ in range(60):
+        x = draws.integers(0, 5000, 400).astype(np.uint32)
+        y = np.concatenate([draws.integers(0, 5000, int(draws.integers(0, 30))), x[int(draws.integers(0, 40)) :], x[:60]]).astype(np.uint32)
+        y[draws.random(len(y)) < draws.choice([0.02, 0.1, 0.2])] = 7
+        places = {int(w): np.flatnonzero(y == w) for w in np.unique(x)}
+        k = substring_dedup.K
+        found = [(a, b) for a in range(len(x) - k + 1) for b in places[int(x[a])].tolist() if np.array_equal(x[a : a + k], y[b : b + k])]
+        runs = substring_dedup._equal_runs(*(np.array(c, np.int64) for c in zip(*found)), x, y)
+        chains = substring_dedup.chains_of_runs(runs)
+        seeds = [[m for a, b, n in chain for m in dict.fromkeys([(a, b), (a + n - k, b + n - k)])] for chain in chains]
+        pieces = substring_dedup._first_pieces(chains, x, y)
+        assert pieces == [substring_dedup.align_chain(chain, x, y) for chain in seeds]
+        movable = substring_dedup._can_widen(pieces, x, y)
+        assert [p for p in pieces if p not in movable] == [substring_dedup._widened(p, x, y) for p in pieces if p not in movable]
+        widened += len(movable)
+    assert widened
