@@ -278,7 +278,7 @@ def _cost(fit: KMeansFit) -> float:
 
 
 def mixture_starts(
-    vectors: DataFrame, seed: int, k: int = CLUSTERS, restarts: int = 3, parallel: int = 3
+    vectors: DataFrame, seed: int, k: int = CLUSTERS, restarts: int = 3, parallel: int = 1
 ) -> list[MixtureFit]:
     """Gaussian mixtures started from one seed."""
     return fit_mixtures(vectors, [seed], k, restarts, parallel)[0]
@@ -289,7 +289,7 @@ def fit_mixtures(
     seeds: Sequence[int],
     k: int = CLUSTERS,
     restarts: int = 3,
-    parallel: int = 4,
+    parallel: int = 1,
 ) -> list[list[MixtureFit]]:
     """The mixtures of all starts of all seeds, fitted together."""
 
@@ -306,7 +306,7 @@ def _likeliest(models: Sequence[MixtureFit]) -> MixtureFit:
 
 
 def fit_mixture(
-    vectors: DataFrame, seed: int, k: int = CLUSTERS, restarts: int = 3, parallel: int = 3
+    vectors: DataFrame, seed: int, k: int = CLUSTERS, restarts: int = 3, parallel: int = 1
 ) -> MixtureFit:
     """The likeliest of several Gaussian mixtures started from one seed."""
     return _likeliest(mixture_starts(vectors, seed, k, restarts, parallel))
