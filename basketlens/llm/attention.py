@@ -1,125 +1,284 @@
-"""A one-layer causal self-attention model in numpy: training steps and scoring."""
+"""A one-layer causal self-attention model in numpy: training steps and scoring.
+
+Each output belongs to a class. A softmax over the classes and, in classes of several outputs,
+one decision per step of the output's path in a Huffman tree give its probability; both read
+the same input and what attention mixed for it, so every output depends on its context.
+"""
 
 from __future__ import annotations
 
+import heapq
+from dataclasses import dataclass
+
 import numpy as np
 
 #: Inputs per window, and how many of them at its end are scored.
 WINDOW, STRIDE = 48, 32
 DIM = 16
 SHAPES = ("embed", "query", "key", "value", "direct", "mixed", "bias", "distance")
+#: Numbers per decision of the trees: as many as are read, and a bias.
+NODE = 2 * DIM + 1
+
+
+@dataclass(frozen=True)
+class Tree:
+    """The class of each output and its decisions in the tree of its class.
+
+    ``steps[i, :length[i]]`` has twice the number of each decision, plus 1 for its first side;
+    ``odds`` has the decisions' log odds by the weights alone.
+    """
+
+    kind: np.ndarray
+    length: np.ndarray
+    steps: np.ndarray
+    odds: np.ndarray
+
 
+def new_tree(kind: np.ndarray, weights: np.ndarray) -> Tree:
+    """Huffman trees over the outputs of each class."""
+    leaves = len(kind)
+    parent, side = np.full(2 * leaves, -1), np.zeros(2 * leaves, np.int64)
+    order = np.argsort(kind, kind="stable")
+    odds: list[float] = []
+    for members in np.split(order, np.flatnonzero(np.diff(kind[order])) + 1):
+        heap = list(zip(weights[members].tolist(), members.tolist()))
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            (low, first), (high, second) = heapq.heappop(heap), heapq.heappop(heap)
+            node = leaves + len(odds)
+            parent[first] = parent[second] = node
+            side[first] = 1
+            odds.append(float(np.log(low / high)))
+            heapq.heappush(heap, (low + high, node))
+    length, levels, at = np.zeros(leaves, np.uint8), [], np.arange(leaves)
+    while (found := parent[at] >= 0).any():
+        levels.append(np.where(found, 2 * (parent[at] - leaves) + side[at], 0).astype(np.int32))
+        length += found
+        at = np.where(found, parent[at], at)
+    return Tree(kind, length, np.stack(levels, 1) if levels else np.zeros((leaves, 0), np.int32), np.array(odds, np.float32))
 
-def new_model(counts: np.ndarray, seed: int = 7) -> dict[str, np.ndarray]:
+
+def new_model(counts: np.ndarray, seed: int = 7, inputs: int | None = None, tree: Tree | None = None) -> dict[str, np.ndarray]:
     """Small random weights, and the classes' shares of the corpus as bias.
 
-    The input after the last class marks the beginning of a text.
+    Without ``inputs`` the inputs are the classes, and one after the last that marks the
+    beginning of a text.
     """
     classes = len(counts)
     random = np.random.default_rng(seed)
-    sizes = ((classes + 1, DIM), (DIM, DIM), (DIM, DIM), (DIM, DIM), (DIM, classes), (DIM, classes), (classes,), (WINDOW,))
-    return {name: (random.standard_normal(size) * 0.3 / np.sqrt(size[0] if len(size) > 1 else 1e9)).astype(np.float32) for name, size in zip(SHAPES, sizes)} | {
+    sizes = ((inputs or classes + 1, DIM), (DIM, DIM), (DIM, DIM), (DIM, DIM), (DIM, classes), (DIM, classes), (classes,), (WINDOW,))
+    model = {name: (random.standard_normal(size) * 0.3 / np.sqrt(size[0] if len(size) > 1 else 1e9)).astype(np.float32) for name, size in zip(SHAPES, sizes)} | {
         "embed": (random.standard_normal(sizes[0]) * 0.5).astype(np.float32),
         "bias": np.log((counts + 1) / (counts.sum() + classes)).astype(np.float32),
     }
+    if tree is not None:
+        model["nodes"] = np.zeros((len(tree.odds), NODE), np.float32)
+        model["nodes"][:, -1] = tree.odds
+    return model
+
 
+#: Weights that every step moves; of the others, tables, a step moves the rows it uses.
+DENSE = SHAPES[1:]
+TABLES = ("embed", "nodes")
 
-def to_vector(model: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([model[name].ravel() for name in SHAPES])
 
+def to_rows(model: dict[str, np.ndarray]) -> np.ndarray:
+    """All weights in rows of NODE numbers: those of DENSE together, then the rows of the tables."""
+    dense = np.concatenate([model[name].ravel() for name in DENSE])
+    dense = np.pad(dense, (0, -len(dense) % NODE)).reshape(-1, NODE)
+    return np.concatenate([dense, *(np.pad(model[name], ((0, 0), (0, NODE - model[name].shape[1]))) for name in TABLES)])
 
-def from_vector(vector: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+
+def from_rows(rows: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for name in SHAPES:
+    flat = rows.ravel()
+    for name in DENSE:
         size = like[name].size
-        out[name] = vector[at : at + size].reshape(like[name].shape).astype(np.float32)
+        out[name] = flat[at : at + size].reshape(like[name].shape).astype(np.float32)
         at += size
+    at = -(-at // NODE)
+    for name in TABLES:
+        count, width = like[name].shape
+        out[name] = rows[at : at + count, :width].astype(np.float32)
+        at += count
     return out
 
 
+def _flat(a: np.ndarray) -> np.ndarray:
+    return a.reshape(-1, a.shape[-1])
+
+
+def _times(a: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """One product of matrices for all windows."""
+    return (_flat(a) @ weights).reshape(*a.shape[:-1], weights.shape[1])
+
+
 def _attend(model, inputs: np.ndarray, valid: np.ndarray, scored: int):
-    """Attention of the last ``scored`` positions over all positions up to their own."""
+    """Attention of the last ``scored`` positions over all positions up to their own.
+
+    ``read``, from which outputs follow, has each position's input and what attention mixed.
+    """
     x = model["embed"][inputs]
-    q, k, v = x[:, -scored:] @ model["query"], x @ model["key"], x @ model["value"]
+    q, k, v = _times(x[:, -scored:], model["query"] / np.float32(np.sqrt(DIM))), _times(x, model["key"]), _times(x, model["value"])
     gap = np.arange(WINDOW - scored, WINDOW)[:, None] - np.arange(WINDOW)[None, :]
-    near = np.where(gap >= 0, model["distance"][np.maximum(gap, 0)], np.float32(-80))
-    weights = (q * np.float32(1 / np.sqrt(DIM))) @ k.transpose(0, 2, 1)
+    near = np.where(gap >= 0, model["distance"][np.maximum(gap, 0)], np.float32(-np.inf))
+    weights = q @ k.transpose(0, 2, 1)
     weights += near
-    np.clip(weights, -80, 60, out=weights)
+    np.minimum(weights, 60, out=weights)
     np.exp(weights, out=weights)
     if not valid.all():
         weights *= valid[:, None, :]
     weights /= weights.sum(axis=2, keepdims=True) + np.float32(1e-30)
-    mixed = weights @ v
-    logits = x[:, -scored:] @ model["direct"] + mixed @ model["mixed"]
+    read = np.concatenate([x[:, -scored:], weights @ v], axis=2)
+    logits = _times(read, np.concatenate([model["direct"], model["mixed"]]))
     logits += model["bias"]
-    return x, q, k, v, gap, weights, mixed, logits
+    return x, q, k, v, gap, weights, read, logits
+
+
+class _Walk:
+    """The decisions of many outputs, level by level, for outputs in the order of falling length."""
+
+    def __init__(self, model, tree: Tree, read: np.ndarray, ids: np.ndarray):
+        length = tree.length[ids]
+        order = np.argsort(255 - length, kind="stable")
+        reach = np.bincount(length, minlength=1)[::-1].cumsum()[::-1][1:]
+        self.order = order[: reach[0]] if len(reach) else order[:0]
+        self.read = np.ones((len(self.order), NODE), np.float32)
+        self.read[:, :-1] = read[self.order]
+        self.reach, self.ids, self.tree, self.nodes = reach, ids[self.order], tree, model["nodes"]
+
+    def __iter__(self):
+        """Per level: how many outputs have it, their decisions, the weights there, and the signed log odds."""
+        for level, n in enumerate(self.reach.tolist()):
+            step = self.tree.steps[self.ids[:n], level]
+            sign = (2 * (step & 1) - 1).astype(np.float32)
+            weights = np.take(self.nodes, step >> 1, axis=0)
+            odds = np.einsum("ij,ij->i", self.read[:n], weights) * sign
+            yield n, step >> 1, sign, weights, np.clip(odds, -60, 60, out=odds)
+
+
+def within_class(model, tree: Tree, read: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Natural logs of the probability of each output given its class and what was read."""
+    walk = _Walk(model, tree, read, ids)
+    out, logs = np.zeros(len(ids)), np.zeros(len(walk.order), np.float32)
+    for n, *_, odds in walk:
+        logs[:n] -= np.log1p(np.exp(-odds))
+    out[walk.order] = logs
+    return out
 
 
-def log_probabilities(model, inputs: np.ndarray, valid: np.ndarray, targets: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _within_slopes(model, tree: Tree, read: np.ndarray, ids: np.ndarray, share: np.float32):
+    """Slopes of -share * within_class: of what was read, and of the decisions used, with their numbers and uses."""
+    walk = _Walk(model, tree, read, ids)
+    d_read, nodes, slopes = np.zeros((len(walk.order), NODE), np.float32), [np.zeros(0, np.int32)], [np.zeros((0, NODE), np.float32)]
+    for n, node, sign, weights, odds in walk:
+        slope = (sign * (-share / (1 + np.exp(odds))))[:, None]
+        weights *= slope
+        d_read[:n] += weights
+        nodes.append(node)
+        slopes.append(slope * walk.read[:n])
+    out = np.zeros_like(read)
+    out[walk.order] = d_read[:, :-1]
+    return out, *_summed_rows(np.concatenate(nodes), np.concatenate(slopes))
+
+
+def _summed_rows(rows: np.ndarray, slopes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sum of the slopes of each row, the rows, and how often each occurs."""
+    order = np.argsort(rows.astype(np.uint16) if len(rows) and rows.max() < 1 << 16 else rows, kind="stable")
+    rows = rows[order]
+    first = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]][: len(rows)])
+    sums = np.add.reduceat(slopes[order], first, axis=0) if len(rows) else slopes
+    return sums, rows[first], np.diff(np.r_[first, len(rows)])
+
+
+def log_probabilities(
+    model, inputs: np.ndarray, valid: np.ndarray, targets: np.ndarray, opens: np.ndarray, tree: Tree | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Natural logs of the probability of each target, and of opening a new word there.
 
-    ``opens`` is the share of each class that opens words.
+    ``opens`` is the share of each class that opens words. With ``tree`` targets are its
+    outputs, otherwise classes.
     """
-    logits = _attend(model, inputs, valid, targets.shape[1])[-1]
+    *_, read, logits = _attend(model, inputs, valid, targets.shape[1])
     # Logits of these small models are far from the range in which exp overflows.
     np.clip(logits, -80, 60, out=logits)
-    chosen = np.take_along_axis(logits, targets[:, :, None], axis=2)[:, :, 0]
+    classes = targets if tree is None else tree.kind[targets]
+    chosen = np.take_along_axis(logits, classes[:, :, None], axis=2)[:, :, 0]
     np.exp(logits, out=logits)
-    total = np.log(logits.sum(axis=2))
-    return chosen - total, np.log(logits @ opens) - total
+    sums = _times(logits, np.stack([np.ones_like(opens), opens], 1))
+    total = np.log(sums[:, :, 0])
+    logs = chosen - total
+    if tree is not None:
+        logs = logs + within_class(model, tree, _flat(read), targets.ravel()).reshape(targets.shape)
+    return logs, np.log(sums[:, :, 1]) - total
 
 
-def gradients(model, inputs: np.ndarray, valid: np.ndarray, targets: np.ndarray) -> dict[str, np.ndarray]:
-    """Of the mean negative log probability over positions whose target is not -1."""
-    x, q, k, v, gap, weights, mixed, logits = _attend(model, inputs, valid, WINDOW)
+def gradients(model, inputs: np.ndarray, valid: np.ndarray, targets: np.ndarray, tree: Tree | None = None) -> dict[str, np.ndarray]:
+    """Of the mean negative log probability over positions whose target is not -1.
+
+    With ``tree`` targets are its outputs, and ``nodes`` has the slopes of the decisions used,
+    their numbers and how often each was; otherwise targets are classes.
+    """
+    x, q, k, v, gap, weights, read, logits = _attend(model, inputs, valid, WINDOW)
     np.clip(logits, -80, 60, out=logits)
     np.exp(logits, out=logits)
-    counted = targets >= 0
-    share = counted / np.float32(max(1, counted.sum()))
-    logits *= (share / logits.sum(axis=2))[:, :, None]
-    rows = np.nonzero(counted)
-    logits[rows[0], rows[1], targets[rows]] -= share[rows]
-    flat = logits.reshape(-1, logits.shape[2])
-    d_mixed = logits @ model["mixed"].T
+    logits, mixed, columns = _flat(logits), read[:, :, DIM:], _flat(x)
+    at = np.flatnonzero(targets.ravel() >= 0)
+    share = np.float32(1 / max(1, len(at)))
+    ids = targets.ravel()[at]
+    scale = np.zeros(len(logits), logits.dtype)
+    scale[at] = share / _times(logits, np.ones((logits.shape[1], 1), logits.dtype))[at, 0]
+    logits *= scale[:, None]
+    logits[at, ids if tree is None else tree.kind[ids]] -= share
+    d_read = logits @ np.concatenate([model["direct"], model["mixed"]]).T
+    out = {}
+    if tree is not None:
+        d_within, *out["nodes"] = _within_slopes(model, tree, _flat(read)[at], ids, share)
+        d_read[at] += d_within
+    d_x, d_mixed = d_read[:, :DIM], np.ascontiguousarray(d_read[:, DIM:]).reshape(x.shape)
     d_weights = d_mixed @ v.transpose(0, 2, 1)
-    d_weights = weights * (d_weights - (d_weights * weights).sum(axis=2, keepdims=True))
+    d_weights -= np.einsum("bij,bij->bi", d_mixed, mixed)[:, :, None]
+    d_weights *= weights
     d_v = weights.transpose(0, 2, 1) @ d_mixed
-    scaled = d_weights / np.float32(np.sqrt(DIM))
-    d_q, d_k = scaled @ k, scaled.transpose(0, 2, 1) @ q
-    d_x = logits @ model["direct"].T + d_q @ model["query"].T + d_k @ model["key"].T + d_v @ model["value"].T
-    as_rows = lambda a: a.reshape(-1, a.shape[2])
-    columns = as_rows(x)
-    marks = np.zeros((inputs.size, len(model["embed"])), dtype=np.float32)
-    marks[np.arange(inputs.size), inputs.ravel()] = 1
-    embed = marks.T @ as_rows(d_x)
+    d_q, d_k = _flat(d_weights @ k) / np.float32(np.sqrt(DIM)), _flat(d_weights.transpose(0, 2, 1) @ q)
+    d_v = _flat(d_v)
+    d_x = d_x + d_q @ model["query"].T + d_k @ model["key"].T + d_v @ model["value"].T
+    embed = np.zeros_like(model["embed"])
+    sums, rows, _ = _summed_rows(inputs.ravel(), d_x)
+    embed[rows] = sums
+    head = _flat(read).T @ logits
     distance = np.bincount(np.maximum(gap, 0).ravel(), d_weights.sum(axis=0).ravel(), WINDOW)
-    return {
+    return out | {
         "embed": embed,
-        "query": columns.T @ as_rows(d_q),
-        "key": columns.T @ as_rows(d_k),
-        "value": columns.T @ as_rows(d_v),
-        "direct": columns.T @ flat,
-        "mixed": as_rows(mixed).T @ flat,
-        "bias": flat.sum(axis=0),
+        "query": columns.T @ d_q,
+        "key": columns.T @ d_k,
+        "value": columns.T @ d_v,
+        "direct": head[:DIM],
+        "mixed": head[DIM:],
+        "bias": logits.sum(axis=0),
         "distance": distance.astype(np.float32),
     }
 
 
 class Adam:
+    """Steps of Adam; of a table only the rows that a step uses are moved."""
+
     def __init__(self, model, rate: float):
         self.rate, self.step = rate, 0
         self.first = {name: np.zeros_like(value) for name, value in model.items()}
         self.second = {name: np.zeros_like(value) for name, value in model.items()}
 
-    def update(self, model, slopes) -> None:
+    def update(self, model, slopes, rows) -> None:
+        """``rows`` names, for each table, the rows of the model that ``slopes`` has."""
         self.step += 1
         for name, slope in slopes.items():
-            self.first[name] = 0.9 * self.first[name] + 0.1 * slope
-            self.second[name] = 0.99 * self.second[name] + 0.01 * slope**2
-            mean = self.first[name] / (1 - 0.9**self.step)
-            spread = np.sqrt(self.second[name] / (1 - 0.99**self.step)) + 1e-7
-            model[name] = (model[name] - self.rate * mean / spread).astype(np.float32)
+            at = rows.get(name, slice(None))
+            first = self.first[name][at] * np.float32(0.9) + np.float32(0.1) * slope
+            second = self.second[name][at] * np.float32(0.99) + np.float32(0.01) * slope**2
+            self.first[name][at], self.second[name][at] = first, second
+            mean = first / np.float32(1 - 0.9**self.step)
+            spread = np.sqrt(second / np.float32(1 - 0.99**self.step)) + np.float32(1e-7)
+            model[name][at] -= np.float32(self.rate) * mean / spread
 
 
 def window_places(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,14 +289,17 @@ def window_places(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return text, first
 
 
-def score_places(model, sequences: np.ndarray, starts: np.ndarray, begin: int, opens: np.ndarray, at_once: int = 256) -> tuple[np.ndarray, np.ndarray]:
-    """ln p(class | classes before it in its text) of every class in ``sequences``.
+def score_places(
+    model, sequences: np.ndarray, starts: np.ndarray, begin: int, opens: np.ndarray, at_once: int = 128, tree: Tree | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """ln p(id | ids before it in its text) of every id in ``sequences``.
 
     The second result is ln of the probability that a word opens at that place.
 
-    ``sequences`` holds the class ids of all texts, each with its end; text i stands at
-    ``starts[i] : starts[i + 1]``. Windows overlap by WINDOW - STRIDE inputs of context, and
-    each class is scored once, in the window whose last STRIDE places it falls in.
+    ``sequences`` holds the ids of all texts, each with its end: outputs of ``tree``, or classes
+    without it. Text i stands at ``starts[i] : starts[i + 1]``. Windows overlap by WINDOW - STRIDE
+    inputs of context, and each id is scored once, in the window whose last STRIDE places it
+    falls in.
     """
     lengths = np.diff(starts)
     text, first = window_places(lengths)
@@ -146,12 +308,12 @@ def score_places(model, sequences: np.ndarray, starts: np.ndarray, begin: int, o
         t, f = text[low : low + at_once], first[low : low + at_once]
         place = f[:, None] + np.arange(STRIDE - WINDOW, STRIDE)
         inside = place < lengths[t][:, None]
-        # The input at a place is the class before it; before the first stands the begin mark.
+        # The input at a place is the id before it; before the first stands the begin mark.
         at = starts[t][:, None] + place
         inputs = np.where((place > 0) & inside, sequences[np.clip(at - 1, 0, len(sequences) - 1)], begin)
         scored, counted = at[:, WINDOW - STRIDE :], inside[:, WINDOW - STRIDE :]
         targets = np.where(counted, sequences[np.minimum(scored, len(sequences) - 1)], 0)
-        logs, open_logs = log_probabilities(model, inputs, place >= 0, targets, opens)
+        logs, open_logs = log_probabilities(model, inputs, place >= 0, targets, opens, tree)
         out[scored[counted]] = logs[counted]
         opening[scored[counted]] = open_logs[counted]
     return out, opening

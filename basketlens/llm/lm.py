@@ -1,11 +1,10 @@
 """LM scoring with a causal self-attention model on subword ids (operator 10).
 
-Texts become the subword ids of a public tokenizer, word by word. Each id belongs to a
-class: the most frequent ids are classes of their own, the rest share some by frequency.
-A one-layer causal self-attention model gives p(class | classes before), and corpus counts
-give p(id | class); a word's probability is the product over its ids. The model's
-probability of a word mixes that with the word's smoothed share of the corpus, so frequent
-words rest on counts and rare ones on their parts and their context.
+Texts become the subword ids of a public tokenizer, word by word. A one-layer causal
+self-attention model over the ids gives p(id | ids before) of every id of the vocabulary: a
+softmax gives the id's class, and the decisions along its path in the class's Huffman tree,
+which read the same context, the id. A word's probability is the product over its ids. The
+model's probability of a word mixes that with the word's smoothed share of the corpus.
 
 Counts of words and ids come from all training documents. The model learns in parallel:
 each task takes Adam steps on its own windows, and the weights are averaged by Spark after
@@ -27,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.attention import WINDOW, Adam, from_vector, gradients, new_model, score_places, to_vector
+from basketlens.llm.attention import NODE, TABLES, WINDOW, Adam, Tree, from_rows, gradients, new_model, new_tree, score_places, to_rows
 from basketlens.llm.common import materialise, remainder, text_or_empty
 from basketlens.llm.wordhash import batches, words
 
@@ -35,10 +34,10 @@ TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: Fixed value: how the tokenizer's vocabulary cuts text before merging.
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 IDS = 50_256
-CLASSES, SHARED = 96, 12
+CLASSES = 64
 #: Weight of the counts in the mixture with the attention model.
-COUNTED = 0.8
-ROUNDS, BATCH, RATE = 2, 64, 0.02
+COUNTED = 0.2
+ROUNDS, BATCH, RATE = 2, 128, 0.02
 #: Counts of so many words at most are broadcast (4 MB); the others are joined.
 BROADCAST_WORDS = 1 << 18
 LONG_WORD = 256
@@ -53,23 +52,58 @@ def _encoder(vocabulary: bytes):
     return tiktoken.Encoding("subwords", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=1)
+def _opens(encoder) -> np.ndarray:
+    """1 for ids that open a word, those that begin with a space, and for the end."""
+    return np.array([float(encoder.decode_single_token_bytes(i).startswith(b" ")) for i in range(IDS)] + [1.0])
+
+
+def _odd_spaces(data: np.ndarray) -> np.ndarray:
+    """Bytes at which a space outside ASCII may begin; the pattern does not cut only before it."""
+    lead, after = data[:-1], data[1:]
+    at = np.flatnonzero((lead == 0xC2) | ((lead >= 0xE1) & (lead <= 0xE3)))
+    lead, after = lead[at], after[at]
+    return at[
+        ((lead == 0xC2) & ((after == 0x85) | (after == 0xA0)))
+        | ((lead == 0xE1) & (after == 0x9A))
+        | ((lead == 0xE2) & ((after == 0x80) | (after == 0x81)))
+        | ((lead == 0xE3) & (after == 0x80))
+    ]
+
+
 def subwords(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray, encoder) -> tuple[np.ndarray, np.ndarray]:
     """The subword ids of all words, one after the other, and how many each word has.
 
-    Each distinct word is encoded once, with A-Z in lower case and a space before it.
+    Each distinct word is encoded once, with A-Z in lower case and a space before it. The
+    pattern cuts before each space, so words are encoded together and told apart by the ids
+    that open one; those with other spaces in them and long ones are encoded alone.
     """
     _, example, word = np.unique(hashes, return_index=True, return_inverse=True)
     lower = data + (((data >= 65) & (data <= 90)) * np.uint8(32))
+    first, size = starts[example], (ends - starts)[example]
+    odd = _odd_spaces(data)
+    alone = (np.searchsorted(odd, first) < np.searchsorted(odd, first + size)) | (size > LONG_WORD)
+    plain = np.flatnonzero(~alone)
+    joined = np.full(int(size[plain].sum()) + len(plain), 32, dtype=np.uint8)
+    before = np.cumsum(size[plain]) - size[plain]
+    letter = np.arange(len(joined) - len(plain))
+    joined[letter + np.repeat(np.arange(1, len(plain) + 1), size[plain])] = lower[letter + np.repeat(first[plain] - before, size[plain])]
+    together = encoder.encode_to_numpy(joined.tobytes().decode("utf-8", "replace"), disallowed_special=()).astype(np.int64)
     encoded = []
-    for a, b in zip(starts[example].tolist(), ends[example].tolist()):
+    for a, n in zip(first[alone].tolist(), size[alone].tolist()):
         ids: list[int] = []
-        for low in range(a, b, LONG_WORD):
-            piece = lower[low : min(b, low + LONG_WORD)].tobytes().decode("utf-8", "replace")
+        for low in range(a, a + n, LONG_WORD):
+            piece = lower[low : min(a + n, low + LONG_WORD)].tobytes().decode("utf-8", "replace")
             ids += encoder.encode_ordinary((" " if low == a else "") + piece)
         encoded.append(ids)
-    sizes = np.array([len(ids) for ids in encoded], dtype=np.int64)
-    flat = np.fromiter((i for ids in encoded for i in ids), dtype=np.uint16, count=int(sizes.sum()))
-    offset = np.cumsum(sizes) - sizes
+    at = np.flatnonzero(_opens(encoder)[together])
+    sizes = np.zeros(len(example), dtype=np.int64)
+    sizes[plain] = np.diff(np.r_[at, len(together)])
+    sizes[alone] = [len(ids) for ids in encoded]
+    offset = np.zeros(len(example), dtype=np.int64)
+    offset[plain] = at
+    offset[alone] = len(together) + np.cumsum(sizes[alone]) - sizes[alone]
+    flat = np.concatenate([together, *encoded]).astype(np.uint16)
     counts = sizes[word]
     stops = np.cumsum(counts)
     place = np.arange(stops[-1] if len(stops) else 0) - np.repeat(stops - counts, counts)
@@ -114,74 +148,86 @@ def _gather(vocabulary):
     return run
 
 
-def _opens(vocabulary: bytes) -> np.ndarray:
-    """1 for ids that open a word, those that begin with a space, and for the end."""
-    out = np.zeros(IDS + 1)
-    for line in vocabulary.splitlines():
-        token, number = line.split()
-        out[int(number)] = base64.b64decode(token).startswith(b" ")
-    out[IDS] = 1
-    return out
-
-
 def _summed(gathered: DataFrame, key: str, count: str) -> DataFrame:
     pairs = gathered.select(F.explode(F.arrays_zip(F.col(key).alias("key"), F.col(count).alias("n"))).alias("pair"))
     return pairs.groupBy(F.col("pair.key").alias("hash")).agg(F.sum("pair.n").alias("count"))
 
 
-def _classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class of every id and of the end, and log10 p(id | class).
+def _classes(counts: np.ndarray, opens: np.ndarray) -> np.ndarray:
+    """Class of every id and of the end, of at most CLASSES.
 
-    The end and the most frequent ids have classes of their own; the others fill SHARED
-    classes of about equal mass by falling frequency, unseen ids in the last.
+    The end is a class of its own. The ids that open words and the others fill theirs by
+    falling frequency, with about equal mass, so that frequent ids have their own.
     """
-    order = np.lexsort((np.arange(IDS), -counts[:IDS]))
-    own = CLASSES - SHARED - 1
-    kind = np.zeros(IDS + 1, dtype=np.int64)
-    kind[IDS] = CLASSES - 1
-    kind[order[:own]] = np.arange(own)
-    rest = order[own:]
-    mass = np.cumsum(counts[rest] + 0.5)
-    kind[rest] = own + np.minimum((mass - counts[rest] - 0.5) / mass[-1] * SHARED, SHARED - 1).astype(np.int64)
     weight = counts + 0.5
-    share = np.log10(weight / np.bincount(kind, weight, CLASSES)[kind])
-    return kind, share
-
-
-def _learnt(windows: DataFrame, kind: np.ndarray, counts: np.ndarray, rounds: int) -> dict[str, np.ndarray]:
-    """Average, over tasks and weighted by windows, of models trained on each task's windows.
+    kind = np.full(IDS + 1, -1, dtype=np.int64)
+    groups = [np.flatnonzero(opens[:IDS] == side) for side in (1, 0)]
+    shares = [weight[ids].sum() / weight[:IDS].sum() for ids in groups]
+    used = 0
+    for ids, share in zip(groups, shares):
+        ids = ids[np.lexsort((ids, -counts[ids]))]
+        slots = min(max(1, round((CLASSES - 1) * share)), CLASSES - 2)
+        mass = np.cumsum(weight[ids])
+        at = np.minimum((mass - weight[ids]) / mass[-1] * slots, slots - 1).astype(np.int64)
+        kind[ids] = used + np.unique(at, return_inverse=True)[1]
+        used = kind.max() + 1
+    kind[IDS] = used
+    return kind
+
+
+def _learnt(windows: DataFrame, tree: Tree, counts: np.ndarray, rounds: int) -> dict[str, np.ndarray]:
+    """Averages, over tasks, of models trained on each task's windows.
 
     A round takes every ``rounds``-th window, so that all rounds together take each once.
+    Weights that every step moves are averaged by windows, rows of tables by their uses.
     """
     spark = windows.sparkSession
-    model = new_model(np.bincount(kind, counts, CLASSES))
-    lookup = np.r_[kind, CLASSES, -1]
+    model = new_model(np.bincount(tree.kind, counts), inputs=IDS + 2, tree=tree)
+    model["embed"][:IDS][counts[:IDS] == 0] = 0
+    own_tree = spark.sparkContext.broadcast(tree)
+    columns = [f"w{i}" for i in range(NODE)]
     for number in range(rounds):
-        sent = spark.sparkContext.broadcast((to_vector(model), lookup))
+        sent = spark.sparkContext.broadcast(model)
         rate = RATE / (1 + number)
 
-        def train(parts: Iterator[pa.RecordBatch], sent=sent, like=model, rate=rate, number=number) -> Iterator[pa.RecordBatch]:
-            vector, to_class = sent.value
-            own, seen, passed, adam = from_vector(vector, like), 0, 0, None
+        def train(parts: Iterator[pa.RecordBatch], sent=sent, rate=rate, number=number) -> Iterator[pa.RecordBatch]:
+            tree, own, adam = own_tree.value, {name: value.copy() for name, value in sent.value.items()}, None
+            seen, passed, uses = 0, 0, {name: np.zeros(len(own[name])) for name in TABLES}
             for part in parts:
                 for value in part.column("windows"):
                     found = np.frombuffer(value.as_buffer(), dtype=np.uint16).reshape(-1, WINDOW + 1)
-                    rows = to_class[found[(number - passed) % rounds :: rounds]]
+                    mine = found[(number - passed) % rounds :: rounds].astype(np.int64)
+                    mine[mine == IDS + 2] = -1
                     passed += len(found)
-                    for low in range(0, len(rows), BATCH):
-                        step = rows[low : low + BATCH]
+                    for low in range(0, len(mine), BATCH):
+                        step = mine[low : low + BATCH]
                         inputs, targets = step[:, :-1], step[:, 1:]
+                        valid = (inputs >= 0) & (inputs != IDS)
+                        inputs = np.where(valid, inputs, IDS + 1)
+                        slopes = gradients(own, inputs, valid, targets, tree)
+                        slopes["nodes"], nodes, times = slopes["nodes"]
+                        ids, often = np.unique(inputs, return_counts=True)
+                        slopes["embed"] = slopes["embed"][ids]
                         adam = adam or Adam(own, rate)
-                        adam.update(own, gradients(own, np.where(inputs < 0, CLASSES, inputs), inputs >= 0, targets))
-                    seen += len(rows)
+                        adam.update(own, slopes, {"embed": ids, "nodes": nodes})
+                        uses["embed"][ids] += often
+                        uses["nodes"][nodes] += times
+                    seen += len(mine)
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([to_vector(own)], pa.list_(pa.float32()))], names=["seen", "weights"])
+                weights = to_rows(own)
+                times = np.concatenate([uses[name] for name in TABLES])
+                times = np.r_[np.full(len(weights) - len(times), float(seen)), times]
+                moved = np.flatnonzero(times)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(moved, pa.int32()), pa.array(times[moved]), *(pa.array(np.ascontiguousarray(w)) for w in weights[moved].T)],
+                    names=["at", "uses", *columns],
+                )
 
-        trained = windows.mapInArrow(train, "seen long, weights array<float>")
-        sums = trained.select("seen", F.posexplode("weights").alias("at", "weight")).groupBy("at")
-        found = sums.agg((F.sum(F.col("weight") * F.col("seen")) / F.sum("seen")).alias("weight")).toPandas().sort_values("at")
-        if len(found):
-            model = from_vector(found["weight"].to_numpy(), model)
+        trained = windows.mapInArrow(train, f"at int, uses double, {', '.join(f'{c} float' for c in columns)}")
+        found = trained.groupBy("at").agg(*((F.sum(F.col(c) * F.col("uses")) / F.sum("uses")).alias(c) for c in columns)).toArrow()
+        weights = to_rows(model)
+        weights[found["at"].to_numpy()] = np.stack([found[c].to_numpy() for c in columns], 1)
+        model = from_rows(weights, model)
     return model
 
 
@@ -224,14 +270,18 @@ def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER, rounds: int = R
     seen = np.zeros(IDS + 1)
     found = _summed(gathered, "ids", "id_counts").toPandas()
     seen[found["hash"].to_numpy(np.int64)] = found["count"].to_numpy(float)
-    kind, share = _classes(seen)
-    model = _learnt(gathered.select("windows"), kind, seen, rounds)
-    opens = np.bincount(kind, _opens(vocabulary.value) * (seen + 0.5), CLASSES) / np.bincount(kind, seen + 0.5, CLASSES)
-    sent = context.broadcast((model, kind, share, opens.astype(np.float32), *_word_table(counts)))
+    opens = _opens(_encoder(vocabulary.value))
+    kind = _classes(seen, opens)
+    tree = new_tree(kind, seen + 0.5)
+    model = _learnt(gathered.select("windows"), tree, seen, rounds)
+    # The ids of a class either all open words or none does.
+    opening = np.zeros(len(model["bias"]), np.float32)
+    opening[kind] = opens
+    sent = context.broadcast((model, tree, opening, *_word_table(counts)))
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(vocabulary.value)
-        own, to_class, within, opening, known, times = sent.value
+        own, tree, opening, known, times = sent.value
         shares = (times + 0.5) / floor
         for part in parts:
             for batch in batches(part, most_bytes=4 << 20):
@@ -246,11 +296,11 @@ def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER, rounds: int = R
                 word_at = np.cumsum(sizes) - sizes
                 begin = first + np.arange(n + 1)
                 text = np.repeat(np.arange(n), np.diff(begin))
-                logs, opened = score_places(own, to_class[ids], np.r_[word_at, len(ids)][begin], CLASSES, opening)
+                logs, opened = score_places(own, ids, np.r_[word_at, len(ids)][begin], IDS + 1, opening, tree=tree)
                 # A word's ids, given that a word opens, and that after them another opens.
                 before = opened[word_at]
                 after = np.where(found == END_HASH, 0.0, np.r_[before[1:], 0.0])
-                parts_log = np.add.reduceat(logs / math.log(10) + within[ids], word_at) + (after - before) / math.log(10)
+                parts_log = (np.add.reduceat(logs, word_at) + after - before) / math.log(10)
                 place = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
                 hit = known[place] == found if len(known) else np.zeros(len(found), bool)
                 p = shares[place[hit]]

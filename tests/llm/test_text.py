@@ -255,6 +255,104 @@ def test_attention_learns_from_every_window():
     assert list(zip(inputs[learnt].tolist(), targets[learnt].tolist())) == expected
 
 
+def test_subwords_of_words_encoded_together_are_those_of_each_alone():
+    texts = ["Don't 's 'S ab\u00a0 \u00a0 c\u2003d \u2003\u2003 “q” x\x85y é漢字、かな\u3000カ " + "w" * 700, "", None, "a\tb 12ab3!? \x1c 🙂🙂 ...--", "Don't é" * 3]
+    hashes, starts, ends, _, data = wordhash.words(pa.array(texts))
+    encoder = lm._encoder(Path(TOKENIZER).read_bytes())
+    ids, sizes = lm.subwords(hashes, starts, ends, data, encoder)
+    expected = []
+    for a, b in zip(starts, ends):
+        raw = bytes(c + 32 if 65 <= c <= 90 else c for c in data[a:b].tobytes())
+        pieces = [raw[i : i + lm.LONG_WORD].decode("utf-8", "replace") for i in range(0, len(raw), lm.LONG_WORD)]
+        expected.append([i for n, piece in enumerate(pieces) for i in encoder.encode_ordinary((" " if n == 0 else "") + piece)])
+    assert sizes.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+
+
+def test_every_id_depends_on_its_context():
+    """Ids that share a class have probabilities of their own at each place, which add up to one."""
+    random_ = np.random.default_rng(4)
+    opens = lm._opens(lm._encoder(Path(TOKENIZER).read_bytes()))
+    words = np.flatnonzero(opens[: lm.IDS])[2000:2400]
+    counts = np.zeros(lm.IDS + 1)
+    counts[words] = 500
+    kind = lm._classes(counts, opens)
+    tree = attention.new_tree(kind, counts + 0.5)
+    assert all(len(set(opens[kind == k])) == 1 for k in range(kind.max() + 1))
+    model = attention.new_model(np.bincount(kind, counts), inputs=lm.IDS + 2, tree=tree)
+    adam = attention.Adam(model, 0.02)
+    for _ in range(150):
+        first = random_.integers(0, 200, (64, attention.WINDOW // 2 + 1))
+        rows = words[np.stack([first, first + 200], 2).reshape(64, -1)][:, : attention.WINDOW + 1]
+        inputs, targets = rows[:, :-1], rows[:, 1:]
+        slopes = attention.gradients(model, inputs, np.ones_like(inputs, bool), targets, tree)
+        slopes["nodes"], nodes, _ = slopes["nodes"]
+        adam.update(model, slopes, {"nodes": nodes})
+    seconds = [i for i in range(200, 400) if (kind[words[200:400]] == kind[words[i]]).sum() > 1]
+    assert len(seconds) > 100
+    gains = []
+    for i in seconds:
+        other = next(j for j in seconds if j != i and kind[words[j]] == kind[words[i]])
+        inputs = np.full((2, attention.WINDOW), lm.IDS + 1)
+        inputs[:, -1] = words[i - 200]
+        valid = inputs <= lm.IDS
+        logs = attention.log_probabilities(model, inputs, valid, words[[[i], [other]]], np.ones(len(model["bias"]), np.float32), tree)[0]
+        gains.append(logs[0, 0] - logs[1, 0])
+    assert np.mean(np.array(gains) > 1) > 0.8
+    inputs = np.full((1, attention.WINDOW), words[0])
+    read, logits = attention._attend(model, inputs, inputs >= 0, 1)[-2:]
+    share = np.exp(logits[0, 0] - np.log(np.exp(logits[0, 0]).sum()))
+    ids = np.arange(lm.IDS + 1)
+    every = share[kind] * np.exp(attention.within_class(model, tree, np.repeat(read[0], len(ids), 0), ids))
+    assert abs(every.sum() - 1) < 1e-4
+
+
+def test_slopes_of_decisions_match_differences():
+    random_ = np.random.default_rng(1)
+    kind = np.array([0, 1, 1, 1, 2, 2, 1, 0, 1])
+    tree = attention.new_tree(kind, np.arange(1, 10) + 0.5)
+    model = {k: v.astype(np.float64) for k, v in attention.new_model(np.arange(1, 4), inputs=10, tree=tree).items()}
+    model["nodes"] += random_.standard_normal(model["nodes"].shape)
+    inputs = random_.integers(0, 10, (2, attention.WINDOW))
+    targets = random_.integers(-1, 9, (2, attention.WINDOW))
+    valid = np.ones_like(inputs, bool)
+
+    def loss(m):
+        read, logits = attention._attend(m, inputs, valid, attention.WINDOW)[-2:]
+        logs = logits - np.log(np.exp(logits).sum(axis=2, keepdims=True))
+        at = np.nonzero(targets >= 0)
+        ids = targets[at]
+        return -(logs[at[0], at[1], kind[ids]] + attention.within_class(m, tree, read[at], ids)).mean()
+
+    slopes = attention.gradients(model, inputs, valid, targets, tree)
+    sums, nodes, times = slopes["nodes"]
+    slopes["nodes"] = np.zeros_like(model["nodes"])
+    slopes["nodes"][nodes] = sums
+    assert times.sum() == tree.length[targets[targets >= 0]].sum()
+    for name in (*attention.SHAPES, "nodes"):
+        at = tuple(random_.integers(0, n) for n in model[name].shape)
+        high, low = ({k: v.copy() for k, v in model.items()} for _ in range(2))
+        high[name][at] += 1e-2
+        low[name][at] -= 1e-2
+        assert abs((loss(high) - loss(low)) / 2e-2 - slopes[name][at]) < 2e-4, name
+    assert all((attention.from_rows(attention.to_rows(model), model)[name] == model[name].astype(np.float32)).all() for name in model)
+
+
+def test_lm_scores_tell_word_order(spark):
+    """Words in the order of the training text score higher than the same words in another."""
+    random_ = random.Random(5)
+    pairs = [sentence(i, 2) for i in range(3000)]
+    pairs = list({a: (a, b) for a, b in pairs}.values())[:200]
+    learnt = " ".join(" ".join(random_.choice(pairs)) for _ in range(100_000))
+    right = " ".join(" ".join(pair) for pair in pairs)
+    swapped = " ".join(f"{a} {pairs[i - 1][1]}" for i, (a, _) in enumerate(pairs))
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 5 == 1]
+    rows = [(None, learnt), (held[0], right), (held[1], swapped)]
+    found = {r.doc_id: r for r in score_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    one, other = found[held[0]], found[held[1]]
+    assert abs(one.base_score - other.base_score) < 1e-6
+    assert one.score - other.score > 0.1 * one.n_tokens
+
+
 def test_no_column_name_clashes_with_inner_ones(spark, documents):
     """Rows keep columns of any name, and results do not change by them."""
     inner = ("__id", "__hash", "__removed", "__lines", "__text", "row", "id", "hash", "lines", "removed", "whole", "site", "found_id", "share", "quota", "with.dot")
