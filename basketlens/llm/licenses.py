@@ -107,15 +107,17 @@ def scan_licenses(
     )
     # Exploding an array of one keeps the shingles from being computed again per block.
     hashed = hashed.select("doc_id", "text_hash", F.explode(F.array(_shingles(F.col("words")))).alias("shingles"))
-    blocks = F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("shingles") - 1, F.lit(0)), F.lit(BLOCK)),
-        lambda start: F.slice("shingles", start + 1, BLOCK),
+    # The hash functions are one to one, so a block without a template's shingle has no smallest value of one.
+    of_templates = sorted({h for found in shingles.values() for h in found})
+    blocks = F.array_distinct(
+        F.array_compact(F.transform("shingles", lambda h, place: F.when(h.isin(of_templates), F.floor(place / F.lit(BLOCK)).cast("int"))))
     )
 
-    def retrieves(block: Column) -> Column:
+    def retrieves(number: Column) -> Column:
+        block = F.slice("shingles", number * BLOCK + 1, BLOCK)
         return F.exists(_smallest(block, bands), lambda value: value.isin(smallest))
 
-    hits = F.array_compact(F.transform(blocks, lambda block, number: F.when(retrieves(block), number)))
+    hits = F.filter(blocks, retrieves)
     found = hashed.where("size(shingles) > 0").withColumn("hits", hits).where("size(hits) > 0")
     places = (
         found.select("doc_id", "text_hash", "shingles", F.explode("hits").alias("block"))

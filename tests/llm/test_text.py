@@ -175,6 +175,17 @@ def test_licenses(documents, spark):
     assert scan_licenses(documents.limit(0)).count() == 0
 
 
+def test_license_bands_hash_only_blocks_with_a_template_shingle(spark):
+    """All bands are hashed for blocks that a template can retrieve, wherever in a block its words begin."""
+    notice = "Released under the MIT License."
+    rows = [(i, " ".join(sentence(i, i) + notice.split() + sentence(i + 90, 30))) for i in range(14)]
+    rows += [(14, "Released under the"), (15, "the MIT"), (16, None), (17, "the MIT License. Released under"), (18, "x")]
+    found = scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r.doc_id, r.license, r.containment, r.near_word <= r.doc_id + 4) for r in found.collect()} == {(i, "mit", 1.0, True) for i in range(14)}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "filter(array_distinct(" in plan and "transform(sequence(0" not in plan
+
+
 def test_attention_gradients_match_differences():
     random_ = np.random.default_rng(1)
     model = {k: v.astype(np.float64) for k, v in attention.new_model(np.arange(1, 8)).items()}
