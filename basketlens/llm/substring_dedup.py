@@ -210,29 +210,42 @@ def collinear_chains(matches: list[tuple[int, int]]) -> list[list[tuple[int, int
 
 
 def _matches(own: np.ndarray, own_counts: np.ndarray, other: np.ndarray, other_counts: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Every place of a seed with every other place; with a gap, also the seeds so far behind."""
+    """Every place of a seed with every other place; with a gap, also the seeds so far behind.
+
+    Each match once, by diagonal (place less other place) and then by place.
+    """
+    own, other = own.astype(np.int64), other.astype(np.int64)
     sizes = own_counts * other_counts
-    row = np.repeat(np.arange(len(sizes)), sizes)
-    within = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    a = own[(np.cumsum(own_counts) - own_counts)[row] + within // other_counts[row]].astype(np.int64)
-    b = other[(np.cumsum(other_counts) - other_counts)[row] + within % other_counts[row]].astype(np.int64)
-    gap = gaps[row]
+    if (sizes == 1).all():
+        # The usual case: a seed stands once in either text.
+        a, b, gap = own, other, gaps
+    else:
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        within = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        a = own[(np.cumsum(own_counts) - own_counts)[row] + within // other_counts[row]]
+        b = other[(np.cumsum(other_counts) - other_counts)[row] + within % other_counts[row]]
+        gap = gaps[row]
     more = gap > 0
-    both = (a << 32) | b
+    both = ((a - b) << 32) + a
     if more.any():
-        both = np.concatenate([both, ((a[more] + gap[more]) << 32) | (b[more] + gap[more])])
-    both = np.unique(both)
-    return both >> 32, both & 0xFFFFFFFF
+        both = np.concatenate([both, (both + gap)[more]])
+    both.sort()
+    different = np.ones(len(both), bool)
+    np.not_equal(both[1:], both[:-1], out=different[1:])
+    both = both[different]
+    a = both & 0xFFFFFFFF
+    return a, a - (both >> 32)
 
 
 def _equal_runs(a: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
     """Matches on one diagonal, at most WINDOW apart and with equal words between, as runs."""
     if not len(a):
         return []
-    order = np.lexsort((a, a - b))
+    # Those of _matches are in this order, which a stable sort passes over once.
+    order = np.argsort(((a - b) << 32) + a, kind="stable")
     a, b = a[order], b[order]
-    step = np.diff(a)
-    whole = (np.diff(a - b) == 0) & (step <= WINDOW)
+    step = a[1:] - a[:-1]
+    whole = (step == b[1:] - b[:-1]) & (step <= WINDOW)
     for t in range(K, WINDOW):
         open_ = np.flatnonzero(whole & (step > t))
         whole[open_] = x[a[open_] + t] == y[b[open_] + t]
@@ -402,7 +415,9 @@ def _widened(piece: tuple[int, int, int, int, int], x: np.ndarray, y: np.ndarray
     same_before, same_after = x[start - left : start] == y[other - left : other], x[stop : stop + right] == y[other_stop : other_stop + right]
     if equal + np.count_nonzero(same_before) + np.count_nonzero(same_after) < MIN_EQUAL * MIN_WORDS:
         return piece
-    before, after = np.r_[0, np.cumsum(same_before[::-1])], np.r_[0, np.cumsum(same_after)]
+    before, after = np.zeros(left + 1, np.int64), np.zeros(right + 1, np.int64)
+    same_before[::-1].cumsum(out=before[1:])
+    same_after.cumsum(out=after[1:])
     more = np.arange(left + 1)[:, None] + np.arange(right + 1)[None, :]
     same = before[:, None] + after[None, :]
     length = max(stop - start, other_stop - other) + more

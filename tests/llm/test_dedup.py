@@ -254,6 +254,20 @@ def test_copies_and_texts_of_one_document(spark):
     assert found == [(1, 0, 60, 60, 2), (1, 0, 90, 90, 2), (2, 0, 90, 90, 1), (3, 0, 90, 90, 1), (5, 0, 70, 70, 6), (6, 0, 70, 70, 5)]
 
 
+def test_matches_come_once_and_in_order():
+    """Places of seeds that stand once or several times in either text, and the seeds behind them."""
+    draws = np.random.default_rng(3)
+    for most in (2, 4):
+        for _ in range(30):
+            pairs = [[draws.integers(0, 40, int(draws.integers(1, most))).astype(np.int32) for _ in range(2)] for _ in range(int(draws.integers(0, 30)))]
+            gaps = draws.integers(0, 3, len(pairs))
+            expected = {(int(p) + g, int(q) + g) for (own, other), gap in zip(pairs, gaps.tolist()) for p in own for q in other for g in {0, gap}}
+            own, other = (np.concatenate([np.zeros(0, np.int32), *(pair[side] for pair in pairs)]) for side in (0, 1))
+            counts = [np.array([len(pair[side]) for pair in pairs], np.int64) for side in (0, 1)]
+            a, b = substring_dedup._matches(own, counts[0], other, counts[1], gaps.astype(np.int64))
+            assert list(zip(a.tolist(), b.tolist())) == sorted(expected, key=lambda m: (m[0] - m[1], m[0]))
+
+
 def test_pieces_are_aligned_together_as_one_by_one():
     """Ends of all runs of a pair are followed at once, to where each alone would be."""
     draws = np.random.default_rng(8)
