@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketlens.llm.attention import NODE, TABLES, WINDOW, Adam, Tree, from_rows, gradients, new_model, new_tree, score_places, to_rows
+from basketlens.llm.attention import NODE, TABLES, WINDOW, Adam, Tree, from_rows, new_model, new_tree, score_places, table_gradients, to_rows
 from basketlens.llm.common import materialise, remainder, text_or_empty
 from basketlens.llm.wordhash import batches, words
 
@@ -41,6 +41,8 @@ ROUNDS, BATCH, RATE = 2, 128, 0.02
 #: Counts of so many words at most are broadcast (4 MB); the others are joined.
 BROADCAST_WORDS = 1 << 18
 LONG_WORD = 256
+#: A task keeps the ids of so many distinct words at most (about 30 MB); beyond, it begins anew.
+KEPT_WORDS = 1 << 20
 END_HASH = np.int64(-0x5DEECE66D)
 
 
@@ -71,16 +73,59 @@ def _odd_spaces(data: np.ndarray) -> np.ndarray:
     ]
 
 
-def subwords(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray, encoder) -> tuple[np.ndarray, np.ndarray]:
+class Encoded:
+    """The subword ids of the distinct words that a task has met, by hash."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.hashes = np.zeros(0, np.uint64)
+        self.offset, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
+
+    def add(self, hashes: np.ndarray, size: np.ndarray, offset: np.ndarray, flat: np.ndarray) -> None:
+        """New words in the order of their hashes."""
+        at = np.searchsorted(self.hashes, hashes)
+        self.offset = np.insert(self.offset, at, offset + len(self.flat))
+        self.size = np.insert(self.size, at, size)
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.flat = np.concatenate([self.flat, flat])
+
+
+def subwords(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray, encoder, known: Encoded | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The subword ids of all words, one after the other, and how many each word has.
 
-    Each distinct word is encoded once, with A-Z in lower case and a space before it. The
-    pattern cuts before each space, so words are encoded together and told apart by the ids
-    that open one; those with other spaces in them and long ones are encoded alone.
+    Each distinct word that ``known`` lacks is encoded, once, and kept there.
     """
-    _, example, word = np.unique(hashes, return_index=True, return_inverse=True)
+    known = known or Encoded()
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    first = np.ones(len(hashes), bool)
+    first[1:] = ordered[1:] != ordered[:-1]
+    distinct, example = ordered[first], order[first]
+    if len(known.hashes) + len(distinct) > KEPT_WORDS:
+        known.clear()
+    at = np.searchsorted(known.hashes, distinct)
+    new = np.flatnonzero(known.hashes[np.minimum(at, len(known.hashes) - 1)] != distinct) if len(known.hashes) else np.arange(len(distinct))
+    if len(new):
+        known.add(distinct[new], *_encoded(starts[example[new]], ends[example[new]], data, encoder))
+        at = np.searchsorted(known.hashes, distinct)
+    word = np.empty(len(hashes), np.int64)
+    word[order] = np.repeat(at, np.diff(np.r_[np.flatnonzero(first), len(hashes)]))
+    counts = known.size[word]
+    stops = np.cumsum(counts)
+    return known.flat[np.arange(stops[-1] if len(stops) else 0) + np.repeat(known.offset[word] - stops + counts, counts)], counts
+
+
+def _encoded(first: np.ndarray, ends: np.ndarray, data: np.ndarray, encoder) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many ids each word has, where they begin, and the ids of all words.
+
+    Words are taken with A-Z in lower case and a space before them. The pattern cuts before
+    each space, so words are encoded together and told apart by the ids that open one; those
+    with other spaces in them and long ones are encoded alone.
+    """
+    size = ends - first
     lower = data + (((data >= 65) & (data <= 90)) * np.uint8(32))
-    first, size = starts[example], (ends - starts)[example]
     odd = _odd_spaces(data)
     alone = (np.searchsorted(odd, first) < np.searchsorted(odd, first + size)) | (size > LONG_WORD)
     plain = np.flatnonzero(~alone)
@@ -97,17 +142,13 @@ def subwords(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.
             ids += encoder.encode_ordinary((" " if low == a else "") + piece)
         encoded.append(ids)
     at = np.flatnonzero(_opens(encoder)[together])
-    sizes = np.zeros(len(example), dtype=np.int64)
+    sizes = np.zeros(len(first), dtype=np.int64)
     sizes[plain] = np.diff(np.r_[at, len(together)])
     sizes[alone] = [len(ids) for ids in encoded]
-    offset = np.zeros(len(example), dtype=np.int64)
+    offset = np.zeros(len(first), dtype=np.int64)
     offset[plain] = at
     offset[alone] = len(together) + np.cumsum(sizes[alone]) - sizes[alone]
-    flat = np.concatenate([together, *encoded]).astype(np.uint16)
-    counts = sizes[word]
-    stops = np.cumsum(counts)
-    place = np.arange(stops[-1] if len(stops) else 0) - np.repeat(stops - counts, counts)
-    return flat[np.repeat(offset[word], counts) + place], counts
+    return sizes, offset, np.concatenate([together, *encoded]).astype(np.uint16)
 
 
 GATHERED = "hashes array<long>, counts array<long>, ids array<long>, id_counts array<long>, windows binary"
@@ -128,12 +169,12 @@ def _gather(vocabulary):
     """Per batch of training texts: counts of words and ids, and the windows to learn from."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary.value)
+        encoder, met = _encoder(vocabulary.value), Encoded()
         for part in parts:
             for batch in batches(part):
                 n = batch.num_rows
                 hashes, starts, ends, first, data = words(batch.column("text"))
-                ids, sizes = subwords(hashes, starts, ends, data, encoder)
+                ids, sizes = subwords(hashes, starts, ends, data, encoder, met)
                 start = np.r_[0, np.cumsum(sizes)][first]
                 known, counts = np.unique(hashes, return_counts=True)
                 tokens = np.bincount(ids, minlength=IDS)
@@ -204,10 +245,9 @@ def _learnt(windows: DataFrame, tree: Tree, counts: np.ndarray, rounds: int) ->
                         inputs, targets = step[:, :-1], step[:, 1:]
                         valid = (inputs >= 0) & (inputs != IDS)
                         inputs = np.where(valid, inputs, IDS + 1)
-                        slopes = gradients(own, inputs, valid, targets, tree)
+                        slopes = table_gradients(own, inputs, valid, targets, tree)
                         slopes["nodes"], nodes, times = slopes["nodes"]
-                        ids, often = np.unique(inputs, return_counts=True)
-                        slopes["embed"] = slopes["embed"][ids]
+                        slopes["embed"], ids, often = slopes["embed"]
                         adam = adam or Adam(own, rate)
                         adam.update(own, slopes, {"embed": ids, "nodes": nodes})
                         uses["embed"][ids] += often
@@ -280,14 +320,14 @@ def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER, rounds: int = R
     sent = context.broadcast((model, tree, opening, *_word_table(counts)))
 
     def score(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary.value)
+        encoder, met = _encoder(vocabulary.value), Encoded()
         own, tree, opening, known, times = sent.value
         shares = (times + 0.5) / floor
         for part in parts:
             for batch in batches(part, most_bytes=4 << 20):
                 n = batch.num_rows
                 hashes, starts, ends, first, data = words(batch.column("text"))
-                ids, sizes = subwords(hashes, starts, ends, data, encoder)
+                ids, sizes = subwords(hashes, starts, ends, data, encoder, met)
                 # Every text's end is one more word, of one id.
                 end_at = first[1:]
                 found = np.insert(hashes.view(np.int64), end_at, END_HASH)

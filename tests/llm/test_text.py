@@ -279,6 +279,48 @@ def test_subwords_of_words_encoded_together_are_those_of_each_alone():
     assert sizes.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
 
 
+def test_words_met_before_are_not_encoded_again():
+    """A task encodes each distinct word once, not once per batch; ids do not change by that."""
+    encoder = lm._encoder(Path(TOKENIZER).read_bytes())
+    taken = []
+
+    class Counting:
+        encode_ordinary, decode_single_token_bytes = encoder.encode_ordinary, encoder.decode_single_token_bytes
+
+        def encode_to_numpy(self, text, **more):
+            taken.append(text)
+            return encoder.encode_to_numpy(text, **more)
+
+    counting = Counting()
+    met = lm.Encoded()
+    for text in ("one two Two " + "w" * 700 + " a\u00a0b", "", "two three ONE a\u00a0b zwei 1", "three " + "w" * 700):
+        hashes, starts, ends, _, data = wordhash.words(pa.array([text]))
+        alone = lm.subwords(hashes, starts, ends, data, encoder)
+        found = lm.subwords(hashes, starts, ends, data, counting, met)
+        assert all((a == b).all() for a, b in zip(alone, found))
+    assert sorted("".join(taken).split()) == ["1", "one", "three", "two", "zwei"]
+
+
+def test_decisions_of_neighbours_are_multiplied_once():
+    """Blocks of outputs hold each decision on their paths once and give the odds of single steps."""
+    random_ = np.random.default_rng(2)
+    kind = np.r_[np.zeros(900, int), np.ones(60, int), 2]
+    tree = attention.new_tree(kind, random_.pareto(1.0, len(kind)) + 0.01)
+    model = attention.new_model(np.bincount(kind), inputs=len(kind) + 1, tree=tree)
+    model["nodes"] += random_.standard_normal(model["nodes"].shape).astype(np.float32)
+    ids = random_.choice(len(kind), 5000, p=random_.dirichlet(np.full(len(kind), 0.05)))
+    read = random_.standard_normal((len(ids), attention.NODE)).astype(np.float32)
+    paths = attention._Paths(model, tree, read, ids, tree.length[ids])
+    assert len(paths.at) == tree.length[ids].sum() > 4 * len(paths.nodes)
+    expected = np.zeros(len(ids))
+    for i, (row, one) in enumerate(zip(read, ids)):
+        steps = tree.steps[: tree.length[one], one]
+        odds = (model["nodes"][steps >> 1] @ row) * (2 * (steps & 1) - 1.0)
+        expected[i] = -np.log1p(np.exp(-odds)).sum()
+    assert np.abs(attention.within_class(model, tree, read, ids) - expected).max() < 1e-3
+    assert (attention.within_class(model, tree, read[:3], np.full(3, len(kind) - 1)) == 0).all()
+
+
 def test_every_id_depends_on_its_context():
     """Ids that share a class have probabilities of their own at each place, which add up to one."""
     random_ = np.random.default_rng(4)
