@@ -148,12 +148,12 @@ def _sides(model) -> np.ndarray:
     return np.concatenate([model["query"] / np.sqrt(DIM, dtype=embed.dtype), model["key"], model["value"]], 1)
 
 
-def _attend(model, inputs: np.ndarray, valid: np.ndarray, scored: int, sides: np.ndarray | None = None):
+def _attend(model, inputs: np.ndarray, valid: np.ndarray, scored: int, sides: np.ndarray | None = None, read: np.ndarray | None = None):
     """Attention of the last ``scored`` positions over all positions up to their own.
 
     ``weights`` add up to ``total``, as often as there are DIM, at each position. ``read``, from which outputs follow, has
     each position's input, what attention mixed, and 1. ``sides`` has the query, key and value
-    of every input if they are known.
+    of every input if they are known; ``read`` is filled if it is given.
     """
     x = np.take(model["embed"], inputs, axis=0)
     both = _times(x, _sides(model)) if sides is None else np.take(sides, inputs, axis=0)
@@ -168,7 +168,8 @@ def _attend(model, inputs: np.ndarray, valid: np.ndarray, scored: int, sides: np
     total += x.dtype.type(1e-30)
     mixed = weights @ v
     mixed /= total
-    read = np.ones((*weights.shape[:2], NODE), x.dtype)
+    read = np.empty((*weights.shape[:2], NODE), x.dtype) if read is None else read
+    read[:, :, -1] = 1
     read[:, :, :DIM] = x[:, -scored:]
     read[:, :, DIM:-1] = mixed
     logits = _times(read, np.concatenate([model["direct"], model["mixed"], model["bias"][None]]))
@@ -284,17 +285,17 @@ def log_probabilities(
     outputs, otherwise classes. Attention takes ``at_once`` windows at a time.
     """
     classes = targets if tree is None else tree.kind[targets]
-    logs, opening, reads = np.empty(targets.shape, model["bias"].dtype), np.empty(targets.shape, model["bias"].dtype), []
+    logs, opening = (np.empty(targets.shape, model["bias"].dtype) for _ in range(2))
+    reads = np.empty((*targets.shape, NODE), logs.dtype)
     for low in range(0, len(inputs), at_once):
         some = slice(low, low + at_once)
-        *_, read, logits = _attend(model, inputs[some], valid[some], targets.shape[1], sides)
+        logits = _attend(model, inputs[some], valid[some], targets.shape[1], sides, reads[some])[-1]
         # Logits of these small models are far from the range in which exp overflows.
         chosen = np.clip(np.take_along_axis(logits, classes[some, :, None], axis=2)[:, :, 0], -80, 60)
         sums = np.log(_times(_exp(logits), np.stack([np.ones_like(opens), opens], 1)))
         logs[some], opening[some] = chosen - sums[:, :, 0], sums[:, :, 1] - sums[:, :, 0]
-        reads.append(_flat(read))
     if tree is not None:
-        logs = logs + within_class(model, tree, np.concatenate(reads), targets.ravel()).reshape(targets.shape)
+        logs = logs + within_class(model, tree, _flat(reads), targets.ravel()).reshape(targets.shape)
     return logs, opening
 
 
@@ -390,7 +391,7 @@ def window_places(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def score_places(
-    model, sequences: np.ndarray, starts: np.ndarray, begin: int, opens: np.ndarray, at_once: int = 512, tree: Tree | None = None
+    model, sequences: np.ndarray, starts: np.ndarray, begin: int, opens: np.ndarray, at_once: int = 1024, tree: Tree | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """ln p(id | ids before it in its text) of every id in ``sequences``.
 

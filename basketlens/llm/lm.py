@@ -92,12 +92,15 @@ class Encoded:
         self.flat = np.concatenate([self.flat, flat])
 
 
-def subwords(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray, encoder, known: Encoded | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The subword ids of all words, one after the other, and how many each word has.
+    def ids(self, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words by their places, one after the other, and how many each word has."""
+        counts = self.size[word]
+        stops = np.cumsum(counts)
+        return self.flat[np.arange(stops[-1] if len(stops) else 0) + np.repeat(self.offset[word] - stops + counts, counts)], counts
 
-    Each distinct word that ``known`` lacks is encoded, once, and kept there.
-    """
-    known = known or Encoded()
+
+def _places(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray, encoder, known: Encoded) -> np.ndarray:
+    """The place of each word in ``known``; each distinct word that it lacks is encoded, once, and kept there."""
     order = np.argsort(hashes)
     ordered = hashes[order]
     first = np.ones(len(hashes), bool)
@@ -112,9 +115,13 @@ def subwords(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.
         at = np.searchsorted(known.hashes, distinct)
     word = np.empty(len(hashes), np.int64)
     word[order] = np.repeat(at, np.diff(np.r_[np.flatnonzero(first), len(hashes)]))
-    counts = known.size[word]
-    stops = np.cumsum(counts)
-    return known.flat[np.arange(stops[-1] if len(stops) else 0) + np.repeat(known.offset[word] - stops + counts, counts)], counts
+    return word
+
+
+def subwords(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray, encoder, known: Encoded | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The subword ids of all words, one after the other, and how many each word has."""
+    known = known or Encoded()
+    return known.ids(_places(hashes, starts, ends, data, encoder, known))
 
 
 def _encoded(first: np.ndarray, ends: np.ndarray, data: np.ndarray, encoder) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -327,7 +334,8 @@ def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER, rounds: int = R
             for batch in batches(part, most_bytes=4 << 20):
                 n = batch.num_rows
                 hashes, starts, ends, first, data = words(batch.column("text"))
-                ids, sizes = subwords(hashes, starts, ends, data, encoder, met)
+                met_at = _places(hashes, starts, ends, data, encoder, met)
+                ids, sizes = met.ids(met_at)
                 # Every text's end is one more word, of one id.
                 end_at = first[1:]
                 found = np.insert(hashes.view(np.int64), end_at, END_HASH)
@@ -341,8 +349,12 @@ def score_documents(docs: DataFrame, tokenizer: str = TOKENIZER, rounds: int = R
                 before = opened[word_at]
                 after = np.where(found == END_HASH, 0.0, np.r_[before[1:], 0.0])
                 parts_log = (np.add.reduceat(logs, word_at) + after - before) / math.log(10)
-                place = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
-                hit = known[place] == found if len(known) else np.zeros(len(found), bool)
+                # Of the distinct words and the end, the place in the table, or -1.
+                distinct = np.append(met.hashes.view(np.int64), END_HASH)
+                place = np.minimum(np.searchsorted(known, distinct), max(len(known) - 1, 0))
+                place = np.where(known[place] == distinct, place, -1) if len(known) else np.full(len(distinct), -1)
+                place = place[np.insert(met_at, end_at, len(distinct) - 1)]
+                hit = place >= 0
                 p = shares[place[hit]]
                 mixed = np.log10(COUNTED * p + (1 - COUNTED) * 10.0 ** parts_log[hit])
                 edges = pa.array(np.searchsorted(text[~hit], np.arange(n + 1)), pa.int32())
